@@ -1,0 +1,87 @@
+"""Run a registered query in Spark and its SQL in DuckDB and compare all rows."""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+from pyspark.sql import SparkSession
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return con
+
+
+def _plain(value: object) -> object:
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else float(f"{value:.12g}")
+    if isinstance(value, list):
+        return tuple(_plain(v) for v in value)
+    return value
+
+
+def _rows(columns: list[str], rows: list) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_plain(r[i]) for i in order) for r in rows)
+
+
+def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, query, sql: str, sf_dir: str) -> str | None:
+    """None if all rows agree, else what differs."""
+    df = query(spark, sf_dir)
+    got = _rows(df.columns, [tuple(r) for r in df.collect()])
+    cursor = con.execute(sql)
+    names = [d[0] for d in cursor.description]
+    want = _rows(names, cursor.fetchall())
+    if sorted(names) != sorted(df.columns):
+        return f"columns {sorted(df.columns)} against {sorted(names)}"
+    if got != want:
+        extra, missing = got - want, want - got
+        return (
+            f"{sum(got.values())} rows against {sum(want.values())}; only here {list(extra)[:3]}; "
+            f"only there {list(missing)[:3]}"
+        )
+    if not got:
+        return "no rows on either side"
+    return None
+
+
+def main(sf_dir: str, names: list[str]) -> int:
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+    import __spark_entry__ as entry
+    from tidemark.session import local_session
+
+    spark = local_session(8)
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(sf_dir)
+    queries, oracles = entry.queries(), entry.oracle_sql()
+    bad = 0
+    for name in names or queries:
+        start = time.time()
+        try:
+            if name in oracles:
+                problem = compare(spark, con, queries[name], oracles[name], sf_dir)
+            else:
+                problem = None if queries[name](spark, sf_dir).collect() else "no rows"
+        except Exception as error:  # noqa: BLE001
+            problem = f"{type(error).__name__}: {str(error)[:1500]}"
+        bad += problem is not None
+        print(f"{name:30} {time.time() - start:6.1f}s {'ok' if problem is None else problem}", flush=True)
+    print(f"{bad} differ")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv[1], sys.argv[2:]) > 0)
