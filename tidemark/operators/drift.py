@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..constants import COLUMN_DROP, LIVE_STATES, NEW_COLUMN, NEW_TABLE, TYPE_CHANGE
 from ..functions.columns import is_business_column, is_drop_marker, is_journal, without_drop_suffix
-from .joins import spread_join
 
 TABLE = ["table_schema", "table_name"]
 COLUMN = [*TABLE, "column_name"]
@@ -46,10 +45,6 @@ def _without_live(changes: DataFrame, events: DataFrame, kind: str, on: list[str
     return changes.join(live_events(events, kind).select(*on).distinct(), on, "left_anti").select(*CHANGE)
 
 
-def _of_known_tables(columns: DataFrame, registry: DataFrame) -> DataFrame:
-    return spread_join(columns, known_tables(registry), TABLE, "left_semi", ["column_name"])
-
-
 def new_columns(columns: DataFrame, registry: DataFrame, events: DataFrame, schema: str = "BRONZE") -> DataFrame:
     """Business columns of a known table that the registry does not hold."""
     name = F.col("column_name")
@@ -57,7 +52,7 @@ def new_columns(columns: DataFrame, registry: DataFrame, events: DataFrame, sche
         ~is_journal(F.col("table_name")) & is_business_column(name, markers=False)
     )
     fresh = candidates.join(registry.select(*COLUMN), COLUMN, "left_anti")
-    found = _of_known_tables(fresh, registry).select(*_change(NEW_COLUMN, name, F.lit(None), F.col("data_type")))
+    found = fresh.join(known_tables(registry), TABLE, "left_semi").select(*_change(NEW_COLUMN, name, F.lit(None), F.col("data_type")))
     return _without_live(found, events, NEW_COLUMN, COLUMN)
 
 
@@ -134,8 +129,9 @@ def column_changes(columns: DataFrame, registry: DataFrame, events: DataFrame, s
     old = F.when(F.col("change_type") != NEW_COLUMN, F.col("old_type"))
     new = F.when(F.col("change_type") != COLUMN_DROP, F.col("data_type"))
     found = changed.select(*COLUMN, "change_type", old.alias("old_data_type"), new.alias("new_data_type"))
-    added = F.col("change_type") == NEW_COLUMN
-    return found.filter(~added).unionByName(_of_known_tables(found.filter(added), registry))
+    tables = known_tables(registry).withColumn("table_known", F.lit(True))
+    in_known_table = (F.col("change_type") != NEW_COLUMN) | F.col("table_known").isNotNull()
+    return found.join(tables, TABLE, "left").filter(in_known_table).select(*CHANGE)
 
 
 def detect(columns: DataFrame, registry: DataFrame, events: DataFrame, schema: str = "BRONZE",

@@ -145,27 +145,20 @@ def review_states(reviews: DataFrame) -> DataFrame:
 
 def reconcile_reviews(events: DataFrame, reviews: DataFrame, now: Column) -> DataFrame:
     """Merged: the event is resolved. Closed: it goes back to the queue without branch and address."""
-    in_review = F.col("pipeline_status").isin(*IN_REVIEW_STATES) & F.col("branch_name").isNotNull()
-    columns = events.columns
-    states = review_states(reviews)
-    joined = events.join(states, "branch_name", "left")
-    merged = is_true(in_review & (F.col("review_state") == "merged"))
-    closed = is_true(in_review & (F.col("review_state") == "closed"))
+    in_review = is_true(F.col("pipeline_status").isin(*IN_REVIEW_STATES) & F.col("branch_name").isNotNull())
+    merged, closed = F.col("review_state") == "merged", F.col("review_state") == "closed"
     text = F.lit(None).cast("string")
-    return joined.select(
-        *[
-            {
-                "status": F.when(merged, RESOLVED).otherwise(F.col("status")),
-                "pipeline_status": F.when(merged, RESOLVED).when(closed, PENDING).otherwise(F.col("pipeline_status")),
-                "resolved_at": F.when(merged, now.cast("timestamp_ntz")).otherwise(F.col("resolved_at")),
-                "branch_name": F.when(closed, text).otherwise(F.col("branch_name")),
-                "mr_url": F.when(closed, text).otherwise(F.col("mr_url")),
-            }
-            .get(c, F.col(c))
-            .alias(c)
-            for c in columns
-        ]
-    )
+    moved = {
+        "status": F.when(merged, RESOLVED).otherwise(F.col("status")),
+        "pipeline_status": F.when(merged, RESOLVED).when(closed, PENDING).otherwise(F.col("pipeline_status")),
+        "resolved_at": F.when(merged, now.cast("timestamp_ntz")).otherwise(F.col("resolved_at")),
+        "branch_name": F.when(closed, text).otherwise(F.col("branch_name")),
+        "mr_url": F.when(closed, text).otherwise(F.col("mr_url")),
+    }
+    # Only events in review travel to the join; the many without a branch stay where they are.
+    joined = events.filter(in_review).join(review_states(reviews), "branch_name", "left")
+    checked = joined.select(*[moved.get(c, F.col(c)).alias(c) for c in events.columns])
+    return events.filter(~in_review).unionByName(checked)
 
 
 def latest_run_state(runs: DataFrame, now: Column, task: str = "task_name", at: str = "scheduled_time",

@@ -1,4 +1,4 @@
-"""Joins with one hot key."""
+"""Joins whose hot key stays together afterwards."""
 
 from __future__ import annotations
 
@@ -12,7 +12,9 @@ def spread_join(
     """Join a `left` that may hold a hot key with a `right` that has one row per key.
 
     The left rows of a key go to `spread` tasks, by a hash of `salt_from`; the right row goes to each of
-    them. Exact for inner, left, left_semi and left_anti joins.
+    them. Exact for inner, left, left_semi and left_anti joins. Meant for a join that is followed by a
+    grouping on the same key, and a `right` much smaller than `left`: there adaptive execution cannot split
+    the hot partition. Any other skewed join here is left to it.
     """
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*salt_from), F.lit(spread)).cast("int"))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))

@@ -51,9 +51,7 @@ def edges_from_models(models: DataFrame, database: str) -> DataFrame:
     targets = models.select(
         F.col("unique_id").alias("dep"), F.concat_ws(".", F.col("schema"), F.upper("name")).alias("source_table")
     )
-    from_models = spread_join(
-        deps.filter(dep.startswith("model.")), targets, ["dep"], "inner", ["artifact_name"]
-    ).drop("dep")
+    from_models = deps.filter(dep.startswith("model.")).join(targets, "dep").drop("dep")
     return from_sources.unionByName(from_models)
 
 
@@ -125,8 +123,7 @@ def impact_by_column(events: DataFrame, edges: DataFrame, schema: str = "BRONZE"
 def with_current_sql(impacted: DataFrame, edges: DataFrame) -> DataFrame:
     """The impacted artifacts with their current text, in one join."""
     texts = edges.groupBy("artifact_name").agg(F.min("artifact_sql").alias("artifact_sql"))
-    joined = spread_join(impacted, texts, ["artifact_name"], "left", ["event_id"])
-    return joined.withColumn("artifact_sql", F.coalesce("artifact_sql", F.lit("")))
+    return impacted.join(texts, "artifact_name", "left").withColumn("artifact_sql", F.coalesce("artifact_sql", F.lit("")))
 
 
 def downstream(tables: DataFrame, edges: DataFrame, database: str, max_depth: int = 100) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..constants import ADDED_COLUMN_NOTE, COLUMN_DROP, NEW_COLUMN, NEW_TABLE
 from ..functions.columns import has_connector_prefix, is_business_column, looks_like_key
 from .drift import TABLE
-from .joins import spread_join
 
 
 def infer_primary_key(columns: DataFrame) -> DataFrame:
@@ -42,7 +41,7 @@ def new_table_spec(columns: DataFrame, page_columns: int = 1000) -> DataFrame:
     pages = own.groupBy(*TABLE).agg((F.max("page") + 1).alias("pages"))
     head = infer_primary_key(columns).join(pages, TABLE)
     columns_list = F.transform("items", lambda c: F.struct(c["name"].alias("name"), c["type"].alias("type")))
-    return spread_join(listed, head, TABLE, "inner", ["page"]).select(
+    return listed.join(head, TABLE).select(
         *TABLE, "page", "pages",
         F.concat(F.lit("models/silver/"), F.lower("table_name"), F.lit(".sql")).alias("silver_model_path"),
         "primary_key", columns_list.alias("columns"),
@@ -80,7 +79,7 @@ def sync_docs(docs: DataFrame, events: DataFrame) -> DataFrame:
     added = last.filter(F.col("change_type") == NEW_COLUMN).join(
         keyed.select("_model", "_column"), ["_model", "_column"], "left_anti"
     )
-    entries = spread_join(added, models, ["_model"], "inner", ["_column"]).select(
+    entries = added.join(models, "_model").select(
         "model", F.col("_column").alias("column_name"), added_column_note(F.col("table_name")).alias("description"),
         F.array().cast("array<string>").alias("tests"),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..constants import CLEAN_RUN_MARK, ERROR_CHARS, FAIL_MARKS, MODEL_LAYERS, PASS_MARKS
 from ..functions.columns import any_of, strip
+from ..session import local_rows
 
 
 @dataclass(frozen=True)
@@ -104,7 +105,7 @@ def validate(spark: SparkSession, candidates: Mapping[str, Callable[[], DataFram
             verdicts.append((name, "PASS", build().count(), None))
         except (AnalysisException, PySparkException, ValueError) as error:
             verdicts.append((name, "FAIL", None, str(error)[:ERROR_CHARS]))
-    return spark.createDataFrame(verdicts, VERDICT_SCHEMA)
+    return local_rows(spark, verdicts, VERDICT_SCHEMA)
 
 
 def _contains_any(text: Column, marks: tuple[str, ...]) -> Column:

@@ -36,7 +36,7 @@ def advance_registry(registry: DataFrame, events: DataFrame, columns: DataFrame)
     placed = events.select(*COLUMN, "change_type", F.col("new_data_type").alias("data_type"), position.alias("pos"))
     table_events = placed.filter(F.col("change_type") == NEW_TABLE).select(*TABLE, "pos").distinct()
     current = columns.filter(is_business_column(F.col("column_name"), listed=False)).select(*COLUMN, "data_type")
-    from_tables = spread_join(current, table_events, TABLE, "inner", ["column_name"]).withColumn(
+    from_tables = current.join(table_events, TABLE).withColumn(
         "change_type", F.lit(NEW_COLUMN)
     )
     steps = placed.filter(F.col("change_type").isin(NEW_COLUMN, COLUMN_DROP, TYPE_CHANGE)).unionByName(from_tables)

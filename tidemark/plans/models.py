@@ -47,6 +47,19 @@ class RowModel:
         state = current_state(inputs[self.source], self.spec)
         return state.select(*[F.col(c).cast(casts[c]).alias(c) if c in casts else F.col(c) for c in self.columns])
 
+    def sql(self) -> str:
+        """The same rows as Spark SQL."""
+        casts = dict(self.casts)
+        shown = [f"CAST({c} AS {casts[c]}) AS {c}" if c in casts else c for c in self.columns]
+        alive = "TRUE" if self.spec.deleted is None else f"NOT coalesce({self.spec.deleted}, false)"
+        nulls = "FIRST" if self.spec.nulls_first else "LAST"
+        order = [f"{self.spec.version} DESC NULLS {nulls}", *[f"{c} DESC NULLS LAST" for c in self.spec.tie_breakers]]
+        before, after = ("TRUE", f" AND {alive}") if self.spec.tombstone_wins else (alive, "")
+        return (
+            f"SELECT {', '.join(shown)} FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(self.spec.keys)} "
+            f"ORDER BY {', '.join(order)}) AS _rn FROM {self.source} WHERE {before}) WHERE _rn = 1{after}"
+        )
+
     def evolve(self, change: Change) -> RowModel:
         """The model after a change of its source: a new column goes after the last source column."""
         column = change.column.lower()
@@ -174,6 +187,30 @@ class AggregateModel:
             return F.try_divide(total, F.sum(f"_{m.alias}_n")).alias(m.alias)
         return F.sum(f"_{m.alias}").alias(m.alias)
 
+    def sql(self) -> str:
+        """The same rows as Spark SQL, with plain distinct counts and days as timestamps."""
+        casts = dict(self.casts)
+
+        def source(column: str, side: str) -> str:
+            name = f"{'f' if side == 'fact' else 'd'}.{column}"
+            return f"CAST({name} AS {casts[column]})" if column in casts and column in self._columns_of(side) else name
+
+        keys = [f"date_trunc('DAY', {source(g.column, g.of)})" if g.by_day else source(g.column, g.of) for g in self.groups]
+        shown = [f"{key} AS {g.alias}" for key, g in zip(keys, self.groups)]
+        for m in self.measures:
+            first = source(m.columns[0], "fact")
+            shown.append(
+                {
+                    "count_distinct": f"count(DISTINCT {first})",
+                    "sum": f"sum({first})",
+                    "avg": f"avg({first})",
+                    "sum_product": f"sum({' * '.join(source(c, 'fact') for c in m.columns)})",
+                }[m.kind]
+                + f" AS {m.alias}"
+            )
+        joined = f" JOIN {self.dimension} d ON f.{self.fact_join} = d.{self.dimension_join}" if self.dimension else ""
+        return f"SELECT {', '.join(shown)} FROM {self.fact} f{joined} GROUP BY {', '.join(keys)}"
+
     def evolve(self, change: Change) -> AggregateModel:
         """New columns do not extend an aggregate. A dropped column takes its groups and measures along,
         which changes the grain; a dropped key or join column breaks the model."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..constants import MODEL_ARTIFACT
 from ..operators.mutate import replace_slice
 from ..operators.quality import row_counts, validate
+from ..session import local_rows
 from ..sources.tables import Warehouse
 from .models import Model
 
@@ -71,13 +72,18 @@ def materialize(spark: SparkSession, models: Mapping[str, Model], sources: Mappi
 
 
 def sandbox_run(spark: SparkSession, models: Mapping[str, Model], sources: Mapping[str, DataFrame],
-                sandbox: Warehouse, changed: Iterable[str] | None = None) -> DataFrame:
+                sandbox: Warehouse, changed: Iterable[str] | None = None,
+                production: Warehouse | None = None) -> DataFrame:
     """Run the models (those below the `changed` sources, if given) into a sandbox and give each a verdict.
-    Production is only read."""
+    Models left out are read from production, if they are there; production is never written."""
     chosen = run_order(models) if changed is None else downstream_of(models, changed)
     tables = dict(sources)
     for name in run_order(models):
-        if name not in chosen:
+        if name in chosen:
+            continue
+        if production is not None and production.exists(spark, name):
+            tables[name] = production.read(spark, name)
+        else:
             tables[name] = models[name].build(tables)
 
     def attempt(name: str):
@@ -111,7 +117,7 @@ def model_edges(spark: SparkSession, models: Mapping[str, Model], database: str)
         for name, model in models.items()
         for source in model.inputs
     ]
-    return spark.createDataFrame(rows, ARTIFACT_SCHEMA)
+    return local_rows(spark, rows, ARTIFACT_SCHEMA)
 
 
 def refresh_lineage(registry: DataFrame, edges: DataFrame, production: bool) -> DataFrame:

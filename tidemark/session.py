@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _fallback: dict[str, str] = {}
 
@@ -42,6 +45,16 @@ def scratch_dir(spark: SparkSession, label: str = "work") -> str:
     return f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows that the driver knows (metadata, verdicts) as a local relation, whose size the planner sees."""
+    fields = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in fields]
+    arrow = pa.Table.from_arrays(
+        [pa.array(list(c), type=f.type) for c, f in zip(columns, to_arrow_schema(fields))], schema=to_arrow_schema(fields)
+    )
+    return spark.createDataFrame(arrow, fields)
+
+
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write `df` to the shared scratch folder and read it back: a short plan that outlives executors."""
     path = scratch_dir(df.sparkSession, label)

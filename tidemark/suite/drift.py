@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import drift, newtable, registry
 from ..plans.models import silver_from_columns
+from ..session import cut
 from ..sources.tables import schema_columns
 from . import roles
 from .base import query, table
@@ -122,7 +123,9 @@ def drift_new_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("drift_all", DETECT_SQL)
 def drift_all(spark: SparkSession, sf: str) -> DataFrame:
-    return drift.detect(*_inputs(spark, sf))
+    """The catalogue and the registry are derived here, so they are stored before their several uses."""
+    columns, known, events = _inputs(spark, sf)
+    return drift.detect(cut(columns, "catalog"), cut(known, "registry"), events)
 
 
 @query(
