@@ -9,7 +9,7 @@ from collections import Counter
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -38,9 +38,8 @@ def _rows(columns: list[str], rows: list) -> Counter:
     return Counter(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
-def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, query, sql: str, sf_dir: str) -> str | None:
+def compare(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None if all rows agree, else what differs."""
-    df = query(spark, sf_dir)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
@@ -72,7 +71,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         start = time.time()
         try:
             if name in oracles:
-                problem = compare(spark, con, queries[name], oracles[name], sf_dir)
+                problem = compare(queries[name](spark, sf_dir), con, oracles[name])
             else:
                 problem = None if queries[name](spark, sf_dir).collect() else "no rows"
         except Exception as error:  # noqa: BLE001

@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 def spark():
     from tidemark.session import local_session
 
-    session = local_session(4, "tidemark-tests")
+    session = local_session(8, "tidemark-tests")
     session.sparkContext.setLogLevel("ERROR")
     session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session

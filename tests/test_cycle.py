@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from retail import bronze
+
+from tidemark.plans.cycle import ARTIFACTS, CODE, DOCS, EVENTS, REGISTRY, Cycle
+from tidemark.plans.retail import MODELS
+from tidemark.sources.tables import Warehouse
+
+
+def now():
+    return F.lit("2024-06-01").cast("timestamp_ntz")
+
+
+def states(cycle):
+    return {(e.change_type, e.column_name): (e.status, e.pipeline_status) for e in cycle.events().collect()}
+
+
+def test_from_drift_to_new_baseline(spark, tmp_path):
+    tables = bronze(spark)
+    cycle = Cycle(spark, Warehouse(str(tmp_path)), dict(MODELS), "SHOP")
+    cycle.set_up(tables)
+    assert cycle.warehouse.read(spark, ARTIFACTS).count() == 6
+    assert cycle.check(tables, now()).count() == 0
+
+    tables["bronze.orders"] = tables["bronze.orders"].withColumn("discount_code", F.lit("X"))
+    tables["bronze.shipments"] = bronze(spark)["bronze.orders"].select(
+        F.col("order_id").alias("shipment_id"), "status", "_snowflake_updated_at", "_snowflake_deleted"
+    )
+    assert cycle.check(tables, now()).count() == 2
+    assert cycle.check(tables, now()).count() == 2, "open events are not queued twice"
+
+    done = [cycle.prepare_next(tables, now()), cycle.prepare_next(tables, now())]
+    assert cycle.prepare_next(tables, now()) is None
+    assert states(cycle) == {
+        ("NEW_COLUMN", "DISCOUNT_CODE"): ("PENDING", "CI_PASSED"), ("NEW_TABLE", None): ("PENDING", "CI_PASSED"),
+    }
+    code = {(r.artifact_name, r.action): (r.test_status, r.generated_sql) for r in cycle.warehouse.read(spark, CODE).collect()}
+    assert {k: v[0] for k, v in code.items()} == {
+        ("silver.orders", "UPDATE"): "PASS", ("gold.orders_daily", "UPDATE"): "PASS", ("silver.shipments", "CREATE"): "PASS",
+    }
+    assert "discount_code" in code["silver.orders", "UPDATE"][1]
+    assert "discount_code" not in cycle.warehouse.read(spark, "silver.orders").columns, "production is as it was"
+
+    assert cycle.merge("unknown", tables, now()) is None
+    ids = {e.change_type: e.event_id for e in cycle.events().collect()}
+    assert set(ids.values()) == set(done)
+    cycle.merge(ids["NEW_COLUMN"], tables, now())
+    assert "discount_code" in cycle.warehouse.read(spark, "silver.orders").columns
+    cycle.merge(ids["NEW_TABLE"], tables, now())
+    assert "discount_code" in cycle.warehouse.read(spark, "silver.orders").columns
+    assert cycle.warehouse.read(spark, "silver.shipments").count() == 15
+    assert {s for s in states(cycle).values()} == {("RESOLVED", "RESOLVED")}
+    assert cycle.check(tables, now()).filter("status <> 'RESOLVED'").count() == 0
+    registered = cycle.warehouse.read(spark, REGISTRY).filter("table_name = 'SHIPMENTS'")
+    assert {r.column_name for r in registered.collect()} == {"SHIPMENT_ID", "STATUS"}
+    assert cycle.warehouse.read(spark, ARTIFACTS).count() == 7
+    assert cycle.warehouse.exists(spark, EVENTS) and cycle.warehouse.exists(spark, DOCS)
+
+
+def test_a_change_that_breaks_a_model_fails(spark, tmp_path):
+    tables = bronze(spark)
+    cycle = Cycle(spark, Warehouse(str(tmp_path)), dict(MODELS), "SHOP")
+    cycle.set_up(tables)
+    tables["bronze.orders"] = tables["bronze.orders"].withColumnRenamed("order_id", "ORDER_ID__SNOWFLAKE_DELETED")
+    cycle.check(tables, now())
+    cycle.prepare_next(tables, now())
+    assert states(cycle) == {("COLUMN_DROP", "ORDER_ID"): ("PENDING", "CI_FAILED")}
+    assert cycle.check(tables, now()).count() == 1, "a failed event stays open"
+    assert cycle.models == MODELS

@@ -1,0 +1,230 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions import columns as C
+from tidemark.operators import events as E
+from tidemark.operators import mutate, quality
+from tidemark.operators.summary import joined_labels
+from tidemark.session import local_rows
+from tidemark.sources.tables import Warehouse, catalog_columns
+
+DAY = datetime(2024, 1, 1)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def kv(spark, pairs):
+    return local_rows(spark, pairs, "k int, v string")
+
+
+def test_inserts(spark):
+    target, batch = kv(spark, [(1, "a"), (None, "n")]), kv(spark, [(1, "x"), (2, "c"), (2, "b"), (None, "m")])
+    assert rows(mutate.insert_if_absent(target, batch, ["k"])) == rows(
+        kv(spark, [(1, "a"), (None, "n"), (2, "c"), (2, "b"), (None, "m")])
+    )
+    assert rows(mutate.insert_ignore(target, batch, ["k"], [F.col("v")])) == rows(
+        kv(spark, [(1, "a"), (None, "n"), (2, "b"), (None, "m")])
+    )
+
+
+def test_upsert(spark):
+    target = local_rows(spark, [(1, "a", 10), (2, "b", 20)], "k int, v string, w int")
+    change = local_rows(spark, [(2, None, 21), (3, "c", 31)], "k int, v string, w int")
+    assert rows(mutate.upsert(target, change, ["k"])) == [(1, "a", 10), (2, None, 21), (3, "c", 31)]
+    assert rows(mutate.upsert(target, change, ["k"], ["v"])) == [(1, "a", 10), (2, None, 20), (3, "c", 31)]
+
+
+def test_update_and_delete_treat_null_as_no(spark):
+    df = kv(spark, [(1, "a"), (2, None), (3, "c")])
+    assert rows(mutate.update_where(df, F.col("v") == "a", {"v": F.lit("z"), "k": F.col("k") + 10})) == [
+        (11, "z"), (2, None), (3, "c"),
+    ]
+    assert rows(mutate.delete_where(df, F.col("v") == "a")) == [(2, None), (3, "c")]
+    assert rows(mutate.delete_keys(df, df.filter("k > 1"), ["k"])) == [(1, "a")]
+
+
+def test_slices(spark):
+    df, new, none = kv(spark, [(1, "a"), (2, "b"), (3, None)]), kv(spark, [(9, "a")]), kv(spark, [])
+    here = F.col("v") == "a"
+    assert rows(mutate.replace_slice(df, new, here)) == [(2, "b"), (3, None), (9, "a")]
+    assert rows(mutate.replace_slice(df, none, here)) == [(1, "a"), (2, "b"), (3, None)]
+    assert rows(mutate.replace_slice(df, none, here, keep_if_empty=False)) == [(2, "b"), (3, None)]
+    assert rows(mutate.replace_slice(df, new, here, active=False)) == rows(df)
+    assert rows(mutate.seed_if_empty(df, new, F.col("v") == "z")) == [(1, "a"), (2, "b"), (3, None), (9, "a")]
+    assert rows(mutate.seed_if_empty(df, new, here)) == rows(df)
+
+
+def test_defaults_and_stable_ids(spark):
+    df = local_rows(spark, [("t", None), ("u", "DONE")], "name string, status string")
+    filled = mutate.with_defaults(df, {"status": F.lit("PENDING"), "flag": F.lit(False)}, "id", ["name"])
+    once, again = filled.collect(), filled.collect()
+    assert [(r.name, r.status, r.flag) for r in once] == [("t", "PENDING", False), ("u", "DONE", False)]
+    assert [r.id for r in once] == [r.id for r in again] and once[0].id != once[1].id
+
+
+def test_settings(spark):
+    settings = local_rows(spark, [("a", "1"), ("a", "2")], "key string, value string")
+    wanted = local_rows(spark, [("a",), ("b",), ("b",)], "key string")
+    assert rows(mutate.lookup_settings(settings, wanted, "none")) == [("a", "2"), ("b", "none")]
+
+
+def test_versions(spark, tmp_path):
+    wh = Warehouse(str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        wh.read(spark, "silver.t")
+    wh.write(spark, "silver.t", kv(spark, [(1, "a")]))
+    old = wh.read(spark, "silver.t")
+    wh.write(spark, "silver.t", mutate.append(old, kv(spark, [(2, "b")])))
+    wh.append(spark, "silver.t", kv(spark, [(3, "c")]))
+    unfinished = tmp_path / "PROD" / "SILVER" / "t" / "v=00000003"
+    unfinished.mkdir()
+    assert rows(wh.read(spark, "silver.t")) == [(1, "a"), (2, "b"), (3, "c")]
+    wh.write(spark, "silver.t", old)
+    assert rows(wh.read(spark, "silver.t")) == [(1, "a")]
+
+
+def test_catalog_lists_base_tables_only(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS landing LOCATION '{tmp_path}'")
+    spark.sql("CREATE TABLE landing.orders (order_id INT, note STRING) USING parquet")
+    spark.sql("CREATE VIEW landing.v AS SELECT 1 AS one")
+    got = catalog_columns(spark, "landing")
+    spark.sql("DROP DATABASE landing CASCADE")
+    assert rows(got) == [("LANDING", "ORDERS", "NOTE", "string", 2), ("LANDING", "ORDERS", "ORDER_ID", "int", 1)]
+
+
+def event(event_id, status="PENDING", pipeline="PENDING", day=1, branch=None, kind="NEW_COLUMN"):
+    return (event_id, datetime(2024, 1, day), "BRONZE", "T", "C", kind, None, "int", status, pipeline, branch,
+            "u" if branch else None, None, None, None)
+
+
+def queue(spark, *events):
+    return local_rows(spark, list(events), E.EVENT_SCHEMA)
+
+
+def test_queue(spark):
+    q = queue(spark, event("c", day=2), event("b", day=2), event("a", status="RESOLVED", day=1), event("d", pipeline="PR_OPEN"))
+    assert E.next_pending(q).first().event_id == "b"
+    assert E.next_pending(q, ("pipeline_status",)).first().event_id == "a"
+    assert E.next_pending(q.filter("event_id = 'd'")).collect() == []
+    assert {r.pipeline_status: r.events for r in E.count_by_state(q).collect()} == {"PENDING": 3, "PR_OPEN": 1}
+    assert tuple(E.has_state(q).first()) == (1, True)
+    order = [event("1", kind="NEW_TABLE"), event("2", kind="NEW_COLUMN", day=3), event("3", kind="COLUMN_DROP", day=5),
+             event("4", kind="TYPE_CHANGE"), event("5", kind="NEW_COLUMN", day=2), event("6", status="IN_PROGRESS")]
+    listed = E.pending_changes(queue(spark, *order)).collect()
+    assert [(r.event_id, r.priority) for r in listed] == [
+        ("3", "HIGH"), ("4", "HIGH"), ("5", "MEDIUM"), ("2", "MEDIUM"), ("1", "LOW"),
+    ]
+
+
+def test_outcomes(spark):
+    q = queue(spark, *[event(str(i), status="IN_PROGRESS", pipeline=p) for i, p in enumerate(
+        ["PENDING", "GENERATING", "GENERATED", "PR_OPEN", "PR_OPEN", "GENERATING", "PR_OPEN"])])
+    outcomes = local_rows(spark, [("0", "started"), ("1", "generated"), ("2", "review_opened"), ("3", "passed"),
+                                  ("4", "failed"), ("5", "stuck"), ("6", "stuck")], "event_id string, outcome string")
+    got = {r.event_id: (r.pipeline_status, r.status) for r in E.apply_outcomes(q, outcomes).collect()}
+    assert got == {
+        "0": ("GENERATING", "IN_PROGRESS"), "1": ("GENERATED", "IN_PROGRESS"), "2": ("PR_OPEN", "IN_PROGRESS"),
+        "3": ("CI_PASSED", "IN_PROGRESS"), "4": ("CI_FAILED", "PENDING"), "5": ("PENDING", "IN_PROGRESS"),
+        "6": ("PR_OPEN", "IN_PROGRESS"),
+    }
+    assert E.requeue_stuck(q).filter("pipeline_status = 'GENERATING'").count() == 0
+
+
+def test_reviews(spark):
+    q = queue(spark, event("m", pipeline="CI_PASSED", branch="b1"), event("c", pipeline="PR_OPEN", branch="b2"),
+              event("o", pipeline="CI_FAILED", branch="b3"), event("x", pipeline="PENDING", branch="b1"),
+              event("n", pipeline="PR_OPEN"), event("u", pipeline="PR_OPEN", branch="unlisted"))
+    reviews = local_rows(
+        spark,
+        [("b1", 1, None, "open"), ("b1", 2, DAY, "closed"), ("b1", 3, None, "closed"), ("b2", 1, None, "closed"),
+         ("b2", 2, DAY, "closed"), ("b3", 1, None, "open")],
+        "branch_name string, position int, merged_at timestamp_ntz, state string",
+    )
+    now = F.lit("2024-06-01").cast("timestamp_ntz")
+    got = {r.event_id: (r.status, r.pipeline_status, r.branch_name, r.resolved_at is not None)
+           for r in E.reconcile_reviews(q, reviews, now).collect()}
+    assert got == {
+        "m": ("RESOLVED", "RESOLVED", "b1", True), "c": ("PENDING", "PENDING", None, False),
+        "o": ("PENDING", "CI_FAILED", "b3", False), "x": ("PENDING", "PENDING", "b1", False),
+        "n": ("PENDING", "PR_OPEN", None, False), "u": ("PENDING", "PR_OPEN", "unlisted", False),
+    }
+    closed = E.resolved(q, E.unresolved_of_branch("b1"), now).filter("status = 'RESOLVED'")
+    assert {r.event_id for r in closed.collect()} == {"m", "x"}
+
+
+def test_latest_run(spark):
+    runs = local_rows(
+        spark,
+        [("a", datetime(2024, 1, 1, 12, 0), "FAILED"), ("a", datetime(2024, 1, 1, 12, 9), "SUCCEEDED"),
+         ("b", datetime(2024, 1, 1, 12, 8), "FAILED"), ("old", datetime(2024, 1, 1, 11, 54), "FAILED")],
+        "task_name string, scheduled_time timestamp_ntz, state string",
+    )
+    now = F.lit("2024-01-01 12:10:00").cast("timestamp_ntz")
+    assert {(r.task_name, r.state, r.failed) for r in E.latest_run_state(runs, now).collect()} == {
+        ("a", "SUCCEEDED", False), ("b", "FAILED", True),
+    }
+
+
+def test_labels(spark):
+    df = local_rows(
+        spark, [("ab", "NEW_COLUMN", "Orders", "Code"), ("12345678-90", "NEW_TABLE", "Ships", None), ("x", "NEW_TABLE", "T", "")],
+        "id string, kind string, t string, c string",
+    )
+    kind, t, c = F.col("kind"), F.col("t"), F.col("c")
+    got = rows(df.select(C.branch_label(kind, t, c), C.short_branch_label(F.col("id")), C.review_title(kind, t, c)))
+    assert got == rows(local_rows(spark, [
+        ("schema-change/new_column-orders-Code", "schema-change/ab", "[schema-change] NEW_COLUMN on Orders.Code"),
+        ("schema-change/new_table-ships-newtable", "schema-change/12345678", "[schema-change] NEW_TABLE on Ships"),
+        ("schema-change/new_table-t-newtable", "schema-change/x", "[schema-change] NEW_TABLE on T"),
+    ], "a string, b string, c string"))
+    urls = local_rows(spark, [("https://h/r/pull/17",), ("https://h/r/17",), (None,)], "u string")
+    assert [r[0] for r in urls.select(C.review_number(F.col("u"))).collect()] == [17, None, None]
+
+
+def test_run_log(spark):
+    lines = [
+        "|  OK created sql table model SILVER.customers ... [SUCCESS 1 in 2.34s]  |",
+        "12:00 ERROR creating sql table model GOLD.orders_daily ... [ERROR]",
+        "OK created sql table model silver.Orders",
+        "Database Error in model orders (SILVER.ORDERS broke)",
+        "SUCCESS for SILVER.a after GOLD.b and SILVER.c",
+        "START sql table model SILVER.items",
+        "ok created SILVER.lower",
+        "SUCCESS without a name SILVER.",
+        "ERROR creating SILVER.late", "OK created SILVER.late",
+    ]
+    log = local_rows(spark, list(enumerate(lines)), "line_no int, line string")
+    got = {r.model: r.status for r in quality.run_log_results(log).collect()}
+    assert got == {"silver.customers": "PASS", "gold.orders_daily": "FAIL", "silver.orders": "FAIL", "silver.c": "PASS",
+                   "gold.b": "PASS", "silver.late": "PASS"}
+    names = local_rows(spark, [("silver.customers",), ("gold.orders_daily",), ("silver.other",)], "model string")
+    clean = log.unionByName(local_rows(spark, [(99, "Done. ERROR=0")], "line_no int, line string"))
+    for log_, code, overall in ((log, 0, "FAIL"), (clean, 0, "PASS"), (clean, 1, "FAIL")):
+        got = {r.model: r.test_status for r in quality.model_status(names, log_, code).collect()}
+        assert got == {"silver.customers": "PASS", "gold.orders_daily": "FAIL", "silver.other": overall}
+    long = local_rows(spark, [(1, "OK created SILVER.x " + "y" * 900)], "line_no int, line string")
+    assert len(quality.run_log_results(long).first().detail) == 500
+
+
+def test_quality(spark):
+    df = local_rows(spark, [(1, "a"), (1, None), (None, "a"), (None, "b"), (2, "a")], "k int, v string")
+    assert rows(quality.duplicate_keys(df, ["k"])) == [(1, 2)]
+    assert rows(quality.duplicate_keys(df, ["k", "v"])) == []
+    assert tuple(quality.null_counts(df, ["k", "v"]).first()) == (2, 1)
+    parents = local_rows(spark, [(1,)], "id int")
+    assert rows(quality.orphan_counts(df, "k", parents, "id")) == [(2, 1)]
+    verdicts = quality.validate(spark, {"good": lambda: df, "bad": lambda: df.select("nope"), "next": lambda: df.filter("k = 1")})
+    got = {r.model: (r.test_status, r.row_count) for r in verdicts.collect()}
+    assert got == {"good": ("PASS", 5), "bad": ("FAIL", None), "next": ("PASS", 2)}
+
+
+def test_joined_labels(spark):
+    df = local_rows(spark, [("g", i, f"n{i}") for i in (3, 0, 2, 1, 4)], "g string, i int, n string")
+    assert rows(joined_labels(df, ["g"], "i", F.col("n"), ",")) == [("g", 0, "n0,n1,n2,n3,n4")]
+    assert rows(joined_labels(df, ["g"], "i", F.col("n"), ",", page_rows=2)) == [("g", 0, "n0,n1"), ("g", 1, "n2,n3"), ("g", 2, "n4")]

@@ -104,8 +104,16 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"^\s+", ""), r"\s+$", "")
 
 
-def json_or_null(text: Column) -> Column:
-    return F.try_parse_json(text)
+def whole_json(text: Column) -> Column:
+    """The text as one JSON value, NULL if it is not exactly that.
+
+    The parser alone stops after the first value. Text that is one value as an array item and also as an
+    object field has nothing behind it.
+    """
+    item = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    single = F.size(F.try_variant_get(item, "$", "array<variant>")) == 1
+    return F.when(single & in_object.isNotNull(), F.try_variant_get(in_object, "$.v", "variant"))
 
 
 def row_id(*columns: Column | str) -> Column:

@@ -17,7 +17,7 @@ from ..constants import (
     SOURCE_CALL,
     SOURCE_CALL_PARTS,
 )
-from .columns import rewrite, strip
+from .columns import rewrite, strip, whole_json
 
 
 def strip_fence(text: Column) -> Column:
@@ -26,7 +26,7 @@ def strip_fence(text: Column) -> Column:
     inner = strip(F.regexp_replace(F.regexp_replace(bare, OPEN_FENCE, ""), CLOSE_FENCE, ""))
     body = F.when(bare.startswith("```"), inner).otherwise(bare)
     quoted = (F.length(body) >= 2) & body.startswith('"') & body.endswith('"')
-    decoded = F.try_variant_get(F.try_parse_json(body), "$", "string")
+    decoded = F.try_variant_get(whole_json(body), "$", "string")
     return F.when(quoted, F.coalesce(decoded, body)).otherwise(body)
 
 

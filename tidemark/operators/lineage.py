@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import COLUMN_CHANGES, MODEL_ARTIFACT, NEW_TABLE, PATH_ARROW
-from ..functions.columns import is_breaking, name_part, without_database
+from ..functions.columns import is_breaking, name_part, whole_json, without_database
 from ..session import cut
 from .joins import spread_join
 
@@ -21,7 +21,7 @@ def parse_manifest(lines: DataFrame, column: str = "line") -> DataFrame:
     """Model rows from JSON lines; other lines and lines that do not parse are left out."""
     text = F.trim(F.col(column))
     return (
-        lines.filter(text.startswith("{") & F.try_parse_json(text).isNotNull())
+        lines.filter(text.startswith("{") & whole_json(text).isNotNull())
         .select(F.from_json(text, MANIFEST_SCHEMA).alias("m"))
         .filter(
             F.col("m.unique_id").isNotNull() & F.col("m.name").isNotNull() & F.col("m.config.schema").isNotNull()

@@ -32,9 +32,10 @@ class ModelTests:
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys (no NULL in them) that occur more than once."""
-    return (
-        df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences")).filter("occurrences > 1")
-    )
+    filled = df
+    for key in keys:
+        filled = filled.filter(F.col(key).isNotNull())
+    return filled.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences")).filter("occurrences > 1")
 
 
 def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:

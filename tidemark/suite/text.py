@@ -52,7 +52,7 @@ def json_props(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _LINES = """(SELECT event_id, CASE event_type WHEN 'click' THEN props WHEN 'view' THEN 'noise ' || props
-    WHEN 'error' THEN substr(props, 1, length(props) - 1) WHEN 'purchase' THEN '  ' || props || '  '
+    WHEN 'error' THEN CASE WHEN value < 50 THEN substr(props, 1, length(props) - 1) ELSE props || ' end' END WHEN 'purchase' THEN '  ' || props || '  '
     ELSE '[' || props || ']' END AS line FROM events)"""
 
 
@@ -69,12 +69,13 @@ def json_lines(spark: SparkSession, sf: str) -> DataFrame:
     line = (
         F.when(kind == "click", props)
         .when(kind == "view", F.concat(F.lit("noise "), props))
-        .when(kind == "error", F.substring(props, F.lit(1), F.length(props) - 1))
+        .when((kind == "error") & (F.col("value") < 50), F.substring(props, F.lit(1), F.length(props) - 1))
+        .when(kind == "error", F.concat(props, F.lit(" end")))
         .when(kind == "purchase", F.concat(F.lit("  "), props, F.lit("  ")))
         .otherwise(F.concat(F.lit("["), props, F.lit("]")))
     )
     lines = table(spark, sf, "events").select("event_id", F.trim(line).alias("line"))
-    parsed = lines.select("event_id", "line", C.json_or_null(F.col("line")).alias("v"))
+    parsed = lines.select("event_id", "line", C.whole_json(F.col("line")).alias("v"))
     kept = parsed.filter(F.col("line").startswith("{") & F.col("v").isNotNull())
     return kept.select("event_id", F.variant_get("v", "$.k", "int").alias("k"))
 
