@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
-from tidemark.functions.columns import rewrite, whole_json
+from tidemark.functions.columns import is_whole_json, rewrite
 from tidemark.session import local_rows
 
 
@@ -111,7 +111,7 @@ def test_whole_json(spark, text):
         want = True
     except ValueError:
         want = False
-    assert one(spark, lambda c: whole_json(c).isNotNull(), text) == want
+    assert one(spark, is_whole_json, text) == want
 
 
 def test_long_text_stays_whole(spark):

@@ -50,6 +50,12 @@ LOOK_BACK_MINUTES = 15
 ERROR_CHARS = 500
 ADDED_COLUMN_NOTE = ("Column added to ", " by schema drift; review/extend tests as needed.")
 
+# White space that a strip takes off both ends.
+WHITE_SPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Patterns over model text.
 OPEN_FENCE = r"^```[a-zA-Z]*\n?"
 CLOSE_FENCE = r"\n?```$"

@@ -16,6 +16,7 @@ from ..constants import (
     LOOK_BACK_MINUTES,
     PRIORITY,
     REVIEW_NUMBER,
+    WHITE_SPACE,
 )
 
 
@@ -100,12 +101,17 @@ def without_database(fqn: Column, database: str) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Whitespace of any kind off both ends; btrim alone takes blanks only."""
-    return F.regexp_replace(F.regexp_replace(text, r"^\s+", ""), r"\s+$", "")
+    """White space of any kind off both ends; trim alone takes blanks only."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
-def whole_json(text: Column) -> Column:
-    """The text as one JSON value, NULL if it is not exactly that.
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once per row, however often the result names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def is_whole_json(text: Column) -> Column:
+    """Is the text exactly one JSON value?
 
     The parser alone stops after the first value. Text that is one value as an array item and also as an
     object field has nothing behind it.
@@ -113,7 +119,7 @@ def whole_json(text: Column) -> Column:
     item = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
     single = F.size(F.try_variant_get(item, "$", "array<variant>")) == 1
-    return F.when(single & in_object.isNotNull(), F.try_variant_get(in_object, "$.v", "variant"))
+    return F.coalesce(single, F.lit(False)) & in_object.isNotNull()
 
 
 def row_id(*columns: Column | str) -> Column:
@@ -148,12 +154,17 @@ def review_number(url: Column) -> Column:
 def rewrite(text: Column, pattern: str, groups: Sequence[int], replace: Callable[..., Column]) -> Column:
     """Replace every match of `pattern` by `replace(match, group, ...)`.
 
-    The text is split at the matches and put together again, in one pass and without a UDF.
+    The text is cut at the matches and put together again: two passes over it whatever the number of
+    groups, which are read from the short matches, and no UDF.
     """
-    parts = [F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in (0, *groups)]
-    fields = [f"g{i}" for i in range(len(parts))]
-    found = F.arrays_zip(*[p.alias(f) for p, f in zip(parts, fields)])
-    filled = F.transform(found, lambda m: replace(*[m[f] for f in fields]))
-    between = F.split(text, pattern, -1)
-    glued = F.zip_with(between, filled, lambda left, right: F.concat(left, F.coalesce(right, F.lit(""))))
-    return F.when(F.size(parts[0]) > 0, F.array_join(glued, "")).otherwise(text)
+    def rebuilt(source: Column, found: Column) -> Column:
+        filled = F.transform(
+            found, lambda m: replace(m, *[F.regexp_extract(m, pattern, g) for g in groups])
+        )
+        between = F.split(source, pattern, -1)
+        glued = F.zip_with(between, filled, lambda left, right: F.concat(left, F.coalesce(right, F.lit(""))))
+        return F.when(F.size(found) > 0, F.array_join(glued, "")).otherwise(source)
+
+    return let(
+        text, lambda source: let(F.regexp_extract_all(source, F.lit(pattern), F.lit(0)), lambda m: rebuilt(source, m))
+    )

@@ -17,46 +17,66 @@ from ..constants import (
     SOURCE_CALL,
     SOURCE_CALL_PARTS,
 )
-from .columns import rewrite, strip, whole_json
+from .columns import is_whole_json, let, rewrite, strip
 
 
 def strip_fence(text: Column) -> Column:
     """Take off an outer code fence, then decode the text if it is one JSON string."""
-    bare = strip(text)
-    inner = strip(F.regexp_replace(F.regexp_replace(bare, OPEN_FENCE, ""), CLOSE_FENCE, ""))
-    body = F.when(bare.startswith("```"), inner).otherwise(bare)
-    quoted = (F.length(body) >= 2) & body.startswith('"') & body.endswith('"')
-    decoded = F.try_variant_get(whole_json(body), "$", "string")
-    return F.when(quoted, F.coalesce(decoded, body)).otherwise(body)
+
+    def unfenced(bare: Column) -> Column:
+        inner = strip(F.regexp_replace(F.regexp_replace(bare, OPEN_FENCE, ""), CLOSE_FENCE, ""))
+        return F.when(bare.startswith("```"), inner).otherwise(bare)
+
+    def decoded(body: Column) -> Column:
+        quoted = (F.length(body) >= 2) & body.startswith('"') & body.endswith('"')
+        value = F.try_variant_get(F.try_parse_json(body), "$", "string")
+        return F.when(quoted & is_whole_json(body), value).otherwise(body)
+
+    return let(strip(text), lambda bare: let(unfenced(bare), decoded))
 
 
 def extract_block(text: Column) -> Column:
     """First fenced block if there is one, then from the first `{{` on."""
-    bare = strip(text)
-    fenced = F.regexp_like(bare, F.lit(FENCED_BLOCK))
-    body = F.when(fenced, strip(F.regexp_extract(bare, FENCED_BLOCK, 1))).otherwise(bare)
-    start = F.instr(body, "{{")
-    return strip(F.when(start > 1, F.substring(body, start, F.length(body))).otherwise(body))
+
+    def unfenced(bare: Column) -> Column:
+        fenced = F.regexp_like(bare, F.lit(FENCED_BLOCK))
+        return F.when(fenced, strip(F.regexp_extract(bare, FENCED_BLOCK, 1))).otherwise(bare)
+
+    def from_first_call(body: Column) -> Column:
+        start = F.instr(body, "{{")
+        return strip(F.when(start > 1, F.substring(body, start, F.length(body))).otherwise(body))
+
+    return let(strip(text), lambda bare: let(unfenced(bare), from_first_call))
 
 
 def restore_header(original: Column, generated: Column) -> Column:
     """Put the original's leading `{{ ... }}` block back if the new text does not start with one."""
-    header = F.regexp_extract(strip(original), HEADER_BLOCK, 1)
-    lost = ~strip(generated).startswith("{{") & (header != "")
-    return F.when(lost, F.concat(header, F.lit("\n\n"), strip(generated))).otherwise(generated)
+
+    def restored(bare: Column) -> Column:
+        header = F.regexp_extract(strip(original), HEADER_BLOCK, 1)
+        lost = let(header, lambda h: F.when(h != "", F.concat(h, F.lit("\n\n"), bare)).otherwise(generated))
+        return F.when(bare.startswith("{{"), generated).otherwise(lost)
+
+    return let(strip(generated), restored)
 
 
 def restore_refs(original: Column, generated: Column) -> Column:
     """A `source()` call on a name the original reached by `ref()` becomes that `ref()` again."""
-    calls = F.regexp_extract_all(original, F.lit(REF_CALL), F.lit(0))
-    names = F.transform(F.regexp_extract_all(original, F.lit(REF_CALL), F.lit(1)), F.lower)
+    found = F.regexp_extract_all(original, F.lit(REF_CALL), F.lit(0))
+    # A name the original used twice keeps its last spelling.
+    calls = F.reverse(found)
+
+    def put_back(calls: Column, names: Column) -> Column:
+        def chosen(call: Column, table: Column) -> Column:
+            place = F.array_position(names, F.lower(table)).cast("int")
+            return F.when(place > 0, F.get(calls, place - 1)).otherwise(call)
+
+        return rewrite(generated, ANY_SOURCE_CALL, [1], chosen)
 
-    def put_back(call: Column, table: Column) -> Column:
-        last = F.size(names) - F.array_position(F.reverse(names), F.lower(table)) + 1
-        known = F.array_contains(names, F.lower(table))
-        return F.when(known, F.get(calls, (last - 1).cast("int"))).otherwise(call)
+    def name_of(call: Column) -> Column:
+        return F.lower(F.regexp_extract(call, REF_CALL, 1))
 
-    return rewrite(generated, ANY_SOURCE_CALL, [1], put_back)
+    return let(calls, lambda c: let(F.transform(c, name_of), lambda names: put_back(c, names)))
 
 
 def lower_sources(text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import COLUMN_CHANGES, MODEL_ARTIFACT, NEW_TABLE, PATH_ARROW
-from ..functions.columns import is_breaking, name_part, whole_json, without_database
+from ..functions.columns import is_breaking, is_whole_json, name_part, without_database
 from ..session import cut
 from .joins import spread_join
 
@@ -20,17 +20,16 @@ ARTIFACT = ["artifact_name", "artifact_type", "file_path", "output_fqn"]
 def parse_manifest(lines: DataFrame, column: str = "line") -> DataFrame:
     """Model rows from JSON lines; other lines and lines that do not parse are left out."""
     text = F.trim(F.col(column))
-    return (
-        lines.filter(text.startswith("{") & whole_json(text).isNotNull())
-        .select(F.from_json(text, MANIFEST_SCHEMA).alias("m"))
-        .filter(
-            F.col("m.unique_id").isNotNull() & F.col("m.name").isNotNull() & F.col("m.config.schema").isNotNull()
-            & F.col("m.depends_on.nodes").isNotNull()
-        )
-        .select(
-            "m.unique_id", "m.name", F.upper("m.config.schema").alias("schema"),
-            F.col("m.original_file_path").alias("file_path"), F.col("m.depends_on.nodes").alias("depends_on"),
-        )
+    # `inline` keeps the parsed row as one step; plain field references would parse once each.
+    parsed = lines.filter(text.startswith("{") & is_whole_json(text)).select(
+        F.inline(F.array(F.from_json(text, MANIFEST_SCHEMA)))
+    )
+    return parsed.filter(
+        F.col("unique_id").isNotNull() & F.col("name").isNotNull() & F.col("config.schema").isNotNull()
+        & F.col("depends_on.nodes").isNotNull()
+    ).select(
+        "unique_id", "name", F.upper("config.schema").alias("schema"),
+        F.col("original_file_path").alias("file_path"), F.col("depends_on.nodes").alias("depends_on"),
     )
 
 

@@ -115,17 +115,24 @@ def _contains_any(text: Column, marks: tuple[str, ...]) -> Column:
 
 def run_log_results(log: DataFrame) -> DataFrame:
     """Model results from log lines (line_no, line): the last line that names a model decides."""
-    line = strip(F.regexp_replace(strip(F.col("line")), r"^\|+", ""))
-    status = F.when(_contains_any(line, PASS_MARKS), "PASS").when(_contains_any(line, FAIL_MARKS), "FAIL")
-    told = log.select("line_no", line.alias("detail"), status.alias("status")).filter(F.col("status").isNotNull())
+    line = strip(F.ltrim(strip(F.col("line")), F.lit("|")))
+    status = F.when(_contains_any(F.col("detail"), PASS_MARKS), "PASS").when(
+        _contains_any(F.col("detail"), FAIL_MARKS), "FAIL"
+    )
 
     def named(layer: str) -> Column:
-        name = F.regexp_extract(F.upper("detail"), rf"(?s).*{layer}\.\s*(\S+)", 1)
-        return F.when(name != "", F.concat(F.lit(layer.lower() + "."), F.lower(name)))
+        """The word behind the last `LAYER.`"""
+        rest = F.substring_index(F.col("upper"), layer + ".", -1)
+        word = F.nullif(F.regexp_extract(rest, r"^\s*(\S+)", 1), F.lit(""))
+        return F.when(F.col("upper").contains(layer + "."), F.concat(F.lit(layer.lower() + "."), F.lower(word)))
 
-    names = F.array_compact(F.array(*[named(layer) for layer in MODEL_LAYERS]))
+    told = log.select("line_no", line.alias("detail")).select("line_no", "detail", F.upper("detail").alias("upper"))
     return (
-        told.select("line_no", "detail", "status", F.explode(names).alias("model"))
+        told.select(
+            "line_no", "detail", status.alias("status"),
+            F.explode(F.array_compact(F.array(*[named(layer) for layer in MODEL_LAYERS]))).alias("model"),
+        )
+        .filter(F.col("status").isNotNull())
         .groupBy("model")
         .agg(F.max_by(F.struct("status", "detail"), "line_no").alias("last"))
         .select("model", F.col("last.status").alias("status"), F.substring("last.detail", 1, ERROR_CHARS).alias("detail"))

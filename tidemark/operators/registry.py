@@ -47,18 +47,16 @@ def advance_registry(registry: DataFrame, events: DataFrame, columns: DataFrame)
         steps.filter(F.col("change_type") != COLUMN_DROP), last_drop, COLUMN, "left", ["pos"]
     ).filter(F.col("dropped").isNull() | (F.col("pos") > F.col("dropped")))
     effects = after.groupBy(*COLUMN).agg(
-        F.min(F.when(added, F.col("pos"))).alias("added_at"),
-        F.min_by("data_type", F.when(added, F.col("pos"))).alias("added_type"),
-        F.max(F.when(~added, F.col("pos"))).alias("retyped_at"),
-        F.max_by("data_type", F.when(~added, F.col("pos"))).alias("retyped"),
+        F.min(F.when(added, F.struct("pos", "data_type"))).alias("added"),
+        F.max(F.when(~added, F.struct("pos", "data_type"))).alias("retyped"),
     )
 
     held = registry.select(*COLUMN, F.col("data_type").alias("held_type"))
     still = held.join(last_drop.select(*COLUMN), COLUMN, "left_anti").withColumn("_held", F.lit(True))
     both = still.join(effects, COLUMN, "full")
     is_held = F.col("_held").isNotNull()
-    retype = F.col("retyped_at").isNotNull() & (is_held | (F.col("retyped_at") > F.col("added_at")))
-    start = F.when(is_held, F.col("held_type")).otherwise(F.col("added_type"))
-    return both.filter(is_held | F.col("added_at").isNotNull()).select(
-        *COLUMN, F.when(retype, F.col("retyped")).otherwise(start).alias("data_type")
+    retype = F.col("retyped").isNotNull() & (is_held | (F.col("retyped.pos") > F.col("added.pos")))
+    start = F.when(is_held, F.col("held_type")).otherwise(F.col("added.data_type"))
+    return both.filter(is_held | F.col("added").isNotNull()).select(
+        *COLUMN, F.when(retype, F.col("retyped.data_type")).otherwise(start).alias("data_type")
     )

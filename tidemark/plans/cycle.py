@@ -163,7 +163,8 @@ class Cycle:
             return [f"silver.{event.table_name.lower()}"]
         edges = self.table(ARTIFACTS, ARTIFACT_SCHEMA)
         found = impact(event_by_id(self.events(), event.event_id), edges, self.database)
-        names = {r["artifact_name"] for r in found.select("artifact_name").distinct().collect()}
+        mine = found.filter(F.col("artifact_name").isin(*models)).select("artifact_name").distinct()
+        names = {r["artifact_name"] for r in mine.collect()}
         return [name for name in models if name in names]
 
     def _action(self, name: str) -> str:

@@ -34,7 +34,7 @@ def scratch_dir(spark: SparkSession, label: str = "work") -> str:
     The cluster names that folder in `spark.checkpoint.dir`. Only a local session without the
     setting gets a folder of its own.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import lineage, newtable
+from ..session import cut
 from . import roles
 from .base import query, table
 from .drift import SPEC_SQL
@@ -67,7 +68,9 @@ def manifest_lines(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def lineage_edges(spark: SparkSession, sf: str) -> DataFrame:
-    return lineage.edges_from_models(lineage.parse_manifest(manifest_lines(spark, sf)), DATABASE)
+    """The listing is parsed once and stored; edges look at the models three times."""
+    models = cut(lineage.parse_manifest(manifest_lines(spark, sf)), "models")
+    return lineage.edges_from_models(models, DATABASE)
 
 
 _WALK_SQL = f"""
@@ -89,9 +92,14 @@ _IMPACT_SQL = f"""
     """
 
 
+def _stored_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """The edges are derived here and read once per level."""
+    return cut(roles.edges(spark, sf), "edges")
+
+
 @query("impact_analysis", _IMPACT_SQL)
 def impact_analysis(spark: SparkSession, sf: str) -> DataFrame:
-    return lineage.impact(roles.region_events(spark, sf), roles.edges(spark, sf), DATABASE)
+    return lineage.impact(roles.region_events(spark, sf), _stored_edges(spark, sf), DATABASE)
 
 
 @query(
@@ -103,7 +111,7 @@ def impact_analysis(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def impact_with_code(spark: SparkSession, sf: str) -> DataFrame:
-    edges = roles.edges(spark, sf)
+    edges = _stored_edges(spark, sf)
     impacted = lineage.impact(roles.region_events(spark, sf), edges, DATABASE)
     return lineage.with_current_sql(impacted, edges).select("event_id", "artifact_name", "artifact_sql")
 
@@ -114,7 +122,7 @@ def impact_with_code(spark: SparkSession, sf: str) -> DataFrame:
 )
 def downstream_models(spark: SparkSession, sf: str) -> DataFrame:
     origins = roles.region_events(spark, sf).select(F.concat(F.lit("BRONZE."), "table_name").alias("origin"))
-    return lineage.downstream(origins, roles.edges(spark, sf), DATABASE)
+    return lineage.downstream(origins, _stored_edges(spark, sf), DATABASE)
 
 
 @query(
@@ -159,7 +167,7 @@ _ITEM = """'{"artifact_name":"' || e.artifact_name || '","artifact_type":"dbt_mo
     """,
 )
 def impact_json(spark: SparkSession, sf: str) -> DataFrame:
-    events, edges = roles.queue(spark, sf), roles.line_edges(spark, sf)
+    events, edges = roles.queue(spark, sf), cut(roles.line_edges(spark, sf), "edges")
     specs = newtable.new_table_spec(roles.catalog(spark, sf)).filter("table_schema = 'BRONZE'")
     return lineage.impact_report(events, lineage.impact(events, edges, DATABASE), specs)
 
@@ -196,4 +204,4 @@ def fk_reachability(spark: SparkSession, sf: str) -> DataFrame:
     starts = table(spark, sf, "region").select(
         F.concat(F.lit("region:"), F.col("r_regionkey").cast("string")).alias("node")
     )
-    return lineage.reach(starts, links)
+    return lineage.reach(starts, cut(links, "links"))

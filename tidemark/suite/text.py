@@ -75,9 +75,8 @@ def json_lines(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat(F.lit("["), props, F.lit("]")))
     )
     lines = table(spark, sf, "events").select("event_id", F.trim(line).alias("line"))
-    parsed = lines.select("event_id", "line", C.whole_json(F.col("line")).alias("v"))
-    kept = parsed.filter(F.col("line").startswith("{") & F.col("v").isNotNull())
-    return kept.select("event_id", F.variant_get("v", "$.k", "int").alias("k"))
+    kept = lines.filter(F.col("line").startswith("{") & C.is_whole_json(F.col("line")))
+    return kept.select("event_id", F.variant_get(F.parse_json("line"), "$.k", "int").alias("k"))
 
 
 # Every document is wrapped the way a model's answer or a model file would hold it.
