@@ -47,7 +47,9 @@ def test_from_drift_to_new_baseline(spark, tmp_path):
     assert set(ids.values()) == set(done)
     cycle.merge(ids["NEW_COLUMN"], tables, now())
     assert "discount_code" in cycle.warehouse.read(spark, "silver.orders").columns
-    cycle.merge(ids["NEW_TABLE"], tables, now())
+    branch = f"schema-change/{ids['NEW_TABLE'][:8]}"
+    assert cycle.merge_branch(branch, tables, now()) == [ids["NEW_TABLE"]]
+    assert cycle.merge_branch(branch, tables, now()) == []
     assert "discount_code" in cycle.warehouse.read(spark, "silver.orders").columns
     assert cycle.warehouse.read(spark, "silver.shipments").count() == 15
     assert {s for s in states(cycle).values()} == {("RESOLVED", "RESOLVED")}

@@ -1,16 +1,18 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 from retail import bronze
 
+from tidemark.operators.newtable import undocumented, with_comments
 from tidemark.plans.models import BreakingChange, Change, evolve
-from tidemark.plans.retail import MODELS, TESTS
-from tidemark.plans.run import build_all, downstream_of, materialize, run_order, sandbox_run
+from tidemark.plans.retail import COLUMN_DOCS, MODELS, TESTS
+from tidemark.plans.run import build_all, column_docs, downstream_of, materialize, run_order, sandbox_run
 from tidemark.operators.quality import test_report as report_of
-from tidemark.sources.tables import Warehouse, layer_name
+from tidemark.sources.tables import Warehouse, layer_name, schema_columns
 
 SUMMARY = {
     "Cable Management": (1, 1, 215.00, 215.00, 1),
@@ -152,6 +154,26 @@ def test_evolve_cast(spark):
     assert float(total) == pytest.approx(3538.98)
 
 
+def test_lenient_cast(spark):
+    tables = bronze(spark)
+    model = evolve(MODELS, [Change("TYPE_CHANGE", "ORDERS", "STATUS", "int")])["silver.orders"]
+    assert replace(model, lenient=True).build(tables).filter("status IS NULL").count() == 15
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        model.build(tables).collect()
+
+
+def test_documentation(spark):
+    docs = column_docs(spark, COLUMN_DOCS)
+    built = build_all(MODELS, bronze(spark))
+    columns = schema_columns(spark, {n.split(".")[1]: built[n] for n in MODELS})
+    missing = {(r.model, r.column_name) for r in undocumented(columns, docs).collect()}
+    audit = {(m, c) for m in ("customers", "orders", "order_items") for c in ("_SNOWFLAKE_INSERTED_AT", "_SNOWFLAKE_UPDATED_AT")}
+    assert missing - audit == {("orders_daily", c) for c in ("LOYALTY_TIER", "PREFERRED_CONTACT", "PREFERRED_LANGUAGE")}
+    noted = with_comments(built["silver.orders"], COLUMN_DOCS["silver.orders"])
+    assert noted.schema["channel"].metadata == {"comment": "Where it was sold."}
+    assert noted.columns == built["silver.orders"].columns
+
+
 def test_order_and_selection():
     order = run_order(MODELS)
     assert order.index("silver.orders") < order.index("gold.orders_daily")

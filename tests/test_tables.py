@@ -136,6 +136,24 @@ def test_outcomes(spark):
     assert E.requeue_stuck(q).filter("pipeline_status = 'GENERATING'").count() == 0
 
 
+def test_runs_settle_the_oldest_review(spark):
+    q = queue(spark, event("b", pipeline="PR_OPEN", status="IN_PROGRESS", day=2), event("a", pipeline="PR_OPEN", day=1),
+              event("g", pipeline="GENERATING"))
+    runs = local_rows(spark, [("t", datetime(2024, 1, 1, 12, 5), "FAILED"), ("t", datetime(2024, 1, 1, 12, 1), "SUCCEEDED")],
+                      "task_name string, scheduled_time timestamp_ntz, state string")
+
+    def states(df):
+        return {r.event_id: (r.pipeline_status, r.status) for r in df.collect()}
+
+    open_ = {"a": ("PR_OPEN", "PENDING"), "b": ("PR_OPEN", "IN_PROGRESS"), "g": ("PENDING", "PENDING")}
+    soon, late = (F.lit(f"2024-01-01 {t}").cast("timestamp_ntz") for t in ("12:10:00", "12:30:00"))
+    assert states(E.settle_failed_run(q, runs, soon)) == {**open_, "a": ("CI_FAILED", "PENDING")}
+    assert states(E.settle_failed_run(q, runs, late)) == open_
+    assert states(E.settle_failed_run(q, runs.filter("state = 'SUCCEEDED'"), soon)) == open_
+    assert states(E.settle_passed_run(q))["a"] == ("CI_PASSED", "PENDING")
+    assert states(E.settle_passed_run(q.filter("event_id = 'g'"))) == {"g": ("GENERATING", "PENDING")}
+
+
 def test_reviews(spark):
     q = queue(spark, event("m", pipeline="CI_PASSED", branch="b1"), event("c", pipeline="PR_OPEN", branch="b2"),
               event("o", pipeline="CI_FAILED", branch="b3"), event("x", pipeline="PENDING", branch="b1"),
@@ -222,6 +240,10 @@ def test_quality(spark):
     verdicts = quality.validate(spark, {"good": lambda: df, "bad": lambda: df.select("nope"), "next": lambda: df.filter("k = 1")})
     got = {r.model: (r.test_status, r.row_count) for r in verdicts.collect()}
     assert got == {"good": ("PASS", 5), "bad": ("FAIL", None), "next": ("PASS", 2)}
+    texts = {"one": "SELECT * FROM VALUES (1), (2)", "typo": "SELEC 1", "gone": "SELECT * FROM no_such_table"}
+    assert {r.model: r.test_status for r in quality.validate_sql(spark, texts).collect()} == {
+        "one": "PASS", "typo": "FAIL", "gone": "FAIL",
+    }
 
 
 def test_joined_labels(spark):

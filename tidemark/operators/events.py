@@ -161,6 +161,22 @@ def reconcile_reviews(events: DataFrame, reviews: DataFrame, now: Column) -> Dat
     return events.filter(~in_review).unionByName(checked)
 
 
+def settle_passed_run(events: DataFrame) -> DataFrame:
+    """The oldest event in review passed its run."""
+    head = next_pending(events, ("pipeline_status",), PR_OPEN).select("event_id").scalar()
+    return update_where(events, F.col("event_id") == head, {"pipeline_status": F.lit(CI_PASSED)})
+
+
+def settle_failed_run(events: DataFrame, runs: DataFrame, now: Column, **names: str) -> DataFrame:
+    """Stuck events go back to the queue; if the newest recent run failed, the oldest event in review failed
+    with it, and stays open. `runs` holds the runs of one task."""
+    requeued = requeue_stuck(events)
+    failed = latest_run_state(runs, now, **names).filter("failed").limit(1).exists()
+    head = next_pending(requeued, ("pipeline_status",), PR_OPEN).select("event_id").scalar()
+    hit = (F.col("event_id") == head) & failed
+    return update_where(requeued, hit, {"pipeline_status": F.lit(CI_FAILED), "status": F.lit(PENDING)})
+
+
 def latest_run_state(runs: DataFrame, now: Column, task: str = "task_name", at: str = "scheduled_time",
                      state: str = "state") -> DataFrame:
     """Newest state per task within the look-back window, and whether it failed."""

@@ -86,6 +86,14 @@ def sync_docs(docs: DataFrame, events: DataFrame) -> DataFrame:
     return kept.select(*docs.columns).unionByName(entries.select(*docs.columns))
 
 
+def undocumented(columns: DataFrame, docs: DataFrame) -> DataFrame:
+    """Columns of documented models that have no entry; names match in any case."""
+    seen = columns.select(F.lower("table_name").alias("model"), F.upper("column_name").alias("column_name"))
+    models = docs.select(F.lower("model").alias("model")).distinct()
+    named = docs.select(F.lower("model").alias("model"), F.upper("column_name").alias("column_name")).distinct()
+    return seen.join(models, "model", "left_semi").join(named, ["model", "column_name"], "left_anti")
+
+
 def declare_sources(sources: DataFrame, events: DataFrame) -> DataFrame:
     """Source list (source, table_name) after the new tables among the events; names match in any case."""
     new = (

@@ -109,6 +109,11 @@ def validate(spark: SparkSession, candidates: Mapping[str, Callable[[], DataFram
     return local_rows(spark, verdicts, VERDICT_SCHEMA)
 
 
+def validate_sql(spark: SparkSession, texts: Mapping[str, str]) -> DataFrame:
+    """The same for queries given as text."""
+    return validate(spark, {name: (lambda t=text: spark.sql(t)) for name, text in texts.items()})
+
+
 def _contains_any(text: Column, marks: tuple[str, ...]) -> Column:
     return any_of([text.contains(m) for m in marks])
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..constants import CI_FAILED, CI_PASSED, ERROR_CHARS, GENERATED, GENERATING, NEW_TABLE, PENDING, PR_OPEN
 from ..functions.columns import short_branch_label
 from ..operators.drift import COLUMN, detect
-from ..operators.events import EVENT_SCHEMA, event_by_id, new_events, next_pending, resolved
+from ..operators.events import EVENT_SCHEMA, event_by_id, new_events, next_pending, resolved, unresolved_of_branch
 from ..operators.lineage import impact
 from ..operators.mutate import append, replace_slice, update_where
 from ..operators.newtable import infer_primary_key, sync_docs
@@ -137,6 +137,14 @@ class Cycle:
         below = downstream_of(self.models, [f"bronze.{rows[0].table_name.lower()}"])
         return materialize(self.spark, self.models, bronze, self.warehouse, only=below) if below else None
 
+    def merge_branch(self, branch: str, bronze: Mapping[str, DataFrame], now: Column) -> list[str]:
+        """Accept every unresolved event of a branch, oldest first; returns their ids."""
+        chosen = self.events().filter(unresolved_of_branch(branch)).orderBy("detected_at", "event_id")
+        ids = [r["event_id"] for r in chosen.select("event_id").collect()]
+        for event_id in ids:
+            self.merge(event_id, bronze, now)
+        return ids
+
     def _move(self, event_id: str, values: Mapping[str, Column]) -> None:
         self.save(EVENTS, update_where(self.events(), F.col("event_id") == event_id, values))
 

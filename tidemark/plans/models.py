@@ -29,13 +29,15 @@ class Change:
 
 @dataclass(frozen=True)
 class RowModel:
-    """Current state of one change log with a fixed column list."""
+    """Current state of one change log with a fixed column list. With `lenient` a value that does not fit its
+    new type becomes NULL; by default it is an error."""
 
     name: str
     source: str
     spec: CdcSpec
     columns: tuple[str, ...]
     casts: tuple[tuple[str, str], ...] = ()
+    lenient: bool = False
     layer: str = "silver"
 
     @property
@@ -45,12 +47,20 @@ class RowModel:
     def build(self, inputs: Mapping[str, DataFrame]) -> DataFrame:
         casts = dict(self.casts)
         state = current_state(inputs[self.source], self.spec)
-        return state.select(*[F.col(c).cast(casts[c]).alias(c) if c in casts else F.col(c) for c in self.columns])
+
+        def shown(column: str) -> Column:
+            value = F.col(column)
+            if column not in casts:
+                return value
+            return (value.try_cast(casts[column]) if self.lenient else value.cast(casts[column])).alias(column)
+
+        return state.select(*[shown(c) for c in self.columns])
 
     def sql(self) -> str:
         """The same rows as Spark SQL."""
         casts = dict(self.casts)
-        shown = [f"CAST({c} AS {casts[c]}) AS {c}" if c in casts else c for c in self.columns]
+        cast = "TRY_CAST" if self.lenient else "CAST"
+        shown = [f"{cast}({c} AS {casts[c]}) AS {c}" if c in casts else c for c in self.columns]
         alive = "TRUE" if self.spec.deleted is None else f"NOT coalesce({self.spec.deleted}, false)"
         nulls = "FIRST" if self.spec.nulls_first else "LAST"
         order = [f"{self.spec.version} DESC NULLS {nulls}", *[f"{c} DESC NULLS LAST" for c in self.spec.tie_breakers]]

@@ -107,6 +107,12 @@ def _missing_input_is_failure(build, model: Model, tables: Mapping[str, DataFram
     return checked
 
 
+def column_docs(spark: SparkSession, docs: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """Column documentation as rows (model without its layer, column, description, tests)."""
+    rows = [(m.split(".")[-1], c.upper(), text, []) for m, columns in docs.items() for c, text in columns.items()]
+    return local_rows(spark, rows, "model string, column_name string, description string, tests array<string>")
+
+
 def model_edges(spark: SparkSession, models: Mapping[str, Model], database: str) -> DataFrame:
     """Lineage edges of the models, whole-table dependencies."""
     rows = [

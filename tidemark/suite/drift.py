@@ -271,6 +271,21 @@ def docs_sync(spark: SparkSession, sf: str) -> DataFrame:
     return synced.withColumn("tests", F.array_join("tests", ","))
 
 
+@query(
+    "docs_missing",
+    f"""
+    WITH docs AS (SELECT lower(table_name) AS model, upper(column_name) AS column_name FROM {REGISTRY})
+    SELECT lower(table_name) AS model, upper(column_name) AS column_name FROM {CATALOG} c
+    WHERE lower(table_name) IN (SELECT model FROM docs) AND NOT EXISTS (SELECT 1 FROM docs d
+        WHERE d.model = lower(c.table_name) AND d.column_name = upper(c.column_name))
+    """,
+)
+def docs_missing(spark: SparkSession, sf: str) -> DataFrame:
+    """Present columns without documentation, where the baseline is what was documented."""
+    docs = roles.registry(spark, sf).select(F.col("table_name").alias("model"), "column_name")
+    return newtable.undocumented(roles.catalog(spark, sf), docs)
+
+
 @query(
     "declare_source",
     f"""

@@ -159,6 +159,46 @@ def resolve_branch(spark: SparkSession, sf: str) -> DataFrame:
     return events.resolved(roles.queue(spark, sf), merged, roles.now()).select(*_LIFE.split(", "))
 
 
+_RUNS = """(SELECT ts, CASE event_type WHEN 'error' THEN 'FAILED' ELSE 'SUCCEEDED' END AS state FROM events
+    WHERE user_id = 0)"""
+
+
+@query(
+    "settle_failed_run",
+    f"""
+    WITH q AS (SELECT event_id, detected_at, status, CASE pipeline_status WHEN 'GENERATING' THEN 'PENDING'
+            ELSE pipeline_status END AS pipeline_status FROM {QUEUE}),
+    head AS (SELECT event_id FROM q WHERE pipeline_status = 'PR_OPEN' ORDER BY detected_at, event_id LIMIT 1),
+    run AS (SELECT arg_max(state, ts) = 'FAILED' AS failed FROM {_RUNS}
+        WHERE ts >= (SELECT max(ts) FROM {_RUNS} WHERE state = 'FAILED') - INTERVAL 15 MINUTES
+            AND ts <= (SELECT max(ts) FROM {_RUNS} WHERE state = 'FAILED'))
+    SELECT event_id, CASE WHEN hit THEN 'PENDING' ELSE status END AS status,
+        CASE WHEN hit THEN 'CI_FAILED' ELSE pipeline_status END AS pipeline_status
+    FROM (SELECT *, event_id IN (SELECT event_id FROM head) AND COALESCE((SELECT failed FROM run), FALSE) AS hit FROM q)
+    """,
+)
+def settle_failed_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The runs of one task, seen from its last failure."""
+    runs = table(spark, sf, "events").filter("user_id = 0").select(
+        F.lit("test").alias("task_name"), F.col("ts").alias("scheduled_time"),
+        F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCEEDED").alias("state"),
+    )
+    seen_at = runs.filter("state = 'FAILED'").agg(F.max("scheduled_time")).scalar()
+    past = runs.filter(F.col("scheduled_time") <= seen_at)
+    return events.settle_failed_run(roles.queue(spark, sf), past, seen_at).select("event_id", "status", "pipeline_status")
+
+
+@query(
+    "settle_passed_run",
+    f"""
+    SELECT event_id, CASE WHEN event_id = (SELECT event_id FROM {QUEUE} WHERE pipeline_status = 'PR_OPEN'
+        ORDER BY detected_at, event_id LIMIT 1) THEN 'CI_PASSED' ELSE pipeline_status END AS pipeline_status FROM {QUEUE}
+    """,
+)
+def settle_passed_run(spark: SparkSession, sf: str) -> DataFrame:
+    return events.settle_passed_run(roles.queue(spark, sf)).select("event_id", "pipeline_status")
+
+
 @query(
     "review_number",
     f"SELECT event_id, CAST(NULLIF(regexp_extract(mr_url, '/pull/(\\d+)', 1), '') AS BIGINT) AS review_number FROM {QUEUE}",
