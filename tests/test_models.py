@@ -154,6 +154,17 @@ def test_evolve_cast(spark):
     assert float(total) == pytest.approx(3538.98)
 
 
+def test_cast_of_the_key_keeps_counts_distinct(spark):
+    """Two text keys that become one number are one order."""
+    tables = bronze(spark, full=True)
+    first = tables["bronze.orders"].filter("order_id = '1'")
+    tables["bronze.orders"] = tables["bronze.orders"].unionByName(first.withColumn("order_id", F.lit("01")))
+    models = evolve(MODELS, [Change("TYPE_CHANGE", "ORDERS", "ORDER_ID", "int")])
+    rows = build_all(models, tables)["gold.orders_daily"].orderBy("order_date").collect()
+    assert (rows[0].order_count, rows[0].customer_count, float(rows[0].total_revenue)) == (1, 1, 500.0)
+    assert {r.order_count for r in rows} == {1} and len(rows) == 15
+
+
 def test_lenient_cast(spark):
     tables = bronze(spark)
     model = evolve(MODELS, [Change("TYPE_CHANGE", "ORDERS", "STATUS", "int")])["silver.orders"]

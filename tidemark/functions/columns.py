@@ -83,8 +83,10 @@ def is_breaking(change_type: Column) -> Column:
 
 
 def day(moment: Column, data_type: str) -> Column:
-    """Start of day, in the type that came in (date_trunc alone always gives a timestamp)."""
-    return F.date_trunc("day", moment).cast(data_type)
+    """Start of day, in the type that came in. Only an instant needs the session's time zone for that."""
+    if data_type == "timestamp":
+        return F.date_trunc("day", moment)
+    return moment.cast("date").cast(data_type)
 
 
 def minutes_before(now: Column, minutes: int = LOOK_BACK_MINUTES) -> Column:

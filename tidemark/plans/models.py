@@ -143,7 +143,7 @@ class AggregateModel:
     def build(self, inputs: Mapping[str, DataFrame]) -> DataFrame:
         fact = self._cast(inputs[self.fact], "fact")
         first_keys = [self._group(g, fact) for g in self.groups if g.of == "fact"]
-        counted = [m.columns[0] for m in self.measures if m.kind == "count_distinct" and m.columns[0] != self.fact_key]
+        counted = [m.columns[0] for m in self.measures if m.kind == "count_distinct" and m.columns[0] != self._unique_key]
         if self.dimension is not None:
             counted.append(self.fact_join)
             fact = fact.filter(F.col(self.fact_join).isNotNull())
@@ -158,6 +158,11 @@ class AggregateModel:
         single = len(extra) == 1
         return rows.groupBy(*[g.alias for g in self.groups]).agg(*[self._final(m, single) for m in self.measures])
 
+    @property
+    def _unique_key(self) -> str | None:
+        """The fact's key, unless a cast may have made equal values of different ones."""
+        return None if self.fact_key in dict(self.casts) else self.fact_key
+
     def _cast(self, df: DataFrame, side: str) -> DataFrame:
         wanted = {c: t for c, t in self.casts if c in self._columns_of(side)}
         return df.withColumns({c: F.col(c).cast(t) for c, t in wanted.items() if c in df.columns})
@@ -178,7 +183,7 @@ class AggregateModel:
     def _partials(self, m: Measure) -> list[Column]:
         value = F.col(m.columns[0])
         if m.kind == "count_distinct":
-            return [F.count(value).alias(f"_{m.alias}")] if m.columns[0] == self.fact_key else []
+            return [F.count(value).alias(f"_{m.alias}")] if m.columns[0] == self._unique_key else []
         if m.kind == "sum":
             return [F.sum(value).alias(f"_{m.alias}")]
         if m.kind == "sum_product":
@@ -187,7 +192,7 @@ class AggregateModel:
 
     def _final(self, m: Measure, single: bool) -> Column:
         if m.kind == "count_distinct":
-            if m.columns[0] == self.fact_key:
+            if m.columns[0] == self._unique_key:
                 return F.sum(f"_{m.alias}").alias(m.alias)
             key = f"_k_{m.columns[0]}"
             # With one extra key the rows are unique per group and value already.
