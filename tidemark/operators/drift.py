@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..constants import COLUMN_DROP, LIVE_STATES, NEW_COLUMN, NEW_TABLE, TYPE_CHANGE
 from ..functions.columns import is_business_column, is_drop_marker, is_journal, without_drop_suffix
+from .joins import spread_join
 
 TABLE = ["table_schema", "table_name"]
 COLUMN = [*TABLE, "column_name"]
@@ -52,7 +53,8 @@ def new_columns(columns: DataFrame, registry: DataFrame, events: DataFrame, sche
         ~is_journal(F.col("table_name")) & is_business_column(name, markers=False)
     )
     fresh = candidates.join(registry.select(*COLUMN), COLUMN, "left_anti")
-    found = fresh.join(known_tables(registry), TABLE, "left_semi").select(*_change(NEW_COLUMN, name, F.lit(None), F.col("data_type")))
+    of_known = spread_join(fresh, known_tables(registry), TABLE, "left_semi", ["column_name"])
+    found = of_known.select(*_change(NEW_COLUMN, name, F.lit(None), F.col("data_type")))
     return _without_live(found, events, NEW_COLUMN, COLUMN)
 
 
@@ -131,7 +133,7 @@ def column_changes(columns: DataFrame, registry: DataFrame, events: DataFrame, s
     found = changed.select(*COLUMN, "change_type", old.alias("old_data_type"), new.alias("new_data_type"))
     tables = known_tables(registry).withColumn("table_known", F.lit(True))
     in_known_table = (F.col("change_type") != NEW_COLUMN) | F.col("table_known").isNotNull()
-    return found.join(tables, TABLE, "left").filter(in_known_table).select(*CHANGE)
+    return spread_join(found, tables, TABLE, "left", ["column_name"]).filter(in_known_table).select(*CHANGE)
 
 
 def detect(columns: DataFrame, registry: DataFrame, events: DataFrame, schema: str = "BRONZE",

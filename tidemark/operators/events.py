@@ -16,6 +16,7 @@ from ..constants import (
     RESOLVED,
 )
 from ..functions.columns import is_true, minutes_before, priority, priority_rank, row_id
+from .joins import spread_join
 from .mutate import update_where
 
 EVENT_SCHEMA = (
@@ -156,7 +157,9 @@ def reconcile_reviews(events: DataFrame, reviews: DataFrame, now: Column) -> Dat
         "mr_url": F.when(closed, text).otherwise(F.col("mr_url")),
     }
     # Only events in review travel to the join; the many without a branch stay where they are.
-    joined = events.filter(in_review).join(review_states(reviews), "branch_name", "left")
+    joined = spread_join(
+        events.filter(in_review), review_states(reviews), ["branch_name"], "left", ["event_id"]
+    )
     checked = joined.select(*[moved.get(c, F.col(c)).alias(c) for c in events.columns])
     return events.filter(~in_review).unionByName(checked)
 

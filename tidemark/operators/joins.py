@@ -1,4 +1,4 @@
-"""Joins whose hot key stays together afterwards."""
+"""Joins with a hot key that adaptive execution cannot split."""
 
 from __future__ import annotations
 
@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str, salt_from: list[str], spread: int = 16
+    left: DataFrame, right: DataFrame, on: list[str], how: str, salt_from: list[str], spread: int = 8
 ) -> DataFrame:
     """Join a `left` that may hold a hot key with a `right` that has one row per key.
 
     The left rows of a key go to `spread` tasks, by a hash of `salt_from`; the right row goes to each of
-    them. Exact for inner, left, left_semi and left_anti joins. Meant for a join that is followed by a
-    grouping on the same key, and a `right` much smaller than `left`: there adaptive execution cannot split
-    the hot partition. Any other skewed join here is left to it.
+    them. Exact for inner, left, left_semi and left_anti joins.
+
+    Meant for a `right` that comes out of a grouping on the key, or a join followed by a grouping on it:
+    such a join shares its shuffle with the grouping, and adaptive execution then leaves a hot partition
+    whole. It splits any other skewed join by itself.
     """
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*salt_from), F.lit(spread)).cast("int"))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))

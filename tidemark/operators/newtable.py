@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..constants import ADDED_COLUMN_NOTE, COLUMN_DROP, NEW_COLUMN, NEW_TABLE
 from ..functions.columns import has_connector_prefix, is_business_column, looks_like_key
 from .drift import TABLE
+from .joins import spread_join
 
 
 def infer_primary_key(columns: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def sync_docs(docs: DataFrame, events: DataFrame) -> DataFrame:
     added = last.filter(F.col("change_type") == NEW_COLUMN).join(
         keyed.select("_model", "_column"), ["_model", "_column"], "left_anti"
     )
-    entries = added.join(models, "_model").select(
+    entries = spread_join(added, models, ["_model"], "inner", ["_column"]).select(
         "model", F.col("_column").alias("column_name"), added_column_note(F.col("table_name")).alias("description"),
         F.array().cast("array<string>").alias("tests"),
     )
@@ -91,7 +92,8 @@ def undocumented(columns: DataFrame, docs: DataFrame) -> DataFrame:
     seen = columns.select(F.lower("table_name").alias("model"), F.upper("column_name").alias("column_name"))
     models = docs.select(F.lower("model").alias("model")).distinct()
     named = docs.select(F.lower("model").alias("model"), F.upper("column_name").alias("column_name")).distinct()
-    return seen.join(models, "model", "left_semi").join(named, ["model", "column_name"], "left_anti")
+    of_models = spread_join(seen, models, ["model"], "left_semi", ["column_name"])
+    return of_models.join(named, ["model", "column_name"], "left_anti")
 
 
 def declare_sources(sources: DataFrame, events: DataFrame) -> DataFrame:
