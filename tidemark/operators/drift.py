@@ -16,6 +16,9 @@ from .joins import spread_join
 
 TABLE = ["table_schema", "table_name"]
 COLUMN = [*TABLE, "column_name"]
+# The same keys for joining: a sort compares the first eight bytes first, and those of the schema are all alike.
+BY_TABLE = ["table_name", "table_schema"]
+BY_COLUMN = ["table_name", "column_name", "table_schema"]
 CHANGE = [*COLUMN, "change_type", "old_data_type", "new_data_type"]
 
 
@@ -52,10 +55,10 @@ def new_columns(columns: DataFrame, registry: DataFrame, events: DataFrame, sche
     candidates = in_schema(columns, schema).filter(
         ~is_journal(F.col("table_name")) & is_business_column(name, markers=False)
     )
-    fresh = candidates.join(registry.select(*COLUMN), COLUMN, "left_anti")
-    of_known = spread_join(fresh, known_tables(registry), TABLE, "left_semi", ["column_name"])
+    fresh = candidates.join(registry.select(*COLUMN), BY_COLUMN, "left_anti")
+    of_known = spread_join(fresh, known_tables(registry), BY_TABLE, "left_semi", ["column_name"])
     found = of_known.select(*_change(NEW_COLUMN, name, F.lit(None), F.col("data_type")))
-    return _without_live(found, events, NEW_COLUMN, COLUMN)
+    return _without_live(found, events, NEW_COLUMN, BY_COLUMN)
 
 
 def dropped_columns(columns: DataFrame, registry: DataFrame, events: DataFrame, schema: str = "BRONZE") -> DataFrame:
@@ -63,10 +66,10 @@ def dropped_columns(columns: DataFrame, registry: DataFrame, events: DataFrame,
     name = F.col("column_name")
     markers = in_schema(columns, schema).filter(is_drop_marker(name))
     stripped = markers.select(*TABLE, without_drop_suffix(name).alias("column_name"))
-    found = stripped.join(registry.select(*COLUMN, "data_type"), COLUMN).select(
+    found = stripped.join(registry.select(*COLUMN, "data_type"), BY_COLUMN).select(
         *_change(COLUMN_DROP, name, F.col("data_type"), F.lit(None))
     )
-    return _without_live(found, events, COLUMN_DROP, COLUMN)
+    return _without_live(found, events, COLUMN_DROP, BY_COLUMN)
 
 
 def changed_types(columns: DataFrame, registry: DataFrame, events: DataFrame, schema: str = "BRONZE") -> DataFrame:
@@ -74,11 +77,11 @@ def changed_types(columns: DataFrame, registry: DataFrame, events: DataFrame, sc
     before = registry.select(*COLUMN, F.col("data_type").alias("old_type"))
     found = (
         in_schema(columns, schema)
-        .join(before, COLUMN)
+        .join(before, BY_COLUMN)
         .filter(F.col("data_type") != F.col("old_type"))
         .select(*_change(TYPE_CHANGE, F.col("column_name"), F.col("old_type"), F.col("data_type")))
     )
-    return _without_live(found, events, TYPE_CHANGE, COLUMN)
+    return _without_live(found, events, TYPE_CHANGE, BY_COLUMN)
 
 
 def new_tables(tables: DataFrame, registry: DataFrame, events: DataFrame, schema: str = "BRONZE") -> DataFrame:
@@ -86,9 +89,9 @@ def new_tables(tables: DataFrame, registry: DataFrame, events: DataFrame, schema
     candidates = in_schema(tables, schema).filter(~is_journal(F.col("table_name")))
     if "table_type" in tables.columns:
         candidates = candidates.filter(F.col("table_type") == "BASE TABLE")
-    unknown = candidates.select(*TABLE).distinct().join(known_tables(registry), TABLE, "left_anti")
+    unknown = candidates.select(*TABLE).distinct().join(known_tables(registry), BY_TABLE, "left_anti")
     none = F.lit(None)
-    return _without_live(unknown.select(*_change(NEW_TABLE, none, none, none)), events, NEW_TABLE, TABLE)
+    return _without_live(unknown.select(*_change(NEW_TABLE, none, none, none)), events, NEW_TABLE, BY_TABLE)
 
 
 def column_changes(columns: DataFrame, registry: DataFrame, events: DataFrame, schema: str = "BRONZE") -> DataFrame:
@@ -109,10 +112,10 @@ def column_changes(columns: DataFrame, registry: DataFrame, events: DataFrame, s
     seen = seen.select(*TABLE, F.col("c.n").alias("column_name"), "data_type", F.col("c.m").alias("marker"))
     before = registry.select(*COLUMN, F.col("data_type").alias("old_type"), F.lit(True).alias("known"))
     is_live = F.col("status").isin(*LIVE_STATES)
-    live = events.filter(is_live).groupBy(*COLUMN).agg(
+    live = events.filter(is_live).groupBy(*BY_COLUMN).agg(
         *[F.max(F.col("change_type") == kind).alias(f"live_{kind}") for kind in (NEW_COLUMN, COLUMN_DROP, TYPE_CHANGE)]
     )
-    joined = seen.join(before, COLUMN, "left").join(live, COLUMN, "left")
+    joined = seen.join(before, BY_COLUMN, "left").join(live, BY_COLUMN, "left")
     known = F.col("known").isNotNull()
 
     def unseen(kind: str) -> Column:
@@ -133,7 +136,7 @@ def column_changes(columns: DataFrame, registry: DataFrame, events: DataFrame, s
     found = changed.select(*COLUMN, "change_type", old.alias("old_data_type"), new.alias("new_data_type"))
     tables = known_tables(registry).withColumn("table_known", F.lit(True))
     in_known_table = (F.col("change_type") != NEW_COLUMN) | F.col("table_known").isNotNull()
-    return spread_join(found, tables, TABLE, "left", ["column_name"]).filter(in_known_table).select(*CHANGE)
+    return spread_join(found, tables, BY_TABLE, "left", ["column_name"]).filter(in_known_table).select(*CHANGE)
 
 
 def detect(columns: DataFrame, registry: DataFrame, events: DataFrame, schema: str = "BRONZE",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import COLUMN_DROP, NEW_COLUMN, NEW_TABLE, TYPE_CHANGE
 from ..functions.columns import is_business_column
-from .drift import COLUMN, TABLE, in_schema
+from .drift import BY_COLUMN, BY_TABLE, COLUMN, TABLE, in_schema
 from .joins import spread_join
 from .mutate import insert_if_absent
 
@@ -18,7 +18,7 @@ def business_columns(columns: DataFrame, schema: str = "BRONZE") -> DataFrame:
 
 
 def seed_registry(registry: DataFrame, columns: DataFrame, schema: str = "BRONZE") -> DataFrame:
-    return insert_if_absent(registry.select(*COLUMN, "data_type"), business_columns(columns, schema), COLUMN)
+    return insert_if_absent(registry.select(*COLUMN, "data_type"), business_columns(columns, schema), BY_COLUMN)
 
 
 def column_counts(registry: DataFrame) -> DataFrame:
@@ -36,24 +36,24 @@ def advance_registry(registry: DataFrame, events: DataFrame, columns: DataFrame)
     placed = events.select(*COLUMN, "change_type", F.col("new_data_type").alias("data_type"), position.alias("pos"))
     table_events = placed.filter(F.col("change_type") == NEW_TABLE).select(*TABLE, "pos").distinct()
     current = columns.filter(is_business_column(F.col("column_name"), listed=False)).select(*COLUMN, "data_type")
-    from_tables = current.join(table_events, TABLE).withColumn(
+    from_tables = current.join(table_events, BY_TABLE).withColumn(
         "change_type", F.lit(NEW_COLUMN)
     )
     steps = placed.filter(F.col("change_type").isin(NEW_COLUMN, COLUMN_DROP, TYPE_CHANGE)).unionByName(from_tables)
 
-    last_drop = steps.filter(F.col("change_type") == COLUMN_DROP).groupBy(*COLUMN).agg(F.max("pos").alias("dropped"))
+    last_drop = steps.filter(F.col("change_type") == COLUMN_DROP).groupBy(*BY_COLUMN).agg(F.max("pos").alias("dropped"))
     added = F.col("change_type") == NEW_COLUMN
     after = spread_join(
-        steps.filter(F.col("change_type") != COLUMN_DROP), last_drop, COLUMN, "left", ["pos"]
+        steps.filter(F.col("change_type") != COLUMN_DROP), last_drop, BY_COLUMN, "left", ["pos"]
     ).filter(F.col("dropped").isNull() | (F.col("pos") > F.col("dropped")))
-    effects = after.groupBy(*COLUMN).agg(
+    effects = after.groupBy(*BY_COLUMN).agg(
         F.min(F.when(added, F.struct("pos", "data_type"))).alias("added"),
         F.max(F.when(~added, F.struct("pos", "data_type"))).alias("retyped"),
     )
 
     held = registry.select(*COLUMN, F.col("data_type").alias("held_type"))
-    still = held.join(last_drop.select(*COLUMN), COLUMN, "left_anti").withColumn("_held", F.lit(True))
-    both = still.join(effects, COLUMN, "full")
+    still = held.join(last_drop.select(*COLUMN), BY_COLUMN, "left_anti").withColumn("_held", F.lit(True))
+    both = still.join(effects, BY_COLUMN, "full")
     is_held = F.col("_held").isNotNull()
     retype = F.col("retyped").isNotNull() & (is_held | (F.col("retyped.pos") > F.col("added.pos")))
     start = F.when(is_held, F.col("held_type")).otherwise(F.col("added.data_type"))
