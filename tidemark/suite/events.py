@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import events
-from ..operators.cdc import newest
+from ..operators.cdc import CdcSpec, newest
 from . import roles
 from .base import query, table
-from .roles import NOW, QUEUE, newest_lines_sql
+from .roles import NOW, QUEUE
 
 _EVENT = "event_id, detected_at, table_name, column_name, change_type, status, pipeline_status, branch_name, mr_url"
 _EVENT_LIST = _EVENT.split(", ")
@@ -51,7 +51,9 @@ def next_pending(spark: SparkSession, sf: str) -> DataFrame:
 
 _OUTCOME = f"""(SELECT 'E' || l_orderkey AS event_id, CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'passed'
     WHEN l_returnflag = 'A' THEN 'failed' WHEN l_returnflag = 'N' THEN 'stuck' WHEN l_linestatus = 'F' THEN 'started'
-    ELSE 'review_opened' END AS outcome FROM {newest_lines_sql("l_linenumber = 1")})"""
+    ELSE 'review_opened' END AS outcome FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+        ORDER BY l_shipdate DESC NULLS FIRST, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
+        l_extendedprice DESC) AS rn FROM lineitem) WHERE rn = 1)"""
 
 
 @query(
@@ -66,8 +68,8 @@ _OUTCOME = f"""(SELECT 'E' || l_orderkey AS event_id, CASE WHEN l_returnflag = '
     """,
 )
 def event_transitions(spark: SparkSession, sf: str) -> DataFrame:
-    """Every event meets the outcome that its order's first line stands for."""
-    first = newest(roles.line_log(spark, sf).filter(F.col("l_linenumber") == 1), roles.CATALOG_SPEC)
+    """Every event meets the outcome that its order's newest line stands for."""
+    last = CdcSpec(("l_orderkey",), "l_shipdate", None, ("l_linenumber", *roles.LINE_TIES))
     flag, closed = F.col("l_returnflag"), F.col("l_linestatus") == "F"
     outcome = (
         F.when((flag == "A") & closed, "passed")
@@ -76,7 +78,7 @@ def event_transitions(spark: SparkSession, sf: str) -> DataFrame:
         .when(closed, "started")
         .otherwise("review_opened")
     )
-    outcomes = first.select(
+    outcomes = newest(table(spark, sf, "lineitem"), last).select(
         F.concat(F.lit("E"), F.col("l_orderkey").cast("string")).alias("event_id"), outcome.alias("outcome")
     )
     return events.apply_outcomes(roles.queue(spark, sf), outcomes).select("event_id", "status", "pipeline_status")
