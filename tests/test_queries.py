@@ -8,6 +8,7 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as entry
+from tidemark.suite import QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
@@ -20,7 +21,7 @@ def duck():
     con.close()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
