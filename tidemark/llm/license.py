@@ -1,8 +1,8 @@
 """License scans by conditional compression.
 
-A candidate block is the wording around a cue such as "licensed". It is compressed with each template as zstandard
-raw dictionary; the templates that take away most are then compared with the block word by word, and only those
-whose wording is there, up to a few words, are reported.
+A candidate block is the wording around a cue such as "licensed", about twice as long as the template it is tried
+with. It is compressed with that template as zstandard raw dictionary. Those that take away anything, most first, are
+compared with the block word by word, and only those whose wording is there, up to a few words, are reported.
 """
 
 from __future__ import annotations
@@ -40,14 +40,12 @@ TEMPLATES: dict[str, str] = {
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
-#: Every template holds one of these; blocks lie around them.
-CUE = re.compile(r"licen[cs]e|permission is hereby granted|redistribution and use|free software|copyright|public domain", re.IGNORECASE)
+#: Every template has a word with one of these; blocks lie around them.
+CUE = re.compile(r"licen[cs]e|hereby|redistribution|copyright|unencumbered", re.IGNORECASE)
 WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 LEVEL = 19
 #: Share of a template's words that may be missing, and of words that may be added between them.
 TOLERANCE = 0.1
-#: Templates that are compared word by word, of those that take away anything.
-COMPARED = 6
 
 
 def _words(text: str) -> tuple[str, ...]:
@@ -58,10 +56,9 @@ def _words(text: str) -> tuple[str, ...]:
 def _templates(items: tuple[tuple[str, str], ...]):
     out = []
     for name, text in items:
-        plain = " ".join(_words(text))
-        data = zstandard.ZstdCompressionDict(plain.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        data = zstandard.ZstdCompressionDict(" ".join(_words(text)).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         out.append((name, _words(text), zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False)))
-    return out, max((len(words) for _, words, _ in out), default=0)
+    return out
 
 
 @lru_cache(maxsize=1)
@@ -69,64 +66,65 @@ def _plain() -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
 
 
-def blocks(text: str, reach: int) -> list[list[re.Match]]:
-    """Runs of words that lie within `reach` words of a cue; overlapping ones are one."""
-    cues = [m.start() for m in CUE.finditer(text)]
-    if not cues:
-        return []
-    words = list(WORD.finditer(text))
+def blocks(cues: list[int], words: int, length: int) -> list[tuple[int, int]]:
+    """Blocks for a template of `length` words, as ranges of word numbers.
+
+    What lies within `length` words of a cue is covered by blocks of twice that and a little more, each beginning
+    `length` words after the one before, so every place of the template lies whole in the block it begins in the
+    first half of.
+    """
     spans: list[list[int]] = []
-    at = 0
     for cue in cues:
-        while at < len(words) and words[at].end() <= cue:
-            at += 1
-        low, high = max(0, at - reach), min(len(words), at + reach)
+        low, high = max(0, cue - length), min(words, cue + length)
         if spans and low <= spans[-1][1]:
             spans[-1][1] = high
         else:
             spans.append([low, high])
-    return [words[a:b] for a, b in spans]
+    return [(start, min(words, start + 2 * length + int(length * TOLERANCE))) for low, high in spans for start in range(low, high, length)]
 
 
 def differences(template: tuple[str, ...], block: list[str]) -> list[tuple[int, int, int, int]]:
-    """Places in `block` that hold the template's wording: first and last word, words missing, words added."""
+    """Places that begin in the first half of `block` and hold the template's wording: first and last word, words missing, words added."""
     out, start = [], 0
     allowed = int(len(template) * TOLERANCE)
     first = set(template[: allowed + 1])
-    while start < len(block):
-        if block[start] not in first:
-            start += 1
-            continue
-        part = block[start : start + len(template) + allowed]
-        runs = [r for r in SequenceMatcher(None, template, part, autojunk=False).get_matching_blocks() if r.size]
-        same, end = sum(r.size for r in runs), runs[-1].b + runs[-1].size
-        missing, added = len(template) - same, end - runs[0].b - same
-        if runs[0].b == 0 and missing <= allowed and added <= allowed:
-            out.append((start, start + end - 1, missing, added))
-            start += end
-        else:
-            start += 1
+    while start < min(len(block), len(template)):
+        if block[start] in first:
+            part = block[start : start + len(template) + allowed]
+            runs = [r for r in SequenceMatcher(None, template, part, autojunk=False).get_matching_blocks() if r.size]
+            same, end = sum(r.size for r in runs), runs[-1].b + runs[-1].size
+            missing, added = len(template) - same, end - runs[0].b - same
+            if runs[0].b == 0 and missing <= allowed and added <= allowed:
+                out.append((start, start + end - 1, missing, added))
+                start += end
+                continue
+        start += 1
     return out
 
 
 def find(text: str, items: tuple[tuple[str, str], ...]) -> list[tuple[int, int, str, float, int, int]]:
     """Licenses in a text: first and last character, name, size reduction, words missing, words added; in the order of the text."""
-    templates, reach = _templates(items)
-    out = []
-    for block in blocks(text, reach):
-        words = [m.group().lower() for m in block]
-        raw = " ".join(words).encode()
-        alone = len(_plain().compress(raw))
-        ranked = sorted(((alone - len(z.compress(raw))) / alone, name, own) for name, own, z in templates)[::-1]
-        near: list[tuple] = []
-        for reduction, name, own in ranked[: COMPARED if len(words) <= 2 * reach else None]:
-            if reduction > 0:
-                near += [(missing + added, -len(own), name, a, b, reduction, missing, added) for a, b, missing, added in differences(own, words)]
-        taken: list[tuple[int, int]] = []
-        for _, _, name, a, b, reduction, missing, added in sorted(near, key=lambda x: (x[0] > 0, x[1], x[0], x[2])):
-            if all(b < c or d < a for c, d in taken):
-                taken.append((a, b))
-                out.append((block[a].start(), block[b].end(), name, reduction, missing, added))
+    if not CUE.search(text):
+        return []
+    matches = list(WORD.finditer(text))
+    words = [m.group().lower() for m in matches]
+    cues = [i for i, w in enumerate(words) if CUE.search(w)]
+    ranked = []
+    for name, own, compressor in _templates(items):
+        for low, high in blocks(cues, len(words), len(own)):
+            raw = " ".join(words[low:high]).encode()
+            alone = len(_plain().compress(raw))
+            if (reduction := (alone - len(compressor.compress(raw))) / alone) > 0:
+                ranked.append((reduction, name, own, low, high))
+    near = []
+    for reduction, name, own, low, high in sorted(ranked, reverse=True):
+        near += [(missing + added > 0, -len(own), missing + added, -reduction, name, low + a, low + b, missing, added) for a, b, missing, added in differences(own, words[low:high])]
+    out: list[tuple[int, int, str, float, int, int]] = []
+    taken: list[tuple[int, int]] = []
+    for *_, reduction, name, a, b, missing, added in sorted(near):
+        if all(b < c or d < a for c, d in taken):
+            taken.append((a, b))
+            out.append((matches[a].start(), matches[b].end(), name, -reduction, missing, added))
     return sorted(out)
 
 
