@@ -120,10 +120,10 @@ def find(text: str, items: tuple[tuple[str, str], ...]) -> list[tuple[int, int,
     for reduction, name, own, low, high in sorted(ranked, reverse=True):
         near += [(missing + added > 0, -len(own), missing + added, -reduction, name, low + a, low + b, missing, added) for a, b, missing, added in differences(own, words[low:high])]
     out: list[tuple[int, int, str, float, int, int]] = []
-    taken: list[tuple[int, int]] = []
+    taken = bytearray(len(words))
     for *_, reduction, name, a, b, missing, added in sorted(near):
-        if all(b < c or d < a for c, d in taken):
-            taken.append((a, b))
+        if not any(taken[a : b + 1]):
+            taken[a : b + 1] = bytes([1]) * (b + 1 - a)
             out.append((matches[a].start(), matches[b].end(), name, -reduction, missing, added))
     return sorted(out)
 
