@@ -177,18 +177,21 @@ class Encoder:
 
     def __init__(self, data: bytes, pattern: str, unassigned: str = ""):
         self.ranks, self.pattern = Ranks(data), regex.compile(pattern)
-        self.unassigned = regex.compile(f"[{regex.escape(unassigned)}]") if unassigned else None
+        self.unassigned, self.private = frozenset(unassigned), dict.fromkeys(map(ord, unassigned), "\ue000")
+        #: In UTF-8, a text whose bytes all lie below this one has no unassigned character.
+        self.least_byte = min(unassigned).encode()[0] if unassigned else 256
         self._clear()
 
     def _clear(self) -> None:
         self.seen, self.ids = _Seen(), np.empty(0, np.uint32)
         self.starts, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def pieces(self, text: str) -> list[str]:
+    def pieces(self, raw: bytes) -> list[str]:
         """The matches of the pattern; an unassigned character counts as one of private use, neither letter nor digit."""
-        if self.unassigned is None or text.isascii() or not self.unassigned.search(text):
+        text = raw.decode("utf-8", "replace")
+        if not raw or np.frombuffer(raw, np.uint8).max() < self.least_byte or self.unassigned.isdisjoint(text):
             return self.pattern.findall(text)
-        return [text[slice(*m.span())] for m in self.pattern.finditer(self.unassigned.sub("\ue000", text))]
+        return [text[slice(*m.span())] for m in self.pattern.finditer(text.translate(self.private))]
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """The ids of each text; null and empty texts have none."""
@@ -196,7 +199,7 @@ class Encoder:
             self._clear()
         known = len(self.seen)
         number = self.seen.__getitem__
-        numbered = [np.array([*map(number, self.pieces((t or b"").decode("utf-8", "replace")))], np.int64) for t in texts]
+        numbered = [np.array([*map(number, self.pieces(t or b""))], np.int64) for t in texts]
         if len(self.seen) > known:
             new = merge_all([p.encode() for p in list(self.seen)[known:]], self.ranks)
             counts = np.array([len(x) for x in new])
