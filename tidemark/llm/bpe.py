@@ -8,6 +8,7 @@ two live neighbours and updates three leaves: the left part's, the right part's,
 from __future__ import annotations
 
 import base64
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -20,29 +21,36 @@ from .common import append
 #: Pieces up to so many bytes are merged many at a time, in arrays; longer ones one by one.
 SHORT = 64
 #: Distinct pieces whose ids a worker holds; beyond that it starts anew.
-HELD_PIECES = 1 << 19
-#: Pieces merged at a time.
-TOGETHER = 1 << 15
+HELD_PIECES = 1 << 18
+#: Byte positions of the pieces merged at a time.
+TOGETHER = 1 << 18
 NONE = np.int64(1 << 62)
 
 
+def read_ranks(data: bytes) -> dict[bytes, int]:
+    """Ranks by token, from lines of a token in base64 and its rank."""
+    return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in data.splitlines() if line.strip())}
+
+
 class Ranks:
     """The tokens of a rank file; a token's id is its rank."""
 
     def __init__(self, data: bytes):
-        self.rank = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in data.splitlines() if line.strip())}
+        self.rank = read_ranks(data)
         if len(set(self.rank.values())) != len(self.rank) or any(bytes([b]) not in self.rank for b in range(256)):
             raise ValueError("a rank file needs every single byte, and each rank once")
-        self.token = dict(zip(self.rank.values(), self.rank))
         self.first = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
-        pairs = sorted(
-            (self.rank[token[:k]] << 32 | self.rank[token[k:]], rank)
-            for token, rank in self.rank.items()
-            for k in range(1, len(token))
-            if token[:k] in self.rank and token[k:] in self.rank
-        )
-        self.pairs = np.array([p for p, _ in pairs] + [NONE], np.int64)
-        self.joined = np.array([r for _, r in pairs] + [0], np.int64)
+        left, right, joined = array("q"), array("q"), array("q")
+        for token, rank in self.rank.items():
+            for k in range(1, len(token)):
+                if (a := self.rank.get(token[:k])) is not None and (b := self.rank.get(token[k:])) is not None:
+                    left.append(a)
+                    right.append(b)
+                    joined.append(rank)
+        pairs = np.array(left, np.int64) << 32 | np.array(right, np.int64)
+        order = np.argsort(pairs)
+        self.pairs = np.append(pairs[order], NONE)
+        self.joined = np.append(np.array(joined, np.int64)[order], 0)
 
     def join(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of ids, NONE where the two make no token."""
@@ -157,8 +165,9 @@ def merge_all(pieces: list[bytes], ranks: Ranks) -> list[np.ndarray]:
         else:
             widths.setdefault(1 << (len(piece) - 1).bit_length(), []).append(at)
     for width, places in widths.items():
-        for start in range(0, len(places), TOGETHER):
-            some = places[start : start + TOGETHER]
+        step = max(1, TOGETHER // width)
+        for start in range(0, len(places), step):
+            some = places[start : start + step]
             for at, ids in zip(some, merge_short([pieces[p] for p in some], ranks, width)):
                 out[at] = ids
     return out
@@ -180,9 +189,10 @@ class Encoder:
         self.unassigned, self.private = frozenset(unassigned), dict.fromkeys(map(ord, unassigned), "\ue000")
         #: In UTF-8, a text whose bytes all lie below this one has no unassigned character.
         self.least_byte = min(unassigned).encode()[0] if unassigned else 256
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
+        """Forget all pieces."""
         self.seen, self.ids = _Seen(), np.empty(0, np.uint32)
         self.starts, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
 
@@ -196,7 +206,7 @@ class Encoder:
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """The ids of each text; null and empty texts have none."""
         if len(self.seen) > HELD_PIECES:
-            self._clear()
+            self.clear()
         known = len(self.seen)
         number = self.seen.__getitem__
         numbered = [np.array([*map(number, self.pieces(t or b""))], np.int64) for t in texts]
@@ -214,9 +224,6 @@ class Encoder:
             out.append(self.ids[shift + np.arange(len(shift))])
         return out
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.ranks.token.__getitem__, ids.tolist()))
-
 
 @lru_cache(maxsize=2)
 def _encoder(data: bytes, pattern: str, unassigned: str = "") -> Encoder:
@@ -247,14 +254,33 @@ def encode(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", unassi
     def compute(texts):
         return [pa.array([ids.astype("<u4").tobytes() for ids in _encoder(ranks, pattern, unassigned).encode(texts)], pa.binary())]
 
-    return append(df, "ids binary", compute, text)
+    return append(df, "ids binary", compute, text, done=lambda: _encoder(ranks, pattern, unassigned).clear())
+
+
+@lru_cache(maxsize=2)
+def _tokens(data: bytes) -> dict[int, bytes]:
+    return {rank: token for token, rank in read_ranks(data).items()}
+
 
+def decoded(ids: np.ndarray, ranks: bytes) -> bytes:
+    """The bytes of the tokens with these ids."""
+    return b"".join(map(_tokens(ranks).__getitem__, ids.tolist()))
 
-def decode(df: DataFrame, ranks: bytes, pattern: str = "", ids: str = "ids") -> DataFrame:
+
+def decode(df: DataFrame, ranks: bytes, ids: str = "ids") -> DataFrame:
     """`df` with `decoded`, the bytes of the tokens in `ids`; nothing for null. An id without a token is an error."""
 
     def compute(values):
-        encoder = _encoder(ranks, pattern)
-        return [pa.array([encoder.decode(np.frombuffer(v or b"", "<u4")) for v in values], pa.binary())]
+        return [pa.array([decoded(np.frombuffer(v or b"", "<u4"), ranks) for v in values], pa.binary())]
 
     return append(df, "decoded binary", compute, ids)
+
+
+def round_trip(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", unassigned: str = "") -> DataFrame:
+    """`df` with `ids` and `decoded`, as `encode` and then `decode` give them, in one pass through the same workers."""
+
+    def compute(texts):
+        ids = _encoder(ranks, pattern, unassigned).encode(texts)
+        return [pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array([decoded(x, ranks) for x in ids], pa.binary())]
+
+    return append(df, "ids binary, decoded binary", compute, text, done=lambda: _encoder(ranks, pattern, unassigned).clear())

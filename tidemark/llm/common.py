@@ -60,17 +60,25 @@ def parts(batch: pa.RecordBatch, name: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
-def append(df: DataFrame, added: str, compute: Callable[[list[bytes | None]], list[pa.Array]], text: str = "text") -> DataFrame:
-    """`df` with the columns `added` (a DDL list), computed from `text`; an input column of such a name is replaced."""
+def append(
+    df: DataFrame, added: str, compute: Callable[[list[bytes | None]], list[pa.Array]], text: str = "text", done: Callable[[], object] = lambda: None
+) -> DataFrame:
+    """`df` with the columns `added` (a DDL list), computed from `text`; an input column of such a name is replaced.
+
+    `done` is called at the end of each task, to give back what `compute` has held.
+    """
     extra = T.StructType.fromDDL(added)
     kept = [f for f in df.schema.fields if f.name not in extra.names]
     names = [f.name for f in kept] + extra.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in parts(batch, text):
-                old = [part.column(part.schema.get_field_index(f.name)) for f in kept]
-                yield pa.RecordBatch.from_arrays(old + compute(raw_texts(part, text)), names=names)
+        try:
+            for batch in batches:
+                for part in parts(batch, text):
+                    old = [part.column(part.schema.get_field_index(f.name)) for f in kept]
+                    yield pa.RecordBatch.from_arrays(old + compute(raw_texts(part, text)), names=names)
+        finally:
+            done()
 
     ship(df.sparkSession)
     return df.mapInArrow(run, T.StructType(kept + extra.fields))

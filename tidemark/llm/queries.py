@@ -133,9 +133,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_digests(docs: DataFrame) -> DataFrame:
     """Numbers and digests of the ids of each text, and the digest of what they decode to."""
     ranks, pattern = rank_file()
-    encoded = bpe.encode(docs.select("doc_id", "text"), ranks, pattern, unassigned=bpe.newer_characters())
-    counted = encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids")
-    return bpe.decode(counted, ranks).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    both = bpe.round_trip(docs.select("doc_id", "text"), ranks, pattern, unassigned=bpe.newer_characters())
+    count = (F.octet_length("ids") / 4).cast("long")
+    return both.select("doc_id", count.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query("op8_byte_level_bpe")
