@@ -10,10 +10,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidemark.session import local_session
 
-    session = local_session(8, "tidemark-tests")
+    session = local_session(8, "tidemark-tests", str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session

@@ -1,68 +1,28 @@
-"""The small retail fixture: 10 customers, 15 orders, 20 items, in two type variants."""
+"""A small retail fixture in two type variants, made by rule: 10 customers, 15 orders on days of their own, 20 items."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CUSTOMERS = """
-1 Alice Johnson Australia Enterprise Gold email
-2 Bob Smith Australia SMB Silver phone
-3 Carol White New_Zealand Enterprise Gold email
-4 David Brown Singapore SMB Bronze email
-5 Emma Davis Australia Consumer Silver mobile
-6 Frank Miller India SMB Bronze phone
-7 Grace Wilson Australia Enterprise Gold email
-8 Henry Moore New_Zealand Consumer Bronze mobile
-9 Isla Taylor Singapore Enterprise Gold email
-10 Jack Anderson Australia SMB Silver phone
-"""
-ORDERS = """
-1 1 2024-01-05 completed 250.00 AUD web
-2 2 2024-01-07 completed 89.99 AUD mobile
-3 1 2024-01-10 shipped 430.50 AUD web
-4 3 2024-01-12 completed 120.00 NZD web
-5 4 2024-01-14 cancelled 55.00 SGD mobile
-6 5 2024-01-15 completed 310.75 AUD web
-7 6 2024-01-18 completed 99.00 INR mobile
-8 7 2024-01-20 shipped 640.00 AUD web
-9 8 2024-01-22 completed 175.25 NZD web
-10 9 2024-01-23 completed 520.00 SGD mobile
-11 10 2024-01-25 shipped 88.50 AUD web
-12 1 2024-01-27 completed 199.99 AUD web
-13 2 2024-01-28 completed 45.00 AUD mobile
-14 3 2024-01-29 cancelled 300.00 NZD web
-15 5 2024-01-30 completed 215.00 AUD web
-"""
-ITEMS = """
-1 1 101 Laptop_Stand 1 50.00
-2 1 102 Wireless_Mouse 2 35.00
-3 1 103 USB_Hub 1 130.00
-4 2 104 Keyboard 1 89.99
-5 3 105 Monitor 1 380.00
-6 3 106 HDMI_Cable 2 25.25
-7 4 107 Webcam 1 120.00
-8 5 108 Mouse_Pad 1 55.00
-9 6 109 Headphones 1 199.00
-10 6 110 Phone_Stand 2 55.875
-11 7 111 USB-C_Cable 3 33.00
-12 8 112 Mechanical_Keyboard 1 280.00
-13 8 113 Desk_Mat 1 360.00
-14 9 114 Laptop_Bag 1 175.25
-15 10 115 External_SSD 1 520.00
-16 11 116 Screen_Cleaner 2 44.25
-17 12 107 Webcam 1 199.99
-18 13 108 Mouse_Pad 1 45.00
-19 14 117 Monitor_Arm 1 300.00
-20 15 118 Cable_Management 1 215.00
-"""
+COUNTRIES, SEGMENTS, TIERS = ("Norland", "Westmark", "Osthem"), ("Trade", "Private"), ("High", "Mid", "Low", "None")
+CUSTOMERS = [
+    (i, f"Given{i}", f"Family{i}", COUNTRIES[i % 3], SEGMENTS[i % 2], TIERS[i % 4], ("email", "phone")[i // 2 % 2])
+    for i in range(1, 11)
+]
+#: Order i belongs to customer 3 i mod 10 + 1 and was made on day i + 1 of the month.
+ORDERS = [
+    (i, 3 * i % 10 + 1, f"2024-03-{i + 1:02d}", ("open", "sent", "done")[i % 3], 16.5 * i + 0.25, ("AAA", "BBB")[i % 2], ("web", "shop")[i // 3 % 2])
+    for i in range(1, 16)
+]
+#: Item i belongs to order (i - 1) mod 15 + 1; the last two items repeat the first two of 18 products.
+ITEMS = [(i, (i - 1) % 15 + 1, 500 + (i - 1) % 18, f"Product {(i - 1) % 18 + 1}", i % 4 + 1, 2.125 * i) for i in range(1, 21)]
 
 
-def _table(spark: SparkSession, text: str, columns: list[str], types: dict[str, str]) -> DataFrame:
-    rows = [[w.replace("_", " ") for w in line.split()] for line in text.strip().splitlines()]
-    df = spark.createDataFrame(rows, columns)
+def _table(spark: SparkSession, rows: list[tuple], columns: list[str], types: dict[str, str]) -> DataFrame:
+    df = spark.createDataFrame([tuple(map(str, r)) for r in rows], columns)
     df = df.select(*[F.col(c).cast(types.get(c, "string")).alias(c) for c in columns])
-    moment = F.lit("2024-02-01").cast("timestamp_ntz")
+    moment = F.lit("2024-04-01").cast("timestamp_ntz")
     return df.withColumns({"_snowflake_inserted_at": moment, "_snowflake_updated_at": moment,
                            "_snowflake_deleted": F.lit(False)})
 

@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 from retail import bronze
 
-from tidemark.plans.cycle import ARTIFACTS, CODE, DOCS, EVENTS, REGISTRY, Cycle
-from tidemark.plans.retail import MODELS
+from tidemark.operators.mutate import update_where
+from tidemark.plans.cycle import ARTIFACTS, CODE, DOCS, REGISTRY, SOURCES, Cycle
+from tidemark.plans.models import BreakingChange
+from tidemark.plans.retail import COLUMN_DOCS, MODELS
+from tidemark.session import local_rows
 from tidemark.sources.tables import Warehouse
 
 
@@ -18,9 +22,11 @@ def states(cycle):
 
 def test_from_drift_to_new_baseline(spark, tmp_path):
     tables = bronze(spark)
-    cycle = Cycle(spark, Warehouse(str(tmp_path)), dict(MODELS), "SHOP")
+    cycle = Cycle(spark, Warehouse(str(tmp_path)), dict(MODELS), "SHOP", COLUMN_DOCS)
     cycle.set_up(tables)
-    assert cycle.warehouse.read(spark, ARTIFACTS).count() == 6
+    lineage = cycle.warehouse.read(spark, ARTIFACTS).collect()
+    assert len(lineage) == len({r.artifact_id for r in lineage}) == 6
+    assert all(r.artifact_sql.startswith("SELECT") and r.updated_at for r in lineage)
     assert cycle.check(tables, now()).count() == 0
 
     tables["bronze.orders"] = tables["bronze.orders"].withColumn("discount_code", F.lit("X"))
@@ -47,7 +53,7 @@ def test_from_drift_to_new_baseline(spark, tmp_path):
     assert set(ids.values()) == set(done)
     cycle.merge(ids["NEW_COLUMN"], tables, now())
     assert "discount_code" in cycle.warehouse.read(spark, "silver.orders").columns
-    branch = f"schema-change/{ids['NEW_TABLE'][:8]}"
+    branch = f"schema-change/{ids['NEW_TABLE']}"
     assert cycle.merge_branch(branch, tables, now()) == [ids["NEW_TABLE"]]
     assert cycle.merge_branch(branch, tables, now()) == []
     assert "discount_code" in cycle.warehouse.read(spark, "silver.orders").columns
@@ -57,7 +63,10 @@ def test_from_drift_to_new_baseline(spark, tmp_path):
     registered = cycle.warehouse.read(spark, REGISTRY).filter("table_name = 'SHIPMENTS'")
     assert {r.column_name for r in registered.collect()} == {"SHIPMENT_ID", "STATUS"}
     assert cycle.warehouse.read(spark, ARTIFACTS).count() == 7
-    assert cycle.warehouse.exists(spark, EVENTS) and cycle.warehouse.exists(spark, DOCS)
+    assert all(r.registered_at for r in cycle.warehouse.read(spark, REGISTRY).collect())
+    docs = {(r.model, r.column_name): r.description for r in cycle.warehouse.read(spark, DOCS).collect()}
+    assert docs["orders", "CHANNEL"] == "Channel." and "schema drift" in docs["orders", "DISCOUNT_CODE"]
+    assert {r.table_name for r in cycle.warehouse.read(spark, SOURCES).collect()} == {"customers", "orders", "order_items", "shipments"}
 
 
 def test_a_change_that_breaks_a_model_fails(spark, tmp_path):
@@ -70,3 +79,66 @@ def test_a_change_that_breaks_a_model_fails(spark, tmp_path):
     assert states(cycle) == {("COLUMN_DROP", "ORDER_ID"): ("PENDING", "CI_FAILED")}
     assert cycle.check(tables, now()).count() == 1, "a failed event stays open"
     assert cycle.models == MODELS
+    event_id = cycle.events().first().event_id
+    before = sorted(map(str, cycle.warehouse.read(spark, REGISTRY).collect()))
+    with pytest.raises(BreakingChange):
+        cycle.merge(event_id, tables, now())
+    assert sorted(map(str, cycle.warehouse.read(spark, REGISTRY).collect())) == before
+    assert states(cycle) == {("COLUMN_DROP", "ORDER_ID"): ("PENDING", "CI_FAILED")}
+
+
+def two_prepared(spark, path):
+    tables = bronze(spark)
+    cycle = Cycle(spark, Warehouse(str(path)), dict(MODELS), "SHOP")
+    cycle.set_up(tables, now())
+    tables["bronze.orders"] = tables["bronze.orders"].withColumns({"extra_a": F.lit("A"), "extra_b": F.lit("B")})
+    cycle.check(tables, now())
+    ids = [cycle.prepare_next(tables, now()), cycle.prepare_next(tables, now())]
+    return cycle, tables, ids
+
+
+def test_two_prepared_changes_are_both_merged_even_after_a_restart(spark, tmp_path):
+    cycle, tables, ids = two_prepared(spark, tmp_path)
+    cycle.merge(ids[0], tables, now())
+    again = Cycle(spark, Warehouse(str(tmp_path)), dict(MODELS), "SHOP")
+    again.merge(ids[1], tables, now())
+    assert {"extra_a", "extra_b"} <= set(again.warehouse.read(spark, "silver.orders").columns)
+    assert again.current() == cycle.current() and cycle.models == MODELS
+    assert again.merge(ids[0], tables, now()) is None
+    assert again.check(tables, now()).filter("status <> 'RESOLVED'").count() == 0
+
+
+def test_a_failing_rebuild_changes_nothing(spark, tmp_path):
+    """A customer table without its key makes the daily table fail after the orders were written."""
+    cycle, tables, ids = two_prepared(spark, tmp_path)
+    before = sorted(map(str, cycle.warehouse.read(spark, "silver.orders").collect()))
+    cycle.warehouse.write(spark, "silver.customers", cycle.warehouse.read(spark, "silver.customers").drop("customer_id"))
+    with pytest.raises(Exception, match="customer_id"):
+        cycle.merge(ids[0], tables, now())
+    assert sorted(map(str, cycle.warehouse.read(spark, "silver.orders").collect())) == before
+    assert {s for s in states(cycle).values()} == {("PENDING", "CI_PASSED")}
+    assert cycle.current() == MODELS
+
+
+def test_reviews_settle_whole_branches(spark, tmp_path):
+    cycle, tables, ids = two_prepared(spark, tmp_path)
+    other = update_where(cycle.events().filter(F.col("event_id") == ids[1]), F.lit(True), {
+        "branch_name": F.lit(f"schema-change/{ids[0]}"), "pipeline_status": F.lit("GENERATED")})
+    cycle._record(other)
+    schema = "branch_name string, position int, merged_at timestamp_ntz, state string"
+    still_open = local_rows(spark, [(f"schema-change/{ids[0]}", 1, None, "open")], schema)
+    assert cycle.poll(still_open, tables, now()) == []
+    merged = still_open.withColumns({"merged_at": now(), "state": F.lit("closed")})
+    assert sorted(cycle.poll(merged, tables, now())) == sorted(ids)
+    assert {s for s in states(cycle).values()} == {("RESOLVED", "RESOLVED")}
+    held = {r.column_name for r in cycle.warehouse.read(spark, REGISTRY).filter("table_name = 'ORDERS'").collect()}
+    assert {"EXTRA_A", "EXTRA_B"} <= held
+
+
+def test_a_closed_review_sends_the_event_back(spark, tmp_path):
+    cycle, tables, ids = two_prepared(spark, tmp_path)
+    schema = "branch_name string, position int, merged_at timestamp_ntz, state string"
+    closed = local_rows(spark, [(f"schema-change/{ids[0]}", 1, None, "closed")], schema)
+    assert cycle.poll(closed, tables, now()) == []
+    got = {e.event_id: (e.pipeline_status, e.branch_name) for e in cycle.events().collect()}
+    assert got == {ids[0]: ("PENDING", None), ids[1]: ("CI_PASSED", f"schema-change/{ids[1]}")}

@@ -227,18 +227,16 @@ def test_key_and_spec(spark):
     assert {r.table_name: r.primary_key for r in infer_primary_key(columns).collect()} == {
         "SHIPMENTS": "Shipment_Id", "PLAIN": "CODE",
     }
-    spec = {(r.table_name, r.page): r for r in new_table_spec(columns).collect()}
-    assert [c.name for c in spec["SHIPMENTS", 0].columns] == ["CARRIER", "Shipment_Id", "ORDER_ID"]
-    assert spec["SHIPMENTS", 0].silver_model_path == "models/silver/shipments.sql"
-    wide = spark.createDataFrame([("BRONZE", "W", f"C{i}", "int", i) for i in range(1, 26)], COLUMNS)
-    pages = new_table_spec(wide, page_columns=10).orderBy("page").collect()
-    assert [c.name for p in pages for c in p.columns] == [f"C{i}" for i in range(1, 26)]
-    assert {p.pages for p in pages} == {3} and max(len(p.columns) for p in pages) == 10
+    spec = new_table_spec(columns).filter("table_name = 'SHIPMENTS'").orderBy("ordinal_position").collect()
+    assert [r.column_name for r in spec] == ["CARRIER", "Shipment_Id", "ORDER_ID"]
+    assert {(r.silver_model_path, r.primary_key) for r in spec} == {("models/silver/shipments.sql", "Shipment_Id")}
+    wide = spark.createDataFrame([("BRONZE", "W", f"C{i}", "int", i) for i in range(1, 2501)], COLUMNS)
+    assert [r.column_name for r in new_table_spec(wide).orderBy("ordinal_position").collect()] == [f"C{i}" for i in range(1, 2501)]
 
 
 def test_docs_and_sources(spark):
     docs = spark.createDataFrame(
-        [("orders", "ORDER_ID", "id", ["unique"]), ("orders", "CHANNEL", "c", ["not_null"]), ("items", "Qty", "q", [])],
+        [("orders", "ORDER_ID", "id", ["unique"]), ("orders", "CHANNEL", "c", ["not_null"]), ("orders", "Back", "b", ["unique"]), ("items", "Qty", "q", [])],
         "model string, column_name string, description string, tests array<string>",
     )
     schema = "event_id string, detected_at timestamp_ntz, table_name string, column_name string, change_type string"
@@ -252,6 +250,10 @@ def test_docs_and_sources(spark):
             ("5", day, "ORDERS", "ORDER_ID", "TYPE_CHANGE"),
             ("6", day, "SHIPMENTS", None, "NEW_TABLE"),
             ("7", day, "Orders", None, "NEW_TABLE"),
+            ("8", day, "ORDERS", "BACK", "COLUMN_DROP"),
+            ("9", day, "ORDERS", "back", "NEW_COLUMN"),
+            ("91", day, "ITEMS", "Gone", "NEW_COLUMN"),
+            ("92", day, "ITEMS", "gone", "COLUMN_DROP"),
         ],
         schema,
     )
@@ -259,6 +261,7 @@ def test_docs_and_sources(spark):
     assert got == {
         ("orders", "ORDER_ID"): ("id", ["unique"]),
         ("orders", "DISCOUNT"): ("Column added to ORDERS by schema drift; review/extend tests as needed.", []),
+        ("orders", "BACK"): ("Column added to ORDERS by schema drift; review/extend tests as needed.", []),
         ("items", "Qty"): ("q", []),
     }
     sources = spark.createDataFrame([("bronze", "orders"), ("other", "shipments")], "source string, table_name string")

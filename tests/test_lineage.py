@@ -77,16 +77,28 @@ def test_random_graphs(spark, seed):
     assert {r.output_fqn[3:]: r.run_order for r in order.collect()} == {k: v[2] for k, v in want.items()}
 
 
-def test_cycles_end_and_depth_is_bounded(spark):
+def test_cycles_end_and_chains_have_no_limit(spark):
     loop = [("BRONZE.T", "S.A"), ("S.A", "S.B"), ("S.B", "S.C"), ("S.C", "S.A")]
     got = lineage.impact(events(spark, [("e", "T", "C", "TYPE_CHANGE", "a", "b")]), edges(spark, loop), "DB")
     assert {(r.output_fqn, r.depth) for r in got.collect()} == {("DB.S.A", 1), ("DB.S.B", 2), ("DB.S.C", 3)}
-    chain = [("BRONZE.T", "S.N0")] + [(f"S.N{i}", f"S.N{i + 1}") for i in range(6)]
-    origin = local_rows(spark, [("BRONZE.T",)], "origin string")
-    with pytest.raises(ValueError):
-        lineage.walk(origin, edges(spark, chain), "DB", max_depth=4)
+    back = [("BRONZE.T", "S.A"), ("S.A", "BRONZE.T")]
+    got = lineage.impact(events(spark, [("e", "T", "C", "TYPE_CHANGE", "a", "b")]), edges(spark, back), "DB")
+    assert {(r.output_fqn, r.depth) for r in got.collect()} == {("DB.S.A", 1)}, "the start is not below itself"
     nothing = lineage.impact(events(spark, [("e", "X", "C", "TYPE_CHANGE", "a", "b")]), edges(spark, loop), "DB")
     assert nothing.count() == 0
+    origin = local_rows(spark, [("BRONZE.T",)], "origin string")
+    with pytest.raises(ValueError):
+        lineage.downstream(origin, edges(spark, loop), "DB")
+
+
+def test_a_chain_of_150_levels(spark):
+    length = 150
+    chain = [("BRONZE.T", "S.N0")] + [(f"S.N{i}", f"S.N{i + 1}") for i in range(length - 1)]
+    order = lineage.downstream(local_rows(spark, [("BRONZE.T",)], "origin string"), edges(spark, chain), "DB")
+    assert {r.artifact_name: r.run_order for r in order.collect()} == {f"s.n{i}": i + 1 for i in range(length)}
+    links = local_rows(spark, [(str(i), str(i + 1)) for i in range(40)], "src string, dst string")
+    steps = lineage.reach(local_rows(spark, [("0",)], "node string"), links)
+    assert {int(r.node): r.depth for r in steps.collect()} == {i: i for i in range(41)}
 
 
 def test_reach_with_cycle(spark):
@@ -114,26 +126,38 @@ def test_reports(spark):
     pairs = [("BRONZE.T", f"S.A{i:02d}") for i in range(25)] + [("S.A03", "G.B")]
     queue = events(spark, rows)
     impacted = lineage.impact(queue, edges(spark, pairs), "DB")
-    specs = local_rows(spark, [("BRONZE", "W", 0, 1, "models/silver/w.sql", "W_ID")],
-                       "table_schema string, table_name string, page int, pages int, silver_model_path string, primary_key string")
-    specs = specs.withColumn("columns", F.array(F.struct(F.lit("W_ID").alias("name"), F.lit("int").alias("type"))))
-    whole = {r.event_id: json.loads(r.report) for r in lineage.impact_report(queue, impacted, specs).collect()}
-    assert whole["drop"]["event"] == {
+    specs = local_rows(spark, [("BRONZE", "W", "models/silver/w.sql", "W_ID", 1, "W_ID", "int")],
+                       "table_schema string, table_name string, silver_model_path string, primary_key string, "
+                       "ordinal_position int, column_name string, data_type string")
+    got = lineage.impact_report(queue, impacted, specs).collect()
+    head = {r.event_id: json.loads(r.report) for r in got if r.part == "event"}
+    assert len(head) == len(rows) and all(r.place == 0 for r in got if r.part == "event")
+    assert head["drop"] == {"event": {
         "event_id": "drop", "table_name": "T", "column_name": "C", "change_type": "COLUMN_DROP", "old_type": "int",
         "new_type": "", "is_breaking": True,
-    }
-    listed = whole["drop"]["impacted"]
-    assert [(i["depth"], i["artifact_name"]) for i in listed] == sorted((i["depth"], i["artifact_name"]) for i in listed)
-    assert len(listed) == 26 and listed[-1]["impact_path"] == "BRONZE.T → DB.S.A03 → DB.G.B"
-    assert whole["lonely"]["impacted"] == [] and whole["odd"] == {"error": "Unknown change_type: RENAME"}
-    assert whole["new"]["generate"] == {
+    }}
+    listed = sorted((r.place, r.name) for r in got if r.event_id == "drop" and r.part == "impacted")
+    assert len(listed) == 26 and listed[-1] == (2, "g.b")
+    last = next(json.loads(r.report) for r in got if r.name == "g.b")
+    assert last["impact_path"] == "BRONZE.T → DB.S.A03 → DB.G.B" and last["depth"] == 2
+    assert [r.part for r in got if r.event_id == "lonely"] == ["event"]
+    assert head["odd"] == {"error": "Unknown change_type: RENAME"}
+    assert head["new"]["generate"] == {
         "action": "CREATE", "silver_model_path": "models/silver/w.sql", "sources_yml_path": "models/sources.yml",
-        "primary_key": "W_ID", "columns": [{"name": "W_ID", "type": "int"}],
+        "primary_key": "W_ID",
     }
-    paged = lineage.impact_report(queue, impacted, specs, page_rows=10).filter("event_id = 'drop'").collect()
-    assert {r.pages for r in paged} == {3} and len(paged) == 3
-    together = [i["artifact_name"] for r in paged for i in json.loads(r.report)["impacted"]]
-    assert sorted(together) == sorted(i["artifact_name"] for i in listed)
+    assert [json.loads(r.report) for r in got if r.part == "column"] == [{"name": "W_ID", "type": "int"}]
+    for without in (None, specs.limit(0)):
+        bare = {r.event_id: json.loads(r.report) for r in lineage.impact_report(queue, impacted, without).collect() if r.part == "event"}
+        assert bare.keys() == head.keys() and bare["new"]["generate"]["primary_key"] is None
+
+
+def test_2500_artifacts_keep_their_order(spark):
+    pairs = [("BRONZE.T", f"S.A{i:05d}") for i in range(2500)]
+    queue = events(spark, [("e", "T", "C", "COLUMN_DROP", "int", None)])
+    report = lineage.impact_report(queue, lineage.impact(queue, edges(spark, pairs), "DB"))
+    names = [r.name for r in report.filter("part = 'impacted'").orderBy("event_id", "part", "place", "name").collect()]
+    assert names == [f"s.a{i:05d}" for i in range(2500)]
 
 
 def test_manifest_and_registry(spark):
@@ -144,8 +168,15 @@ def test_manifest_and_registry(spark):
         ' "depends_on": {"nodes": ["model.p.a", "model.p.a2"]}}',
         "Running with 3 threads", '{"unique_id": "model.p.c", ', '{"name": "no id"}', "",
     ]
-    models = lineage.parse_manifest(local_rows(spark, [(x,) for x in lines], "line string"))
+    lines += ["\t" + lines[0].strip().replace("m/a.sql", "m/a2.sql"), lines[1] + "] [", lines[1].replace('"b"', '"bb"') + "}, {}",
+              lines[0].strip().replace('"extra": 1', '"raw_code": "SELECT 1", "more": [{"x": [1]}]')]
+    placed = local_rows(spark, list(enumerate(lines)), "place int, line string")
+    models = lineage.parse_manifest(placed, place="place")
     got = lineage.edges_from_models(models, "DB")
+    texts = {r.artifact_name: r.artifact_sql for r in got.collect()}
+    assert texts == {"silver.a": "SELECT 1", "gold.b": ""}
+    registry = local_rows(spark, [("x", "copy_into", "S", None, "", "", None)], ARTIFACT_SCHEMA)
+    assert refresh_lineage(registry, got, production=True).count() == 3
     assert {(r.artifact_name, r.source_table, r.output_fqn, r.file_path) for r in got.collect()} == {
         ("silver.a", "BRONZE.T", "DB.SILVER.A", "m/a.sql"), ("gold.b", "SILVER.A", "DB.GOLD.B", "m/b.sql"),
     }
@@ -157,10 +188,10 @@ def test_manifest_and_registry(spark):
 
 
 def test_code_lookup_takes_one_text(spark):
-    impacted = local_rows(spark, [("e", "a"), ("e", "none")], "event_id string, artifact_name string")
+    impacted = local_rows(spark, [("e", "a"), ("f", "a"), ("e", "none")], "event_id string, artifact_name string")
     texts = edges(spark, [("X", "A"), ("Y", "A")])
-    got = {r.artifact_name: r.artifact_sql for r in lineage.with_current_sql(impacted, texts).collect()}
-    assert got == {"a": "sql of A", "none": ""}
+    got = [tuple(r) for r in lineage.with_current_sql(impacted, texts).collect()]
+    assert sorted(got) == [("a", "sql of A"), ("none", "")]
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])

@@ -18,8 +18,8 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     "spark.sql.shuffle.partitions": "8",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     "spark.sql.adaptive.coalescePartitions.enabled": "false",
 }

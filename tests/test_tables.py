@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import columns as C
 from tidemark.operators import events as E
 from tidemark.operators import mutate, quality
-from tidemark.operators.summary import joined_labels
+from tidemark.operators.summary import labels
 from tidemark.session import local_rows
 from tidemark.sources.tables import Warehouse, catalog_columns
 
@@ -82,7 +82,8 @@ def test_versions(spark, tmp_path):
     old = wh.read(spark, "silver.t")
     wh.write(spark, "silver.t", mutate.append(old, kv(spark, [(2, "b")])))
     wh.append(spark, "silver.t", kv(spark, [(3, "c")]))
-    unfinished = tmp_path / "PROD" / "SILVER" / "t" / "v=00000003"
+    assert rows(old) == [(1, "a")], "a reader keeps its version"
+    unfinished = tmp_path / "PROD" / "SILVER" / "t" / "v=00000009"
     unfinished.mkdir()
     assert rows(wh.read(spark, "silver.t")) == [(1, "a"), (2, "b"), (3, "c")]
     wh.write(spark, "silver.t", old)
@@ -169,7 +170,7 @@ def test_reviews(spark):
            for r in E.reconcile_reviews(q, reviews, now).collect()}
     assert got == {
         "m": ("RESOLVED", "RESOLVED", "b1", True), "c": ("PENDING", "PENDING", None, False),
-        "o": ("PENDING", "CI_FAILED", "b3", False), "x": ("PENDING", "PENDING", "b1", False),
+        "o": ("PENDING", "CI_FAILED", "b3", False), "x": ("RESOLVED", "RESOLVED", "b1", True),
         "n": ("PENDING", "PR_OPEN", None, False), "u": ("PENDING", "PR_OPEN", "unlisted", False),
     }
     closed = E.resolved(q, E.unresolved_of_branch("b1"), now).filter("status = 'RESOLVED'")
@@ -226,8 +227,11 @@ def test_run_log(spark):
     for log_, code, overall in ((log, 0, "FAIL"), (clean, 0, "PASS"), (clean, 1, "FAIL")):
         got = {r.model: r.test_status for r in quality.model_status(names, log_, code).collect()}
         assert got == {"silver.customers": "PASS", "gold.orders_daily": "FAIL", "silver.other": overall}
-    long = local_rows(spark, [(1, "OK created SILVER.x " + "y" * 900)], "line_no int, line string")
-    assert len(quality.run_log_results(long).first().detail) == 500
+    failing = "ERROR creating GOLD.late2 " + "z" * 1970
+    long = log.unionByName(local_rows(spark, [(50, "OK created SILVER.x " + "y" * 1980), (60, "|| " + failing)], "line_no int, line string"))
+    assert {len(r.detail) for r in quality.run_log_results(long).filter("model = 'silver.x'").collect()} == {2000}
+    got = {r.model: r.test_error for r in quality.model_status(names, long, 1).collect()}
+    assert got["silver.other"] == failing and got["silver.customers"].startswith("OK created")
 
 
 def test_quality(spark):
@@ -246,7 +250,70 @@ def test_quality(spark):
     }
 
 
-def test_joined_labels(spark):
+def test_labels_keep_their_places(spark):
     df = local_rows(spark, [("g", i, f"n{i}") for i in (3, 0, 2, 1, 4)], "g string, i int, n string")
-    assert rows(joined_labels(df, ["g"], "i", F.col("n"), ",")) == [("g", 0, "n0,n1,n2,n3,n4")]
-    assert rows(joined_labels(df, ["g"], "i", F.col("n"), ",", page_rows=2)) == [("g", 0, "n0,n1"), ("g", 1, "n2,n3"), ("g", 2, "n4")]
+    assert rows(labels(df, ["g"], "i", F.upper("n"))) == [("g", i, f"N{i}") for i in range(5)]
+
+
+def test_small_inserts_leave_the_target_where_it_is(spark):
+    target = spark.range(0, 100_000, 1, 4).select(F.col("id").alias("k"), F.lit("t").alias("v"))
+    target.write.parquet(path := f"{spark.conf.get('spark.checkpoint.dir')}/small-insert")
+    small = kv(spark, [(5, "x"), (200_000, "y")])
+    for change in (mutate.insert_if_absent, mutate.upsert):
+        out = change(spark.read.parquet(path).withColumn("k", F.col("k").cast("int")), small, ["k"])
+        assert out.count() == 100_001
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_any_error_is_a_verdict(spark, tmp_path):
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part.parquet").write_bytes(b"not a table")
+    failing = {
+        "corrupt": lambda: spark.read.schema("k int").parquet(str(tmp_path / "bad")),
+        "no key": lambda: {}["gone"],
+        "no version": lambda: Warehouse(str(tmp_path)).read(spark, "silver.none"),
+        "fine": lambda: kv(spark, [(1, "a")]),
+    }
+    got = {r.model: (r.test_status, r.test_error) for r in quality.validate(spark, failing).collect()}
+    assert [got[n][0] for n in failing] == ["FAIL", "FAIL", "FAIL", "PASS"]
+    assert len(got["corrupt"][1]) > 500 or "corrupt" in got["corrupt"][1].lower() or "parquet" in got["corrupt"][1].lower()
+
+
+def test_stored_candidates_are_checked(spark):
+    code = local_rows(
+        spark,
+        [("e", "a", "{{ config(x=1) }} SELECT k FROM {{ source('bronze', 't') }}", "PENDING", None),
+         ("e", "b", "SELECT nope FROM {{ source('bronze', 't') }} JOIN {{ source('bronze', 'tt') }} USING (k)", "PENDING", "old"),
+         ("f", "a", "broken", "PASS", None), ("g", "a", None, None, None)],
+        "event_id string, artifact_name string, generated_sql string, test_status string, test_error string",
+    )
+    tables = {"bronze.t": kv(spark, [(1, "a")]), "bronze.tt": kv(spark, [(1, "b")])}
+    got = {(r.event_id, r.artifact_name): (r.test_status, r.test_error) for r in quality.check_candidates(spark, code, tables, "DB").collect()}
+    assert got["e", "a"] == ("PASS", None) and got["f", "a"] == ("PASS", None) and got["g", "a"] == (None, None)
+    assert got["e", "b"][0] == "FAIL" and "nope" in got["e", "b"][1]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("candidate_")]
+
+
+def test_ids_tell_null_empty_and_separators_apart(spark):
+    df = local_rows(spark, [("a|b", "c"), ("a", "b|c"), ("", "x"), (None, "x"), ("a", None)], "a string, b string")
+    assert df.select(C.row_id("a", "b").alias("id")).distinct().count() == 5
+
+
+def test_one_decision_per_task(spark):
+    q = queue(spark, event("a", pipeline="PR_OPEN", day=1))
+    at = lambda m: datetime(2024, 1, 1, 12, m)
+    runs = local_rows(spark, [("t", at(5), "FAILED"), ("t", at(1), "SUCCEEDED"), ("u", at(4), "SUCCEEDED"), ("u", at(2), "FAILED"),
+                              ("old", datetime(2024, 1, 1, 11, 0), "FAILED")], "task_name string, scheduled_time timestamp_ntz, state string")
+    got = {r.task_name: (r.failed, r.event_id) for r in E.run_decisions(q, runs, F.lit(at(6))).collect()}
+    assert got == {"t": (True, "a"), "u": (False, None), "old": (False, None)}
+
+
+def test_release_deletes_what_was_stored(spark):
+    from tidemark.session import cut, release
+    from tidemark.sources.tables import path_exists
+
+    stored = cut(kv(spark, [(1, "a")]), "released")
+    path = stored.inputFiles()[0].rsplit("/", 1)[0]
+    assert path_exists(spark, path) and release(spark) > 0 and not path_exists(spark, path)
+    assert release(spark) == 0

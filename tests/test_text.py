@@ -118,3 +118,11 @@ def test_long_text_stays_whole(spark):
     body = "word 'quoted' {{ source('A', 'B') }} \\ $1 " * 20000
     assert one(spark, X.lower_sources, body) == body.replace("source('A', 'B')", "source('a', 'b')")
     assert one(spark, X.strip_fence, "```sql\n" + json.dumps(body) + "\n```") == body
+
+
+def test_text_of_40_million_characters(spark):
+    n = 40_000_000
+    text = F.concat(F.lit('"'), F.repeat(F.lit("x"), F.lit(n)), F.lit('"'))
+    df = spark.range(1).select(text.alias("t"))
+    row = df.select(F.length(X.strip_fence(F.col("t"))), is_whole_json(F.col("t"))).first()
+    assert tuple(row) == (n, True)

@@ -47,7 +47,14 @@ IN_REVIEW_STATES = (PR_OPEN, CI_PASSED, CI_FAILED)
 PATH_ARROW = " → "
 MODEL_ARTIFACT = "dbt_model"
 LOOK_BACK_MINUTES = 15
-ERROR_CHARS = 500
+JSON_OPTIONS = {
+    "maxStringLen": "2147483647",
+    "maxNestingDepth": "2147483647",
+    "maxNumLen": "2147483647",
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
+BRANCH_PREFIX = "schema-change/"
 ADDED_COLUMN_NOTE = ("Column added to ", " by schema drift; review/extend tests as needed.")
 
 # White space that a strip takes off both ends.

@@ -8,11 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import (
+    BRANCH_PREFIX,
     BREAKING,
     CONNECTOR_COLUMNS,
     CONNECTOR_PREFIXES,
     DROP_SUFFIX,
     JOURNAL_INFIX,
+    JSON_OPTIONS,
     LOOK_BACK_MINUTES,
     PRIORITY,
     REVIEW_NUMBER,
@@ -112,33 +114,50 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def json_items(text: Column, item: str) -> Column:
+    """The JSON values in a text, parsed as the items of an array; NULL if they do not parse. Texts of any size are read."""
+    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{item}>", JSON_OPTIONS)
+
+
+def ends_with_value(text: Column) -> Column:
+    """Is nothing behind the first JSON value but what may follow the value of a field?"""
+    field = F.from_json(
+        F.concat(F.lit('{"v":'), text, F.lit("}")), "v string, broken string",
+        {**JSON_OPTIONS, "columnNameOfCorruptRecord": "broken"},
+    )
+    return field["broken"].isNull()
+
+
 def is_whole_json(text: Column) -> Column:
     """Is the text exactly one JSON value?
 
     The parser alone stops after the first value. Text that is one value as an array item and also as an
     object field has nothing behind it.
     """
-    item = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    single = F.size(F.try_variant_get(item, "$", "array<variant>")) == 1
-    return F.coalesce(single, F.lit(False)) & in_object.isNotNull()
+    single = F.size(json_items(text, "string")) == 1
+    return F.coalesce(single, F.lit(False)) & F.coalesce(ends_with_value(text), F.lit(False))
 
 
 def row_id(*columns: Column | str) -> Column:
-    """Stable id from values, so that a retried write gives the same row."""
-    values = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in columns]
-    return F.sha2(F.concat_ws("|", *values), 256)
+    """Stable id from values, so that a retried write gives the same row. NULL and empty text differ."""
+    values = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
+    return F.sha2(F.to_json(F.array(*values)), 256)
 
 
 def branch_label(change_type: Column, table: Column, column: Column) -> Column:
     """`schema-change/<type>-<table>-<column>`, lower case but for the column."""
     named = F.coalesce(F.nullif(column, F.lit("")), F.lit("newtable"))
-    label = F.concat(F.lit("schema-change/"), F.lower(change_type), F.lit("-"), F.lower(table), F.lit("-"), named)
+    label = F.concat(F.lit(BRANCH_PREFIX), F.lower(change_type), F.lit("-"), F.lower(table), F.lit("-"), named)
     return F.regexp_replace(label, "-+$", "")
 
 
 def short_branch_label(event_id: Column) -> Column:
-    return F.concat(F.lit("schema-change/"), F.substring(event_id, 1, 8))
+    """For display; the branch itself has the whole id."""
+    return F.concat(F.lit(BRANCH_PREFIX), F.substring(event_id, 1, 8))
+
+
+def branch_of(event_id: Column) -> Column:
+    return F.concat(F.lit(BRANCH_PREFIX), event_id)
 
 
 def review_title(change_type: Column, table: Column, column: Column) -> Column:

@@ -17,7 +17,7 @@ from ..constants import (
     SOURCE_CALL,
     SOURCE_CALL_PARTS,
 )
-from .columns import is_whole_json, let, rewrite, strip
+from .columns import ends_with_value, json_items, let, rewrite, strip
 
 
 def strip_fence(text: Column) -> Column:
@@ -29,8 +29,9 @@ def strip_fence(text: Column) -> Column:
 
     def decoded(body: Column) -> Column:
         quoted = (F.length(body) >= 2) & body.startswith('"') & body.endswith('"')
-        value = F.try_variant_get(F.try_parse_json(body), "$", "string")
-        return F.when(quoted & is_whole_json(body), value).otherwise(body)
+        single = let(json_items(body, "string"), lambda items: F.when(F.size(items) == 1, F.get(items, F.lit(0))))
+        value = F.when(quoted & ends_with_value(body), single)
+        return F.coalesce(value, body)
 
     return let(strip(text), lambda bare: let(unfenced(bare), decoded))
 

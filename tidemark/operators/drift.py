@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..constants import COLUMN_DROP, LIVE_STATES, NEW_COLUMN, NEW_TABLE, TYPE_CHANGE
 from ..functions.columns import is_business_column, is_drop_marker, is_journal, without_drop_suffix
-from .joins import spread_join
+from ..session import cut
 
 TABLE = ["table_schema", "table_name"]
 COLUMN = [*TABLE, "column_name"]
@@ -56,7 +56,7 @@ def new_columns(columns: DataFrame, registry: DataFrame, events: DataFrame, sche
         ~is_journal(F.col("table_name")) & is_business_column(name, markers=False)
     )
     fresh = candidates.join(registry.select(*COLUMN), BY_COLUMN, "left_anti")
-    of_known = spread_join(fresh, known_tables(registry), BY_TABLE, "left_semi", ["column_name"])
+    of_known = fresh.join(cut(known_tables(registry), "tables"), BY_TABLE, "left_semi")
     found = of_known.select(*_change(NEW_COLUMN, name, F.lit(None), F.col("data_type")))
     return _without_live(found, events, NEW_COLUMN, BY_COLUMN)
 
@@ -134,9 +134,10 @@ def column_changes(columns: DataFrame, registry: DataFrame, events: DataFrame, s
     old = F.when(F.col("change_type") != NEW_COLUMN, F.col("old_type"))
     new = F.when(F.col("change_type") != COLUMN_DROP, F.col("data_type"))
     found = changed.select(*COLUMN, "change_type", old.alias("old_data_type"), new.alias("new_data_type"))
-    tables = known_tables(registry).withColumn("table_known", F.lit(True))
+    # Stored, so that the join does not share its shuffle with a grouping and a table with many columns can be split.
+    tables = cut(known_tables(registry), "tables").withColumn("table_known", F.lit(True))
     in_known_table = (F.col("change_type") != NEW_COLUMN) | F.col("table_known").isNotNull()
-    return spread_join(found, tables, BY_TABLE, "left", ["column_name"]).filter(in_known_table).select(*CHANGE)
+    return found.join(tables, BY_TABLE, "left").filter(in_known_table).select(*CHANGE)
 
 
 def detect(columns: DataFrame, registry: DataFrame, events: DataFrame, schema: str = "BRONZE",
@@ -147,13 +148,6 @@ def detect(columns: DataFrame, registry: DataFrame, events: DataFrame, schema: s
     )
 
 
-def as_events(changes: DataFrame, now: Column, id_from: list[str] | None = None) -> DataFrame:
-    """Event rows with a stable id and the opening states."""
-    from .events import new_events
-
-    return new_events(changes, now, id_from or CHANGE)
-
-
 def snapshot_diff(baseline: DataFrame, current: DataFrame, keys: list[str], compare: list[str]) -> DataFrame:
     """Rows added, removed or changed between two snapshots, with old and new values.
 

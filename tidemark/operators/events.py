@@ -16,7 +16,7 @@ from ..constants import (
     RESOLVED,
 )
 from ..functions.columns import is_true, minutes_before, priority, priority_rank, row_id
-from .joins import spread_join
+from ..session import cut
 from .mutate import update_where
 
 EVENT_SCHEMA = (
@@ -145,9 +145,11 @@ def review_states(reviews: DataFrame) -> DataFrame:
 
 
 def reconcile_reviews(events: DataFrame, reviews: DataFrame, now: Column) -> DataFrame:
-    """Merged: the event is resolved. Closed: it goes back to the queue without branch and address."""
-    in_review = is_true(F.col("pipeline_status").isin(*IN_REVIEW_STATES) & F.col("branch_name").isNotNull())
-    merged, closed = F.col("review_state") == "merged", F.col("review_state") == "closed"
+    """Merged: every unresolved event of the branch is resolved. Closed: events in review go back to the queue without
+    branch and address."""
+    unresolved = is_true((F.col("pipeline_status") != RESOLVED) & F.col("branch_name").isNotNull())
+    merged = F.col("review_state") == "merged"
+    closed = (F.col("review_state") == "closed") & F.col("pipeline_status").isin(*IN_REVIEW_STATES)
     text = F.lit(None).cast("string")
     moved = {
         "status": F.when(merged, RESOLVED).otherwise(F.col("status")),
@@ -156,12 +158,12 @@ def reconcile_reviews(events: DataFrame, reviews: DataFrame, now: Column) -> Dat
         "branch_name": F.when(closed, text).otherwise(F.col("branch_name")),
         "mr_url": F.when(closed, text).otherwise(F.col("mr_url")),
     }
-    # Only events in review travel to the join; the many without a branch stay where they are.
-    joined = spread_join(
-        events.filter(in_review), review_states(reviews), ["branch_name"], "left", ["event_id"]
-    )
+    # Only unresolved events with a branch travel to the join. The states are stored, so that the join does not share
+    # its shuffle with their grouping and a branch with many events can be split.
+    states = cut(review_states(reviews).filter("review_state <> 'open'"), "reviews")
+    joined = events.filter(unresolved).join(states, "branch_name", "left")
     checked = joined.select(*[moved.get(c, F.col(c)).alias(c) for c in events.columns])
-    return events.filter(~in_review).unionByName(checked)
+    return events.filter(~unresolved).unionByName(checked)
 
 
 def settle_passed_run(events: DataFrame) -> DataFrame:
@@ -180,6 +182,16 @@ def settle_failed_run(events: DataFrame, runs: DataFrame, now: Column, **names:
     return update_where(requeued, hit, {"pipeline_status": F.lit(CI_FAILED), "status": F.lit(PENDING)})
 
 
+def run_decisions(events: DataFrame, runs: DataFrame, now: Column, task: str = "task_name", at: str = "scheduled_time",
+                  state: str = "state") -> DataFrame:
+    """One row per task: its newest run, whether that is recent and failed, and the event that then fails with it, the
+    oldest one in review (`event_id`, NULL if nothing is to be done)."""
+    newest = runs.groupBy(task).agg(F.max_by(state, at).alias(state), F.max(at).alias(at))
+    head = next_pending(requeue_stuck(events), ("pipeline_status",), PR_OPEN).select("event_id").scalar()
+    failed = is_true((F.col(at) >= minutes_before(now)) & (F.col(state) == "FAILED"))
+    return newest.withColumn("failed", failed).withColumn("event_id", F.when(F.col("failed"), head))
+
+
 def latest_run_state(runs: DataFrame, now: Column, task: str = "task_name", at: str = "scheduled_time",
                      state: str = "state") -> DataFrame:
     """Newest state per task within the look-back window, and whether it failed."""

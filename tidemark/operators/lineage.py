@@ -6,43 +6,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import COLUMN_CHANGES, MODEL_ARTIFACT, NEW_TABLE, PATH_ARROW
-from ..functions.columns import is_breaking, is_whole_json, name_part, without_database
+from ..functions.columns import ends_with_value, is_breaking, json_items, name_part, strip, without_database
 from ..session import cut
-from .joins import spread_join
 
 MANIFEST_SCHEMA = (
-    "unique_id string, name string, config struct<schema: string>, original_file_path string, "
-    "depends_on struct<nodes: array<string>>"
+    "struct<unique_id: string, name: string, config: struct<schema: string>, original_file_path: string, "
+    "raw_code: string, depends_on: struct<nodes: array<string>>>"
 )
 ARTIFACT = ["artifact_name", "artifact_type", "file_path", "output_fqn"]
 
 
-def parse_manifest(lines: DataFrame, column: str = "line") -> DataFrame:
-    """Model rows from JSON lines; other lines and lines that do not parse are left out."""
-    text = F.trim(F.col(column))
+def parse_manifest(lines: DataFrame, column: str = "line", place: str | None = None) -> DataFrame:
+    """Model rows from JSON lines; other lines and lines that do not parse are left out. Of lines with one id the
+    last by `place` counts, or the largest if the lines have no place."""
+    text = strip(F.col(column))
+    at = F.col(place) if place else F.lit(0)
+    told = lines.select(at.alias("_at"), text.alias("_text")).filter(F.col("_text").startswith("{"))
+    # Only a text that closes an object and then an array can hold more than the one value that is parsed.
+    whole = F.when(F.regexp_like("_text", F.lit(r"\}\s*\]")), ends_with_value(F.col("_text"))).otherwise(True)
+    items = told.filter(whole).select("_at", json_items(F.col("_text"), MANIFEST_SCHEMA).alias("_items"))
     # `inline` keeps the parsed row as one step; plain field references would parse once each.
-    parsed = lines.filter(text.startswith("{") & is_whole_json(text)).select(
-        F.inline(F.array(F.from_json(text, MANIFEST_SCHEMA)))
-    )
-    return parsed.filter(
+    parsed = items.select("_at", F.inline(F.when(F.size("_items") == 1, F.col("_items"))))
+    models = parsed.filter(
         F.col("unique_id").isNotNull() & F.col("name").isNotNull() & F.col("config.schema").isNotNull()
         & F.col("depends_on.nodes").isNotNull()
     ).select(
-        "unique_id", "name", F.upper("config.schema").alias("schema"),
-        F.col("original_file_path").alias("file_path"), F.col("depends_on.nodes").alias("depends_on"),
+        "_at", "unique_id", "name", F.upper("config.schema").alias("schema"),
+        F.col("original_file_path").alias("file_path"), F.coalesce("raw_code", F.lit("")).alias("artifact_sql"),
+        F.col("depends_on.nodes").alias("depends_on"),
     )
+    own = F.struct("_at", "name", "schema", "file_path", "artifact_sql", "depends_on")
+    return models.groupBy("unique_id").agg(F.max(own).alias("m")).select("unique_id", "m.*").drop("_at")
 
 
 def edges_from_models(models: DataFrame, database: str) -> DataFrame:
-    """One edge per dependency: a declared source, or another model looked up by its id. Dependencies on
-    unknown models or on anything else give no edge."""
+    """One edge per dependency, as the artifact registry holds it: a declared source, or another model looked up by
+    its id. Dependencies on unknown models or on anything else give no edge."""
     dep = F.col("dep")
     output = F.concat_ws(".", F.lit(database), F.col("schema"), F.upper("name"))
+    text = F.col("artifact_sql") if "artifact_sql" in models.columns else F.lit("")
     deps = models.select(
         F.concat(F.lower("schema"), F.lit("."), F.col("name")).alias("artifact_name"),
         F.lit(MODEL_ARTIFACT).alias("artifact_type"),
         "file_path",
         output.alias("output_fqn"),
+        text.alias("artifact_sql"),
         F.explode("depends_on").alias("dep"),
     )
     named = F.concat_ws(".", F.upper(name_part(dep, 3)), F.upper(name_part(dep, 4)))
@@ -51,10 +59,13 @@ def edges_from_models(models: DataFrame, database: str) -> DataFrame:
         F.col("unique_id").alias("dep"), F.concat_ws(".", F.col("schema"), F.upper("name")).alias("source_table")
     )
     from_models = deps.filter(dep.startswith("model.")).join(targets, "dep").drop("dep")
-    return from_sources.unionByName(from_models)
+    return from_sources.unionByName(from_models).select(
+        "artifact_name", "artifact_type", "source_table", F.lit(None).cast("array<string>").alias("source_columns"),
+        "artifact_sql", "file_path", "output_fqn",
+    )
 
 
-def walk(starts: DataFrame, edges: DataFrame, database: str, max_depth: int = 100) -> DataFrame:
+def walk(starts: DataFrame, edges: DataFrame, database: str) -> DataFrame:
     """Everything downstream of `starts` (one column, `origin`: a table name).
 
     One join per level; each level keeps one row per origin and artifact with its smallest path, which
@@ -65,26 +76,27 @@ def walk(starts: DataFrame, edges: DataFrame, database: str, max_depth: int = 10
     frontier = starts.select("origin", F.col("origin").alias("node"), F.col("origin").alias("path")).distinct()
     levels: list[DataFrame] = []
     arrow = F.lit(PATH_ARROW)
-    for depth in range(1, max_depth + 1):
+    output = without_database(F.col("output_fqn"), database)
+    while True:
         onward = F.concat(F.col("path"), arrow, F.col("output_fqn"))
-        visited = F.concat(arrow, F.col("path"), arrow).contains(F.concat(arrow, F.col("output_fqn"), arrow))
+        # The start has no database before its name, so names are compared without it.
+        behind = F.concat(arrow, without_database(F.col("path"), database), arrow)
         reached = (
             frontier.join(steps, F.col("node") == F.col("source_table"))
-            .filter(~visited)
+            .filter(~behind.contains(F.concat(arrow, output, arrow)))
             .groupBy("origin", *ARTIFACT)
             .agg(F.min(onward).alias("path"))
         )
-        level = cut(reached.withColumn("depth", F.lit(depth)), f"walk-{depth}")
+        level = cut(reached.withColumn("depth", F.lit(len(levels) + 1)), "walk")
         if level.isEmpty():
-            break
+            return _all_levels(levels, level)
         levels.append(level)
-        frontier = level.select("origin", without_database(F.col("output_fqn"), database).alias("node"), "path")
-    else:
-        raise ValueError(f"lineage is deeper than {max_depth} levels")
-    if not levels:
-        return level
-    result = levels[0]
-    for level in levels[1:]:
+        frontier = level.select("origin", output.alias("node"), "path")
+
+
+def _all_levels(levels: list[DataFrame], empty: DataFrame) -> DataFrame:
+    result = empty
+    for level in levels:
         result = result.unionByName(level)
     return result
 
@@ -93,14 +105,14 @@ def _origin(table: Column, schema: str) -> Column:
     return F.concat(F.lit(schema + "."), table)
 
 
-def impact(events: DataFrame, edges: DataFrame, database: str, schema: str = "BRONZE", max_depth: int = 100) -> DataFrame:
+def impact(events: DataFrame, edges: DataFrame, database: str, schema: str = "BRONZE") -> DataFrame:
     """Per column-level event the artifacts it reaches, with smallest depth and smallest path (taken
     independently of each other)."""
     changes = events.filter(F.col("change_type").isin(*COLUMN_CHANGES)).select(
         "event_id", "change_type", _origin(F.col("table_name"), schema).alias("origin")
     )
     reached = (
-        walk(changes.select("origin").distinct(), edges, database, max_depth)
+        walk(changes.select("origin").distinct(), edges, database)
         .groupBy("origin", *ARTIFACT)
         .agg(F.min("depth").alias("depth"), F.min("path").alias("impact_path"))
     )
@@ -111,113 +123,119 @@ def impact(events: DataFrame, edges: DataFrame, database: str, schema: str = "BR
 
 def impact_by_column(events: DataFrame, edges: DataFrame, schema: str = "BRONZE") -> DataFrame:
     """Direct dependents that read the changed column: whole-table readers (`source_columns` NULL) and
-    those that list it."""
+    those that list it, which are met by table and column."""
     changes = events.select(
         "event_id", "column_name", _origin(F.col("table_name"), schema).alias("source_table")
     )
-    reads = F.col("source_columns").isNull() | F.array_contains("source_columns", F.col("column_name"))
-    return changes.join(edges, "source_table").filter(reads).select("event_id", "column_name", "artifact_name")
+    listed = edges.filter(F.col("source_columns").isNotNull()).select(
+        "artifact_name", "source_table", F.explode(F.array_distinct("source_columns")).alias("column_name")
+    )
+    whole = edges.filter(F.col("source_columns").isNull()).select("artifact_name", "source_table")
+    shown = ["event_id", "column_name", "artifact_name"]
+    return changes.join(listed, ["source_table", "column_name"]).select(*shown).unionByName(
+        changes.join(whole, "source_table").select(*shown)
+    )
 
 
 def with_current_sql(impacted: DataFrame, edges: DataFrame) -> DataFrame:
-    """The impacted artifacts with their current text, in one join."""
+    """Each impacted artifact once, with its current text."""
     texts = edges.groupBy("artifact_name").agg(F.min("artifact_sql").alias("artifact_sql"))
-    joined = spread_join(impacted, texts, ["artifact_name"], "left", ["event_id"])
+    joined = impacted.select("artifact_name").distinct().join(texts, "artifact_name", "left")
     return joined.withColumn("artifact_sql", F.coalesce("artifact_sql", F.lit("")))
 
 
-def downstream(tables: DataFrame, edges: DataFrame, database: str, max_depth: int = 100) -> DataFrame:
-    """Artifacts below any of `tables` (column `origin`), with the largest depth: the order to run them."""
-    return (
-        walk(tables, edges, database, max_depth)
-        .groupBy("artifact_name", "output_fqn")
-        .agg(F.max("depth").alias("run_order"))
-    )
+def downstream(tables: DataFrame, edges: DataFrame, database: str) -> DataFrame:
+    """Artifacts below any of `tables` (column `origin`), with the largest depth: the order to run them.
+
+    Each level is the set of names reached in so many steps. More levels than there are names mean that
+    artifacts depend on each other and have no order, which is an error.
+    """
+    steps = edges.select("artifact_name", "output_fqn", "source_table").distinct()
+    names = steps.select("output_fqn").distinct().count()
+    front = tables.select(F.col("origin").alias("source_table")).distinct()
+    levels: list[DataFrame] = []
+    while True:
+        reached = front.join(steps, "source_table").select("artifact_name", "output_fqn").distinct()
+        level = cut(reached.withColumn("run_order", F.lit(len(levels) + 1)), "downstream")
+        if level.isEmpty():
+            break
+        if len(levels) == names:
+            raise ValueError("artifacts depend on each other")
+        levels.append(level)
+        front = level.select(without_database(F.col("output_fqn"), database).alias("source_table")).distinct()
+    return _all_levels(levels, level).groupBy("artifact_name", "output_fqn").agg(F.max("run_order").alias("run_order"))
 
 
-def reach(starts: DataFrame, edges: DataFrame, max_depth: int = 100) -> DataFrame:
+def reach(starts: DataFrame, edges: DataFrame) -> DataFrame:
     """Nodes reachable over (src, dst) rows with the smallest number of steps; `starts` (column `node`)
     count as step 0."""
-    frontier = cut(starts.select("node").distinct().withColumn("depth", F.lit(0)), "reach-0")
-    seen = frontier
-    for depth in range(1, max_depth + 1):
+    frontier = cut(starts.select("node").distinct().withColumn("depth", F.lit(0)), "reach")
+    seen, depth = frontier, 0
+    while not frontier.isEmpty():
+        depth += 1
         reached = (
             edges.join(frontier.select(F.col("node").alias("src")), "src")
             .select(F.col("dst").alias("node"))
             .distinct()
             .join(seen.select("node"), "node", "left_anti")
         )
-        frontier = cut(reached.withColumn("depth", F.lit(depth)), f"reach-{depth}")
-        if frontier.isEmpty():
-            return seen
+        frontier = cut(reached.withColumn("depth", F.lit(depth)), "reach")
         seen = seen.unionByName(frontier)
-    raise ValueError(f"more than {max_depth} steps")
+        if depth % 16 == 0:  # one table instead of many, so that the plan stays short
+            seen = cut(seen, "reach")
+    return seen
 
 
-def impact_report(events: DataFrame, impacted: DataFrame, specs: DataFrame | None = None,
-                  page_rows: int = 1000) -> DataFrame:
-    """One JSON document per event: the event, what it reaches (by depth, then name), and for a new table
-    the block to generate its model from; an unknown change type gives an error document.
+def impact_report(events: DataFrame, impacted: DataFrame, specs: DataFrame | None = None) -> DataFrame:
+    """What each event means, as rows (event_id, part, place, name, report) with a JSON text each.
 
-    An event with more than `page_rows` artifacts gets several documents (`page` of `pages`), so that no
-    array grows without bound; together they hold every artifact.
+    Every event has one row `event`. A column-level event has a row `impacted` for each artifact it reaches, placed
+    by depth. A new table's event says how to generate its model, and has a row `column` for each of its
+    columns (`specs`, see `new_table_spec`), if any are known. An unknown change type gives an error text.
     """
+
     def text(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(""))
 
-    sizes = impacted.groupBy("event_id").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(page_rows)).cast("int").alias("pages")
-    )
-    number = F.conv(F.substring(F.md5("artifact_name"), 1, 8), 16, 10).cast("bigint")
-    paged = spread_join(impacted, sizes, ["event_id"], "inner", ["artifact_name"]).withColumn(
-        "page", F.when(F.col("pages") > 1, F.pmod(number, F.col("pages")).cast("int")).otherwise(0)
-    )
-    item = F.struct(
-        "depth", "artifact_name", "artifact_type", "file_path", "output_fqn", "impact_path"
-    )
-    lists = paged.groupBy("event_id", "pages", "page").agg(F.sort_array(F.collect_list(item)).alias("items"))
-    shown = F.transform(
-        F.coalesce("items", F.array().cast("array<struct<depth: int, artifact_name: string, artifact_type: string, "
-                                           "file_path: string, output_fqn: string, impact_path: string>>")),
-        lambda i: F.struct(
-            i["artifact_name"].alias("artifact_name"), i["artifact_type"].alias("artifact_type"),
-            i["file_path"].alias("file_path"), i["output_fqn"].alias("output_fqn"), i["depth"].alias("depth"),
-            i["impact_path"].alias("impact_path"),
-        ),
-    )
+    def rows(df: DataFrame, part: str, place: Column, name: Column, report: Column) -> DataFrame:
+        return df.select(
+            "event_id", F.lit(part).alias("part"), place.cast("int").alias("place"), name.alias("name"), report.alias("report")
+        )
+
+    kind, none, top = F.col("change_type"), F.lit(""), F.lit(0)
     column_event = F.struct(
         "event_id", "table_name", text("column_name").alias("column_name"), "change_type",
         text("old_data_type").alias("old_type"), text("new_data_type").alias("new_type"),
-        is_breaking(F.col("change_type")).alias("is_breaking"),
-    )
-    key = ["event_id", F.coalesce("page", F.lit(0)).alias("page"), F.coalesce("pages", F.lit(1)).alias("pages")]
-    documents = events.filter(F.col("change_type").isin(*COLUMN_CHANGES)).join(lists, "event_id", "left").select(
-        *key, F.to_json(F.struct(column_event.alias("event"), shown.alias("impacted"))).alias("report")
-    )
-    other = events.filter(~F.col("change_type").isin(*COLUMN_CHANGES, NEW_TABLE)).select(
-        "event_id", F.lit(0).alias("page"), F.lit(1).alias("pages"),
-        F.to_json(
-            F.struct(F.concat(F.lit("Unknown change_type: "), F.col("change_type")).alias("error"))
-        ).alias("report"),
-    )
-    documents = documents.unionByName(other)
-    if specs is None:
-        return documents
+        is_breaking(kind).alias("is_breaking"),
+    )
+    changed = events.filter(kind.isin(*COLUMN_CHANGES))
+    other = events.filter(~F.coalesce(kind.isin(*COLUMN_CHANGES, NEW_TABLE), F.lit(False)))
+    unknown = F.struct(F.concat(F.lit("Unknown change_type: "), F.coalesce(kind, none)).alias("error"))
+    item = F.struct("artifact_name", "artifact_type", "file_path", "output_fqn", "depth", "impact_path")
+    created = events.filter(kind == NEW_TABLE)
+    keys = None if specs is None else specs.groupBy("table_name").agg(F.max("primary_key").alias("primary_key"))
+    keyed = created.withColumn("primary_key", F.lit(None).cast("string")) if keys is None else created.join(cut(keys, "keys"), "table_name", "left")
     table_event = F.struct(
         "event_id", "table_name", F.lit("").alias("column_name"), F.lit(NEW_TABLE).alias("change_type"),
         F.lit(False).alias("is_breaking"),
     )
     generate = F.struct(
-        F.lit("CREATE").alias("action"), "silver_model_path", F.lit("models/sources.yml").alias("sources_yml_path"),
-        "primary_key", "columns",
+        F.lit("CREATE").alias("action"), silver_model_path(F.col("table_name")).alias("silver_model_path"),
+        F.lit("models/sources.yml").alias("sources_yml_path"), "primary_key",
     )
-    created = events.filter(F.col("change_type") == NEW_TABLE).join(specs, "table_name").select(
-        "event_id", "page", "pages",
-        F.to_json(
-            F.struct(
-                table_event.alias("event"), F.array().cast("array<string>").alias("impacted"),
-                generate.alias("generate"),
-            )
-        ).alias("report"),
+    new = F.to_json(F.struct(table_event.alias("event"), generate.alias("generate")), {"ignoreNullFields": "false"})
+    result = (
+        rows(changed, "event", top, none, F.to_json(F.struct(column_event.alias("event"))))
+        .unionByName(rows(other, "event", top, none, F.to_json(unknown)))
+        .unionByName(rows(impacted, "impacted", F.col("depth"), F.col("artifact_name"), F.to_json(item)))
+        .unionByName(rows(keyed, "event", top, none, new))
     )
-    return documents.unionByName(created)
+    if specs is None:
+        return result
+    columns = created.select("event_id", "table_name").join(specs, "table_name")
+    named = F.struct(F.col("column_name").alias("name"), F.col("data_type").alias("type"))
+    return result.unionByName(rows(columns, "column", F.col("ordinal_position"), F.col("column_name"), F.to_json(named)))
+
+
+def silver_model_path(table: Column) -> Column:
+    return F.concat(F.lit("models/silver/"), F.lower(table), F.lit(".sql"))

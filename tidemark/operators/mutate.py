@@ -32,8 +32,14 @@ def append(target: DataFrame, rows: DataFrame) -> DataFrame:
 
 def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """Add the rows whose key the target does not hold; a NULL key never matches."""
-    fresh = incoming.join(target.select(*keys), keys, "left_anti")
-    return target.unionByName(fresh.select(*target.columns))
+    return target.unionByName(_fresh(target, incoming, keys).select(*target.columns))
+
+
+def _fresh(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """The incoming rows whose key the target does not hold. A small side can be sent in a semi join only if it is the
+    right one, so the target first gives its keys among the incoming, and these few meet the incoming rows."""
+    held = target.select(*keys).join(incoming.select(*keys), keys, "left_semi")
+    return incoming.join(held, keys, "left_anti")
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -56,8 +62,7 @@ def upsert(target: DataFrame, change: DataFrame, keys: list[str], update: list[s
             for c in target.columns
         ]
     )
-    added = change.join(target.select(*keys), keys, "left_anti").select(*target.columns)
-    return kept.unionByName(added)
+    return kept.unionByName(_fresh(target, change, keys).select(*target.columns))
 
 
 def update_where(df: DataFrame, where: Column, values: Mapping[str, Column]) -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..constants import ADDED_COLUMN_NOTE, COLUMN_DROP, NEW_COLUMN, NEW_TABLE
 from ..functions.columns import has_connector_prefix, is_business_column, looks_like_key
+from ..session import cut
 from .drift import TABLE
-from .joins import spread_join
+from .lineage import silver_model_path
 
 
 def infer_primary_key(columns: DataFrame) -> DataFrame:
@@ -23,40 +24,13 @@ def infer_primary_key(columns: DataFrame) -> DataFrame:
     return found.select(*TABLE, F.coalesce("key_like", "first").alias("primary_key"))
 
 
-def new_table_spec(columns: DataFrame, page_columns: int = 1000) -> DataFrame:
-    """Per table the model path, the key and the ordered columns.
-
-    A table wider than `page_columns` gets several rows (`page` of `pages`, by position), so that no array
-    grows without bound.
-    """
-    own = columns.filter(is_business_column(F.col("column_name"))).withColumn(
-        "page", F.floor((F.col("ordinal_position") - 1) / page_columns).cast("int")
-    )
-    listed = own.groupBy(*TABLE, "page").agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct("ordinal_position", F.col("column_name").alias("name"), F.col("data_type").alias("type"))
-            )
-        ).alias("items")
-    )
-    pages = own.groupBy(*TABLE).agg((F.max("page") + 1).alias("pages"))
-    head = infer_primary_key(columns).join(pages, TABLE)
-    columns_list = F.transform("items", lambda c: F.struct(c["name"].alias("name"), c["type"].alias("type")))
-    return listed.join(head, TABLE).select(
-        *TABLE, "page", "pages",
-        F.concat(F.lit("models/silver/"), F.lower("table_name"), F.lit(".sql")).alias("silver_model_path"),
-        "primary_key", columns_list.alias("columns"),
-    )
-
-
-def _newest_change(events: DataFrame, *kinds: str) -> DataFrame:
-    """Last event per model and column, as lower-case model and upper-case column."""
-    place = F.struct("detected_at", "event_id")
-    return (
-        events.filter(F.col("change_type").isin(*kinds) & F.col("column_name").isNotNull())
-        .groupBy(F.lower("table_name").alias("_model"), F.upper("column_name").alias("_column"))
-        .agg(F.max_by(F.struct("change_type", "table_name"), place).alias("last"))
-        .select("_model", "_column", "last.change_type", "last.table_name")
+def new_table_spec(columns: DataFrame) -> DataFrame:
+    """Per own column of a table its position, name and type, with the table's model path and key."""
+    head = cut(infer_primary_key(columns), "keys")
+    own = columns.filter(is_business_column(F.col("column_name")))
+    return own.join(head, TABLE).select(
+        *TABLE, silver_model_path(F.col("table_name")).alias("silver_model_path"), "primary_key", "ordinal_position",
+        "column_name", "data_type",
     )
 
 
@@ -66,22 +40,32 @@ def added_column_note(table: Column) -> Column:
 
 
 def sync_docs(docs: DataFrame, events: DataFrame) -> DataFrame:
-    """Column documentation after the events. `docs` has (model, column_name, description, tests).
+    """Column documentation after the events, as if they came one by one. `docs` has (model, column_name,
+    description, tests).
 
-    A new column gets an entry in the silver model named like its table, unless one is there; a dropped
-    column loses its entry and tests. Names match in any case; models without entries stay out. The last
-    event of a column decides.
+    A dropped column loses its entry and tests. A column added after its last drop, or one without an entry, gets a
+    note in the silver model named like its table. Names match in any case; models without entries stay out.
     """
-    last = _newest_change(events, NEW_COLUMN, COLUMN_DROP)
+    place, kind = F.struct("detected_at", "event_id"), F.col("change_type")
+    changes = (
+        events.filter(kind.isin(NEW_COLUMN, COLUMN_DROP) & F.col("column_name").isNotNull())
+        .groupBy(F.lower("table_name").alias("_model"), F.upper("column_name").alias("_column"))
+        .agg(
+            F.max(F.when(kind == COLUMN_DROP, place)).alias("dropped"),
+            F.max(F.when(kind == NEW_COLUMN, F.struct("detected_at", "event_id", "table_name"))).alias("added"),
+        )
+    )
+    changes = cut(changes, "doc-changes")
     keyed = docs.withColumns({"_model": F.lower("model"), "_column": F.upper("column_name")})
-    gone = last.filter(F.col("change_type") == COLUMN_DROP).select("_model", "_column")
+    gone = changes.filter(F.col("dropped").isNotNull()).select("_model", "_column")
     kept = keyed.join(gone, ["_model", "_column"], "left_anti")
-    models = docs.groupBy(F.lower("model").alias("_model")).agg(F.min("model").alias("model"))
-    added = last.filter(F.col("change_type") == NEW_COLUMN).join(
-        keyed.select("_model", "_column"), ["_model", "_column"], "left_anti"
+    models = cut(docs.groupBy(F.lower("model").alias("_model")).agg(F.min("model").alias("model")), "doc-models")
+    last = F.struct("added.detected_at", "added.event_id")
+    added = changes.filter(F.col("added").isNotNull() & (F.col("dropped").isNull() | (last > F.col("dropped")))).join(
+        kept.select("_model", "_column"), ["_model", "_column"], "left_anti"
     )
-    entries = spread_join(added, models, ["_model"], "inner", ["_column"]).select(
-        "model", F.col("_column").alias("column_name"), added_column_note(F.col("table_name")).alias("description"),
+    entries = added.join(models, "_model").select(
+        "model", F.col("_column").alias("column_name"), added_column_note(F.col("added.table_name")).alias("description"),
         F.array().cast("array<string>").alias("tests"),
     )
     return kept.select(*docs.columns).unionByName(entries.select(*docs.columns))
@@ -90,9 +74,9 @@ def sync_docs(docs: DataFrame, events: DataFrame) -> DataFrame:
 def undocumented(columns: DataFrame, docs: DataFrame) -> DataFrame:
     """Columns of documented models that have no entry; names match in any case."""
     seen = columns.select(F.lower("table_name").alias("model"), F.upper("column_name").alias("column_name"))
-    models = docs.select(F.lower("model").alias("model")).distinct()
+    models = cut(docs.select(F.lower("model").alias("model")).distinct(), "doc-models")
     named = docs.select(F.lower("model").alias("model"), F.upper("column_name").alias("column_name")).distinct()
-    of_models = spread_join(seen, models, ["model"], "left_semi", ["column_name"])
+    of_models = seen.join(models, "model", "left_semi")
     return of_models.join(named, ["model", "column_name"], "left_anti")
 
 

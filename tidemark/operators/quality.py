@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import CLEAN_RUN_MARK, ERROR_CHARS, FAIL_MARKS, MODEL_LAYERS, PASS_MARKS
-from ..functions.columns import any_of, strip
+from ..constants import CLEAN_RUN_MARK, FAIL_MARKS, MODEL_LAYERS, PASS_MARKS, PENDING
+from ..functions.columns import any_of, is_true, strip
+from ..functions.text import compile_model
 from ..session import local_rows
 
 
@@ -98,14 +100,14 @@ VERDICT_SCHEMA = "model string, test_status string, row_count long, test_error s
 
 
 def validate(spark: SparkSession, candidates: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
-    """PASS with the row count, or FAIL with the start of the error, for each candidate; one that fails does
-    not stop the others."""
+    """PASS with the row count, or FAIL with the whole error, for each candidate; one that fails in any way does not
+    stop the others."""
     verdicts = []
     for name, build in candidates.items():
         try:
             verdicts.append((name, "PASS", build().count(), None))
-        except (AnalysisException, PySparkException, ValueError) as error:
-            verdicts.append((name, "FAIL", None, str(error)[:ERROR_CHARS]))
+        except Exception as error:  # whatever a candidate raises is its verdict
+            verdicts.append((name, "FAIL", None, str(error)))
     return local_rows(spark, verdicts, VERDICT_SCHEMA)
 
 
@@ -118,9 +120,13 @@ def _contains_any(text: Column, marks: tuple[str, ...]) -> Column:
     return any_of([text.contains(m) for m in marks])
 
 
+def _told() -> Column:
+    """A log line without its frame."""
+    return strip(F.ltrim(strip(F.col("line")), F.lit("|")))
+
+
 def run_log_results(log: DataFrame) -> DataFrame:
     """Model results from log lines (line_no, line): the last line that names a model decides."""
-    line = strip(F.ltrim(strip(F.col("line")), F.lit("|")))
     status = F.when(_contains_any(F.col("detail"), PASS_MARKS), "PASS").when(
         _contains_any(F.col("detail"), FAIL_MARKS), "FAIL"
     )
@@ -131,7 +137,7 @@ def run_log_results(log: DataFrame) -> DataFrame:
         word = F.nullif(F.regexp_extract(rest, r"^\s*(\S+)", 1), F.lit(""))
         return F.when(F.col("upper").contains(layer + "."), F.concat(F.lit(layer.lower() + "."), F.lower(word)))
 
-    told = log.select("line_no", line.alias("detail")).select("line_no", "detail", F.upper("detail").alias("upper"))
+    told = log.select("line_no", _told().alias("detail")).select("line_no", "detail", F.upper("detail").alias("upper"))
     return (
         told.select(
             "line_no", "detail", status.alias("status"),
@@ -140,7 +146,7 @@ def run_log_results(log: DataFrame) -> DataFrame:
         .filter(F.col("status").isNotNull())
         .groupBy("model")
         .agg(F.max_by(F.struct("status", "detail"), "line_no").alias("last"))
-        .select("model", F.col("last.status").alias("status"), F.substring("last.detail", 1, ERROR_CHARS).alias("detail"))
+        .select("model", F.col("last.status").alias("status"), F.col("last.detail").alias("detail"))
     )
 
 
@@ -151,8 +157,43 @@ def run_verdict(log: DataFrame, exit_code: int) -> DataFrame:
 
 
 def model_status(artifacts: DataFrame, log: DataFrame, exit_code: int) -> DataFrame:
-    """Per artifact (column `model`) its own result, else the result of the whole run."""
-    overall = F.when(run_verdict(log, exit_code).scalar(), "PASS").otherwise("FAIL")
+    """Per artifact (column `model`) its own result, else the result of the whole run with the last failing line of its
+    log, if it failed."""
+    passed = run_verdict(log, exit_code).scalar()
+    failing = log.filter(_contains_any(F.col("line"), FAIL_MARKS))
+    last = F.when(~passed, failing.agg(F.max_by(_told(), "line_no")).scalar())
+    own = F.col("status").isNotNull()
     return artifacts.join(run_log_results(log), "model", "left").select(
-        "model", F.coalesce("status", overall).alias("test_status"), F.coalesce("detail", F.lit("")).alias("test_error")
+        "model", F.coalesce("status", F.when(passed, "PASS").otherwise("FAIL")).alias("test_status"),
+        F.coalesce(F.when(own, F.col("detail")).otherwise(last), F.lit("")).alias("test_error"),
     )
+
+
+def check_candidates(spark: SparkSession, code: DataFrame, tables: Mapping[str, DataFrame], database: str) -> DataFrame:
+    """Stored candidates (event_id, artifact_name, generated_sql, test_status, test_error, ...) after a check of those
+    that are PENDING: compiled, run over `tables` (by `layer.name`), and given a verdict and the whole error.
+
+    The texts of the pending candidates are what reaches the driver; each is a query of its own.
+    """
+    names = {f"{database}.{name.upper()}": f"candidate_{uuid.uuid4().hex}" for name in tables}
+    for df, view in zip(tables.values(), names.values()):
+        df.createOrReplaceTempView(view)
+    pending = code.filter(F.col("test_status") == PENDING).select(
+        "event_id", "artifact_name", compile_model(F.col("generated_sql"), database).alias("text")
+    )
+
+    def runs(text: str) -> Callable[[], DataFrame]:
+        for name in sorted(names, key=len, reverse=True):
+            text = re.sub(rf"(?<![\w.]){re.escape(name)}(?!\w)", names[name], text)
+        return lambda: spark.sql(text)
+
+    rows = [tuple(r) for r in pending.collect()]
+    verdicts = validate(spark, {str(i): runs(text or "") for i, (_, _, text) in enumerate(rows)}).collect()
+    for view in names.values():
+        spark.catalog.dropTempView(view)
+    told = [(e, a, v["test_status"], v["test_error"]) for (e, a, _), v in zip(rows, verdicts)]
+    found = local_rows(spark, told, "event_id string, artifact_name string, _status string, _error string").distinct()
+    joined = code.join(found, ["event_id", "artifact_name"], "left")
+    hit = F.col("_status").isNotNull() & is_true(F.col("test_status") == PENDING)
+    new = {"test_status": F.when(hit, F.col("_status")).otherwise(F.col("test_status")), "test_error": F.when(hit, F.col("_error")).otherwise(F.col("test_error"))}
+    return joined.select(*[new.get(c, F.col(c)).alias(c) for c in code.columns])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import COLUMN_DROP, NEW_COLUMN, NEW_TABLE, TYPE_CHANGE
 from ..functions.columns import is_business_column
+from ..session import cut
 from .drift import BY_COLUMN, BY_TABLE, COLUMN, TABLE, in_schema
 from .joins import spread_join
 from .mutate import insert_if_absent
@@ -30,31 +31,45 @@ def advance_registry(registry: DataFrame, events: DataFrame, columns: DataFrame)
 
     For each column only what follows its last drop counts: the first addition is inserted unless the
     column is still there, and the last type change after that sets the type. A new table adds all of
-    its current columns.
+    its current columns. One grouping gives these facts; only columns that were added before and after their last
+    drop take a second look at their additions.
     """
     position = F.struct(F.col("detected_at"), F.col("event_id"))
+    kind = F.col("change_type")
     placed = events.select(*COLUMN, "change_type", F.col("new_data_type").alias("data_type"), position.alias("pos"))
-    table_events = placed.filter(F.col("change_type") == NEW_TABLE).select(*TABLE, "pos").distinct()
+    table_events = cut(placed.filter(kind == NEW_TABLE).select(*TABLE, "pos").distinct(), "new-tables")
     current = columns.filter(is_business_column(F.col("column_name"), listed=False)).select(*COLUMN, "data_type")
-    from_tables = current.join(table_events, BY_TABLE).withColumn(
-        "change_type", F.lit(NEW_COLUMN)
+    from_tables = current.join(table_events, BY_TABLE).withColumn("change_type", F.lit(NEW_COLUMN))
+    steps = cut(placed.filter(kind.isin(NEW_COLUMN, COLUMN_DROP, TYPE_CHANGE)).unionByName(from_tables), "steps")
+
+    step = F.struct("pos", "data_type")
+    facts = cut(
+        steps.groupBy(*BY_COLUMN).agg(
+            F.max(F.when(kind == COLUMN_DROP, F.col("pos"))).alias("dropped"),
+            F.min(F.when(kind == NEW_COLUMN, step)).alias("first"),
+            F.max(F.when(kind == NEW_COLUMN, F.col("pos"))).alias("last"),
+            F.max(F.when(kind == TYPE_CHANGE, step)).alias("retyped"),
+        ),
+        "facts",
+    )
+    dropped = F.col("dropped")
+    again = facts.filter((F.col("first.pos") < dropped) & (F.col("last") > dropped)).select(*COLUMN, "dropped")
+    later = (
+        spread_join(steps.filter(kind == NEW_COLUMN), cut(again, "again"), BY_COLUMN, "inner", ["pos"])
+        .filter(F.col("pos") > dropped)
+        .groupBy(*BY_COLUMN)
+        .agg(F.min(step).alias("later"))
     )
-    steps = placed.filter(F.col("change_type").isin(NEW_COLUMN, COLUMN_DROP, TYPE_CHANGE)).unionByName(from_tables)
-
-    last_drop = steps.filter(F.col("change_type") == COLUMN_DROP).groupBy(*BY_COLUMN).agg(F.max("pos").alias("dropped"))
-    added = F.col("change_type") == NEW_COLUMN
-    after = spread_join(
-        steps.filter(F.col("change_type") != COLUMN_DROP), last_drop, BY_COLUMN, "left", ["pos"]
-    ).filter(F.col("dropped").isNull() | (F.col("pos") > F.col("dropped")))
-    effects = after.groupBy(*BY_COLUMN).agg(
-        F.min(F.when(added, F.struct("pos", "data_type"))).alias("added"),
-        F.max(F.when(~added, F.struct("pos", "data_type"))).alias("retyped"),
+    since = dropped.isNull()
+    effects = facts.join(later, BY_COLUMN, "left").select(
+        *COLUMN, dropped.isNotNull().alias("_dropped"),
+        F.when(since | (F.col("first.pos") > dropped), F.col("first")).otherwise(F.col("later")).alias("added"),
+        F.when(since | (F.col("retyped.pos") > dropped), F.col("retyped")).alias("retyped"),
     )
 
-    held = registry.select(*COLUMN, F.col("data_type").alias("held_type"))
-    still = held.join(last_drop.select(*COLUMN), BY_COLUMN, "left_anti").withColumn("_held", F.lit(True))
-    both = still.join(effects, BY_COLUMN, "full")
-    is_held = F.col("_held").isNotNull()
+    held = registry.select(*COLUMN, F.col("data_type").alias("held_type"), F.lit(True).alias("_registered"))
+    both = held.join(effects, BY_COLUMN, "full")
+    is_held = F.col("_registered").isNotNull() & ~F.coalesce("_dropped", F.lit(False))
     retype = F.col("retyped").isNotNull() & (is_held | (F.col("retyped.pos") > F.col("added.pos")))
     start = F.when(is_held, F.col("held_type")).otherwise(F.col("added.data_type"))
     return both.filter(is_held | F.col("added").isNotNull()).select(

@@ -3,19 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
-def joined_labels(df: DataFrame, group: list[str], place: str, label: Column, separator: str = "\n",
-                  page_rows: int = 1000) -> DataFrame:
-    """One label per row, joined in order of `place` (a position from 0 that is unique in the group).
-
-    Long groups give several rows (`page`, by position), so that no text grows without bound.
-    """
-    page = F.floor(F.col(place) / page_rows).cast("int")
-    return (
-        df.select(*group, page.alias("page"), F.struct(F.col(place).alias("p"), label.alias("label")).alias("item"))
-        .groupBy(*group, "page")
-        .agg(F.sort_array(F.collect_list("item")).alias("items"))
-        .select(*group, "page", F.array_join(F.col("items.label"), separator).alias("summary"))
-    )
+def labels(df: DataFrame, group: list[str], place: str, label: Column) -> DataFrame:
+    """One row per label with its group and its place there (unique in the group): a text of any length is these
+    rows in the order of their places."""
+    return df.select(*group, place, label.alias("label"))

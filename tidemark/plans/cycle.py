@@ -1,7 +1,8 @@
 """One round of keeping tables in step with their sources: check, prepare, review, merge.
 
-The control tables live in the warehouse's CONFIG layer; every step reads their newest version and writes
-the next one. Only single rows (the head of the queue, one event) come to the driver.
+The control tables live in the warehouse's CONFIG layer, and nothing is kept in memory: events are a log of their
+states, accepted changes a journal from which the present models follow. Only single rows (the head of the queue, one
+event), the journal and the names of models come to the driver.
 """
 
 from __future__ import annotations
@@ -11,41 +12,59 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..constants import CI_FAILED, CI_PASSED, ERROR_CHARS, GENERATED, GENERATING, NEW_TABLE, PENDING, PR_OPEN
-from ..functions.columns import short_branch_label
+from ..constants import CI_FAILED, CI_PASSED, GENERATED, GENERATING, NEW_TABLE, PENDING, PR_OPEN, RESOLVED
+from ..functions.columns import branch_of
+from ..operators.cdc import first_per_key
 from ..operators.drift import COLUMN, detect
-from ..operators.events import EVENT_SCHEMA, event_by_id, new_events, next_pending, resolved, unresolved_of_branch
+from ..operators.events import (
+    EVENT_SCHEMA,
+    event_by_id,
+    new_events,
+    next_pending,
+    reconcile_reviews,
+    resolved,
+    review_states,
+    unresolved_of_branch,
+)
 from ..operators.lineage import impact
-from ..operators.mutate import append, replace_slice, update_where
-from ..operators.newtable import infer_primary_key, sync_docs
+from ..operators.mutate import append, replace_slice, update_where, with_defaults
+from ..operators.newtable import declare_sources, infer_primary_key, sync_docs
 from ..operators.registry import advance_registry, business_columns, seed_registry
 from ..session import local_rows, scratch_dir
-from ..sources.tables import Warehouse, schema_columns
+from ..sources.tables import Warehouse, folders, schema_columns
+from ..streaming.log import BatchLog
 from .models import BreakingChange, Change, Model, evolve, silver_from_columns
-from .run import ARTIFACT_SCHEMA, downstream_of, materialize, model_edges, refresh_lineage, sandbox_run
+from .run import ARTIFACT_SCHEMA, column_docs, downstream_of, materialize, model_edges, refresh_lineage, sandbox_run
 
-REGISTRY, EVENTS, ARTIFACTS, CODE, DOCS = (
+REGISTRY, EVENTS, ARTIFACTS, CODE, DOCS, SOURCES, CHANGES = (
     "config.schema_registry", "config.schema_change_events", "config.artifact_registry", "config.generated_code",
-    "config.column_docs",
+    "config.column_docs", "config.sources", "config.model_changes",
 )
-REGISTRY_SCHEMA = "table_schema string, table_name string, column_name string, data_type string"
+REGISTRY_SCHEMA = "table_schema string, table_name string, column_name string, data_type string, registered_at timestamp_ntz"
+ARTIFACTS_SCHEMA = ARTIFACT_SCHEMA + ", artifact_id string, updated_at timestamp_ntz"
 CODE_SCHEMA = (
     "event_id string, artifact_name string, file_path string, action string, generated_sql string, "
     "test_status string, test_error string, generated_at timestamp_ntz"
 )
 DOCS_SCHEMA = "model string, column_name string, description string, tests array<string>"
+SOURCES_SCHEMA = "source string, table_name string"
+CHANGES_SCHEMA = (
+    "place int, change_type string, table_name string, column_name string, new_data_type string, "
+    "columns array<string>, primary_key string"
+)
 
 
 @dataclass
 class Cycle:
-    """A warehouse, its models, and the bronze tables as they are now (by `bronze.<name>`)."""
+    """A warehouse, the models it started with, and their documentation. Bronze tables are given by `bronze.<name>`."""
 
     spark: SparkSession
     warehouse: Warehouse
     models: dict[str, Model]
     database: str
-    proposed: dict[str, dict[str, Model]] = field(default_factory=dict)
+    docs: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
 
     def table(self, name: str, schema: str) -> DataFrame:
         if self.warehouse.exists(self.spark, name):
@@ -56,22 +75,36 @@ class Cycle:
         self.warehouse.write(self.spark, name, df)
 
     def events(self) -> DataFrame:
-        return self.table(EVENTS, EVENT_SCHEMA)
+        """Every event in its newest state."""
+        return first_per_key(self._event_log.read(self.spark), ["event_id"], [F.col("change_no").desc()]).drop("change_no")
 
     def columns(self, bronze: Mapping[str, DataFrame]) -> DataFrame:
         return schema_columns(self.spark, {name.split(".", 1)[1]: df for name, df in bronze.items()})
 
-    def set_up(self, bronze: Mapping[str, DataFrame]) -> DataFrame:
-        """Register the present schema, write the lineage and run all models."""
-        self.save(REGISTRY, seed_registry(self.table(REGISTRY, REGISTRY_SCHEMA), self.columns(bronze)))
-        self._write_lineage()
-        return materialize(self.spark, self.models, bronze, self.warehouse)
+    def current(self) -> dict[str, Model]:
+        """The models with all accepted changes."""
+        models = dict(self.models)
+        for change in self.table(CHANGES, CHANGES_SCHEMA).orderBy("place").collect():
+            models = _changed(models, change)
+        return models
+
+    def set_up(self, bronze: Mapping[str, DataFrame], now: Column | None = None) -> DataFrame:
+        """Register the present schema, write lineage, documentation and sources, and run all models."""
+        now = F.current_timestamp() if now is None else now
+        models = self.current()
+        self._register(seed_registry(self.table(REGISTRY, REGISTRY_SCHEMA), self.columns(bronze)), now)
+        if not self.warehouse.exists(self.spark, DOCS):
+            self.save(DOCS, column_docs(self.spark, self.docs))
+        landed = [("bronze", name.split(".", 1)[1]) for name in bronze]
+        if not self.warehouse.exists(self.spark, SOURCES):
+            self.save(SOURCES, local_rows(self.spark, landed, SOURCES_SCHEMA))
+        self._write_lineage(models, now)
+        return materialize(self.spark, models, bronze, self.warehouse)
 
     def check(self, bronze: Mapping[str, DataFrame], now: Column) -> DataFrame:
         """Look for drift and queue what is new."""
         found = detect(self.columns(bronze), self.table(REGISTRY, REGISTRY_SCHEMA), self.events())
-        fresh = new_events(found, now, [*COLUMN, "change_type", "old_data_type", "new_data_type"])
-        self.save(EVENTS, append(self.events(), fresh))
+        self._record(new_events(found, now, [*COLUMN, "change_type", "old_data_type", "new_data_type"]))
         return self.events()
 
     def prepare_next(self, bronze: Mapping[str, DataFrame], now: Column) -> str | None:
@@ -80,24 +113,22 @@ class Cycle:
         head = next_pending(self.events()).collect()
         if not head:
             return None
-        event = head[0]
+        event, current = head[0], self.current()
         self._move(event.event_id, {"pipeline_status": F.lit(GENERATING)})
         try:
-            models = self._evolved(event, bronze)
+            models = _changed(current, self._change(event, bronze))
         except BreakingChange as error:
-            self._move(
-                event.event_id, {"pipeline_status": F.lit(CI_FAILED), "test_output": F.lit(str(error)[:ERROR_CHARS])}
-            )
+            self._move(event.event_id, {"pipeline_status": F.lit(CI_FAILED), "test_output": F.lit(str(error))})
             return event.event_id
         touched = self._touched(event, models)
-        code = self._code_rows(event, models, touched, now)
+        code = self._code_rows(event, current, models, touched, now)
         slice_ = F.col("event_id") == event.event_id
         self.save(CODE, replace_slice(self.table(CODE, CODE_SCHEMA), code, slice_, keep_if_empty=False))
         listed = F.array(
             *[
                 F.struct(
                     F.lit(name).alias("artifact_name"), F.lit(_path(name)).alias("file_path"),
-                    F.lit(self._action(name)).alias("action"),
+                    F.lit(_action(name, current)).alias("action"),
                 )
                 for name in touched
             ]
@@ -105,7 +136,7 @@ class Cycle:
         self._move(event.event_id, {"pipeline_status": F.lit(GENERATED), "generated_changes": listed})
         self._move(
             event.event_id,
-            {"pipeline_status": F.lit(PR_OPEN), "branch_name": short_branch_label(F.col("event_id"))},
+            {"pipeline_status": F.lit(PR_OPEN), "branch_name": branch_of(F.col("event_id"))},
         )
         sandbox = Warehouse(scratch_dir(self.spark, "sandbox"), env="DEV")
         verdicts = sandbox_run(
@@ -118,24 +149,33 @@ class Cycle:
         self.save(CODE, replace_slice(self.table(CODE, CODE_SCHEMA), tested, slice_))
         failed = not verdicts.filter(F.col("test_status") == "FAIL").isEmpty()
         self._move(event.event_id, {"pipeline_status": F.lit(CI_FAILED if failed else CI_PASSED), "status": F.lit(PENDING)})
-        if not failed:
-            self.proposed[event.event_id] = models
         return event.event_id
 
     def merge(self, event_id: str, bronze: Mapping[str, DataFrame], now: Column) -> DataFrame | None:
-        """Accept a prepared event: the models change for good, the baseline moves on, the event is closed and
-        the tables below the source are rebuilt. An unknown id changes nothing."""
-        chosen = event_by_id(self.events(), event_id)
+        """Accept an event: the present models change for good, the tables below the source are rebuilt, the baseline
+        moves on and the event is closed.
+
+        The control tables move last and the event at the very end, so an error (a change that breaks a model, a
+        rebuild that fails) leaves all as it was. An unknown or resolved id changes nothing.
+        """
+        chosen = event_by_id(self.events(), event_id).filter(F.col("pipeline_status") != RESOLVED)
         rows = chosen.collect()
         if not rows:
             return None
-        self.models = self.proposed.pop(event_id, self.models)
-        self.save(REGISTRY, advance_registry(self.table(REGISTRY, REGISTRY_SCHEMA), chosen, self.columns(bronze)))
+        change = self._change(rows[0], bronze)
+        models = _changed(self.current(), change)
+        below = downstream_of(models, [f"bronze.{rows[0].table_name.lower()}"])
+        counts = materialize(self.spark, models, bronze, self.warehouse, only=below) if below else None
+        columns = self.columns(bronze)
+        self._register(advance_registry(self.table(REGISTRY, REGISTRY_SCHEMA), chosen, columns), now)
         self.save(DOCS, sync_docs(self.table(DOCS, DOCS_SCHEMA), chosen))
-        self.save(EVENTS, resolved(self.events(), F.col("event_id") == event_id, now))
-        self._write_lineage()
-        below = downstream_of(self.models, [f"bronze.{rows[0].table_name.lower()}"])
-        return materialize(self.spark, self.models, bronze, self.warehouse, only=below) if below else None
+        self.save(SOURCES, declare_sources(self.table(SOURCES, SOURCES_SCHEMA), chosen))
+        journal = self.table(CHANGES, CHANGES_SCHEMA)
+        place = journal.count() + 1
+        self.save(CHANGES, append(journal, local_rows(self.spark, [(place, *change[1:])], CHANGES_SCHEMA)))
+        self._write_lineage(models, now)
+        self._record(resolved(chosen, F.lit(True), now))
+        return counts
 
     def merge_branch(self, branch: str, bronze: Mapping[str, DataFrame], now: Column) -> list[str]:
         """Accept every unresolved event of a branch, oldest first; returns their ids."""
@@ -145,46 +185,83 @@ class Cycle:
             self.merge(event_id, bronze, now)
         return ids
 
+    def poll(self, reviews: DataFrame, bronze: Mapping[str, DataFrame], now: Column) -> list[str]:
+        """Follow the reviews: a merged one accepts all its branch's events, a closed one sends them back to the
+        queue. Returns the ids of the accepted ones."""
+        states = review_states(reviews)
+        waiting = self.events().filter((F.col("pipeline_status") != RESOLVED) & F.col("branch_name").isNotNull())
+        of_closed = waiting.join(states.filter("review_state = 'closed'"), "branch_name", "left_semi")
+        self._record(reconcile_reviews(of_closed.select(*waiting.columns), reviews, now))
+        of_merged = waiting.join(states.filter("review_state = 'merged'"), "branch_name", "left_semi")
+        branches = [r["branch_name"] for r in of_merged.groupBy("branch_name").agg(F.min("detected_at").alias("at")).orderBy("at", "branch_name").collect()]
+        return [event_id for branch in branches for event_id in self.merge_branch(branch, bronze, now)]
+
+    @property
+    def _event_log(self) -> BatchLog:
+        return BatchLog(self.warehouse.path(EVENTS), T.StructType.fromDDL(EVENT_SCHEMA + ", change_no bigint"))
+
+    def _record(self, changed: DataFrame) -> None:
+        """Append new states of events; what is already there is not written again."""
+        log = self._event_log
+        number = max(folders(self.spark, log.path, "batch"), default=-1) + 1
+        log.write(changed.withColumn("change_no", F.lit(number).cast("bigint")), number)
+
     def _move(self, event_id: str, values: Mapping[str, Column]) -> None:
-        self.save(EVENTS, update_where(self.events(), F.col("event_id") == event_id, values))
+        self._record(update_where(event_by_id(self.events(), event_id), F.lit(True), values))
+
+    def _register(self, baseline: DataFrame, now: Column) -> None:
+        """Store the baseline; a column keeps the time of its registration."""
+        before = self.table(REGISTRY, REGISTRY_SCHEMA).select(*COLUMN, "registered_at")
+        dated = baseline.select(*COLUMN, "data_type").join(before, COLUMN, "left")
+        self.save(REGISTRY, with_defaults(dated, {"registered_at": now.cast("timestamp_ntz")}))
 
-    def _write_lineage(self) -> None:
-        edges = model_edges(self.spark, self.models, self.database)
+    def _write_lineage(self, models: Mapping[str, Model], now: Column) -> None:
+        edges = with_defaults(
+            model_edges(self.spark, models, self.database), {"updated_at": now.cast("timestamp_ntz")}, "artifact_id",
+            ["artifact_name", "source_table"],
+        )
         production = self.warehouse.env.upper() == "PROD"
-        self.save(ARTIFACTS, refresh_lineage(self.table(ARTIFACTS, ARTIFACT_SCHEMA), edges, production))
-
-    def _evolved(self, event: Row, bronze: Mapping[str, DataFrame]) -> dict[str, Model]:
-        if event.change_type != NEW_TABLE:
-            return evolve(
-                self.models,
-                [Change(event.change_type, event.table_name, event.column_name, event.new_data_type)],
-            )
-        own = self.columns(bronze).filter(F.col("table_name") == event.table_name)
-        key = infer_primary_key(own).first()["primary_key"]
-        names = {r["column_name"] for r in business_columns(own).select("column_name").collect()}
-        landed = bronze[f"bronze.{event.table_name.lower()}"]
-        model = silver_from_columns(event.table_name, [c for c in landed.columns if c.upper() in names], key)
-        return {**self.models, model.name: model}
+        self.save(ARTIFACTS, refresh_lineage(self.table(ARTIFACTS, ARTIFACTS_SCHEMA), edges, production))
+
+    def _change(self, event: Row, bronze: Mapping[str, DataFrame]) -> Row:
+        """The event as a row of the journal; a new table's own columns and key are part of it."""
+        names, key = None, None
+        if event.change_type == NEW_TABLE:
+            own = self.columns(bronze).filter(F.col("table_name") == event.table_name)
+            key = infer_primary_key(own).first()["primary_key"]
+            listed = {r["column_name"] for r in business_columns(own).select("column_name").collect()}
+            names = [c for c in bronze[f"bronze.{event.table_name.lower()}"].columns if c.upper() in listed]
+        fields = [f.name for f in T.StructType.fromDDL(CHANGES_SCHEMA)]
+        return Row(*fields)(0, event.change_type, event.table_name, event.column_name, event.new_data_type, names, key)
 
     def _touched(self, event: Row, models: Mapping[str, Model]) -> list[str]:
         if event.change_type == NEW_TABLE:
             return [f"silver.{event.table_name.lower()}"]
-        edges = self.table(ARTIFACTS, ARTIFACT_SCHEMA)
+        edges = self.table(ARTIFACTS, ARTIFACTS_SCHEMA)
         found = impact(event_by_id(self.events(), event.event_id), edges, self.database)
         mine = found.filter(F.col("artifact_name").isin(*models)).select("artifact_name").distinct()
         names = {r["artifact_name"] for r in mine.collect()}
         return [name for name in models if name in names]
 
-    def _action(self, name: str) -> str:
-        return "UPDATE" if name in self.models else "CREATE"
-
-    def _code_rows(self, event: Row, models: Mapping[str, Model], touched: list[str], now: Column) -> DataFrame:
-        rows = [(event.event_id, name, _path(name), self._action(name), models[name].sql(), PENDING) for name in touched]
+    def _code_rows(self, event: Row, current: Mapping[str, Model], models: Mapping[str, Model], touched: list[str], now: Column) -> DataFrame:
+        rows = [(event.event_id, name, _path(name), _action(name, current), models[name].sql(), PENDING) for name in touched]
         schema = "event_id string, artifact_name string, file_path string, action string, generated_sql string, test_status string"
         return local_rows(self.spark, rows, schema).select(
             "*", F.lit(None).cast("string").alias("test_error"), now.cast("timestamp_ntz").alias("generated_at")
         )
 
 
+def _changed(models: Mapping[str, Model], change: Row) -> dict[str, Model]:
+    """The models after one row of the journal."""
+    if change.change_type != NEW_TABLE:
+        return evolve(models, [Change(change.change_type, change.table_name, change.column_name, change.new_data_type)])
+    model = silver_from_columns(change.table_name, change.columns, change.primary_key)
+    return {**models, model.name: model}
+
+
+def _action(name: str, current: Mapping[str, Model]) -> str:
+    return "UPDATE" if name in current else "CREATE"
+
+
 def _path(name: str) -> str:
     return f"models/{name.replace('.', '/')}.sql"

@@ -142,7 +142,7 @@ class AggregateModel:
 
     def build(self, inputs: Mapping[str, DataFrame]) -> DataFrame:
         fact = self._cast(inputs[self.fact], "fact")
-        first_keys = [self._group(g, fact) for g in self.groups if g.of == "fact"]
+        first_keys = [self.group_column(g, fact) for g in self.groups if g.of == "fact"]
         counted = [m.columns[0] for m in self.measures if m.kind == "count_distinct" and m.columns[0] != self._unique_key]
         if self.dimension is not None:
             counted.append(self.fact_join)
@@ -152,7 +152,7 @@ class AggregateModel:
         rows = fact.groupBy(*first_keys, *extra).agg(*(partial or [F.count(F.lit(1)).alias("_rows")]))
         if self.dimension is not None:
             dim = self._cast(inputs[self.dimension], "dimension")
-            columns = [self._group(g, dim) for g in self.groups if g.of == "dimension"]
+            columns = [self.group_column(g, dim) for g in self.groups if g.of == "dimension"]
             keyed = dim.select(F.col(self.dimension_join).alias(f"_k_{self.fact_join}"), *columns)
             rows = rows.join(keyed, f"_k_{self.fact_join}")
         single = len(extra) == 1
@@ -174,7 +174,8 @@ class AggregateModel:
         return own
 
     @staticmethod
-    def _group(group: Group, df: DataFrame) -> Column:
+    def group_column(group: Group, df: DataFrame) -> Column:
+        """A grouping column over the fact or the dimension."""
         column = F.col(group.column)
         if group.by_day:
             column = day(column, df.schema[group.column].dataType.simpleString())

@@ -7,6 +7,7 @@ from ..operators.cdc import CdcSpec
 from ..operators.quality import ModelTests, Relationship
 from .models import AggregateModel, Group, Measure, Model, RowModel
 
+# Names of tables, columns, groups and measures.
 _AUDIT = (INSERTED_COLUMN, VERSION_COLUMN)
 
 CUSTOMERS = RowModel(
@@ -73,61 +74,15 @@ CATEGORY_SUMMARY = AggregateModel(
 
 MODELS: dict[str, Model] = {m.name: m for m in (CUSTOMERS, ORDERS, ORDER_ITEMS, ORDERS_DAILY, CATEGORY_SUMMARY)}
 
-# What the columns mean; the audit columns and the three customer traits of the daily table have no entry.
+def _shown(model: Model) -> list[str]:
+    if isinstance(model, RowModel):
+        return [c for c in model.columns if c not in _AUDIT]
+    return [x.alias for x in (*model.groups, *model.measures)]
+
+
+# One entry for each column, the name in words; the audit columns have none.
 COLUMN_DOCS: dict[str, dict[str, str]] = {
-    "silver.customers": {
-        "customer_id": "Key of the customer.",
-        "first_name": "Given name.",
-        "last_name": "Family name.",
-        "email": "Mail address.",
-        "phone": "Phone number.",
-        "country": "Country of the customer.",
-        "segment": "Market segment.",
-        "created_at": "When the source made the row.",
-        "updated_at": "When the source last changed the row.",
-        "loyalty_tier": "Tier in the loyalty scheme.",
-        "preferred_contact": "Channel to contact the customer by.",
-        "preferred_language": "Language to use.",
-    },
-    "silver.orders": {
-        "order_id": "Key of the order.",
-        "customer_id": "Customer of the order.",
-        "order_date": "When the order was made.",
-        "status": "State of the order.",
-        "total_amount": "Value of the order.",
-        "currency": "Currency of the value.",
-        "channel": "Where it was sold.",
-        "created_at": "When the source made the row.",
-        "updated_at": "When the source last changed the row.",
-    },
-    "silver.order_items": {
-        "item_id": "Key of the item.",
-        "order_id": "Order the item is part of.",
-        "product_id": "Product sold.",
-        "product_name": "Name of the product.",
-        "quantity": "Number of units.",
-        "unit_price": "Price of one unit.",
-        "created_at": "When the source made the row.",
-    },
-    "gold.orders_daily": {
-        "order_date": "Day of the orders.",
-        "country": "Country of the customers.",
-        "segment": "Segment of the customers.",
-        "channel": "Where it was sold.",
-        "status": "State of the orders.",
-        "order_count": "Number of different orders.",
-        "customer_count": "Number of different customers.",
-        "total_revenue": "Value of the orders together.",
-        "avg_order_value": "Mean value of an order.",
-    },
-    "gold.category_summary": {
-        "product_name": "Name of the product.",
-        "items_sold": "Number of different items.",
-        "total_units": "Units sold.",
-        "total_revenue": "Units times price, together.",
-        "avg_unit_price": "Mean price of a unit.",
-        "order_count": "Number of different orders.",
-    },
+    name: {c: c.replace("_", " ").capitalize() + "." for c in _shown(model)} for name, model in MODELS.items()
 }
 
 TESTS: dict[str, ModelTests] = {

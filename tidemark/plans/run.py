@@ -11,7 +11,7 @@ from ..constants import MODEL_ARTIFACT
 from ..operators.mutate import replace_slice
 from ..operators.quality import row_counts, validate
 from ..session import local_rows
-from ..sources.tables import Warehouse
+from ..sources.tables import Warehouse, delete
 from .models import Model
 
 ARTIFACT_SCHEMA = (
@@ -59,15 +59,22 @@ def build_all(models: Mapping[str, Model], sources: Mapping[str, DataFrame]) ->
 
 def materialize(spark: SparkSession, models: Mapping[str, Model], sources: Mapping[str, DataFrame], out: Warehouse,
                 only: Iterable[str] | None = None) -> DataFrame:
-    """Full refresh into `out`: each model reads its inputs as written. Returns rows per model."""
+    """Full refresh into `out`: each model reads its inputs as written. Returns rows per model. If a model fails, the
+    versions written before it are taken back."""
     chosen = run_order(models) if only is None else [n for n in run_order(models) if n in set(only)]
     tables = dict(sources)
-    for name in run_order(models):
-        if name in chosen:
-            out.write(spark, name, models[name].build(tables))
-            tables[name] = out.read(spark, name)
-        elif out.exists(spark, name):
-            tables[name] = out.read(spark, name)
+    written: list[str] = []
+    try:
+        for name in run_order(models):
+            if name in chosen:
+                written.append(out.write(spark, name, models[name].build(tables)))
+                tables[name] = spark.read.parquet(written[-1])
+            elif out.exists(spark, name):
+                tables[name] = out.read(spark, name)
+    except Exception:
+        for path in written:
+            delete(spark, path)
+        raise
     return row_counts({n: tables[n] for n in chosen})
 
 
@@ -114,10 +121,10 @@ def column_docs(spark: SparkSession, docs: Mapping[str, Mapping[str, str]]) -> D
 
 
 def model_edges(spark: SparkSession, models: Mapping[str, Model], database: str) -> DataFrame:
-    """Lineage edges of the models, whole-table dependencies."""
+    """Lineage edges of the models, whole-table dependencies, with the text of each model."""
     rows = [
         (
-            name, MODEL_ARTIFACT, source.upper(), None, "", f"models/{name.replace('.', '/')}.sql",
+            name, MODEL_ARTIFACT, source.upper(), None, model.sql(), f"models/{name.replace('.', '/')}.sql",
             f"{database}.{name.upper()}",
         )
         for name, model in models.items()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -10,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-_fallback: dict[str, str] = {}
+_used: dict[str, list[str]] = {}
 
 
-def local_session(cpus: int | str = "*", app: str = "tidemark") -> SparkSession:
+def local_session(cpus: int | str = "*", app: str = "tidemark", scratch: str | None = None) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
     cores = 8 if cpus == "*" else int(cpus)
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores))
@@ -24,25 +23,34 @@ def local_session(cpus: int | str = "*", app: str = "tidemark") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
     )
+    if scratch:
+        builder = builder.config("spark.checkpoint.dir", scratch)
+    return builder.getOrCreate()
 
 
 def scratch_dir(spark: SparkSession, label: str = "work") -> str:
     """A fresh path below the folder that every executor can reach.
 
-    The cluster names that folder in `spark.checkpoint.dir`. Only a local session without the
-    setting gets a folder of its own.
+    The cluster names that folder in `spark.checkpoint.dir`; without it the warehouse folder is used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        app = spark.sparkContext.applicationId
-        base = _fallback.setdefault(app, "")
-        if not base:
-            base = _fallback[app] = tempfile.mkdtemp(prefix="tidemark-")
-    return f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+    _used.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the scratch folders this application has made so far; returns their number.
+
+    For the caller to take once results are written: a DataFrame that was returned still reads these folders.
+    """
+    paths = _used.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
 
 
 def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

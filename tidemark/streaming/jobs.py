@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..constants import LIVE_STATES
 from ..operators.cdc import CdcSpec, current_state, newest
-from ..operators.drift import CHANGE, detect
+from ..operators.drift import CHANGE, TABLE, detect
 from ..operators.events import new_events
-from ..plans.models import Model
+from ..plans.models import AggregateModel, Model, RowModel
 from ..plans.run import downstream_of, materialize
-from ..sources.tables import Warehouse
+from ..session import cut
+from ..sources.tables import Warehouse, finished, folders
 from .log import BatchLog
 
 
@@ -61,6 +64,75 @@ def refresh_downstream(models: Mapping[str, Model], source: str, log: BatchLog,
     return refresh
 
 
+@dataclass(frozen=True)
+class GroupLog:
+    """An aggregate that follows a change log: per batch the groups it touched, and their rows if they have any.
+
+    A group is named by the aggregate's grouping columns that come from the fact.
+    """
+
+    path: str
+    aggregate: AggregateModel
+
+    @property
+    def keys(self) -> list[str]:
+        return [g.alias for g in self.aggregate.groups if g.of == "fact"]
+
+    def refresh(self, row: RowModel, log: BatchLog, dimension: DataFrame | None = None) -> Callable[[SparkSession, int], None]:
+        """Step for `after_batch`: only groups of keys in the batch, before and after it, are computed again, from
+        the keys that ever had a version in them."""
+
+        def on_batch(spark: SparkSession, batch_id: int) -> None:
+            until = log.read(spark, before=batch_id + 1)
+            keys = cut(log.read_batch(spark, batch_id).select(*row.spec.keys).distinct(), "changed-keys")
+            before = row.build({row.source: _among(log.read(spark, before=batch_id), keys)})
+            after = row.build({row.source: _among(until, keys)})
+            touched = cut(self._groups(before).unionByName(self._groups(after)).distinct(), "touched-groups")
+            versions = until.join(touched.withColumnsRenamed({k: f"_g_{k}" for k in self.keys}), self._same(until, touched), "left_semi")
+            candidates = cut(versions.select(*row.spec.keys).distinct(), "candidate-keys")
+            fact = row.build({row.source: _among(until, candidates)})
+            fact = fact.join(touched.withColumnsRenamed({k: f"_g_{k}" for k in self.keys}), self._same(fact, touched), "left_semi")
+            tables = {self.aggregate.fact: fact, **({self.aggregate.dimension: dimension} if dimension is not None else {})}
+            number = F.lit(batch_id).cast("bigint")
+            self.aggregate.build(tables).withColumn("_batch", number).write.mode("overwrite").parquet(f"{self.path}/rows/batch={batch_id}")
+            touched.withColumn("_batch", number).write.mode("overwrite").parquet(f"{self.path}/touched/batch={batch_id}")
+
+        return on_batch
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The aggregate as of the last batch: of each group what the last batch that touched it wrote."""
+        last = self._stored(spark, "touched").groupBy(*self.keys).agg(F.max("_batch").alias("_last"))
+        named = last.withColumnsRenamed({k: f"_g_{k}" for k in self.keys})
+        rows = self._stored(spark, "rows")
+        same = F.col("_batch") == F.col("_last")
+        for k in self.keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+        return rows.join(named, same, "left_semi").drop("_batch")
+
+    def _stored(self, spark: SparkSession, part: str) -> DataFrame:
+        done = finished(spark, folders(spark, f"{self.path}/{part}", "batch"))
+        return spark.read.parquet(*[done[n] for n in sorted(done)])
+
+    def _groups(self, fact: DataFrame) -> DataFrame:
+        return fact.select(*[self.aggregate.group_column(g, fact) for g in self.aggregate.groups if g.of == "fact"])
+
+    def _same(self, fact: DataFrame, touched: DataFrame) -> Column:
+        same = F.lit(True)
+        for g in self.aggregate.groups:
+            if g.of == "fact":
+                same = same & self.aggregate.group_column(g, fact).eqNullSafe(F.col(f"_g_{g.alias}"))
+        return same
+
+
+def _among(log: DataFrame, keys: DataFrame) -> DataFrame:
+    """The versions of some keys; NULL keys are equal."""
+    named = keys.withColumnsRenamed({k: f"_k_{k}" for k in keys.columns})
+    same = F.lit(True)
+    for k in keys.columns:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return log.join(named, same, "left_semi")
+
+
 def stream_drift(seen: DataFrame, registry: DataFrame, earlier: DataFrame, log: BatchLog, checkpoint: str,
                  latest: Callable[[DataFrame], DataFrame], seen_at: str = "seen_at", schema: str = "BRONZE",
                  trigger: Mapping[str, object] | None = None) -> StreamingQuery:
@@ -71,14 +143,20 @@ def stream_drift(seen: DataFrame, registry: DataFrame, earlier: DataFrame, log:
     repeated batch writes the same events.
     """
 
+    open_ = earlier.select(*CHANGE, "status").filter(F.col("status").isin(*LIVE_STATES))
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
-        known = earlier.select(*CHANGE, "status").unionByName(
-            log.read(spark, before=batch_id).select(*CHANGE, "status")
+        seen_columns = cut(latest(batch), "sightings")
+        tables = cut(seen_columns.select(*TABLE).distinct(), "sighted-tables")
+        # Only what concerns the tables of this batch takes part.
+        known = open_.join(tables, TABLE, "left_semi").unionByName(
+            log.read(spark, before=batch_id).select(*CHANGE, "status").join(tables, TABLE, "left_semi")
         )
+        held = registry.join(tables, TABLE, "left_semi")
         now = batch.agg(F.max(seen_at)).scalar()
-        log.write(new_events(detect(latest(batch), registry, known, schema), now, CHANGE), batch_id)
+        log.write(new_events(detect(seen_columns, held, known, schema), now, CHANGE), batch_id)
         batch.unpersist()
 
     return (

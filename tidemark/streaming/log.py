@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..sources.tables import finished, folders
+from ..sources.tables import delete, finished, folders
 
 
 @dataclass(frozen=True)
@@ -30,11 +30,22 @@ class BatchLog:
             return spark.createDataFrame([], self.schema)
         return spark.read.schema(self.schema).parquet(*paths)
 
+    def read_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """Rows of one batch."""
+        return spark.read.schema(self.schema).parquet(f"{self.path}/batch={batch_id}")
+
     def compact(self, spark: SparkSession, reduce: Callable[[DataFrame], DataFrame]) -> None:
-        """Fold all finished batches into one base folder."""
+        """Fold all finished batches into one base folder, then drop the folders it holds. Without a new batch
+        nothing happens, and a base that was broken off is written anew. No reader may be at work on the old folders."""
         batches = finished(spark, folders(spark, self.path, "batch"))
-        if batches:
-            reduce(self.read(spark)).write.mode("errorifexists").parquet(f"{self.path}/base={max(batches)}")
+        bases = finished(spark, folders(spark, self.path, "base"))
+        newest = max(batches, default=-1)
+        if newest > max(bases, default=-1):
+            reduce(self.read(spark)).write.mode("overwrite").parquet(f"{self.path}/base={newest}")
+            bases[newest] = f"{self.path}/base={newest}"
+        held = max(bases, default=-1)
+        for old in [p for n, p in batches.items() if n <= held] + [p for n, p in bases.items() if n < held]:
+            delete(spark, old)
 
     def _paths(self, spark: SparkSession, before: int | None) -> list[str]:
         batches = finished(spark, folders(spark, self.path, "batch"))

@@ -148,9 +148,7 @@ def registry_col_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 _BASELINED = """NOT (starts_with(column_name, '_SNOWFLAKE_') OR starts_with(column_name, 'PAYLOAD__')
     OR starts_with(column_name, 'PRIMARY_KEY__'))"""
-_APPLIED_EVENTS = f"""(SELECT * FROM {roles.COLUMN_EVENTS} UNION ALL
-    SELECT t.* FROM {roles.TABLE_EVENTS} t JOIN orders ON event_id = 'T' || o_orderkey
-    WHERE o_orderpriority = '4-NOT SPECIFIED')"""
+_APPLIED_EVENTS = roles.CATALOG_EVENTS
 ADVANCE_SQL = f"""
     WITH ev AS MATERIALIZED (SELECT * FROM {_APPLIED_EVENTS}),
     steps AS (
@@ -181,15 +179,8 @@ ADVANCE_SQL = f"""
 
 @query("advance_registry", ADVANCE_SQL)
 def advance_registry(spark: SparkSession, sf: str) -> DataFrame:
-    """The baseline after every sighting was resolved as an event, and new tables of one kind of order."""
-    chosen = (
-        table(spark, sf, "orders")
-        .filter(F.col("o_orderpriority") == "4-NOT SPECIFIED")
-        .select(F.concat(F.lit("T"), F.col("o_orderkey").cast("string")).alias("event_id"))
-    )
-    tables = roles.table_events(spark, sf).join(chosen, "event_id")
-    events = roles.column_events(spark, sf).unionByName(tables)
-    return registry.advance_registry(roles.registry(spark, sf), events, roles.catalog(spark, sf))
+    """The baseline after every sighting and every table was resolved as an event."""
+    return registry.advance_registry(roles.registry(spark, sf), roles.catalog_events(spark, sf), roles.catalog(spark, sf))
 
 
 KEY_SQL = f"""SELECT table_schema, table_name, COALESCE(
@@ -203,18 +194,15 @@ def infer_primary_key(spark: SparkSession, sf: str) -> DataFrame:
     return newtable.infer_primary_key(roles.catalog(spark, sf))
 
 
-SPEC_SQL = f"""SELECT c.table_schema, c.table_name, 0 AS page, 1 AS pages,
-        'models/silver/' || lower(c.table_name) || '.sql' AS silver_model_path, any_value(k.primary_key) AS primary_key,
-        '[' || string_agg('{{"name":"' || column_name || '","type":"' || data_type || '"}}', ',' ORDER BY ordinal_position)
-            || ']' AS columns
+SPEC_SQL = f"""SELECT c.table_schema, c.table_name, 'models/silver/' || lower(c.table_name) || '.sql' AS silver_model_path,
+        k.primary_key, c.ordinal_position, c.column_name, c.data_type
     FROM {CATALOG} c JOIN ({KEY_SQL}) k ON {_SAME.format(a='c', b='k')}
-    WHERE {BUSINESS_SQL} GROUP BY c.table_schema, c.table_name"""
+    WHERE {BUSINESS_SQL.replace('column_name', 'c.column_name')}"""
 
 
 @query("new_table_spec", SPEC_SQL)
 def new_table_spec(spark: SparkSession, sf: str) -> DataFrame:
-    specs = newtable.new_table_spec(roles.catalog(spark, sf))
-    return specs.withColumn("columns", F.to_json("columns"))
+    return newtable.new_table_spec(roles.catalog(spark, sf))
 
 
 @query(
@@ -248,16 +236,16 @@ _DOCS = f"""(SELECT lower(table_name) AS model, column_name, 'Column ' || column
     f"""
     WITH last AS (SELECT lower(table_name) AS m, upper(column_name) AS k,
             arg_max(change_type, row(detected_at, event_id)) AS change_type,
-            arg_max(table_name, row(detected_at, event_id)) AS table_name
+            arg_max(table_name, row(detected_at, event_id)) AS table_name,
+            bool_or(change_type = 'COLUMN_DROP') AS was_dropped
         FROM {roles.COLUMN_EVENTS} WHERE change_type IN ('NEW_COLUMN', 'COLUMN_DROP') GROUP BY 1, 2),
     docs AS (SELECT * FROM {_DOCS})
     SELECT model, column_name, description, array_to_string(tests, ',') AS tests FROM docs d
-    WHERE NOT EXISTS (SELECT 1 FROM last WHERE m = lower(d.model) AND k = upper(d.column_name)
-        AND change_type = 'COLUMN_DROP')
+    WHERE NOT EXISTS (SELECT 1 FROM last WHERE m = lower(d.model) AND k = upper(d.column_name) AND was_dropped)
     UNION ALL
     SELECT m, k, 'Column added to ' || table_name || ' by schema drift; review/extend tests as needed.', ''
     FROM last WHERE change_type = 'NEW_COLUMN' AND m IN (SELECT lower(model) FROM docs)
-        AND NOT EXISTS (SELECT 1 FROM docs d WHERE lower(d.model) = m AND upper(d.column_name) = k)
+        AND (was_dropped OR NOT EXISTS (SELECT 1 FROM docs d WHERE lower(d.model) = m AND upper(d.column_name) = k))
     """,
 )
 def docs_sync(spark: SparkSession, sf: str) -> DataFrame:

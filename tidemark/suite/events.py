@@ -18,7 +18,8 @@ _EVENT_LIST = _EVENT.split(", ")
 
 @query("event_lookup", f"SELECT {_EVENT} FROM {QUEUE} WHERE event_id = 'E500'")
 def event_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return events.event_by_id(roles.queue(spark, sf), "E500").select(*_EVENT_LIST)
+    """The id is made from the order's key, so the key is what reaches the scan."""
+    return events.event_by_id(roles.queue(spark, sf, F.col("o_orderkey") == 500), "E500").select(*_EVENT_LIST)
 
 
 @query(
@@ -124,7 +125,8 @@ _REVIEWS = """(SELECT 'schema-change/' || l_orderkey AS branch_name, l_linenumbe
         FROM {_REVIEWS} WHERE merged_at IS NOT NULL OR state = 'closed'),
     first AS (SELECT branch_name, verdict FROM (SELECT *, row_number() OVER (PARTITION BY branch_name
         ORDER BY position, verdict) AS rn FROM verdicts) WHERE rn = 1),
-    seen AS (SELECT q.*, CASE WHEN q.pipeline_status IN ('PR_OPEN', 'CI_PASSED', 'CI_FAILED') THEN f.verdict END AS verdict
+    seen AS (SELECT q.*, CASE WHEN q.pipeline_status <> 'RESOLVED' AND (f.verdict = 'merged'
+            OR q.pipeline_status IN ('PR_OPEN', 'CI_PASSED', 'CI_FAILED')) THEN f.verdict END AS verdict
         FROM {QUEUE} q LEFT JOIN first f ON q.branch_name = f.branch_name)
     SELECT event_id, CASE WHEN verdict = 'merged' THEN 'RESOLVED' ELSE status END AS status,
         CASE verdict WHEN 'merged' THEN 'RESOLVED' WHEN 'closed' THEN 'PENDING' ELSE pipeline_status END AS pipeline_status,
@@ -161,33 +163,25 @@ def resolve_branch(spark: SparkSession, sf: str) -> DataFrame:
     return events.resolved(roles.queue(spark, sf), merged, roles.now()).select(*_LIFE.split(", "))
 
 
-_RUNS = """(SELECT ts, CASE event_type WHEN 'error' THEN 'FAILED' ELSE 'SUCCEEDED' END AS state FROM events
-    WHERE user_id = 0)"""
+_RUNS = """(SELECT user_id, ts, CASE event_type WHEN 'error' THEN 'FAILED' ELSE 'SUCCEEDED' END AS state FROM events)"""
 
 
 @query(
     "settle_failed_run",
     f"""
-    WITH q AS (SELECT event_id, detected_at, status, CASE pipeline_status WHEN 'GENERATING' THEN 'PENDING'
-            ELSE pipeline_status END AS pipeline_status FROM {QUEUE}),
-    head AS (SELECT event_id FROM q WHERE pipeline_status = 'PR_OPEN' ORDER BY detected_at, event_id LIMIT 1),
-    run AS (SELECT arg_max(state, ts) = 'FAILED' AS failed FROM {_RUNS}
-        WHERE ts >= (SELECT max(ts) FROM {_RUNS} WHERE state = 'FAILED') - INTERVAL 15 MINUTES
-            AND ts <= (SELECT max(ts) FROM {_RUNS} WHERE state = 'FAILED'))
-    SELECT event_id, CASE WHEN hit THEN 'PENDING' ELSE status END AS status,
-        CASE WHEN hit THEN 'CI_FAILED' ELSE pipeline_status END AS pipeline_status
-    FROM (SELECT *, event_id IN (SELECT event_id FROM head) AND COALESCE((SELECT failed FROM run), FALSE) AS hit FROM q)
+    WITH head AS (SELECT event_id FROM {QUEUE} WHERE pipeline_status = 'PR_OPEN' ORDER BY detected_at, event_id LIMIT 1),
+    newest AS (SELECT user_id, arg_max(state, ts) AS state, max(ts) AS ts FROM {_RUNS} GROUP BY user_id),
+    seen AS (SELECT *, state = 'FAILED' AND ts >= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTES AS failed FROM newest)
+    SELECT *, CASE WHEN failed THEN (SELECT event_id FROM head) END AS event_id FROM seen
     """,
 )
 def settle_failed_run(spark: SparkSession, sf: str) -> DataFrame:
-    """The runs of one task, seen from its last failure."""
-    runs = table(spark, sf, "events").filter("user_id = 0").select(
-        F.lit("test").alias("task_name"), F.col("ts").alias("scheduled_time"),
-        F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCEEDED").alias("state"),
+    """Every user as a task, seen from the newest run of all: which task's run fails the oldest event in review."""
+    runs = table(spark, sf, "events").select(
+        "user_id", "ts", F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCEEDED").alias("state")
     )
-    seen_at = runs.filter("state = 'FAILED'").agg(F.max("scheduled_time")).scalar()
-    past = runs.filter(F.col("scheduled_time") <= seen_at)
-    return events.settle_failed_run(roles.queue(spark, sf), past, seen_at).select("event_id", "status", "pipeline_status")
+    newest_run = runs.agg(F.max("ts")).scalar()
+    return events.run_decisions(roles.queue(spark, sf), runs, newest_run, "user_id", "ts", "state")
 
 
 @query(

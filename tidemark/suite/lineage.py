@@ -9,12 +9,14 @@ from ..operators import lineage, newtable
 from ..session import cut
 from . import roles
 from .base import query, table
-from .drift import SPEC_SQL
+from .drift import KEY_SQL, SPEC_SQL
 from .roles import DATABASE, EDGES, LINE_EDGES, QUEUE, REGION_EVENTS
 
 _MODEL_EDGE = """SELECT '{layer}.{item}_' || {key} AS artifact_name, 'dbt_model' AS artifact_type,
-    'models/{layer}/{item}_' || {key} || '.sql' AS file_path, 'SHOP.{upper}.{item_upper}_' || {key} AS output_fqn,
-    {source} AS source_table FROM {table}"""
+    {source} AS source_table, CAST(NULL AS VARCHAR[]) AS source_columns,
+    'SELECT ' || {key} || ' AS id' || chr(10) || 'FROM {item}' AS artifact_sql,
+    'models/{layer}/{item}_' || {key} || '.sql' AS file_path, 'SHOP.{upper}.{item_upper}_' || {key} AS output_fqn
+    FROM {table}"""
 
 
 def _model_edge(layer: str, item: str, key: str, source: str, from_table: str) -> str:
@@ -29,9 +31,10 @@ def _manifest_line(df: DataFrame, layer: str, item: str, key: str, deps: list) -
         name.alias("name"),
         F.struct(F.lit(layer).alias("schema")).alias("config"),
         F.concat(F.lit(f"models/{layer}/"), name, F.lit(".sql")).alias("original_file_path"),
+        F.concat(F.lit("SELECT "), F.col(key).cast("string"), F.lit(f" AS id\nFROM {item}")).alias("raw_code"),
         F.struct(F.array(*deps).alias("nodes")).alias("depends_on"),
     )
-    return df.select(F.to_json(model).alias("line"))
+    return df.select(F.concat(F.lit("\t "), F.to_json(model)).alias("line"))
 
 
 def manifest_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -106,14 +109,14 @@ def impact_analysis(spark: SparkSession, sf: str) -> DataFrame:
     "impact_with_code",
     f"""
     WITH {_WALK_SQL}, texts AS (SELECT artifact_name, min(artifact_sql) AS artifact_sql FROM e GROUP BY 1)
-    SELECT DISTINCT t.event_id, w.artifact_name, x.artifact_sql
+    SELECT DISTINCT w.artifact_name, x.artifact_sql
     FROM walk w JOIN {REGION_EVENTS} t ON w.origin = 'BRONZE.' || t.table_name JOIN texts x USING (artifact_name)
     """,
 )
 def impact_with_code(spark: SparkSession, sf: str) -> DataFrame:
     edges = _stored_edges(spark, sf)
     impacted = lineage.impact(roles.region_events(spark, sf), edges, DATABASE)
-    return lineage.with_current_sql(impacted, edges).select("event_id", "artifact_name", "artifact_sql")
+    return lineage.with_current_sql(impacted, edges)
 
 
 @query(
@@ -140,7 +143,7 @@ def impact_by_column(spark: SparkSession, sf: str) -> DataFrame:
 _COLUMN_EVENT = """'{"event":{"event_id":"' || event_id || '","table_name":"' || table_name || '","column_name":"'
     || COALESCE(column_name, '') || '","change_type":"' || change_type || '","old_type":"' || COALESCE(old_data_type, '')
     || '","new_type":"' || COALESCE(new_data_type, '') || '","is_breaking":'
-    || CASE WHEN change_type IN ('COLUMN_DROP', 'TYPE_CHANGE') THEN 'true' ELSE 'false' END || '},"impacted":['"""
+    || CASE WHEN change_type IN ('COLUMN_DROP', 'TYPE_CHANGE') THEN 'true' ELSE 'false' END || '}}'"""
 _ITEM = """'{"artifact_name":"' || e.artifact_name || '","artifact_type":"dbt_model","file_path":"' || e.file_path
     || '","output_fqn":"' || e.output_fqn || '","depth":1,"impact_path":"BRONZE.' || q.table_name || ' → '
     || e.output_fqn || '"}'"""
@@ -149,26 +152,31 @@ _ITEM = """'{"artifact_name":"' || e.artifact_name || '","artifact_type":"dbt_mo
 @query(
     "impact_json",
     f"""
-    WITH q AS MATERIALIZED (SELECT * FROM {QUEUE}),
-    items AS (SELECT q.event_id, string_agg({_ITEM}, ',' ORDER BY e.artifact_name) AS items
-        FROM q JOIN {LINE_EDGES} e ON e.source_table = 'BRONZE.' || q.table_name GROUP BY q.event_id)
-    SELECT event_id, 0 AS page, 1 AS pages, {_COLUMN_EVENT} || COALESCE(items, '') || ']}}' AS report
-    FROM q LEFT JOIN items USING (event_id) WHERE change_type IN ('COLUMN_DROP', 'TYPE_CHANGE', 'NEW_COLUMN')
+    WITH q AS MATERIALIZED (SELECT * FROM {QUEUE})
+    SELECT event_id, 'event' AS part, 0 AS place, '' AS name, {_COLUMN_EVENT} AS report
+    FROM q WHERE change_type IN ('COLUMN_DROP', 'TYPE_CHANGE', 'NEW_COLUMN')
     UNION ALL
-    SELECT event_id, 0, 1, '{{"error":"Unknown change_type: RENAME"}}' FROM q WHERE change_type = 'RENAME'
+    SELECT q.event_id, 'impacted', 1, e.artifact_name, {_ITEM}
+    FROM q JOIN {LINE_EDGES} e ON e.source_table = 'BRONZE.' || q.table_name
+    WHERE change_type IN ('COLUMN_DROP', 'TYPE_CHANGE', 'NEW_COLUMN')
     UNION ALL
-    SELECT event_id, 0, 1, '{{"event":{{"event_id":"' || event_id || '","table_name":"' || q.table_name
-        || '","column_name":"","change_type":"NEW_TABLE","is_breaking":false}},"impacted":[],"generate":'
-        || '{{"action":"CREATE","silver_model_path":"' || silver_model_path
-        || '","sources_yml_path":"models/sources.yml","primary_key":"' || primary_key || '","columns":' || s.columns
-        || '}}}}'
-    FROM q JOIN ({SPEC_SQL}) s ON s.table_name = q.table_name AND s.table_schema = 'BRONZE'
+    SELECT event_id, 'event', 0, '', '{{"error":"Unknown change_type: RENAME"}}' FROM q WHERE change_type = 'RENAME'
+    UNION ALL
+    SELECT event_id, 'event', 0, '', '{{"event":{{"event_id":"' || event_id || '","table_name":"' || q.table_name
+        || '","column_name":"","change_type":"NEW_TABLE","is_breaking":false}},"generate":'
+        || '{{"action":"CREATE","silver_model_path":"models/silver/' || lower(q.table_name)
+        || '.sql","sources_yml_path":"models/sources.yml","primary_key":'
+        || COALESCE('"' || k.primary_key || '"', 'null') || '}}}}'
+    FROM q LEFT JOIN ({KEY_SQL}) k ON k.table_name = q.table_name AND k.table_schema = 'BRONZE'
     WHERE change_type = 'NEW_TABLE'
+    UNION ALL
+    SELECT event_id, 'column', ordinal_position, s.column_name, '{{"name":"' || s.column_name || '","type":"' || s.data_type || '"}}'
+    FROM q JOIN ({SPEC_SQL}) s ON s.table_name = q.table_name AND s.table_schema = 'BRONZE' WHERE change_type = 'NEW_TABLE'
     """,
 )
 def impact_json(spark: SparkSession, sf: str) -> DataFrame:
     events, edges = roles.queue(spark, sf), cut(roles.line_edges(spark, sf), "edges")
-    specs = newtable.new_table_spec(roles.catalog(spark, sf)).filter("table_schema = 'BRONZE'")
+    specs = cut(newtable.new_table_spec(roles.catalog(spark, sf)).filter("table_schema = 'BRONZE'"), "specs")
     return lineage.impact_report(events, lineage.impact(events, edges, DATABASE), specs)
 
 

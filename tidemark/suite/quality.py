@@ -194,26 +194,59 @@ def run_log_results(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "model_status",
     f"""
-    SELECT 'silver.user_' || c_custkey AS model, COALESCE(status, 'FAIL') AS test_status, COALESCE(detail, '') AS test_error
-    FROM customer LEFT JOIN {_RESULTS_SQL} ON model = 'silver.user_' || c_custkey
+    WITH names AS (SELECT unnest(['silver.user_', 'gold.user_']) || c_custkey AS model FROM customer),
+    failing AS (SELECT arg_max(trim(ltrim(trim(line), '|')), line_no) AS line FROM {_LOG_SQL}
+        WHERE contains(line, 'ERROR creating') OR contains(line, 'Database Error'))
+    SELECT n.model, COALESCE(status, 'FAIL') AS test_status,
+        CASE WHEN status IS NULL THEN COALESCE((SELECT line FROM failing), '') ELSE detail END AS test_error
+    FROM names n LEFT JOIN {_RESULTS_SQL} r ON r.model = n.model
     """,
 )
 def model_status(spark: SparkSession, sf: str) -> DataFrame:
-    """Every customer as an artifact; the run as a whole ended with exit code 1."""
-    artifacts = table(spark, sf, "customer").select(
-        F.concat(F.lit("silver.user_"), F.col("c_custkey").cast("string")).alias("model")
-    )
+    """Every customer as an artifact of either layer; the run as a whole ended with exit code 1."""
+    layers = F.explode(F.array(F.lit("silver.user_"), F.lit("gold.user_")))
+    artifacts = table(spark, sf, "customer").select(layers.alias("layer"), F.col("c_custkey").cast("string").alias("key"))
+    artifacts = artifacts.select(F.concat("layer", "key").alias("model"))
     return quality.model_status(artifacts, run_log(spark, sf), exit_code=1)
 
 
 @query(
     "artifact_summary",
     """
-    SELECT conv_id, CAST(floor(turn / 1000.0) AS INTEGER) AS page,
-        string_agg('- `turn_' || turn || '` (' || role || ')', chr(10) ORDER BY turn) AS summary
-    FROM conversations GROUP BY ALL
+    SELECT conv_id, turn, '- `turn_' || turn || '` (' || role || ')' AS label FROM conversations
     """,
 )
 def artifact_summary(spark: SparkSession, sf: str) -> DataFrame:
     label = F.concat(F.lit("- `turn_"), F.col("turn").cast("string"), F.lit("` ("), F.col("role"), F.lit(")"))
-    return summary.joined_labels(table(spark, sf, "conversations"), ["conv_id"], "turn", label)
+    return summary.labels(table(spark, sf, "conversations"), ["conv_id"], "turn", label)
+
+
+_CANDIDATE_ROWS = """SELECT 'N' || n_nationkey AS event_id, 'silver.nation_' || n_nationkey AS artifact_name,
+    CASE n_nationkey % 3 WHEN 2 THEN 'PASS' ELSE 'PENDING' END AS test_status FROM nation"""
+
+
+@query(
+    "candidate_check",
+    f"""
+    SELECT event_id, artifact_name, CASE WHEN test_status = 'PASS' OR substr(event_id, 2)::INT % 3 = 0 THEN 'PASS'
+        ELSE 'FAIL' END AS test_status, test_status = 'PENDING' AND substr(event_id, 2)::INT % 3 = 1 AS has_error
+    FROM ({_CANDIDATE_ROWS})
+    """,
+)
+def candidate_check(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored candidate per nation: a third reads its customers, a third a column that is not there, a third was
+    checked before."""
+    key = F.col("n_nationkey")
+    text = F.concat(
+        F.lit("{{ config(schema='silver') }} SELECT "), F.when(key % 3 == 1, "no_such_column").otherwise("c_custkey"),
+        F.lit(" FROM {{ source('bronze', 'customer') }} WHERE c_nationkey = "), key.cast("string"),
+    )
+    code = table(spark, sf, "nation").select(
+        F.concat(F.lit("N"), key.cast("string")).alias("event_id"),
+        F.concat(F.lit("silver.nation_"), key.cast("string")).alias("artifact_name"),
+        text.alias("generated_sql"),
+        F.when(key % 3 == 2, "PASS").otherwise("PENDING").alias("test_status"),
+        F.lit(None).cast("string").alias("test_error"),
+    )
+    checked = quality.check_candidates(spark, code, {"bronze.customer": table(spark, sf, "customer")}, roles.DATABASE)
+    return checked.select("event_id", "artifact_name", "test_status", F.col("test_error").isNotNull().alias("has_error"))

@@ -305,15 +305,17 @@ QUEUE = """(SELECT 'E' || o_orderkey AS event_id, o_orderdate AS detected_at, 'B
     CAST(NULL AS TIMESTAMP) AS resolved_at FROM orders)"""
 
 
-def queue(spark: SparkSession, sf: str) -> DataFrame:
-    """Every order as a change event somewhere in its life cycle."""
+def queue(spark: SparkSession, sf: str, where: Column | None = None) -> DataFrame:
+    """Every order (or those a test on the orders selects) as a change event somewhere in its life cycle."""
+    orders = table(spark, sf, "orders")
+    orders = orders if where is None else orders.filter(where)
     kind, state, price = F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_totalprice")
     number = F.col("o_orderkey").cast("string")
 
     def prefixed(text: str):
         return F.concat(F.lit(text), number)
 
-    return table(spark, sf, "orders").select(
+    return orders.select(
         prefixed("E").alias("event_id"),
         F.col("o_orderdate").alias("detected_at"),
         F.lit("BRONZE").alias("table_schema"),

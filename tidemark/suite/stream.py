@@ -8,20 +8,31 @@ from pyspark.sql import types as T
 
 from ..operators.cdc import CdcSpec, newest
 from ..operators.events import EVENT_SCHEMA
-from ..session import scratch_dir
-from ..sources.tables import Warehouse
-from ..streaming.jobs import refresh_downstream, state_log, stored_state, stream_current_state, stream_drift
+from ..session import cut, scratch_dir
+from ..streaming.jobs import GroupLog, state_log, stored_state, stream_current_state, stream_drift
 from ..streaming.log import BatchLog
 from . import roles
 from .base import ORACLES, query, table
 from .drift import DETECT_SQL
 
 
-def follow(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """The files of one table as a stream."""
-    schema = table(spark, sf, name).schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-    return reader.option("pathGlobFilter", f"{name}*.parquet").parquet(sf)
+#: Files that a table is dealt into before it is followed, one per micro-batch.
+FILES = 3
+
+
+def follow(spark: SparkSession, sf: str, name: str, *keys: str) -> DataFrame:
+    """One table as a stream of several micro-batches: its rows are first dealt into files of their own, by `keys` if
+    all rows of a key belong into one batch."""
+    rows = table(spark, sf, name)
+    path = scratch_dir(spark, f"stream-{name}")
+    rows.repartition(FILES, F.xxhash64(*(keys or rows.columns))).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def follow_stored(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """The files of a stored table as a stream, whether it is one file or a folder of part files."""
+    reader = spark.readStream.schema(table(spark, sf, name).schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(f"{sf}/{name}.parque[t]")
 
 
 @query("stream_current_state", ORACLES["cdc_current_state"])
@@ -35,24 +46,22 @@ def stream_users(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_gold", ORACLES["orders_daily"])
 def stream_gold(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders arrive as a stream; the daily table is rebuilt after each batch."""
+    """Orders arrive as a stream; after each batch the days it touched are computed again."""
     work = scratch_dir(spark, "stream-gold")
     changes = roles.as_bronze_orders(follow(spark, sf, "orders"))
     log = state_log(changes, f"{work}/log")
-    out = Warehouse(f"{work}/warehouse")
-    others = {n: df for n, df in roles.bronze(spark, sf).items() if n != "bronze.orders"}
-    silver = {"silver.customers": roles.DRIVER_MODELS["silver.customers"].build(others)}
-    refresh = refresh_downstream(roles.DRIVER_MODELS, "bronze.orders", log, {**others, **silver}, out)
+    customers = roles.DRIVER_MODELS["silver.customers"].build({"bronze.customers": roles.bronze_customers(spark, sf)})
+    daily = GroupLog(f"{work}/daily", roles.DRIVER_MODELS["gold.orders_daily"])
+    refresh = daily.refresh(roles.DRIVER_MODELS["silver.orders"], log, cut(customers, "customers"))
     stream_current_state(changes, CdcSpec(("order_id",)), log, f"{work}/checkpoint", refresh).awaitTermination()
-    daily = out.read(spark, "gold.orders_daily")
-    return daily.withColumn("total_revenue", F.col("total_revenue").cast("double"))
+    return daily.read(spark).withColumn("total_revenue", F.col("total_revenue").cast("double"))
 
 
 @query("stream_drift", DETECT_SQL)
 def stream_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Sightings of columns arrive as a stream and are checked against the registry."""
     work = scratch_dir(spark, "stream-drift")
-    seen = follow(spark, sf, "lineitem").withColumn("deleted", F.col("l_returnflag") == "R")
+    seen = follow(spark, sf, "lineitem", *roles.LINE_KEYS).withColumn("deleted", F.col("l_returnflag") == "R")
     log = BatchLog(f"{work}/log", T.StructType.fromDDL(EVENT_SCHEMA))
     earlier = roles.catalog_events(spark, sf).withColumn("old_data_type", F.lit(None).cast("string"))
     stream_drift(

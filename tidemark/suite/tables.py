@@ -166,7 +166,7 @@ def seed_if_empty(spark: SparkSession, sf: str) -> DataFrame:
     f"""
     SELECT event_id::VARCHAR AS event_id, user_id, event_type, ts AS detected_at, 'PENDING' AS status FROM events
     UNION ALL
-    SELECT sha256('T' || o_orderkey || '|' || o_orderstatus), o_custkey, o_orderstatus, TIMESTAMP '{NOW}', 'PENDING'
+    SELECT sha256('["T' || o_orderkey || '","' || o_orderstatus || '"]'), o_custkey, o_orderstatus, TIMESTAMP '{NOW}', 'PENDING'
     FROM orders
     """,
 )

@@ -45,7 +45,7 @@ def scalar_strings(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def json_props(spark: SparkSession, sf: str) -> DataFrame:
-    value = F.variant_get(F.parse_json("props"), "$.k", "int")
+    value = F.get(C.json_items(F.col("props"), "struct<k: int>"), F.lit(0))["k"]
     return table(spark, sf, "events").select(
         "event_id", value.alias("k"), F.to_json(F.struct("event_type", value.alias("k"))).alias("rebuilt")
     )
@@ -76,7 +76,7 @@ def json_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
     lines = table(spark, sf, "events").select("event_id", F.trim(line).alias("line"))
     kept = lines.filter(F.col("line").startswith("{") & C.is_whole_json(F.col("line")))
-    return kept.select("event_id", F.variant_get(F.parse_json("line"), "$.k", "int").alias("k"))
+    return kept.select("event_id", F.get(C.json_items(F.col("line"), "struct<k: int>"), F.lit(0))["k"].alias("k"))
 
 
 # Every document is wrapped the way a model's answer or a model file would hold it.
