@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 #: Rows handled at once in a task, and UTF-8 bytes after which such a part ends early.
 PART_ROWS, PART_BYTES = 1024, 8 << 20
+#: Longer documents are left out of samples that the driver learns from; like all others they are scored in full.
+SAMPLE_BYTES = 64 << 10
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,17 +25,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 @lru_cache(maxsize=8)
-def _zipped(application: str) -> str:
+def _zipped(application: str) -> str | None:
     package = Path(__file__).resolve().parents[1]
+    if not package.is_dir():
+        return None
     return shutil.make_archive(f"{tempfile.mkdtemp(prefix='tidemark-')}/tidemark", "zip", package.parent, package.name)
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, as --py-files would; once per application."""
+    """Send this package to the executors, as --py-files would; once per application. One that was sent so itself is there already."""
     context = spark.sparkContext
     before = _zipped.cache_info().misses
     path = _zipped(context.applicationId)
-    if _zipped.cache_info().misses > before:
+    if path and _zipped.cache_info().misses > before:
         context.addPyFile(path)
 
 
@@ -137,7 +141,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
 
     Held-out ids, null ids and null labels are left out, and so are ids whose labels differ. The sample is
     drawn from the labels alone, so its ids are a bounded broadcast; repeated rows count once. At most
-    2 * `per_class` * labels rows reach the driver, in the order of a hash of the id.
+    2 * `per_class` * labels texts of SAMPLE_BYTES reach the driver, in the order of a hash of the id.
     """
     key, value = unused(docs, "sample_id"), unused(docs, "sample_label")
     ids = (
@@ -152,7 +156,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     drawn = ids.where(in_share(F.col(value), shares, F.col(key)))
     rows = (
         docs.select("doc_id", "text")
-        .where(F.col("text").isNotNull())
+        .where(F.octet_length("text") <= SAMPLE_BYTES)
         .join(F.broadcast(drawn), F.col("doc_id") == F.col(key))
         .select("doc_id", "text", value)
         .distinct()
