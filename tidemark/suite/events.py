@@ -12,6 +12,7 @@ from . import roles
 from .base import query, table
 from .roles import NOW, QUEUE
 
+# States, priorities and formats in the SQL below are fixed values.
 _EVENT = "event_id, detected_at, table_name, column_name, change_type, status, pipeline_status, branch_name, mr_url"
 _EVENT_LIST = _EVENT.split(", ")
 

@@ -22,6 +22,7 @@ from ..plans.models import Model
 from ..plans.retail import MODELS, ORDER_ITEMS
 from .base import table
 
+# Names, states and types below, in Python and in SQL, are fixed values.
 BASELINE_DAY = "1998-06-01"
 NOW = "2024-06-01 00:00:00"
 LINE_KEYS = ("l_orderkey", "l_linenumber")
