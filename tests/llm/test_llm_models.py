@@ -250,6 +250,25 @@ def test_rules_keep_good_documents(spark):
     assert np.mean([r["kept"] for r in got]) > 0.99
 
 
+def test_prose_has_common_words(spark):
+    """No text without a common word is prose, however many words it has; held-out labels agree."""
+    known = rules.reference(table(spark, "documents").select("doc_id", "text", "lang"))
+    for name, common, shares in zip(known.languages, known.words, known.shares):
+        for n in (50, 51, 75, 100, 500, 2000, 200_000):
+            none = brute_distance([0] * len(common) + [n], shares)
+            passed, limit = known.is_prose(name, n, 0.0, none)
+            assert not passed and limit < none and known.is_prose(name, n, 0.0, 0.2)[0]
+        assert known.is_prose(name, 49, 0.0, 0.0) == (True, None)
+    truth = {r["doc_id"]: r["quality"] for r in table(spark, "labels").collect() if is_held_out(r["doc_id"])}
+    got = [r for r in QUERIES["op7_quality_rules"](spark, SF).collect() if not r["base_failed"]]
+    assert all(r["prose"] <= (r["word_limit"] is None or r["word_distance"] <= r["word_limit"]) for r in got)
+    junk, good = ([r["prose"] for r in got if truth.get(r["doc_id"]) == q] for q in (0, 1))
+    assert len(junk) > 3 and not any(junk) and np.mean(good) > 0.97
+    salad = [f"{a}{b}{c}{d}" for d in ("", "o", "ila", ",") for a in "blor grin stav pem trun".split() for b in "ek um ax il".split() for c in "ont ide ulm erf ast anz ein ole our ier".split()]
+    rows = rules.judge(spark.createDataFrame([(n, " ".join(salad[:n])) for n in (60, 400, 800)], "doc_id bigint, text string"), known).collect()
+    assert [(r["n_words"], r["base_failed"], r["class_distance"] < 0.2, r["prose"]) for r in rows] == [(n, False, True, False) for n in (60, 400, 800)]
+
+
 def test_rules_on_awkward_rows(spark):
     docs = awkward(spark)
     known = rules.reference(docs)

@@ -127,7 +127,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     judged = rules.judge(docs.select("doc_id", "text"), rules.reference(docs))
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    return judged.select(*base, "nearest", "class_distance", "word_distance")
+    return judged.select(*base, "nearest", "class_distance", "word_distance", "word_limit", "prose")
 
 
 def token_digests(docs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,11 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 MOST_CLASS_DISTANCE, MOST_WORD_DISTANCE, ALLOWANCE = 0.2, 0.35, 2.0
 #: Words from which the common words count.
 LEAST_FOR_WORDS = 50
+#: The limit of the common words: this many standard deviations above the distance that n words of the language itself
+#: have on average, measured on so many drawn texts of each of these sizes, but this share at most of the distance of a
+#: text without any common word.
+DEVIATIONS, DRAWN, BELOW_NONE = 3.0, 200, 0.98
+DRAWN_WORDS = LEAST_FOR_WORDS * 2 ** np.arange(12)
 
 
 @lru_cache(maxsize=1)
@@ -99,6 +104,19 @@ class Reference:
     words: tuple[tuple[str, ...], ...] = field(repr=False)
     shares: tuple[np.ndarray, ...] = field(repr=False)
 
+    @cached_property
+    def limits(self) -> dict[str, np.ndarray]:
+        """Of each language the largest word distance of prose with DRAWN_WORDS words."""
+        return {name: word_limits(shares) for name, shares in zip(self.languages, self.shares)}
+
+    def is_prose(self, name: str | None, n_words: int, by_class: float, by_word: float) -> tuple[bool, float | None]:
+        """Whether a text that is so far from the language `name` passes both histograms, and its limit of the word distance, or None where words do not count."""
+        close = by_class <= MOST_CLASS_DISTANCE + ALLOWANCE / 2 / np.sqrt(max(1, n_words))
+        if name is None or n_words < LEAST_FOR_WORDS or len(self.limits[name]) == 0:
+            return bool(close), None
+        limit = float(np.interp(-1 / np.sqrt(n_words), -1 / np.sqrt(DRAWN_WORDS), self.limits[name]))
+        return bool(close and by_word <= limit), limit
+
     def distances(self, text: str, n_words: int) -> tuple[str | None, float, float]:
         """The language that is nearest by the sum of both distances, and these; without a language, None and 0."""
         own, counts = class_counts(text), Counter(text.lower().encode("utf-8", "replace").split())
@@ -111,6 +129,20 @@ class Reference:
         return min(found)[1:] if found else (None, 0.0, 0.0)
 
 
+def word_limits(shares: np.ndarray) -> np.ndarray:
+    """The largest word distance of prose with DRAWN_WORDS words, from a reference's shares; none where it has no common word.
+
+    It is the mean and DEVIATIONS standard deviations of the distances of texts drawn from the reference, and
+    MOST_WORD_DISTANCE at least, as documents differ by more than chance; but it stays below a text without common words.
+    """
+    if len(shares) < 2:
+        return np.empty(0)
+    draw = np.random.default_rng(11)
+    away = [divergence(draw.multinomial(n, shares / shares.sum(), DRAWN), np.broadcast_to(shares, (DRAWN, len(shares)))) for n in DRAWN_WORDS.tolist()]
+    none = divergence(np.eye(len(shares))[-1], shares)
+    return np.minimum(np.maximum([x.mean() + DEVIATIONS * x.std() for x in away], MOST_WORD_DISTANCE), BELOW_NONE * none)
+
+
 def accepts(n_words: int, by_class: float, by_word: float) -> bool:
     allowance = ALLOWANCE / np.sqrt(max(1, n_words))
     return by_class <= MOST_CLASS_DISTANCE + allowance / 2 and by_word <= MOST_WORD_DISTANCE + allowance
@@ -177,13 +209,19 @@ def reference(docs: DataFrame, max_languages: int = 1000) -> Reference:
 
 
 def judge(df: DataFrame, known: Reference, text: str = "text") -> DataFrame:
-    """`df` with `n_words`, `word_chars`, `n_symbols`, `n_dup_lines`, `n_repeat_words`, `base_failed`, `kept`, `nearest`, `class_distance` and `word_distance` of every whole text.
+    """`df` with `n_words`, `word_chars`, `n_symbols`, `n_dup_lines`, `n_repeat_words`, `base_failed`, `kept`, `nearest`, `class_distance`, `word_distance`, `word_limit` and `prose` of every whole text.
+
+    `kept` allows the word distance a fixed slack by the number of words, which for all but very long texts lies above
+    that of a text without any common word. `prose` is the verdict that rejects those too: the base rules, the classes as
+    in `kept`, and `word_limit` (null for texts too short for it).
 
     Null and empty texts have no words and fail the base rules. Without any reference the base rules decide. Equal
     distances go to the first language by name. Repeated rows get the same result, an empty table gives no row, and
     columns that have the new names are replaced.
     """
 
+    known.limits  # noqa: B018 - drawn here once, not by every task
+
     def compute(texts):
         rows = []
         for raw in texts:
@@ -192,9 +230,10 @@ def judge(df: DataFrame, known: Reference, text: str = "text") -> DataFrame:
             metrics = base_metrics(raw, len(decoded))
             failed = base_failed(metrics[0], metrics[4])
             name, by_class, by_word = known.distances(decoded, metrics[0])
-            rows.append((*metrics, failed, not failed and accepts(metrics[0], by_class, by_word), name, by_class, by_word))
-        kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.string()] + [pa.float64()] * 2
+            prose, limit = known.is_prose(name, metrics[0], by_class, by_word)
+            rows.append((*metrics, failed, not failed and accepts(metrics[0], by_class, by_word), name, by_class, by_word, limit, not failed and prose))
+        kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.string()] + [pa.float64()] * 3 + [pa.bool_()]
         return [pa.array(list(column), kind) for column, kind in zip(zip(*rows), kinds)]
 
     counts = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
-    return append(df, f"{counts}, base_failed boolean, kept boolean, nearest string, class_distance double, word_distance double", compute, text)
+    return append(df, f"{counts}, base_failed boolean, kept boolean, nearest string, class_distance double, word_distance double, word_limit double, prose boolean", compute, text)
