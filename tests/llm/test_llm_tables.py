@@ -243,6 +243,39 @@ def test_changed_wording():
     assert [(x[0], x[2]) for x in license.find(far, items)] == [(0, "MIT-notice"), (len(far) - 31, "MIT-notice")]
 
 
+CHANGED = {
+    "This project is licensed under the MIT License": "MIT-notice",
+    "Distributed under the MIT License": "MIT-notice",
+    "Made available under the terms of the MIT licence": None,
+    "Released under our MIT License": "MIT-notice",
+    "Licensed under the Apache License 2.0": "Apache-2.0-notice",
+    "Apache License, v2.0": "Apache-2.0-notice",
+    "Licensed under the Apache License, Version 1.1": None,
+    "Released under the XYZ License.": None,
+    "Licensed under the GNU General Public License version 3": "GPL-3.0-notice",
+    "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0-notice",
+    "This work is licensed under the GNU General Public License, version 1.": None,
+    "Licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0-notice",
+    "Licensed under CC BY-SA 3.0": None,
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "CC-BY-ND-4.0-notice",
+    "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0-notice",
+    "This program is made available under the terms of the Eclipse Public License 2.0": "EPL-2.0-notice",
+    "This is the MIT campus; released under the old elms.": None,
+}
+
+
+def test_changed_notices_are_found(spark):
+    """One generic word of a short notice may differ, its name and version may not."""
+    padded = [(i, f"some words before {x} and others after it") for i, x in enumerate(CHANGED)]
+    got = defaultdict(list)
+    for r in license.scan(spark.createDataFrame(padded, "doc_id bigint, text string")).collect():
+        got[r["doc_id"]].append(r["license"])
+    assert {x: got[i] for i, x in enumerate(CHANGED)} == {x: [n] if n else [] for x, n in CHANGED.items()}
+    items = (*license.TEMPLATES.items(), *license.NOTICES)
+    for name, text in items:
+        assert [(x[2], x[4], x[5]) for x in license.find(f"words before {text} words after", items)] == [(name, 0, 0)], text
+
+
 def test_scan_finds_the_planted_lines(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
     expected = set()

@@ -40,14 +40,62 @@ TEMPLATES: dict[str, str] = {
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+_CC = {"": "", "-SA": "-ShareAlike", "-NC": "-NonCommercial", "-ND": "-NoDerivatives", "-NC-SA": "-NonCommercial-ShareAlike", "-NC-ND": "-NonCommercial-NoDerivatives"}
+_GNU = {"GPL": "GNU General Public License", "LGPL": "GNU Lesser General Public License", "AGPL": "GNU Affero General Public License"}
+# Other usual wordings, and licenses beyond those above.
+NOTICES: tuple[tuple[str, str], ...] = (
+    ("MIT-notice", "Licensed under the MIT License"),
+    ("MIT-notice", "Licensed under the terms of the MIT License"),
+    ("MIT-notice", "SPDX-License-Identifier: MIT"),
+    ("MIT-notice", "The MIT License (MIT)"),
+    ("Apache-2.0-notice", "Licensed under the Apache License 2.0"),
+    ("Apache-2.0-notice", "Licensed under the terms of the Apache License, Version 2.0"),
+    ("Apache-2.0-notice", "Apache License, v2.0"),
+    ("Apache-2.0-notice", "Licensed under Apache 2.0"),
+    ("Apache-2.0-notice", "SPDX-License-Identifier: Apache-2.0"),
+    ("BSD-2-Clause-notice", "Licensed under the BSD 2-Clause License"),
+    ("BSD-3-Clause-notice", "Licensed under the BSD 3-Clause License"),
+    ("MPL-2.0-notice", "Licensed under the Mozilla Public License 2.0"),
+    ("MPL-2.0-notice", "Licensed under the Mozilla Public License, v2.0"),
+    *((f"{name}-{n}.0-notice", f"Distributed under the {text} {v}") for name, text in _GNU.items() for n in ((2, 3) if name == "GPL" else (3,)) for v in (f"version {n}", f"version {n}.0", f"v{n}", f"v{n}.0")),
+    *((f"{name}-{n}.0-notice", f"Licensed under the {name}{v}") for name in _GNU for n in ((2, 3) if name == "GPL" else (3,)) for v in (f"v{n}", f" v{n}", f"-{n}.0", f" version {n}")),
+    *((f"CC-BY{kind}-4.0{'' if kind in ('', '-SA', '-NC') else '-notice'}", f"Licensed under the Creative Commons Attribution{words} 4.0 International License") for kind, words in _CC.items()),
+    *((f"CC-BY{kind}-4.0-notice", f"Available under CC BY{kind} 4.0") for kind in _CC),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("ISC-notice", "Licensed under the ISC License"),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("Zlib-notice", "Licensed under the zlib License"),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software"),
+    ("BSL-1.0-notice", "Distributed under the Boost Software License, Version 1.0"),
+    ("EPL-1.0-notice", "made available under the terms of the Eclipse Public License v1.0"),
+    ("EPL-2.0-notice", "made available under the terms of the Eclipse Public License 2.0"),
+    ("EPL-2.0-notice", "Licensed under the Eclipse Public License v2.0"),
+)
+#: Words that name a license: none of a template's may be missing, and none may be added. Its numbers may not be missing either.
+NAMES = frozenset(
+    "mit apache bsd isc zlib boost bsl eclipse epl mozilla mpl gnu gpl lgpl agpl lesser affero cc cc0 creative commons "
+    "attribution sharealike noncommercial noderivatives noderivs sa nc nd".split()
+)
+#: In a template so short that its share of words is none, one word may differ, but only these: all others name something.
+GENERIC = frozenset("a an available code distributed file for in is it license licensed licence licenced made of program project provided public released software source terms the this to under v version with work".split())
 #: Every template has a word with one of these; blocks lie around them.
 CUE = re.compile(r"licen[cs]e|hereby|redistribution|copyright|unencumbered", re.IGNORECASE)
 WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 LEVEL = 19
-#: Share of a template's words that may be missing, and of words that may be added between them.
+#: Share of a template's words that may be missing, and of words that may be added between them; at least one.
 TOLERANCE = 0.1
 
 
+def allowed(length: int) -> int:
+    return max(1, int(length * TOLERANCE))
+
+
+def fixed(template: tuple[str, ...]) -> frozenset[str]:
+    """The words of a template that must be there."""
+    short = int(len(template) * TOLERANCE) == 0
+    return frozenset(w for w in template if w in NAMES or re.search("[0-9]", w) or (short and w not in GENERIC))
+
+
 def _words(text: str) -> tuple[str, ...]:
     return tuple(m.group().lower() for m in WORD.finditer(text))
 
@@ -56,8 +104,9 @@ def _words(text: str) -> tuple[str, ...]:
 def _templates(items: tuple[tuple[str, str], ...]):
     out = []
     for name, text in items:
-        data = zstandard.ZstdCompressionDict(" ".join(_words(text)).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        out.append((name, _words(text), zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False)))
+        data = zstandard.ZstdCompressionDict(" ".join(_words(text)).encode().rjust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        own = _words(text)
+        out.append((name, own, fixed(own), zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False)))
     return out
 
 
@@ -80,21 +129,21 @@ def blocks(cues: list[int], words: int, length: int) -> list[tuple[int, int]]:
             spans[-1][1] = high
         else:
             spans.append([low, high])
-    return [(start, min(words, start + 2 * length + int(length * TOLERANCE))) for low, high in spans for start in range(low, high, length)]
+    return [(start, min(words, start + 2 * length + allowed(length))) for low, high in spans for start in range(low, high, length)]
 
 
 def differences(template: tuple[str, ...], block: list[str]) -> list[tuple[int, int, int, int]]:
     """Places that begin in the first half of `block` and hold the template's wording: first and last word, words missing, words added."""
     out, start = [], 0
-    allowed = int(len(template) * TOLERANCE)
-    first = set(template[: allowed + 1])
+    most, needed = allowed(len(template)), fixed(template)
+    first = set(template[: most + 1])
     while start < min(len(block), len(template)):
-        if block[start] in first:
-            part = block[start : start + len(template) + allowed]
+        part = block[start : start + len(template) + most]
+        if part[0] in first and needed.issubset(part):
             runs = [r for r in SequenceMatcher(None, template, part, autojunk=False).get_matching_blocks() if r.size]
             same, end = sum(r.size for r in runs), runs[-1].b + runs[-1].size
             missing, added = len(template) - same, end - runs[0].b - same
-            if runs[0].b == 0 and missing <= allowed and added <= allowed:
+            if runs[0].b == 0 and missing <= most and added <= most and _names_agree(template, part[:end], runs, needed):
                 out.append((start, start + end - 1, missing, added))
                 start += end
                 continue
@@ -102,6 +151,12 @@ def differences(template: tuple[str, ...], block: list[str]) -> list[tuple[int,
     return out
 
 
+def _names_agree(template: tuple[str, ...], part: list[str], runs: list, needed: frozenset[str]) -> bool:
+    """Whether no word that must be there is missing, and no added word names another license."""
+    there, here = ({i for r in runs for i in range(at(r), at(r) + r.size)} for at in (lambda r: r.a, lambda r: r.b))
+    return not any(w in needed for i, w in enumerate(template) if i not in there) and not any(w in NAMES for i, w in enumerate(part) if i not in here)
+
+
 def find(text: str, items: tuple[tuple[str, str], ...]) -> list[tuple[int, int, str, float, int, int]]:
     """Licenses in a text: first and last character, name, size reduction, words missing, words added; in the order of the text."""
     if not CUE.search(text):
@@ -110,8 +165,13 @@ def find(text: str, items: tuple[tuple[str, str], ...]) -> list[tuple[int, int,
     words = [m.group().lower() for m in matches]
     cues = [i for i, w in enumerate(words) if CUE.search(w)]
     ranked = []
-    for name, own, compressor in _templates(items):
+    present = set(words)
+    for name, own, needed, compressor in _templates(items):
+        if not needed <= present:
+            continue
         for low, high in blocks(cues, len(words), len(own)):
+            if not needed.issubset(words[low:high]):
+                continue
             raw = " ".join(words[low:high]).encode()
             alone = len(_plain().compress(raw))
             if (reduction := (alone - len(compressor.compress(raw))) / alone) > 0:
@@ -133,10 +193,11 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
 
     `missing` and `added` count the template's words that are not there and the words between them; both are 0 for
     the exact wording, whatever its case, punctuation and line breaks. Of overlapping finds an exact one stays before
-    one with differences, then the longer template. Null and empty texts have no license. Repeated rows give repeated
+    one with differences, then the longer template. Names and numbers of licenses may not differ. Without `templates`
+    TEMPLATES and NOTICES are looked for. Null and empty texts have no license. Repeated rows give repeated
     rows; an empty table, or no template, gives no row; other columns do not matter.
     """
-    items = tuple((TEMPLATES if templates is None else templates).items())
+    items = (*TEMPLATES.items(), *NOTICES) if templates is None else tuple(templates.items())
 
     def run(batches):
         for batch in batches:
