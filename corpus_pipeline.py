@@ -9,7 +9,7 @@ from tidemark.llm.common import read_table
 from tidemark.llm.queries import token_digests
 from tidemark.session import cut
 
-#: Cosine below which a text is of no language that was learned.
+#: Cosine below which even a very short text is of no language that was learned; the model's limit for longer texts is higher.
 LEAST_COSINE = 0.05
 
 

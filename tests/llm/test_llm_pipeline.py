@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 
 import numpy as np
@@ -63,3 +64,27 @@ def test_clean_documents_stay(spark):
     for stage in (corpus_pipeline.known_language, corpus_pipeline.good_quality):
         kept = {r["doc_id"] for r in stage(spark, docs, "/root/testdata/sf0.01").select("doc_id").collect()}
         assert len(good & kept) > 0.97 * len(good)
+
+
+def test_texts_in_no_learned_language_go(spark):
+    """Random letters, blobs and unlearned scripts are rejected; short clean documents and all but a few others stay."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    draw = np.random.default_rng(3)
+    words = lambda letters, n: " ".join("".join(draw.choice(list(letters), draw.integers(2, 10))) for _ in range(n))
+    latin = "abcdefghijklmnopqrstuvwxyz"
+    kinds = {
+        "latin": lambda: words(latin, 200),
+        "long latin": lambda: words(latin, 2000),
+        "consonants": lambda: words("bcdfghjklmnpqrstvwxz", 200),
+        "greek": lambda: words("αβγδεζηθικλμνξοπρστυφχψω", 200),
+        "cyrillic": lambda: words("абвгдежзийклмнопрстуфхцчшщ", 50),
+        "base64": lambda: base64.b64encode(draw.bytes(1000)).decode(),
+    }
+    made = [(10_000_000 + i, kind, make()) for i, (kind, make) in enumerate((k, m) for k, m in kinds.items() for _ in range(20))]
+    junk = spark.createDataFrame([(i, t, None, "made", len(t)) for i, _, t in made], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = {r["doc_id"] for r in corpus_pipeline.known_language(spark, docs.unionByName(junk.select([F.col(c).cast(docs.schema[c].dataType) for c in docs.columns])), sf).select("doc_id").collect()}
+    assert [k for i, k, _ in made if i in kept] == []
+    own = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert "Von." in {own[i] for i in kept if i in own} and len(kept) >= 0.995 * len(own)
+    assert {r["doc_id"] for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").collect()} <= kept

@@ -24,6 +24,9 @@ SEED = 7
 HELD_GRAMS = 1 << 15
 #: A text's vector has this length when it is added to a language: whole numbers add up alike in any order.
 UNIT = 1000
+#: Texts of up to SHORT distinct 3-grams may have any cosine from the least on, as a few grams say little. From there to
+#: LONG the limit rises to what letters in random order share with a language, OVERLAP, and DEVIATIONS of the chance on top.
+SHORT, LONG, OVERLAP, DEVIATIONS = 16, 96, 0.1, 3.0
 
 
 @lru_cache(maxsize=1)
@@ -69,8 +72,8 @@ def _grams(dimensions: int) -> _Grams:
     return _Grams(dimensions)
 
 
-def text_vector(text: bytes | None, dimensions: int = DIMENSIONS) -> np.ndarray | None:
-    """The sum of the 3-gram vectors of the whole text, or None if it has no letter. What is no letter is a gap between words."""
+def text_grams(text: bytes | None) -> tuple[np.ndarray, np.ndarray] | None:
+    """The distinct 3-grams of the whole text and their counts, or None if it has no letter. What is no letter is a gap between words."""
     if not text:
         return None
     codes = np.frombuffer(text.decode("utf-8", "replace").lower().encode("utf-32-le", "replace"), np.uint32)
@@ -81,7 +84,15 @@ def text_vector(text: bytes | None, dimensions: int = DIMENSIONS) -> np.ndarray
     first_of_gap = np.concatenate(([False], letter[:-1])) & ~letter
     last = len(letter) - int(np.argmax(letter[::-1]))
     codes = np.concatenate(([0], codes[:last][(letter | first_of_gap)[:last]], [0])).astype(np.uint64)
-    grams, counts = np.unique(codes[:-2] << np.uint64(42) | codes[1:-1] << np.uint64(21) | codes[2:], return_counts=True)
+    return np.unique(codes[:-2] << np.uint64(42) | codes[1:-1] << np.uint64(21) | codes[2:], return_counts=True)
+
+
+def text_vector(text: bytes | None, dimensions: int = DIMENSIONS) -> np.ndarray | None:
+    """The sum of the 3-gram vectors of the whole text, or None if it has no letter."""
+    found = text_grams(text)
+    if found is None:
+        return None
+    grams, counts = found
     total = np.zeros(dimensions)
     for start in range(0, len(grams), 4096):
         rows = _grams(dimensions).rows(grams[start : start + 4096])
@@ -96,6 +107,21 @@ class LanguageModel:
     languages: tuple[str, ...]
     prototypes: np.ndarray = field(repr=False)
 
+    def limit(self, n_grams: float, least: float) -> float:
+        """The smallest cosine at which a text with so many distinct 3-grams counts as in a language.
+
+        The cosine of unlike vectors has a standard deviation of 1 / sqrt(dimensions), and the largest of several is some
+        sqrt(2 ln languages) of these above 0.
+        """
+        languages, dimensions = self.prototypes.shape
+        chance = (np.sqrt(2 * np.log(max(1, languages))) + DEVIATIONS) / np.sqrt(dimensions)
+        return float(np.interp(n_grams, (SHORT, LONG), (least, max(least, OVERLAP + chance))))
+
+    def accepts(self, text: bytes | None, name: str, score: float, least: float) -> bool:
+        if name == UNKNOWN or score < least:
+            return False
+        return score >= self.limit(np.inf, least) or score >= self.limit(len(text_grams(text)[0]), least)
+
     def predict(self, texts: list[bytes | None]) -> tuple[list[str], list[float]]:
         names, scores = [], []
         for text in texts:
@@ -158,5 +184,5 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
 
 
 def accepted(df: DataFrame, model: LanguageModel, least: float = 0.2, text: str = "text") -> DataFrame:
-    """The rows whose text has a language with a cosine of at least `least`; columns stay as they are."""
-    return keep(df, lambda texts: [n != UNKNOWN and s >= least for n, s in zip(*model.predict(texts))], text)
+    """The rows whose text has a language with a cosine of at least `least`, and of the model's limit where that is higher; columns stay as they are."""
+    return keep(df, lambda texts: [model.accepts(t, n, s, least) for t, n, s in zip(texts, *model.predict(texts))], text)
