@@ -246,7 +246,7 @@ def test_changed_wording():
 CHANGED = {
     "This project is licensed under the MIT License": "MIT-notice",
     "Distributed under the MIT License": "MIT-notice",
-    "Made available under the terms of the MIT licence": None,
+    "Made available under the terms of the MIT licence": "MIT-notice",
     "Released under our MIT License": "MIT-notice",
     "Licensed under the Apache License 2.0": "Apache-2.0-notice",
     "Apache License, v2.0": "Apache-2.0-notice",
@@ -276,6 +276,23 @@ def test_changed_notices_are_found(spark):
         assert [(x[2], x[4], x[5]) for x in license.find(f"words before {text} words after", items)] == [(name, 0, 0)], text
 
 
+def test_every_template_has_its_own_cues(spark):
+    zlib = "This software is provided 'as-is', without any express or implied warranty."
+    docs = spark.createDataFrame([(1, f"a b {zlib} c d"), (2, f"a {zlib.replace('warranty', 'promise')} b"), (3, "Published under CC BY-SA 4.0")], "doc_id bigint, text string")
+    assert [tuple(r)[:2] for r in license.scan(docs, {"Z": zlib}).orderBy("doc_id").collect()] == [(1, "Z"), (2, "Z")]
+    assert [tuple(r)[:2] for r in license.scan(docs.where("doc_id = 3")).collect()] == [(3, "CC-BY-SA-4.0-notice")]
+    with pytest.raises(ValueError):
+        license.scan(docs, {"none": "..."})
+    for name, text in (*license.TEMPLATES.items(), *license.NOTICES):
+        words = license._words(text)
+        telling, needed, most = license.cues(words), license.fixed(words), license.allowed(len(words))
+        assert telling & needed or len(telling) > most
+    changed = {"BSD": "Redistribution", "Unlicense": "unencumbered", "CC0-1.0": "copyright"}
+    for name, cue in changed.items():
+        text = license.TEMPLATES[name].replace(cue, "xyz")
+        assert [x[2] for x in license.find(f"before {text} after", tuple(license.TEMPLATES.items()))] == [name]
+
+
 def test_scan_finds_the_planted_lines(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
     expected = set()

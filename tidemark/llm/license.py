@@ -1,6 +1,6 @@
 """License scans by conditional compression.
 
-A candidate block is the wording around a cue such as "licensed", about twice as long as the template it is tried
+A candidate block is the wording around a cue, a rare word of the template, about twice as long as the template it is tried
 with. It is compressed with that template as zstandard raw dictionary. Those that take away anything, most first, are
 compared with the block word by word, and only those whose wording is there, up to a few words, are reported.
 """
@@ -77,9 +77,7 @@ NAMES = frozenset(
     "attribution sharealike noncommercial noderivatives noderivs sa nc nd".split()
 )
 #: In a template so short that its share of words is none, one word may differ, but only these: all others name something.
-GENERIC = frozenset("a an available code distributed file for in is it license licensed licence licenced made of program project provided public released software source terms the this to under v version with work".split())
-#: Every template has a word with one of these; blocks lie around them.
-CUE = re.compile(r"licen[cs]e|hereby|redistribution|copyright|unencumbered", re.IGNORECASE)
+GENERIC = frozenset("a an available code distributed file for in is it license licensed made of program project provided public released software source terms the this to under v version with work".split())
 WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 LEVEL = 19
 #: Share of a template's words that may be missing, and of words that may be added between them; at least one.
@@ -96,8 +94,32 @@ def fixed(template: tuple[str, ...]) -> frozenset[str]:
     return frozenset(w for w in template if w in NAMES or re.search("[0-9]", w) or (short and w not in GENERIC))
 
 
+#: Other spellings of the same words.
+SPELLINGS = {"licence": "license", "licenced": "licensed"}
+
+
 def _words(text: str) -> tuple[str, ...]:
-    return tuple(m.group().lower() for m in WORD.finditer(text))
+    return tuple(SPELLINGS.get(w := m.lower(), w) for m in WORD.findall(text))
+
+
+def cues(template: tuple[str, ...]) -> frozenset[str]:
+    """Words of which every tolerated wording of the template has one: a name that must be there, else so many that not all may be missing.
+
+    Names come before other words without digits, these before generic ones, and longer words first, as they are rarer.
+    """
+    words, needed = set(template), fixed(template)
+    order = sorted(words, key=lambda w: (w in GENERIC, bool(re.search("[0-9]", w)), w not in NAMES, -len(w), w))
+    sure = [w for w in order if w in needed]
+    if sure:
+        return frozenset(sure[:1])
+    most = allowed(len(template))
+    if len(words) <= most:
+        raise ValueError(f"a template of {len(words)} different words has no cue: {' '.join(template)!r}")
+    return frozenset(order[: most + 1])
+
+
+#: Matches every default template; blocks lie around the words that `cues` gives for each.
+CUE = re.compile(rf"\b(?:{'|'.join(sorted(re.escape(w) for w in {w for _, text in (*TEMPLATES.items(), *NOTICES) for w in cues(_words(text))}))})\b", re.IGNORECASE)
 
 
 @lru_cache(maxsize=4)
@@ -106,7 +128,7 @@ def _templates(items: tuple[tuple[str, str], ...]):
     for name, text in items:
         data = zstandard.ZstdCompressionDict(" ".join(_words(text)).encode().rjust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         own = _words(text)
-        out.append((name, own, fixed(own), zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False)))
+        out.append((name, own, cues(own), fixed(own), zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False)))
     return out
 
 
@@ -115,16 +137,16 @@ def _plain() -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
 
 
-def blocks(cues: list[int], words: int, length: int) -> list[tuple[int, int]]:
+def blocks(places: list[int], words: int, length: int) -> list[tuple[int, int]]:
     """Blocks for a template of `length` words, as ranges of word numbers.
 
-    What lies within `length` words of a cue is covered by blocks of twice that and a little more, each beginning
+    Whatever can begin a find with a cue at one of `places` is covered by blocks of twice that and a little more, each beginning
     `length` words after the one before, so every place of the template lies whole in the block it begins in the
     first half of.
     """
     spans: list[list[int]] = []
-    for cue in cues:
-        low, high = max(0, cue - length), min(words, cue + length)
+    for place in places:
+        low, high = max(0, place - length - allowed(length)), place + 1
         if spans and low <= spans[-1][1]:
             spans[-1][1] = high
         else:
@@ -159,17 +181,13 @@ def _names_agree(template: tuple[str, ...], part: list[str], runs: list, needed:
 
 def find(text: str, items: tuple[tuple[str, str], ...]) -> list[tuple[int, int, str, float, int, int]]:
     """Licenses in a text: first and last character, name, size reduction, words missing, words added; in the order of the text."""
-    if not CUE.search(text):
-        return []
-    matches = list(WORD.finditer(text))
-    words = [m.group().lower() for m in matches]
-    cues = [i for i, w in enumerate(words) if CUE.search(w)]
-    ranked = []
+    words = list(_words(text))
     present = set(words)
-    for name, own, needed, compressor in _templates(items):
-        if not needed <= present:
+    ranked = []
+    for name, own, telling, needed, compressor in _templates(items):
+        if telling.isdisjoint(present) or not needed <= present:
             continue
-        for low, high in blocks(cues, len(words), len(own)):
+        for low, high in blocks([i for i, w in enumerate(words) if w in telling], len(words), len(own)):
             if not needed.issubset(words[low:high]):
                 continue
             raw = " ".join(words[low:high]).encode()
@@ -177,6 +195,7 @@ def find(text: str, items: tuple[tuple[str, str], ...]) -> list[tuple[int, int,
             if (reduction := (alone - len(compressor.compress(raw))) / alone) > 0:
                 ranked.append((reduction, name, own, low, high))
     near = []
+    matches = list(WORD.finditer(text)) if ranked else []
     for reduction, name, own, low, high in sorted(ranked, reverse=True):
         near += [(missing + added > 0, -len(own), missing + added, -reduction, name, low + a, low + b, missing, added) for a, b, missing, added in differences(own, words[low:high])]
     out: list[tuple[int, int, str, float, int, int]] = []
@@ -194,11 +213,14 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     `missing` and `added` count the template's words that are not there and the words between them; both are 0 for
     the exact wording, whatever its case, punctuation and line breaks. Of overlapping finds an exact one stays before
     one with differences, then the longer template. Names and numbers of licenses may not differ. Without `templates`
-    TEMPLATES and NOTICES are looked for. Null and empty texts have no license. Repeated rows give repeated
+    TEMPLATES and NOTICES are looked for. A template that has too few different words for a cue is refused. Null and empty texts have no license. Repeated rows give repeated
     rows; an empty table, or no template, gives no row; other columns do not matter.
     """
     items = (*TEMPLATES.items(), *NOTICES) if templates is None else tuple(templates.items())
 
+    for _, wording in items:
+        cues(_words(wording))
+
     def run(batches):
         for batch in batches:
             for part in parts(batch, "text"):
