@@ -1,0 +1,163 @@
+"""Packing: pieces against the tokenizer library, sequences without holes, and their number against plain best fit."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from llm_data import awkward, empty, with_clashes
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tidemark.llm import packing
+from tidemark.llm.queries import QUERIES, token_file
+
+
+@pytest.fixture(scope="module")
+def content():
+    return token_file()
+
+
+@pytest.fixture(scope="module")
+def library(content):
+    tokenizer = Tokenizer.from_str(content)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def expected(rows, library, capacity):
+    out = Counter()
+    for doc_id, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids + [2]
+        start, stop, piece = 0, (len(ids) - 1) % capacity + 1, 0
+        while start < len(ids):
+            out[doc_id, piece, start, stop - start, zlib.crc32(np.array(ids[start:stop], "<u4").tobytes())] += 1
+            start, stop, piece = stop, stop + capacity, piece + 1
+    return out
+
+
+def filled(rows, capacity) -> int:
+    """The number of sequences, once each is found to be filled from 0 without a hole and within its size."""
+    held = defaultdict(list)
+    for row in rows:
+        held[row["sequence_id"]].append((row["offset"], row["length"]))
+    for spans in held.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(held)
+
+
+def best_fit(lengths, capacity) -> int:
+    """Plain best fit, largest first."""
+    gaps, opened = Counter(), 0
+    for length in sorted(lengths, reverse=True):
+        gap = next((g for g in range(length, capacity + 1) if gaps[g]), None)
+        if gap is None:
+            gap, opened = capacity, opened + 1
+        else:
+            gaps[gap] -= 1
+        gaps[gap - length] += 1
+    return opened
+
+
+@pytest.mark.parametrize("capacity", [16, 1024])
+def test_pieces_and_places_of_awkward_rows(spark, content, library, capacity):
+    docs = with_clashes(awkward(spark))
+    rows = packing.packed(docs, content, capacity).collect()
+    got = Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows)
+    assert got == expected(docs.select("doc_id", "text").collect(), library, capacity)
+    filled(rows, capacity)
+
+
+def test_query_packs_all_documents_nearly_as_best_fit_does(spark, library):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = QUERIES["op12_best_fit_packing"](spark, sf_dir).collect()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    got = Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows)
+    assert got == expected(docs, library, 1024)
+    assert filled(rows, 1024) <= best_fit([r["length"] for r in rows], 1024) + 2
+
+
+@pytest.mark.parametrize("low, high", [(1, 40), (1, 1024), (200, 500), (512, 512), (1, 1), (1023, 1023)])
+def test_packing_any_lengths(spark, low, high):
+    random.seed(low)
+    lengths = [random.randint(low, high) for _ in range(3000)]
+    items = spark.createDataFrame([(i * 7, n) for i, n in enumerate(lengths)], "uid bigint, length bigint")
+    placed, opened = packing.pack(items)
+    rows = placed.join(items, "uid").collect()
+    assert len(rows) == len(lengths) and len({r["uid"] for r in rows}) == len(lengths)
+    assert filled(rows, 1024) == opened <= 1.02 * best_fit(lengths, 1024) + 2
+
+
+def test_one_length_may_hold_most_rows(spark):
+    items = spark.range(20000).select(F.col("id").alias("uid"), F.when(F.col("id") % 3 == 0, F.lit(300)).otherwise(F.col("id") % 900 + 1).alias("length"))
+    placed, opened = packing.pack(items)
+    rows = placed.join(items, "uid").collect()
+    assert len(rows) == 20000
+    assert filled(rows, 1024) == opened <= best_fit([r["length"] for r in rows], 1024) + 3
+
+
+def test_sweep_keeps_every_row(spark):
+    """Whatever the sizes: documents and gaps are neither lost nor used twice."""
+    random.seed(3)
+    for _ in range(50):
+        waiting = Counter({random.randint(1, 64): random.randint(1, 30) for _ in range(10)})
+        before, placed, gaps, opened, rounds = Counter(waiting), Counter(), Counter(), 0, 0
+        while sum(waiting.values()):
+            plan, after, opened = packing.sweep(waiting, placed, gaps, opened, 64)
+            rounds += 1
+            for size, rows in gaps.items():
+                used = [(p, p + -(-(b - a) // e)) for _, a, b, s, p, e in plan.matches if s == size]
+                kept = [(a, b) for s, a, b, new, _ in plan.moves if s == size and new == size]
+                places = sorted(x for a, b in used + kept for x in range(a, b))
+                assert places == list(range(rows))
+            gaps = after
+        assert placed == before and rounds < 30
+
+
+def test_units_give_the_library_s_ids(content, library, monkeypatch):
+    monkeypatch.setattr(packing, "WINDOW", 40)
+    monkeypatch.setattr(packing, "LONG_UNIT", 16)
+    tokens = packing.Tokens(content)
+    random.seed(7)
+    letters = "ab1 .,'\n\t\r 　 \x1c\x85é日。s t​᠎<|>"
+    for _ in range(4000):
+        text = "".join(random.choice(letters) for _ in range(random.randint(0, 150)))
+        assert np.frombuffer(tokens.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    for text in ("<|endoftext|>", "a<|endoftext|> b", "it's we'll 'tis  's", " lead", "trail \n"):
+        assert np.frombuffer(tokens.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_workers_forget(content, monkeypatch):
+    monkeypatch.setattr(packing, "UNITS", 10)
+    tokens = packing.Tokens(content)
+    for i in range(100):
+        tokens.encode(f"word{i} and more")
+    assert len(tokens.known) < 20
+
+
+def test_a_text_of_tens_of_megabytes(spark, content):
+    docs = spark.createDataFrame([(1, "some words, and more of them. " * 800_000), (2, None)], "doc_id bigint, text string")
+    rows = packing.packed(docs, content).collect()
+    ids = sum(r["length"] for r in rows if r["doc_id"] == 1)
+    assert ids == 8 * 800_000 + 2 and filled(rows, 1024) == -(-(ids + 1) // 1024)
+
+
+def test_sequences_hold_the_ids(spark, content, library):
+    docs = awkward(spark).where("doc_id < 20")
+    placed = packing.packed(docs, content, 128, ids=True).cache()
+    held = {r["sequence_id"]: np.frombuffer(r["ids"], "<u4") for r in packing.sequences(placed).collect()}
+    for row in placed.collect():
+        own = held[row["sequence_id"]][row["offset"] : row["offset"] + row["length"]]
+        assert zlib.crc32(own.tobytes()) == row["ids_crc32"]
+    placed.unpersist()
+
+
+def test_empty_table(spark, content):
+    assert packing.packed(empty(spark), content).count() == 0

@@ -9,7 +9,7 @@ from textwrap import dedent
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, language, license, mixing, quality, rules, sharding, simhash, toxicity
+from . import ann, bpe, language, license, manifest, mixing, packing, quality, rules, sharding, simhash, toxicity, whitening
 from .common import held_out, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,3 +167,89 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_nearest_neighbours")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op11_merkle_manifest",
+    r"""
+    WITH RECURSIVE polynomial(b, step, c) AS (
+        SELECT b, 0, b::BIGINT FROM range(256) AS t(b)
+        UNION ALL SELECT b, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM polynomial WHERE step < 8
+    ),
+    crc_table AS (SELECT list(c ORDER BY b) AS crc FROM polynomial WHERE step = 8),
+    d AS (SELECT *, row_number() OVER () AS row_id, doc_id::VARCHAR AS id FROM documents),
+    f AS (
+        SELECT row_id, doc_id, lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered, text,
+               coalesce(xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split(id, '')]),
+                                        lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295) % 3 = 0, false) AS tampered,
+               concat(coalesce(strlen(id) || ':' || id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                      coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS fields
+        FROM d, crc_table
+    ),
+    h AS (
+        SELECT row_id, doc_id, lang, sha256(fields || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+               CASE WHEN tampered THEN sha256(fields || coalesce(strlen(lowered) || ':' || lowered, '-'))
+                    ELSE sha256(fields || coalesce(strlen(text) || ':' || text, '-')) END AS now
+        FROM f
+    ),
+    l AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS total FROM h
+    ),
+    tree(lang, level, n, i, digest) AS (
+        SELECT lang, 0, total, place, leaf FROM l
+        UNION ALL
+        SELECT lang, level + 1, (n + 7) // 8, i // 8, sha256(string_agg(digest, '' ORDER BY i)) FROM tree WHERE n > 1 GROUP BY lang, level, n, i // 8
+    ),
+    runs AS (SELECT lang, level, i // 8 AS run, list(digest ORDER BY i) AS members FROM tree WHERE n > 1 GROUP BY ALL),
+    sub AS (
+        SELECT lang, digest AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS place, count(*) OVER () AS total FROM tree WHERE n = 1
+    ),
+    top(level, n, i, digest) AS (
+        SELECT 0, total, place, subroot FROM sub
+        UNION ALL
+        SELECT level + 1, (n + 7) // 8, i // 8, sha256(string_agg(digest, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, n, i // 8
+    ),
+    top_runs AS (SELECT level, i // 8 AS run, list(digest ORDER BY i) AS members FROM top WHERE n > 1 GROUP BY ALL),
+    low(row_id, lang, level, n, i, proof, folded) AS (
+        SELECT row_id, lang, 0, total, place, '', now FROM l
+        UNION ALL
+        SELECT w.row_id, w.lang, w.level + 1, (w.n + 7) // 8, w.i // 8,
+               w.proof || array_to_string(r.members[:w.i % 8] || r.members[w.i % 8 + 2:], ''),
+               sha256(array_to_string(r.members[:w.i % 8] || [w.folded] || r.members[w.i % 8 + 2:], ''))
+        FROM low w JOIN runs r ON r.lang IS NOT DISTINCT FROM w.lang AND r.level = w.level AND r.run = w.i // 8 WHERE w.n > 1
+    ),
+    high(row_id, level, n, i, proof, folded) AS (
+        SELECT low.row_id, 0, s.total, s.place, low.proof, low.folded FROM low JOIN sub s ON s.lang IS NOT DISTINCT FROM low.lang WHERE low.n = 1
+        UNION ALL
+        SELECT w.row_id, w.level + 1, (w.n + 7) // 8, w.i // 8,
+               w.proof || array_to_string(r.members[:w.i % 8] || r.members[w.i % 8 + 2:], ''),
+               sha256(array_to_string(r.members[:w.i % 8] || [w.folded] || r.members[w.i % 8 + 2:], ''))
+        FROM high w JOIN top_runs r ON r.level = w.level AND r.run = w.i // 8 WHERE w.n > 1
+    )
+    SELECT l.doc_id, l.leaf, s.subroot, (SELECT digest FROM top WHERE n = 1) AS root, sha256(g.proof) AS proof_sha256,
+           g.folded AS folded_root, g.folded = (SELECT digest FROM top WHERE n = 1) AS verified
+    FROM l JOIN sub s ON s.lang IS NOT DISTINCT FROM l.lang JOIN high g ON g.row_id = l.row_id AND g.n = 1
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return manifest.manifest(docs, manifest.lowered(), manifest.chosen()).drop("path")
+
+
+def token_file(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer file's content. It is read once, by the driver."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
+
+
+@query("op12_best_fit_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(read_table(spark, sf_dir, "documents"), token_file())
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whitening(read_table(spark, sf_dir, "embeddings"))
+    # A value that needs more than 64 bits (of some billion rows, say) stays exact in the operator's decimal; here it is null.
+    return white.withColumn("deviation", F.expr("try_cast(deviation AS bigint)")).drop("size")
