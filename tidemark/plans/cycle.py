@@ -2,13 +2,13 @@
 
 The control tables live in the warehouse's CONFIG layer, and nothing is kept in memory: events are a log of their
 states, accepted changes a journal from which the present models follow. Only single rows (the head of the queue, one
-event), the journal and the names of models come to the driver.
+event), the journal and the names of models come to the driver. Every step is one transaction of the warehouse.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from ..constants import CI_FAILED, CI_PASSED, GENERATED, GENERATING, NEW_TABLE, PENDING, PR_OPEN, RESOLVED
 from ..functions.columns import branch_of
-from ..operators.cdc import first_per_key
 from ..operators.drift import COLUMN, detect
 from ..operators.events import (
     EVENT_SCHEMA,
@@ -33,8 +32,7 @@ from ..operators.mutate import append, replace_slice, update_where, with_default
 from ..operators.newtable import declare_sources, infer_primary_key, sync_docs
 from ..operators.registry import advance_registry, business_columns, seed_registry
 from ..session import local_rows, scratch_dir
-from ..sources.tables import Warehouse, folders, schema_columns
-from ..streaming.log import BatchLog
+from ..sources.tables import KeyedLog, Transaction, Warehouse, schema_columns
 from .models import BreakingChange, Change, Model, evolve, silver_from_columns
 from .run import ARTIFACT_SCHEMA, column_docs, downstream_of, materialize, model_edges, refresh_lineage, sandbox_run
 
@@ -61,7 +59,7 @@ class Cycle:
     """A warehouse, the models it started with, and their documentation. Bronze tables are given by `bronze.<name>`."""
 
     spark: SparkSession
-    warehouse: Warehouse
+    warehouse: Warehouse | Transaction
     models: dict[str, Model]
     database: str
     docs: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
@@ -76,7 +74,7 @@ class Cycle:
 
     def events(self) -> DataFrame:
         """Every event in its newest state."""
-        return first_per_key(self._event_log.read(self.spark), ["event_id"], [F.col("change_no").desc()]).drop("change_no")
+        return self.event_log.newest(self.spark)
 
     def columns(self, bronze: Mapping[str, DataFrame]) -> DataFrame:
         return schema_columns(self.spark, {name.split(".", 1)[1]: df for name, df in bronze.items()})
@@ -89,8 +87,11 @@ class Cycle:
         return models
 
     def set_up(self, bronze: Mapping[str, DataFrame], now: Column | None = None) -> DataFrame:
-        """Register the present schema, write lineage, documentation and sources, and run all models."""
+        """Register the present schema, write lineage, documentation and sources, and run all models; one commit."""
         now = F.current_timestamp() if now is None else now
+        return self.warehouse.attempt(self.spark, lambda tx: self.within(tx)._set_up(bronze, now))
+
+    def _set_up(self, bronze: Mapping[str, DataFrame], now: Column) -> DataFrame:
         models = self.current()
         self._register(seed_registry(self.table(REGISTRY, REGISTRY_SCHEMA), self.columns(bronze)), now)
         if not self.warehouse.exists(self.spark, DOCS):
@@ -102,14 +103,19 @@ class Cycle:
         return materialize(self.spark, models, bronze, self.warehouse)
 
     def check(self, bronze: Mapping[str, DataFrame], now: Column) -> DataFrame:
-        """Look for drift and queue what is new."""
-        found = detect(self.columns(bronze), self.table(REGISTRY, REGISTRY_SCHEMA), self.events())
-        self._record(new_events(found, now, [*COLUMN, "change_type", "old_data_type", "new_data_type"]))
+        """Look for drift and queue what is new. Two checks at a time queue a finding once."""
+
+        def look(tx: Transaction) -> None:
+            mine = self.within(tx)
+            found = detect(mine.columns(bronze), mine.table(REGISTRY, REGISTRY_SCHEMA), mine.events())
+            mine._record(new_events(found, now, [*COLUMN, "change_type", "old_data_type", "new_data_type"]), alone=True)
+
+        self.warehouse.attempt(self.spark, look)
         return self.events()
 
     def prepare_next(self, bronze: Mapping[str, DataFrame], now: Column) -> str | None:
         """Take the oldest pending event: change the models, run them in a sandbox, record code and result.
-        Returns the event's id, or None if nothing is pending."""
+        Returns the event's id, or None if nothing is pending. Of two workers that take one event the second has a `Conflict`."""
         head = next_pending(self.events()).collect()
         if not head:
             return None
@@ -122,8 +128,7 @@ class Cycle:
             return event.event_id
         touched = self._touched(event, models)
         code = self._code_rows(event, current, models, touched, now)
-        slice_ = F.col("event_id") == event.event_id
-        self.save(CODE, replace_slice(self.table(CODE, CODE_SCHEMA), code, slice_, keep_if_empty=False))
+        self._write_code(event.event_id, lambda _: code, keep_if_empty=False)
         listed = F.array(
             *[
                 F.struct(
@@ -143,10 +148,9 @@ class Cycle:
             self.spark, models, bronze, sandbox, changed=[f"bronze.{event.table_name.lower()}"], production=self.warehouse,
         )
         results = verdicts.select(F.col("model").alias("artifact_name"), "test_status", "test_error")
-        columns = self.table(CODE, CODE_SCHEMA).columns
-        mine = self.table(CODE, CODE_SCHEMA).filter(slice_).drop("test_status", "test_error")
-        tested = mine.join(results, "artifact_name", "left").select(*columns)
-        self.save(CODE, replace_slice(self.table(CODE, CODE_SCHEMA), tested, slice_))
+        self._write_code(
+            event.event_id, lambda mine: mine.drop("test_status", "test_error").join(results, "artifact_name", "left").select(*mine.columns)
+        )
         failed = not verdicts.filter(F.col("test_status") == "FAIL").isEmpty()
         self._move(event.event_id, {"pipeline_status": F.lit(CI_FAILED if failed else CI_PASSED), "status": F.lit(PENDING)})
         return event.event_id
@@ -155,14 +159,19 @@ class Cycle:
         """Accept an event: the present models change for good, the tables below the source are rebuilt, the baseline
         moves on and the event is closed.
 
-        The control tables move last and the event at the very end, so an error (a change that breaks a model, a
-        rebuild that fails) leaves all as it was. An unknown or resolved id changes nothing.
+        All of it is one commit. An error at any step (a change that breaks a model, a rebuild that fails, a lost
+        driver) leaves every table as it was, and the merge can be run again; so can one that meets the merge of
+        another event, which it then sees. An unknown or resolved id changes nothing.
         """
+        return self.warehouse.attempt(self.spark, lambda tx: self.within(tx)._merge(event_id, bronze, now))
+
+    def _merge(self, event_id: str, bronze: Mapping[str, DataFrame], now: Column) -> DataFrame | None:
         chosen = event_by_id(self.events(), event_id).filter(F.col("pipeline_status") != RESOLVED)
         rows = chosen.collect()
         if not rows:
             return None
         change = self._change(rows[0], bronze)
+        journal = self.table(CHANGES, CHANGES_SCHEMA)
         models = _changed(self.current(), change)
         below = downstream_of(models, [f"bronze.{rows[0].table_name.lower()}"])
         counts = materialize(self.spark, models, bronze, self.warehouse, only=below) if below else None
@@ -170,7 +179,6 @@ class Cycle:
         self._register(advance_registry(self.table(REGISTRY, REGISTRY_SCHEMA), chosen, columns), now)
         self.save(DOCS, sync_docs(self.table(DOCS, DOCS_SCHEMA), chosen))
         self.save(SOURCES, declare_sources(self.table(SOURCES, SOURCES_SCHEMA), chosen))
-        journal = self.table(CHANGES, CHANGES_SCHEMA)
         place = journal.count() + 1
         self.save(CHANGES, append(journal, local_rows(self.spark, [(place, *change[1:])], CHANGES_SCHEMA)))
         self._write_lineage(models, now)
@@ -189,22 +197,42 @@ class Cycle:
         """Follow the reviews: a merged one accepts all its branch's events, a closed one sends them back to the
         queue. Returns the ids of the accepted ones."""
         states = review_states(reviews)
-        waiting = self.events().filter((F.col("pipeline_status") != RESOLVED) & F.col("branch_name").isNotNull())
-        of_closed = waiting.join(states.filter("review_state = 'closed'"), "branch_name", "left_semi")
-        self._record(reconcile_reviews(of_closed.select(*waiting.columns), reviews, now))
+        self.warehouse.attempt(self.spark, lambda tx: self.within(tx)._send_back(states, reviews, now))
+        waiting = self._in_review()
         of_merged = waiting.join(states.filter("review_state = 'merged'"), "branch_name", "left_semi")
         branches = [r["branch_name"] for r in of_merged.groupBy("branch_name").agg(F.min("detected_at").alias("at")).orderBy("at", "branch_name").collect()]
         return [event_id for branch in branches for event_id in self.merge_branch(branch, bronze, now)]
 
+    def _in_review(self) -> DataFrame:
+        return self.events().filter((F.col("pipeline_status") != RESOLVED) & F.col("branch_name").isNotNull())
+
+    def _send_back(self, states: DataFrame, reviews: DataFrame, now: Column) -> None:
+        """Events whose review was closed return to the queue."""
+        waiting = self._in_review()
+        of_closed = waiting.join(states.filter("review_state = 'closed'"), "branch_name", "left_semi")
+        self._record(reconcile_reviews(of_closed.select(*waiting.columns), reviews, now))
+
     @property
-    def _event_log(self) -> BatchLog:
-        return BatchLog(self.warehouse.path(EVENTS), T.StructType.fromDDL(EVENT_SCHEMA + ", change_no bigint"))
+    def event_log(self) -> KeyedLog:
+        return KeyedLog(self.warehouse, EVENTS, T.StructType.fromDDL(EVENT_SCHEMA), "event_id")
 
-    def _record(self, changed: DataFrame) -> None:
+    def within(self, tx: Transaction) -> Cycle:
+        """The same cycle inside a transaction."""
+        return replace(self, warehouse=tx)
+
+    def _record(self, changed: DataFrame, alone: bool = False) -> None:
         """Append new states of events; what is already there is not written again."""
-        log = self._event_log
-        number = max(folders(self.spark, log.path, "batch"), default=-1) + 1
-        log.write(changed.withColumn("change_no", F.lit(number).cast("bigint")), number)
+        self.event_log.append(self.spark, changed, alone=alone)
+
+    def _write_code(self, event_id: str, rows: Callable[[DataFrame], DataFrame], keep_if_empty: bool = True) -> None:
+        """Put an event's code rows in the place of those it had; other events' rows may change meanwhile."""
+        slice_ = F.col("event_id") == event_id
+
+        def put(tx: Transaction) -> None:
+            held = self.within(tx).table(CODE, CODE_SCHEMA)
+            tx.write(self.spark, CODE, replace_slice(held, rows(held.filter(slice_)), slice_, keep_if_empty=keep_if_empty))
+
+        self.warehouse.attempt(self.spark, put)
 
     def _move(self, event_id: str, values: Mapping[str, Column]) -> None:
         self._record(update_where(event_by_id(self.events(), event_id), F.lit(True), values))

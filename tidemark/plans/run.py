@@ -11,7 +11,7 @@ from ..constants import MODEL_ARTIFACT
 from ..operators.mutate import replace_slice
 from ..operators.quality import row_counts, validate
 from ..session import local_rows
-from ..sources.tables import Warehouse, delete
+from ..sources.tables import Transaction, Warehouse
 from .models import Model
 
 ARTIFACT_SCHEMA = (
@@ -57,24 +57,20 @@ def build_all(models: Mapping[str, Model], sources: Mapping[str, DataFrame]) ->
     return tables
 
 
-def materialize(spark: SparkSession, models: Mapping[str, Model], sources: Mapping[str, DataFrame], out: Warehouse,
+def materialize(spark: SparkSession, models: Mapping[str, Model], sources: Mapping[str, DataFrame], out: Warehouse | Transaction,
                 only: Iterable[str] | None = None) -> DataFrame:
-    """Full refresh into `out`: each model reads its inputs as written. Returns rows per model. If a model fails, the
-    versions written before it are taken back."""
+    """Full refresh into `out`: each model reads its inputs as written. Returns rows per model. All models change
+    together, by one commit; if one fails, nothing has changed. In a transaction its commit decides."""
     chosen = run_order(models) if only is None else [n for n in run_order(models) if n in set(only)]
     tables = dict(sources)
-    written: list[str] = []
-    try:
-        for name in run_order(models):
-            if name in chosen:
-                written.append(out.write(spark, name, models[name].build(tables)))
-                tables[name] = spark.read.parquet(written[-1])
-            elif out.exists(spark, name):
-                tables[name] = out.read(spark, name)
-    except Exception:
-        for path in written:
-            delete(spark, path)
-        raise
+    tx = out.begin(spark)
+    for name in run_order(models):
+        if name in chosen:
+            tables[name] = spark.read.parquet(tx.write(spark, name, models[name].build(tables)))
+        elif tx.exists(spark, name):
+            tables[name] = tx.read(spark, name)
+    if tx is not out:
+        tx.commit(spark)
     return row_counts({n: tables[n] for n in chosen})
 
 
