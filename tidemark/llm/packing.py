@@ -38,13 +38,21 @@ SHARE = 0.6
 #: Fixed: the characters that the tokenizer's pattern takes for white space.
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A run of white space and what follows it. The tokenizer's pattern never joins what lies before such a run with the run.
-UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+$")
+SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.fullmatch(f"[{SPACE}]", c))
+#: Fixed: ranges of characters that are letters in every version of Unicode, and signs and digits that never are.
+LETTER = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f\u0391-\u03a1\u03a3-\u03a9\u03b1-\u03c9\u0410-\u044f"
+SIGN = r"!-@\[-`{-~"
+#: What is encoded by itself: a run of white space with the letters behind it, if a sign follows them, or with all that
+#: follows. The tokenizer's pattern joins neither white space with what lies before it nor a letter with a later sign.
+UNIT = re.compile(f"[{SPACE}]*[{LETTER}]+(?=[{SPACE}{SIGN}]|$)|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+$")
 RUN_START = re.compile(f"(?<=[^{SPACE}])(?=[{SPACE}])")
 #: In a long unit, the places behind a letter and before a sign or digit are ends too.
 SIGN_START = re.compile(r"(?<=[A-Za-z\u3041-\u3096\u4e00-\u9fa5])(?=[0-9.,;:!?\u3001\u3002])")
 LONG_UNIT, WINDOW = 1 << 16, 1 << 20
+#: Characters of new units that the library encodes at a time.
+BLOCK = 1 << 16
 #: Units that a worker remembers before it forgets them all, and their bytes.
-UNITS, UNIT_BYTES = 1 << 18, 64 << 20
+UNITS, UNIT_BYTES = 1 << 19, 64 << 20
 
 
 class Tokens:
@@ -56,39 +64,86 @@ class Tokens:
 
         self.library = Tokenizer.from_str(tokenizer)
         self.library.encode_special_tokens = True  # what looks like a special token in a text is text
+        # A byte-level token has one character for each byte.
+        names = self.library.get_vocab()
+        self.lengths = np.zeros(max(names.values()) + 1, np.int64)
+        self.lengths[list(names.values())] = list(map(len, names))
         self.known: dict[str, bytes] = {}
         self.held = 0
 
-    def clear(self) -> None:
-        self.known, self.held = {}, 0
-
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers. A long text is taken in windows that end before a run of white space."""
-        found, start = [], 0
-        while start < len(text):
-            stop = RUN_START.search(text, start + WINDOW)
-            end = stop.start() if stop else len(text)
-            found.append(self._window(text[start:end] if start or end < len(text) else text))
-            start = end
-        return b"".join(found)
-
-    def _window(self, text: str) -> bytes:
-        units = UNIT.findall(text)
-        if len(text) > LONG_UNIT:
-            units = [part for unit in units for part in _divided(unit)]
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers. A long text is taken in windows that end before a run of white space."""
+        found: list[bytes] = []
+        for some in self._windows(texts):
+            units = [_units(text) for text, _ in some]
+            self._learn_new(units)
+            for own, (_, last) in zip(units, some):
+                found.append(b"".join(map(self.known.__getitem__, own)))
+                if last:
+                    yield b"".join(found)
+                    found.clear()
+
+    @staticmethod
+    def _windows(texts: list[str]) -> Iterator[list[tuple[str, bool]]]:
+        """The texts in order, in windows marked by whether they end a text, some at a time."""
+        some, size = [], 0
+        for text in texts:
+            start, last = 0, False
+            while not last:
+                stop = RUN_START.search(text, start + WINDOW) if len(text) - start > WINDOW else None
+                last, end = stop is None, stop.start() if stop else len(text)
+                some.append((text[start:end], last))
+                size, start = size + end - start, end
+                if size >= WINDOW:
+                    yield some
+                    some, size = [], 0
+        if some:
+            yield some
+
+    def _learn_new(self, units: list[list[str]]) -> None:
         if len(self.known) > UNITS or self.held > UNIT_BYTES:
-            self.clear()
-        new = list({u for u in units if u not in self.known})
-        for start in range(0, len(new), 1024):
-            some = new[start : start + 1024]
+            self.known, self.held = {}, 0
+        new = list(set().union(*units).difference(self.known))
+        spaced = [u for u in new if u[0] in SPACES and u[-1] not in SPACES]
+        for some in _blocks(spaced):
+            self._learn_joined(some)
+        for some in _blocks([u for u in new if u[0] not in SPACES or u[-1] in SPACES]):
             for unit, encoding in zip(some, self.library.encode_batch(some, add_special_tokens=False)):
-                self.known[unit] = np.array(encoding.ids, "<u4").tobytes()
-                self.held += len(unit) + len(self.known[unit])
-        return b"".join(map(self.known.__getitem__, units))
-
-
-def _divided(unit: str) -> list[str]:
-    return [unit] if len(unit) <= LONG_UNIT else [p for p in SIGN_START.split(unit) if p]
+                self._learn(unit, np.array(encoding.ids, "<u4").tobytes())
+    def _learn(self, unit: str, ids: bytes) -> None:
+        self.known[unit] = ids
+        self.held += len(unit) + len(ids)
+
+    def _learn_joined(self, units: list[str]) -> None:
+        """Units that begin with white space and end with something else, in one call: the library never joins two of them."""
+        ids = np.array(self.library.encode("".join(units), add_special_tokens=False).ids, "<u4")
+        ends = np.cumsum(self.lengths[ids])
+        stops = np.searchsorted(ends, np.cumsum([len(u.encode()) for u in units])) + 1
+        whole, start = ids.tobytes(), 0
+        for unit, stop in zip(units, (4 * stops).tolist()):
+            self._learn(unit, whole[start:stop])
+            start = stop
+
+
+def _blocks(units: list[str]) -> Iterator[list[str]]:
+    """The units in lists of bounded size, since the library holds a block's tokens at once; a long unit is one by itself."""
+    held: list[str] = []
+    size = 0
+    for unit in units:
+        if held and size + len(unit) > BLOCK:
+            yield held
+            held, size = [], 0
+        held.append(unit)
+        size += len(unit)
+    if held:
+        yield held
+
+
+def _units(text: str) -> list[str]:
+    units = UNIT.findall(text)
+    if len(text) > LONG_UNIT:
+        return [part for u in units for part in ([u] if len(u) <= LONG_UNIT else filter(None, SIGN_START.split(u)))]
+    return units
 
 
 @lru_cache(maxsize=2)
@@ -111,28 +166,26 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _tokens(content.value)
-        try:
-            for batch in batches:
-                for part in parts(batch, text):
-                    row, piece, start, length, crc, held = [], [], [], [], [], []
-                    for i, t in enumerate(raw_texts(part, text)):
-                        encoded = tokens.encode((t or b"").decode("utf-8", "replace")) + last
-                        n = len(encoded) // 4
-                        at, stop, number = 0, (n - 1) % capacity + 1, 0
-                        while at < n:
-                            own = encoded[4 * at : 4 * stop]
-                            row.append(i)
-                            piece.append(number)
-                            start.append(at)
-                            length.append(stop - at)
-                            crc.append(zlib.crc32(own))
-                            if ids:
-                                held.append(own)
-                            at, stop, number = stop, stop + capacity, number + 1
-                    columns = [pa.array(piece, pa.int32()), *[pa.array(c, pa.int64()) for c in (start, length, crc)]] + ([pa.array(held, pa.binary())] if ids else [])
-                    yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(key)).take(pa.array(row, pa.int64())), *columns], names=schema.names)
-        finally:
-            tokens.clear()
+        for batch in batches:
+            for part in parts(batch, text):
+                row, piece, start, length, crc, held = [], [], [], [], [], []
+                texts = [(t or b"").decode("utf-8", "replace") for t in raw_texts(part, text)]
+                for i, encoded in enumerate(tokens.encode(texts)):
+                    encoded += last
+                    n = len(encoded) // 4
+                    at, stop, number = 0, (n - 1) % capacity + 1, 0
+                    while at < n:
+                        own = encoded[4 * at : 4 * stop]
+                        row.append(i)
+                        piece.append(number)
+                        start.append(at)
+                        length.append(stop - at)
+                        crc.append(zlib.crc32(own))
+                        if ids:
+                            held.append(own)
+                        at, stop, number = stop, stop + capacity, number + 1
+                columns = [pa.array(piece, pa.int32()), *[pa.array(c, pa.int64()) for c in (start, length, crc)]] + ([pa.array(held, pa.binary())] if ids else [])
+                yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(key)).take(pa.array(row, pa.int64())), *columns], names=schema.names)
 
     ship(docs.sparkSession)
     return docs.select(key, text).mapInArrow(run, schema)
