@@ -13,6 +13,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import CI_FAILED, CI_PASSED, GENERATED, GENERATING, NEW_TABLE, PENDING, PR_OPEN, RESOLVED
 from ..functions.columns import branch_of
@@ -33,6 +34,7 @@ from ..operators.newtable import declare_sources, infer_primary_key, sync_docs
 from ..operators.registry import advance_registry, business_columns, seed_registry
 from ..session import local_rows, scratch_dir
 from ..sources.tables import KeyedLog, Transaction, Warehouse, schema_columns
+from ..streaming.jobs import stream_drift
 from .models import BreakingChange, Change, Model, evolve, silver_from_columns
 from .run import ARTIFACT_SCHEMA, column_docs, downstream_of, materialize, model_edges, refresh_lineage, sandbox_run
 
@@ -113,6 +115,14 @@ class Cycle:
         self.warehouse.attempt(self.spark, look)
         return self.events()
 
+    def follow(self, seen: DataFrame, checkpoint: str, latest: Callable[[DataFrame], DataFrame], **options: object) -> StreamingQuery:
+        """Check columns as they are seen, each batch against the baseline and the events of that moment; see `stream_drift`."""
+
+        def registered(tx: Transaction) -> DataFrame:
+            return self.within(tx).table(REGISTRY, REGISTRY_SCHEMA)
+
+        return stream_drift(seen, registered, None, self.event_log, checkpoint, latest, **options)
+
     def prepare_next(self, bronze: Mapping[str, DataFrame], now: Column) -> str | None:
         """Take the oldest pending event: change the models, run them in a sandbox, record code and result.
         Returns the event's id, or None if nothing is pending. Of two workers that take one event the second has a `Conflict`."""

@@ -141,23 +141,38 @@ class AggregateModel:
         return (self.fact,) if self.dimension is None else (self.fact, self.dimension)
 
     def build(self, inputs: Mapping[str, DataFrame]) -> DataFrame:
-        fact = self._cast(inputs[self.fact], "fact")
-        first_keys = [self.group_column(g, fact) for g in self.groups if g.of == "fact"]
-        counted = [m.columns[0] for m in self.measures if m.kind == "count_distinct" and m.columns[0] != self._unique_key]
-        if self.dimension is not None:
-            counted.append(self.fact_join)
-            fact = fact.filter(F.col(self.fact_join).isNotNull())
-        extra = [F.col(c).alias(f"_k_{c}") for c in dict.fromkeys(counted)]
+        return self.finished(self.added_up(inputs[self.fact]), inputs)
+
+    def added_up(self, fact: DataFrame) -> DataFrame:
+        """The fact per group, join column and distinct-counted column: what `finished` needs of it."""
+        fact, keys = self.keyed(fact)
         partial = [p for m in self.measures for p in self._partials(m)]
-        rows = fact.groupBy(*first_keys, *extra).agg(*(partial or [F.count(F.lit(1)).alias("_rows")]))
+        return fact.groupBy(*keys).agg(*(partial or [F.count(F.lit(1)).alias("_rows")]))
+
+    def finished(self, rows: DataFrame, inputs: Mapping[str, DataFrame]) -> DataFrame:
+        """The aggregate from rows that are added up."""
         if self.dimension is not None:
             dim = self._cast(inputs[self.dimension], "dimension")
             columns = [self.group_column(g, dim) for g in self.groups if g.of == "dimension"]
             keyed = dim.select(F.col(self.dimension_join).alias(f"_k_{self.fact_join}"), *columns)
             rows = rows.join(keyed, f"_k_{self.fact_join}")
-        single = len(extra) == 1
+        single = len(self._counted) == 1
         return rows.groupBy(*[g.alias for g in self.groups]).agg(*[self._final(m, single) for m in self.measures])
 
+    def keyed(self, fact: DataFrame) -> tuple[DataFrame, list[Column]]:
+        """The rows of the fact that count, and the columns they are added up by."""
+        fact = self._cast(fact, "fact")
+        first_keys = [self.group_column(g, fact) for g in self.groups if g.of == "fact"]
+        if self.dimension is not None:
+            fact = fact.filter(F.col(self.fact_join).isNotNull())
+        return fact, [*first_keys, *[F.col(c).alias(f"_k_{c}") for c in self._counted]]
+
+    @property
+    def _counted(self) -> list[str]:
+        """Columns besides the groups that the fact is added up by: those counted distinct and the join column."""
+        counted = [m.columns[0] for m in self.measures if m.kind == "count_distinct" and m.columns[0] != self._unique_key]
+        return list(dict.fromkeys([*counted, *([self.fact_join] if self.dimension is not None else [])]))
+
     @property
     def _unique_key(self) -> str | None:
         """The fact's key, unless a cast may have made equal values of different ones."""

@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 from ..operators.cdc import CdcSpec, newest
 from ..operators.events import EVENT_SCHEMA
 from ..session import cut, scratch_dir
-from ..streaming.jobs import GroupLog, state_log, stored_state, stream_current_state, stream_drift
-from ..streaming.log import BatchLog
+from ..sources.tables import KeyedLog, Warehouse
+from ..streaming.jobs import GroupLog, bucket_log, stored_state, stream_current_state, stream_drift
 from . import roles
 from .base import ORACLES, query, table
 from .drift import DETECT_SQL
@@ -39,21 +39,22 @@ def follow_stored(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def stream_users(spark: SparkSession, sf: str) -> DataFrame:
     work = scratch_dir(spark, "stream-state")
     changes = roles.with_event_flag(follow(spark, sf, "events"))
-    log = state_log(changes, f"{work}/log")
+    log = bucket_log(changes, f"{work}/log", roles.USER_SPEC, 8)
     stream_current_state(changes, roles.USER_SPEC, log, f"{work}/checkpoint").awaitTermination()
     return stored_state(spark, log, roles.USER_SPEC).select("user_id", "event_id", "ts", "event_type", "value")
 
 
 @query("stream_gold", ORACLES["orders_daily"])
 def stream_gold(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders arrive as a stream; after each batch the days it touched are computed again."""
+    """Orders arrive as a stream; each batch takes off and adds the rows of its orders, and finishes the groups they touch."""
     work = scratch_dir(spark, "stream-gold")
     changes = roles.as_bronze_orders(follow(spark, sf, "orders"))
-    log = state_log(changes, f"{work}/log")
+    spec = CdcSpec(("order_id",))
+    log = bucket_log(changes, f"{work}/log", spec, 8)
     customers = roles.DRIVER_MODELS["silver.customers"].build({"bronze.customers": roles.bronze_customers(spark, sf)})
-    daily = GroupLog(f"{work}/daily", roles.DRIVER_MODELS["gold.orders_daily"])
+    daily = GroupLog(f"{work}/daily", roles.DRIVER_MODELS["gold.orders_daily"], 8)
     refresh = daily.refresh(roles.DRIVER_MODELS["silver.orders"], log, cut(customers, "customers"))
-    stream_current_state(changes, CdcSpec(("order_id",)), log, f"{work}/checkpoint", refresh).awaitTermination()
+    stream_current_state(changes, spec, log, f"{work}/checkpoint", refresh).awaitTermination()
     return daily.read(spark).withColumn("total_revenue", F.col("total_revenue").cast("double"))
 
 
@@ -62,7 +63,7 @@ def stream_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Sightings of columns arrive as a stream and are checked against the registry."""
     work = scratch_dir(spark, "stream-drift")
     seen = follow(spark, sf, "lineitem", *roles.LINE_KEYS).withColumn("deleted", F.col("l_returnflag") == "R")
-    log = BatchLog(f"{work}/log", T.StructType.fromDDL(EVENT_SCHEMA))
+    log = KeyedLog(Warehouse(work), "config.schema_change_events", T.StructType.fromDDL(EVENT_SCHEMA), "event_id")
     earlier = roles.catalog_events(spark, sf).withColumn("old_data_type", F.lit(None).cast("string"))
     stream_drift(
         seen,
@@ -73,6 +74,6 @@ def stream_columns(spark: SparkSession, sf: str) -> DataFrame:
         latest=lambda batch: roles.as_catalog(newest(batch, roles.CATALOG_SPEC)),
         seen_at="l_shipdate",
     ).awaitTermination()
-    return log.read(spark).select(
+    return log.newest(spark).select(
         "table_schema", "table_name", "column_name", "change_type", "old_data_type", "new_data_type"
     )
