@@ -1,0 +1,99 @@
+"""Compression decides: neutral compressors find nothing, brute force over all windows finds the same, the limit is measured."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from tidemark.llm import license
+
+ITEMS = (*license.TEMPLATES.items(), *license.NOTICES)
+FILLER = "the house stands by river where people walk along old bridge every summer morning with dogs and children playing near small market hall".split()
+
+
+def changed(t: license.Template, draw: random.Random) -> list[str]:
+    """The template's words with as many of them replaced as may differ."""
+    words = list(t.words)
+    free = [i for i, w in enumerate(words) if w not in t.needed]
+    for i in draw.sample(free, min(license.allowed(len(words)), len(free))):
+        words[i] = draw.choice(FILLER)
+    return words
+
+
+def brute(text: str) -> list[tuple]:
+    """Every window of every template's length is a block; no cue, no look at its words before it is compressed."""
+    words, known = list(license._words(text)), license.templates_of(ITEMS)
+    near, wins = set(), {}
+    for t in known:
+        size = 2 * len(t.words) + license.allowed(len(t.words))
+        for low in range(len(words)):
+            block = tuple(words[low : low + size])
+            if block not in wins:
+                wins[block] = license.ranking(list(block), known)
+            for w in wins[block]:
+                for a, b, missing, added in license.differences(w.words, list(block)):
+                    near.add((*license.taken_away(words[low + a : low + b + 1], w), w, low + a, low + b, missing, added))
+    return license.resolved(text, list(near))
+
+
+def test_nothing_is_found_when_compression_tells_nothing(monkeypatch):
+    text = f"words before {license.TEMPLATES['MIT']} words after. Licensed under the Apache License 2.0"
+    assert [x[2] for x in license.find(text, ITEMS)] == ["MIT", "Apache-2.0-notice"]
+    license.templates_of.cache_clear()
+    monkeypatch.setattr(license, "compressed", lambda raw, dictionary=None: 100)
+    assert license.find(text, ITEMS) == []
+    license.templates_of.cache_clear()
+
+
+def test_the_template_that_takes_away_most_wins():
+    three, two = (license.TEMPLATES[f"GPL-{n}.0-notice"] for n in (3, 2))
+    known = license.templates_of(ITEMS)
+    for text, name in ((three, "GPL-3.0-notice"), (two, "GPL-2.0-notice"), (license.TEMPLATES["BSD"], "BSD"), (license.TEMPLATES["MIT"], "MIT")):
+        assert license.ranking(["some", *license._words(text), "words"], known)[0].name == name
+
+
+def test_all_windows_give_the_same_finds():
+    draw = random.Random(5)
+    known = license.templates_of(ITEMS)
+    for _ in range(12):
+        words: list[str] = []
+        for t in draw.sample([t for t in known if len(t.words) < 25], 2):
+            words += [draw.choice(FILLER) for _ in range(draw.randint(0, 6))] + (changed(t, draw) if draw.random() < 0.5 else list(t.words))
+        text = " ".join(words + FILLER[:3])
+        assert license.find(text, ITEMS) == brute(text), text
+
+
+def test_share_that_wins_is_reached_by_allowed_differences_and_hardly_by_other_words():
+    draw, known = random.Random(1), license.templates_of(ITEMS)
+    reached = tried = others = blocks = 0
+    for t in known:
+        for _ in range(20):
+            pad = draw.randint(0, len(t.words))
+            block = [draw.choice(FILLER) for _ in range(pad)] + changed(t, draw) + [draw.choice(FILLER) for _ in range(len(t.words) - pad)]
+            reached += any(w is t for w in license.ranking(block, known))
+            tried += 1
+    for _ in range(60):
+        others += len(license.ranking([draw.choice(FILLER) for _ in range(20)], known))
+        blocks += len(known)
+    assert reached > 0.985 * tried and others < 0.005 * blocks
+
+
+@pytest.mark.parametrize(
+    "text, name",
+    [("MIT License", "MIT-notice"), ("License: MIT", "MIT-notice"), ("License: GPLv3", "GPL-3.0-notice"), ("GPLv2 License", "GPL-2.0-notice"), ("Creative Commons Attribution 4.0", "CC-BY-4.0-notice"),
+     ("Creative Commons Attribution-ShareAlike 4.0", "CC-BY-SA-4.0-notice")],
+)
+def test_usual_headings_are_found(text, name):
+    assert [(x[2], x[4], x[5]) for x in license.find(f"Project\n\n{text}\n\nMore words", ITEMS)] == [(name, 0, 0)]
+
+
+def test_german_words_make_no_blocks():
+    known = license.templates_of(ITEMS)
+    words = "er geht mit der frau und mit dem hund in die stadt und kommt mit brot".split() * 50
+    assert license.candidates(words, known) == [] and license.find(" ".join(words), ITEMS) == []
+
+
+def test_a_text_of_tens_of_megabytes():
+    text = "mit dem Zug und copyright office " * 800_000 + license.TEMPLATES["BSD"]
+    assert [x[2] for x in license.find(text, ITEMS)] == ["BSD"]

@@ -141,6 +141,12 @@ def test_written_shards(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(map(str, back.select(docs.columns).collect())) == sorted(map(str, docs.collect()))
     assert all(len(list(f.glob("*.parquet"))) == 1 for f in (tmp_path / "out").iterdir() if f.is_dir())
+    named = sharding.shards(docs, 2000)
+    assert {r[0] for r in back.select("shard").distinct().collect()} == {"b" + r[0] for r in named.select("shard").distinct().collect()}
+    by_shard = {r["shard"]: r["n"] for r in back.groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    assert by_shard == {"b" + r["shard"]: r["shard_rows"] for r in named.select("shard", "shard_rows").distinct().collect()}
+    sharding.write_shards(docs.limit(3), str(tmp_path / "one"))
+    assert [r[0] for r in spark.read.parquet(str(tmp_path / "one")).select("shard").distinct().collect()] == ["b"]
 
 
 # Nearest neighbours

@@ -17,8 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-#: Bytes of a shard in the registered query: small, so that the test tables are divided too.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = sharding.LIMIT
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -127,7 +126,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     judged = rules.judge(docs.select("doc_id", "text"), rules.reference(docs))
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    return judged.select(*base, "nearest", "class_distance", "word_distance", "word_limit", "prose")
+    return judged.select(*base, "nearest", "class_distance", "word_distance", "word_limit")
 
 
 def token_digests(docs: DataFrame) -> DataFrame:

@@ -27,8 +27,9 @@ SYMBOLS = b"#*$%&|<>"
 COMMON = 0.002
 #: Base rules: least words, and most per cent of words in repeated windows.
 LEAST_WORDS, MOST_REPEATED = 50, 50
-#: Largest distances of the two histograms. A histogram of n words lies away from its own source by chance alone; the allowance for that is ALLOWANCE / sqrt(n).
-MOST_CLASS_DISTANCE, MOST_WORD_DISTANCE, ALLOWANCE = 0.2, 0.35, 2.0
+#: Distances of the two histograms that documents of a language may have. A histogram of n words lies away from its own
+#: source by chance alone; for the classes the allowance for that is ALLOWANCE / sqrt(n).
+MOST_CLASS_DISTANCE, MOST_WORD_DISTANCE, ALLOWANCE = 0.2, 0.35, 1.0
 #: Words from which the common words count.
 LEAST_FOR_WORDS = 50
 #: The limit of the common words: this many standard deviations above the distance that n words of the language itself
@@ -111,7 +112,7 @@ class Reference:
 
     def is_prose(self, name: str | None, n_words: int, by_class: float, by_word: float) -> tuple[bool, float | None]:
         """Whether a text that is so far from the language `name` passes both histograms, and its limit of the word distance, or None where words do not count."""
-        close = by_class <= MOST_CLASS_DISTANCE + ALLOWANCE / 2 / np.sqrt(max(1, n_words))
+        close = by_class <= MOST_CLASS_DISTANCE + ALLOWANCE / np.sqrt(max(1, n_words))
         if name is None or n_words < LEAST_FOR_WORDS or len(self.limits[name]) == 0:
             return bool(close), None
         limit = float(np.interp(-1 / np.sqrt(n_words), -1 / np.sqrt(DRAWN_WORDS), self.limits[name]))
@@ -143,17 +144,15 @@ def word_limits(shares: np.ndarray) -> np.ndarray:
     return np.minimum(np.maximum([x.mean() + DEVIATIONS * x.std() for x in away], MOST_WORD_DISTANCE), BELOW_NONE * none)
 
 
-def accepts(n_words: int, by_class: float, by_word: float) -> bool:
-    allowance = ALLOWANCE / np.sqrt(max(1, n_words))
-    return by_class <= MOST_CLASS_DISTANCE + allowance / 2 and by_word <= MOST_WORD_DISTANCE + allowance
-
-
 def reference(docs: DataFrame, max_languages: int = 1000) -> Reference:
     """References from all documents that have a text and a language.
 
     First every task adds up, for each part of its rows, the classes and the words that make up half of COMMON of
     that part. A common word is among those of some part, and the sums of these parts leave at most 2 / COMMON
     words of a language in question; the second pass counts these in all documents.
+
+    The `max_languages` languages with most words have a reference, of equal ones the first by name. Texts of others are
+    judged too, by the nearest reference.
     """
     ship(docs.sparkSession)
     known = docs.select("text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
@@ -184,17 +183,15 @@ def reference(docs: DataFrame, max_languages: int = 1000) -> Reference:
         return known.mapInArrow(lambda b: counted(b, chosen), "lang string, kind string, word string, n bigint").groupBy("lang", "kind", "word").agg(F.sum("n").alias("n"))
 
     first = cut(summed(None), "rules-counts")
-    per_language = len(CLASSES) + 1
-    rows = first.where("kind != 'word'").limit(max_languages * per_language + 1).collect()
-    if len(rows) > max_languages * per_language:
-        raise ValueError(f"more than {max_languages} languages")
+    totals = first.where("kind = 'total'").select(F.col("lang").alias("of"), F.col("n").alias("total")).orderBy(F.desc("total"), "of").limit(max_languages)
+    totals = cut(totals, "rules-languages")
+    rows = first.where("kind != 'word'").join(F.broadcast(totals), F.col("lang") == F.col("of")).collect()
     total = {r["lang"]: r["n"] for r in rows if r["kind"] == "total"}
     languages = tuple(sorted(total))
     classes = np.zeros((len(languages), len(CLASSES)))
     for r in rows:
         if r["kind"] != "total":
             classes[languages.index(r["lang"]), int(r["kind"].split()[1])] = r["n"]
-    totals = first.where("kind = 'total'").select(F.col("lang").alias("of"), F.col("n").alias("total"))
     likely = first.where("kind = 'word'").join(totals, F.col("lang") == F.col("of")).where(F.col("n") >= F.col("total") * (COMMON / 2))
     chosen: dict[str, list[str]] = {}
     for r in likely.select("lang", "word").collect():
@@ -209,11 +206,11 @@ def reference(docs: DataFrame, max_languages: int = 1000) -> Reference:
 
 
 def judge(df: DataFrame, known: Reference, text: str = "text") -> DataFrame:
-    """`df` with `n_words`, `word_chars`, `n_symbols`, `n_dup_lines`, `n_repeat_words`, `base_failed`, `kept`, `nearest`, `class_distance`, `word_distance`, `word_limit` and `prose` of every whole text.
+    """`df` with `n_words`, `word_chars`, `n_symbols`, `n_dup_lines`, `n_repeat_words`, `base_failed`, `kept`, `nearest`, `class_distance`, `word_distance` and `word_limit` of every whole text.
 
-    `kept` allows the word distance a fixed slack by the number of words, which for all but very long texts lies above
-    that of a text without any common word. `prose` is the verdict that rejects those too: the base rules, the classes as
-    in `kept`, and `word_limit` (null for texts too short for it).
+    `kept` is true for texts that pass the base rules and are close to the nearest language by both histograms: the
+    character classes up to a fixed distance and an allowance for few words, the common words up to `word_limit` (null
+    for texts too short for it), which lies below the distance of a text without any common word.
 
     Null and empty texts have no words and fail the base rules. Without any reference the base rules decide. Equal
     distances go to the first language by name. Repeated rows get the same result, an empty table gives no row, and
@@ -231,9 +228,9 @@ def judge(df: DataFrame, known: Reference, text: str = "text") -> DataFrame:
             failed = base_failed(metrics[0], metrics[4])
             name, by_class, by_word = known.distances(decoded, metrics[0])
             prose, limit = known.is_prose(name, metrics[0], by_class, by_word)
-            rows.append((*metrics, failed, not failed and accepts(metrics[0], by_class, by_word), name, by_class, by_word, limit, not failed and prose))
-        kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.string()] + [pa.float64()] * 3 + [pa.bool_()]
+            rows.append((*metrics, failed, not failed and prose, name, by_class, by_word, limit))
+        kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.string()] + [pa.float64()] * 3
         return [pa.array(list(column), kind) for column, kind in zip(zip(*rows), kinds)]
 
     counts = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
-    return append(df, f"{counts}, base_failed boolean, kept boolean, nearest string, class_distance double, word_distance double, word_limit double, prose boolean", compute, text)
+    return append(df, f"{counts}, base_failed boolean, kept boolean, nearest string, class_distance double, word_distance double, word_limit double", compute, text)

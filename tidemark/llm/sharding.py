@@ -63,9 +63,15 @@ def shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
-    """Write `docs` as Parquet with one folder, and one file, for each shard."""
-    hashed, size, shard = unused(docs, "hash"), unused(docs, "bytes"), unused(docs, "shard")
-    rows = docs.select("*", hash60("doc_id", "text").alias(hashed), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias(size))
+    """Write `docs` as Parquet with one folder, and one file, for each shard.
+
+    A folder is named `shard=b` and the shard's bits, so that the name is text for every reader and keeps its leading
+    zeros; the only shard of small input is `shard=b`. Null and empty texts lie in the shard of their hash like others,
+    repeated rows in one; an empty table gives no folder; columns with clashing names stay as they are, but for one
+    called `shard`, whose place the shard's name takes.
+    """
+    hashed, size, shard = unused(docs, "hash"), unused(docs, "bytes"), "shard"
+    rows = docs.drop(shard).select("*", hash60("doc_id", "text").alias(hashed), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias(size))
     keys = cut(rows.select(F.col(hashed).alias("hash"), F.col(size).alias("bytes")), "shard-keys")
-    of = assign(keys, limit).select(F.col("hash").alias("of"), F.col("shard").alias(shard)).distinct()
+    of = assign(keys, limit).select(F.col("hash").alias("of"), F.concat(F.lit("b"), "shard").alias(shard)).distinct()
     rows.join(of, F.col(hashed) == F.col("of")).drop("of", hashed, size).repartition(shard).write.partitionBy(shard).parquet(path)
