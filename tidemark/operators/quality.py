@@ -5,15 +5,18 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import CLEAN_RUN_MARK, FAIL_MARKS, MODEL_LAYERS, PASS_MARKS, PENDING
 from ..functions.columns import any_of, is_true, strip
 from ..functions.text import compile_model
-from ..session import local_rows
+from ..session import cut, local_rows, scratch_dir
+from ..sources.tables import folders
 
 
 @dataclass(frozen=True)
@@ -102,13 +105,14 @@ VERDICT_SCHEMA = "model string, test_status string, row_count long, test_error s
 def validate(spark: SparkSession, candidates: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
     """PASS with the row count, or FAIL with the whole error, for each candidate; one that fails in any way does not
     stop the others."""
-    verdicts = []
-    for name, build in candidates.items():
-        try:
-            verdicts.append((name, "PASS", build().count(), None))
-        except Exception as error:  # whatever a candidate raises is its verdict
-            verdicts.append((name, "FAIL", None, str(error)))
-    return local_rows(spark, verdicts, VERDICT_SCHEMA)
+    return local_rows(spark, [verdict(name, build) for name, build in candidates.items()], VERDICT_SCHEMA)
+
+
+def verdict(name: str, build: Callable[[], DataFrame]) -> tuple[str, str, int | None, str | None]:
+    try:
+        return name, "PASS", build().count(), None
+    except Exception as error:  # whatever a candidate raises is its verdict
+        return name, "FAIL", None, str(error)
 
 
 def validate_sql(spark: SparkSession, texts: Mapping[str, str]) -> DataFrame:
@@ -169,31 +173,50 @@ def model_status(artifacts: DataFrame, log: DataFrame, exit_code: int) -> DataFr
     )
 
 
-def check_candidates(spark: SparkSession, code: DataFrame, tables: Mapping[str, DataFrame], database: str) -> DataFrame:
+#: Distinct candidate texts whose verdicts the driver holds at a time, and how many of them run at a time.
+PAGE, AT_A_TIME = 256, 4
+
+
+def check_candidates(spark: SparkSession, code: DataFrame, tables: Mapping[str, DataFrame], database: str, page: int = PAGE) -> DataFrame:
     """Stored candidates (event_id, artifact_name, generated_sql, test_status, test_error, ...) after a check of those
     that are PENDING: compiled, run over `tables` (by `layer.name`), and given a verdict and the whole error.
 
-    The texts of the pending candidates are what reaches the driver; each is a query of its own.
+    Equal texts have one verdict. The distinct texts are stored in pages by their hash; the driver takes a page (about
+    `page` texts), runs them, some at a time, and stores the verdicts, so it never holds more. An empty text fails. A
+    candidate that has a verdict keeps it.
     """
     names = {f"{database}.{name.upper()}": f"candidate_{uuid.uuid4().hex}" for name in tables}
     for df, view in zip(tables.values(), names.values()):
         df.createOrReplaceTempView(view)
-    pending = code.filter(F.col("test_status") == PENDING).select(
-        "event_id", "artifact_name", compile_model(F.col("generated_sql"), database).alias("text")
-    )
+    pending = F.col("test_status") == PENDING
+    text = F.coalesce(compile_model(F.col("generated_sql"), database), F.lit(""))
+    texts = cut(code.filter(pending).select(text.alias("_text")).distinct(), "candidate-texts")
+    pages = max(1, -(-texts.count() // page))
+    folder = scratch_dir(spark, "candidate-pages")
+    number = F.pmod(F.xxhash64("_text"), F.lit(pages)).alias("page")
+    texts.select("_text", number).repartition("page").write.partitionBy("page").parquet(folder)
 
     def runs(text: str) -> Callable[[], DataFrame]:
         for name in sorted(names, key=len, reverse=True):
             text = re.sub(rf"(?<![\w.]){re.escape(name)}(?!\w)", names[name], text)
         return lambda: spark.sql(text)
 
-    rows = [tuple(r) for r in pending.collect()]
-    verdicts = validate(spark, {str(i): runs(text or "") for i, (_, _, text) in enumerate(rows)}).collect()
-    for view in names.values():
-        spark.catalog.dropTempView(view)
-    told = [(e, a, v["test_status"], v["test_error"]) for (e, a, _), v in zip(rows, verdicts)]
-    found = local_rows(spark, told, "event_id string, artifact_name string, _status string, _error string").distinct()
-    joined = code.join(found, ["event_id", "artifact_name"], "left")
-    hit = F.col("_status").isNotNull() & is_true(F.col("test_status") == PENDING)
-    new = {"test_status": F.when(hit, F.col("_status")).otherwise(F.col("test_status")), "test_error": F.when(hit, F.col("_error")).otherwise(F.col("test_error"))}
-    return joined.select(*[new.get(c, F.col(c)).alias(c) for c in code.columns])
+    verdicts = scratch_dir(spark, "candidate-verdicts")
+    kinds = "_text string, _status string, _error string"
+    try:
+        with ThreadPoolExecutor(AT_A_TIME) as pool:
+            for at, path in sorted(folders(spark, folder, "page").items()):
+                own = [r["_text"] for r in spark.read.schema("_text string").parquet(path).collect()]
+                found = pool.map(inheritable_thread_target(spark)(lambda t: verdict(t, runs(t))), own)
+                local_rows(spark, [(t, status, error) for t, status, _, error in found], kinds).write.parquet(f"{verdicts}/page={at}")
+    finally:
+        for view in names.values():
+            spark.catalog.dropTempView(view)
+    done = folders(spark, verdicts, "page")
+    told = spark.read.schema(kinds).parquet(*done.values()) if done else local_rows(spark, [], kinds)
+    # Only candidates that wait travel to the join; many of one text are split there.
+    joined = code.filter(is_true(pending)).withColumn("_own", text).join(told, F.col("_own") == F.col("_text"), "left")
+    new = {"test_status": F.col("_status"), "test_error": F.col("_error")}
+    checked = joined.select(*[new.get(c, F.col(c)).alias(c) for c in code.columns])
+    return code.filter(~is_true(pending)).unionByName(checked)
+

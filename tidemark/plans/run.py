@@ -12,6 +12,7 @@ from ..operators.mutate import replace_slice
 from ..operators.quality import row_counts, validate
 from ..session import local_rows
 from ..sources.tables import Transaction, Warehouse
+from .columns import source_columns
 from .models import Model
 
 ARTIFACT_SCHEMA = (
@@ -117,10 +118,10 @@ def column_docs(spark: SparkSession, docs: Mapping[str, Mapping[str, str]]) -> D
 
 
 def model_edges(spark: SparkSession, models: Mapping[str, Model], database: str) -> DataFrame:
-    """Lineage edges of the models, whole-table dependencies, with the text of each model."""
+    """Lineage edges of the models with the columns that each reads of its source, and the text of each model."""
     rows = [
         (
-            name, MODEL_ARTIFACT, source.upper(), None, model.sql(), f"models/{name.replace('.', '/')}.sql",
+            name, MODEL_ARTIFACT, source.upper(), source_columns(model, source), model.sql(), f"models/{name.replace('.', '/')}.sql",
             f"{database}.{name.upper()}",
         )
         for name, model in models.items()

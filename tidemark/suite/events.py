@@ -185,6 +185,28 @@ def settle_failed_run(spark: SparkSession, sf: str) -> DataFrame:
     return events.run_decisions(roles.queue(spark, sf), runs, newest_run, "user_id", "ts", "state")
 
 
+@query(
+    "settled_queue",
+    f"""
+    WITH requeued AS (SELECT event_id, detected_at, status,
+            CASE pipeline_status WHEN 'GENERATING' THEN 'PENDING' ELSE pipeline_status END AS pipeline_status FROM {QUEUE}),
+    head AS (SELECT event_id FROM requeued WHERE pipeline_status = 'PR_OPEN' ORDER BY detected_at, event_id LIMIT 1),
+    failed AS (SELECT arg_max(event_type, ts) = 'error' AS failed FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTES),
+    hit AS (SELECT event_id FROM head, failed WHERE failed)
+    SELECT event_id, CASE WHEN event_id IN (SELECT event_id FROM hit) THEN 'PENDING' ELSE status END AS status,
+        CASE WHEN event_id IN (SELECT event_id FROM hit) THEN 'CI_FAILED' ELSE pipeline_status END AS pipeline_status
+    FROM requeued
+    """,
+)
+def settled_queue(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole queue after the handler of failed runs; every event of the driver is a run of the one task, seen from the newest."""
+    runs = table(spark, sf, "events").select(
+        F.lit("run").alias("task_name"), F.col("ts").alias("scheduled_time"), F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCEEDED").alias("state")
+    )
+    newest_run = runs.agg(F.max("scheduled_time")).scalar()
+    return events.settle_failed_run(roles.queue(spark, sf), runs, newest_run).select("event_id", "status", "pipeline_status")
+
+
 @query(
     "settle_passed_run",
     f"""

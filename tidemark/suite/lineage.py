@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import lineage, newtable
+from ..plans import columns
 from ..session import cut
 from . import roles
 from .base import query, table
@@ -213,3 +214,58 @@ def fk_reachability(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("region:"), F.col("r_regionkey").cast("string")).alias("node")
     )
     return lineage.reach(starts, cut(links, "links"))
+
+
+# The columns of the retail models, written out.
+_CUSTOMER_COLUMNS = """['CUSTOMER_ID','FIRST_NAME','LAST_NAME','EMAIL','PHONE','COUNTRY','SEGMENT','CREATED_AT','UPDATED_AT',
+    '_SNOWFLAKE_INSERTED_AT','_SNOWFLAKE_UPDATED_AT','LOYALTY_TIER','PREFERRED_CONTACT','PREFERRED_LANGUAGE']"""
+_ORDER_COLUMNS = """['ORDER_ID','CUSTOMER_ID','ORDER_DATE','STATUS','TOTAL_AMOUNT','CURRENCY','CHANNEL','CREATED_AT','UPDATED_AT',
+    '_SNOWFLAKE_INSERTED_AT','_SNOWFLAKE_UPDATED_AT']"""
+_ITEM_COLUMNS = """['ITEM_ID','ORDER_ID','PRODUCT_ID','PRODUCT_NAME','QUANTITY','UNIT_PRICE','CREATED_AT','_SNOWFLAKE_INSERTED_AT',
+    '_SNOWFLAKE_UPDATED_AT']"""
+_COLUMN_LINKS = f"""
+    silver(item, own) AS (VALUES ('CUSTOMERS', {_CUSTOMER_COLUMNS}), ('ORDERS', {_ORDER_COLUMNS}), ('ORDER_ITEMS', {_ITEM_COLUMNS})),
+    gold(model, output, source, input) AS (VALUES
+        ('orders_daily', 'ORDER_DATE', 'ORDERS', 'ORDER_DATE'), ('orders_daily', 'CHANNEL', 'ORDERS', 'CHANNEL'),
+        ('orders_daily', 'STATUS', 'ORDERS', 'STATUS'), ('orders_daily', 'COUNTRY', 'CUSTOMERS', 'COUNTRY'),
+        ('orders_daily', 'SEGMENT', 'CUSTOMERS', 'SEGMENT'), ('orders_daily', 'LOYALTY_TIER', 'CUSTOMERS', 'LOYALTY_TIER'),
+        ('orders_daily', 'PREFERRED_CONTACT', 'CUSTOMERS', 'PREFERRED_CONTACT'),
+        ('orders_daily', 'PREFERRED_LANGUAGE', 'CUSTOMERS', 'PREFERRED_LANGUAGE'),
+        ('orders_daily', 'ORDER_COUNT', 'ORDERS', 'ORDER_ID'), ('orders_daily', 'CUSTOMER_COUNT', 'ORDERS', 'CUSTOMER_ID'),
+        ('orders_daily', 'TOTAL_REVENUE', 'ORDERS', 'TOTAL_AMOUNT'), ('orders_daily', 'AVG_ORDER_VALUE', 'ORDERS', 'TOTAL_AMOUNT'),
+        ('category_summary', 'PRODUCT_NAME', 'ORDER_ITEMS', 'PRODUCT_NAME'), ('category_summary', 'ITEMS_SOLD', 'ORDER_ITEMS', 'ITEM_ID'),
+        ('category_summary', 'TOTAL_UNITS', 'ORDER_ITEMS', 'QUANTITY'), ('category_summary', 'TOTAL_REVENUE', 'ORDER_ITEMS', 'QUANTITY'),
+        ('category_summary', 'TOTAL_REVENUE', 'ORDER_ITEMS', 'UNIT_PRICE'), ('category_summary', 'AVG_UNIT_PRICE', 'ORDER_ITEMS', 'UNIT_PRICE'),
+        ('category_summary', 'ORDER_COUNT', 'ORDER_ITEMS', 'ORDER_ID')),
+    whole(model, source, input) AS (VALUES ('orders_daily', 'ORDERS', 'ORDER_ID'), ('orders_daily', 'ORDERS', 'CUSTOMER_ID'),
+        ('orders_daily', 'CUSTOMERS', 'CUSTOMER_ID'), ('category_summary', 'ORDER_ITEMS', 'ITEM_ID')),
+    rows_of(item, input) AS (SELECT item, unnest(['_SNOWFLAKE_UPDATED_AT', '_SNOWFLAKE_DELETED', own[1]]) FROM silver
+        UNION ALL SELECT 'ORDER_ITEMS', unnest(['PRODUCT_ID', 'SUPPLIER_ID', 'QUANTITY', 'UNIT_PRICE'])),
+    links AS (
+        SELECT 'BRONZE.' || item || '.' || c AS src, 'SILVER.' || item || '.' || c AS dst, 'silver.' || lower(item) AS model, c AS output
+        FROM (SELECT item, unnest(own) AS c FROM silver)
+        UNION SELECT 'BRONZE.' || item || '.' || input, 'SILVER.' || item || '.' || c, 'silver.' || lower(item), c
+        FROM rows_of JOIN (SELECT item, unnest(own) AS c FROM silver) USING (item)
+        UNION SELECT 'SILVER.' || source || '.' || input, 'GOLD.' || upper(model) || '.' || output, 'gold.' || model, output FROM gold
+        UNION SELECT 'SILVER.' || w.source || '.' || w.input, 'GOLD.' || upper(model) || '.' || g.output, 'gold.' || model, g.output
+        FROM whole w JOIN (SELECT DISTINCT model, output FROM gold) g USING (model))"""
+_CHANGED = (("CUSTOMERS", "COUNTRY"), ("ORDERS", "TOTAL_AMOUNT"), ("ORDERS", "CUSTOMER_ID"), ("ORDER_ITEMS", "UNIT_PRICE"), ("ORDERS", "CURRENCY"), ("ORDERS", "NO_COLUMN"), ("ORDER_ITEMS", "_SNOWFLAKE_DELETED"))
+_CHANGED_SQL = "[" + ", ".join(f"['{t}', '{c}']" for t, c in _CHANGED) + f"][user_id % {len(_CHANGED)} + 1]"
+
+
+@query(
+    "column_impact",
+    f"""
+    WITH RECURSIVE {_COLUMN_LINKS},
+    q AS (SELECT event_id, 'BRONZE.' || {_CHANGED_SQL}[1] || '.' || {_CHANGED_SQL}[2] AS origin FROM events),
+    walk AS (SELECT origin, origin AS node, '' AS model, '' AS output, 0 AS depth FROM (SELECT DISTINCT origin FROM q)
+        UNION SELECT origin, dst, links.model, links.output, depth + 1 FROM walk JOIN links ON src = node)
+    SELECT event_id, model AS artifact_name, output AS output_column, min(depth) AS depth
+    FROM q JOIN walk USING (origin) WHERE depth > 0 GROUP BY ALL
+    """,
+)
+def column_impact(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event as a change of one column of the retail tables: the columns of the models that it reaches."""
+    pick = F.element_at(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(c).alias("c")) for t, c in _CHANGED]), (F.col("user_id") % len(_CHANGED) + 1).cast("int"))
+    changes = table(spark, sf, "events").select("event_id", pick.alias("p")).select("event_id", F.col("p.t").alias("table_name"), F.col("p.c").alias("column_name"))
+    return columns.column_impact(changes, columns.column_edges(spark, roles.DRIVER_MODELS))

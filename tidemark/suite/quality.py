@@ -221,29 +221,29 @@ def artifact_summary(spark: SparkSession, sf: str) -> DataFrame:
     return summary.labels(table(spark, sf, "conversations"), ["conv_id"], "turn", label)
 
 
-_CANDIDATE_ROWS = """SELECT 'N' || n_nationkey AS event_id, 'silver.nation_' || n_nationkey AS artifact_name,
-    CASE n_nationkey % 3 WHEN 2 THEN 'PASS' ELSE 'PENDING' END AS test_status FROM nation"""
+_CANDIDATE_ROWS = """SELECT 'C' || c_custkey AS event_id, 'silver.customer_' || c_custkey AS artifact_name, c_nationkey,
+    CASE c_custkey % 3 WHEN 2 THEN 'PASS' ELSE 'PENDING' END AS test_status FROM customer"""
 
 
 @query(
     "candidate_check",
     f"""
-    SELECT event_id, artifact_name, CASE WHEN test_status = 'PASS' OR substr(event_id, 2)::INT % 3 = 0 THEN 'PASS'
-        ELSE 'FAIL' END AS test_status, test_status = 'PENDING' AND substr(event_id, 2)::INT % 3 = 1 AS has_error
+    SELECT event_id, artifact_name, CASE WHEN test_status = 'PASS' OR c_nationkey % 3 <> 1 THEN 'PASS'
+        ELSE 'FAIL' END AS test_status, test_status = 'PENDING' AND c_nationkey % 3 = 1 AS has_error
     FROM ({_CANDIDATE_ROWS})
     """,
 )
 def candidate_check(spark: SparkSession, sf: str) -> DataFrame:
-    """A stored candidate per nation: a third reads its customers, a third a column that is not there, a third was
-    checked before."""
-    key = F.col("n_nationkey")
+    """A stored candidate per customer: each reads the customers of its nation, in a third of the nations by a column that
+    is not there; a third of the candidates was checked before."""
+    nation, key = F.col("c_nationkey"), F.col("c_custkey")
     text = F.concat(
-        F.lit("{{ config(schema='silver') }} SELECT "), F.when(key % 3 == 1, "no_such_column").otherwise("c_custkey"),
-        F.lit(" FROM {{ source('bronze', 'customer') }} WHERE c_nationkey = "), key.cast("string"),
+        F.lit("{{ config(schema='silver') }} SELECT "), F.when(nation % 3 == 1, "no_such_column").otherwise("c_custkey"),
+        F.lit(" FROM {{ source('bronze', 'customer') }} WHERE c_nationkey = "), nation.cast("string"),
     )
-    code = table(spark, sf, "nation").select(
-        F.concat(F.lit("N"), key.cast("string")).alias("event_id"),
-        F.concat(F.lit("silver.nation_"), key.cast("string")).alias("artifact_name"),
+    code = table(spark, sf, "customer").select(
+        F.concat(F.lit("C"), key.cast("string")).alias("event_id"),
+        F.concat(F.lit("silver.customer_"), key.cast("string")).alias("artifact_name"),
         text.alias("generated_sql"),
         F.when(key % 3 == 2, "PASS").otherwise("PENDING").alias("test_status"),
         F.lit(None).cast("string").alias("test_error"),
