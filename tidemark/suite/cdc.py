@@ -11,8 +11,11 @@ from ..operators.cdc import current_state
 from ..operators.drift import snapshot_diff
 from ..plans.models import Change, evolve
 from ..plans.run import build_all
+from ..session import scratch_dir
+from ..sources.keyed import Snapshots
+from ..sources.tables import Warehouse
 from . import roles
-from .base import query
+from .base import ORACLES, query
 from .roles import BASELINE_DAY, LINE_ORDER, SILVER_CUSTOMERS, SILVER_ORDER_ITEMS, SILVER_ORDERS, USER_LOG
 
 
@@ -190,3 +193,14 @@ def snapshot_diff_lines(spark: SparkSession, sf: str) -> DataFrame:
         list(roles.LINE_KEYS),
         ["l_quantity", "l_extendedprice"],
     )
+
+
+@query("snapshot_versions", ORACLES["snapshot_diff"])
+def snapshot_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from two stored versions, of which only buckets with different hashes are read."""
+    log = roles.line_log(spark, sf)
+    early = log.filter(F.col("l_shipdate") < F.lit(BASELINE_DAY).cast("timestamp_ntz"))
+    kept = [*roles.LINE_KEYS, "l_quantity", "l_extendedprice"]
+    store = Snapshots(Warehouse(scratch_dir(spark, "snapshots")), "silver.lines", roles.LINE_KEYS, buckets=256)
+    old, new = (store.write(spark, current_state(rows, roles.CATALOG_SPEC).select(*kept)) for rows in (early, log))
+    return store.diff(spark, old, new, kept[2:])

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from ..operators import mutate
 from ..operators.cdc import newest
+from ..session import scratch_dir
+from ..sources.keyed import KeyedTable
+from ..sources.tables import Warehouse
 from . import roles
-from .base import query, table
+from .base import ORACLES, query, table
 from .roles import BASELINE_DAY, LINE_KEYS, NOW, newest_lines_sql
 
 _DAY_SQL = f"TIMESTAMP '{BASELINE_DAY}'"
@@ -60,6 +63,16 @@ def insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
     return mutate.insert_ignore(target, batch, list(LINE_KEYS), order)
 
 
+@query("keyed_insert", ORACLES["insert_if_absent"])
+def keyed_insert(spark: SparkSession, sf: str) -> DataFrame:
+    """The same into a table that keeps a Bloom filter of its keys."""
+    target, batch = _target_and_batch(spark, sf)
+    held = KeyedTable(Warehouse(scratch_dir(spark, "keyed")), "silver.lines", LINE_KEYS)
+    held.insert_if_absent(spark, target)
+    held.insert_if_absent(spark, batch)
+    return held.read(spark)
+
+
 @query(
     "upsert",
     f"""
