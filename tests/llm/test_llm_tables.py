@@ -225,6 +225,22 @@ def test_blocks_give_what_one_block_gives(spark, monkeypatch):
     assert sorted(map(str, ann.nearest(rows).collect())) == whole
 
 
+def test_each_length_is_searched(spark, monkeypatch):
+    """Three lengths, one of them rare, against brute force; an id with two lengths is asked once."""
+    monkeypatch.setattr(ann, "LEAST_BLOCK", 64)
+    draw = np.random.default_rng(4)
+    of_length = {d: {i: draw.standard_normal(d).tolist() for i in ids} for d, ids in ((6, range(0, 600)), (9, range(1000, 1400)), (4, range(2000, 2051)))}
+    of_length[4][50] = [1.0, 2.0, 3.0, 4.0]
+    rows = [(i, v) for own in of_length.values() for i, v in own.items()]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), sample=300).collect()
+    expected = {}
+    for d, own in of_length.items():
+        expected |= {q: best for q, best in brute_nearest(own, 50, 5).items() if d == 4 or q != 50}
+    assert recall(got, expected) >= 0.95 and len(got) == sum(map(len, expected.values()))
+    rare = [(r["query_id"], r["vec_id"]) for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])) if r["query_id"] in (50, 2000, 2050)]
+    assert rare == [(q, i) for q in (50, 2000, 2050) for _, i in expected[q]]
+
+
 # License scans
 
 

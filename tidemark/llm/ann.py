@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -67,17 +68,23 @@ def usable(column: str | Column = "embedding") -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def fit(rows: DataFrame, sample: int = SAMPLE, neighbours: int = 5, found: float = 0.98, rounds: int = 30) -> AnnModel | None:
+def lengths(rows: DataFrame) -> dict[int, int]:
+    """The number of usable vectors of each length, the most frequent one first, the longer one of equals. One row a length reaches the driver."""
+    counts = rows.where(usable()).groupBy(F.size("embedding").alias("size")).count().collect()
+    return {r["size"]: r["count"] for r in sorted(counts, key=lambda r: (-r["count"], -r["size"]))}
+
+
+def fit(rows: DataFrame, sample: int = SAMPLE, neighbours: int = 5, found: float = 0.98, rounds: int = 30, length: tuple[int, int] | None = None) -> AnnModel | None:
     """Rotation and radius from about `sample` usable vectors, drawn by a hash of the id; None without any.
 
-    The most frequent length of vectors counts, the longer one of equals. The radius is that within which, in the
+    They are for vectors of one `length`, given with their number; without it the most frequent length counts. The radius is that within which, in the
     sample, the share `found` of true nearest neighbours lies; in the whole table they are nearer still.
     """
     good = rows.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).where(usable())
-    sizes = good.groupBy(F.size("embedding").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).limit(1).collect()
-    if not sizes:
+    length = length or next(iter(lengths(good).items()), None)
+    if length is None:
         return None
-    dimensions, count = sizes[0]
+    dimensions, count = length
     drawn = good.where(F.size("embedding") == dimensions).where(F.pmod(F.xxhash64(F.lit(20), "vec_id"), F.lit(1 << 30)) < round(min(1.0, sample / count) * (1 << 30)))
     taken = drawn.orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(2 * sample).toArrow()["embedding"].combine_chunks()
     if len(taken) == 0:
@@ -129,10 +136,15 @@ class Block:
         self.buckets = [np.unique(part, return_inverse=True) for part in codes.view(np.uint16).reshape(-1, SUBSTRINGS).T]
 
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
-        """The rows whose code differs in at most `radius` bits, found by probing the substrings."""
+        """The rows whose code differs in at most `radius` bits, found by probing the substrings.
+
+        With a radius of s * SUBSTRINGS + a, the first a + 1 substrings are probed up to s bits and the others up to
+        s - 1: a code beyond all of these differs in more bits than the radius.
+        """
         probed = np.zeros(len(self.ids), bool)
-        for (values, bucket), part in zip(self.buckets, code.view(np.uint16)):
-            probed |= (np.bitwise_count(values ^ part) <= radius // SUBSTRINGS)[bucket]
+        each, more = divmod(radius, SUBSTRINGS)
+        for i, ((values, bucket), part) in enumerate(zip(self.buckets, code.view(np.uint16))):
+            probed |= (np.bitwise_count(values ^ part) <= (each if i <= more else each - 1))[bucket]
         rows = np.flatnonzero(probed)
         return rows[np.bitwise_count(self.codes[rows] ^ code[0]) <= radius]
 
@@ -190,16 +202,51 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def compared(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """As `search`, by plain comparison of all vectors of a length, for lengths of at most LEAST_BLOCK vectors. `asked` has the ids and lengths of the queries."""
+
+    def compare(table, queries):
+        ids, vectors = table["vec_id"].to_numpy(), table["embedding"].combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+        out: list[tuple[int, int, float]] = []
+        for own in sorted(set(queries["vec_id"].to_pylist())):
+            vector = min(vectors[ids == own].tolist())
+            others = np.flatnonzero(ids != own)
+            scores = cosines(vectors[others], np.array(vector))
+            best = np.lexsort((ids[others], -scores))[:k]
+            out.extend(zip([own] * len(best), ids[others][best].tolist(), scores[best].tolist()))
+        q, v, s = zip(*out) if out else ((), (), ())
+        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.float64())})
+
+    ship(rows.sparkSession)
+    sized = rows.withColumn("size", F.size("embedding"))
+    found = sized.groupBy("size").cogroup(asked.groupBy("size")).applyInArrow(compare, "query_id bigint, vec_id bigint, score double")
+    return _ranked(found, k)
+
+
 def nearest(rows: DataFrame, every: int = 50, k: int = 5, sample: int = SAMPLE) -> DataFrame:
-    """The `k` nearest rows, by cosine, for each row whose id is divisible by `every`; all rows but the query's own are searched.
+    """The `k` nearest rows, by cosine, for each row whose id is divisible by `every`; all rows of its length but the query's own are searched.
 
-    Null vectors, zero vectors, those with null or non-finite components, and those whose length is not the usual
-    one take no part; nor do null ids. Equal cosines: the smaller id first. A query with fewer than `k` candidates
-    gets all of them, an empty table gives no row, and other columns do not matter.
+    Vectors of each length are fitted and searched by themselves, as there is no cosine between two lengths; lengths
+    with at most LEAST_BLOCK vectors are compared plainly, all in one job. Null vectors, zero vectors and those with null or non-finite components
+    take no part; nor do null ids. An id that occurs in several queries is asked once, with its shortest vector, of these the smallest. Equal cosines: the smaller id
+    first. A query with fewer than `k` candidates gets all of them, an empty table gives no row, and other columns do
+    not matter.
     """
-    rows = rows.where(F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    model = fit(rows, sample, k)
-    if model is None:
-        return rows.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    indexed = cut(index(rows, model), "ann-codes")
-    return search(indexed.where(F.col("vec_id") % every == 0), indexed, model, k)
+    rows = rows.where(F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    sizes = lengths(rows)
+    is_query = F.col("vec_id") % every == 0
+    # With several lengths each query id has one of them, its shortest.
+    own = cut(rows.where(is_query & usable()).groupBy("vec_id").agg(F.min(F.size("embedding")).alias("size")), "ann-asked") if len(sizes) > 1 else None
+    found = []
+    for size, count in sizes.items():
+        if count > LEAST_BLOCK or own is None:
+            model = fit(rows, sample, k, length=(size, count))
+            indexed = cut(index(rows, model), "ann-codes")
+            asked = indexed.where(is_query)
+            found.append(search(asked if own is None else asked.join(own.where(F.col("size") == size), "vec_id", "left_semi"), indexed, model, k))
+    few = [size for size, count in sizes.items() if count <= LEAST_BLOCK]
+    if few and own is not None:
+        some = cut(rows.where(usable() & F.size("embedding").isin(few)), "ann-few")
+        found.append(compared(some, own.where(F.col("size").isin(few)), k))
+    none = rows.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    return reduce(DataFrame.union, found) if found else none
