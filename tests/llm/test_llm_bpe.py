@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -98,3 +100,21 @@ def test_an_id_without_a_token_is_an_error():
 def test_a_rank_file_needs_every_byte():
     with pytest.raises(ValueError):
         bpe.Ranks(b"YQ== 0\n")
+
+
+def test_a_long_piece_costs_few_bytes_a_byte():
+    """One piece without a break against the library, and the memory that its arrays take."""
+    ranks, pattern = rank_file()
+    known = bpe.Ranks(ranks)
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=known.rank, special_tokens={})
+    draw = random.Random(3)
+    for n in (1, 2, 3, 5, 8, 65, 1000, 4097):
+        piece = "".join(draw.choice("abcdefghei") for _ in range(n))
+        assert bpe.merge_long(piece.encode(), known) == library.encode_ordinary(piece)
+    piece = "".join(draw.choice("abcdefghei") for _ in range(400_000)).encode()
+    tracemalloc.start()
+    ids = bpe.merge_long(piece, known)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert b"".join(bpe._tokens(ranks)[i] for i in ids) == piece
+    assert most < 60 * len(piece) + (32 << 20)

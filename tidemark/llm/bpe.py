@@ -25,6 +25,8 @@ HELD_PIECES = 1 << 18
 #: Byte positions of the pieces merged at a time.
 TOGETHER = 1 << 18
 NONE = np.int64(1 << 62)
+#: Bits of a place in a long piece; the bits above hold a rank.
+PLACE_BITS = 38
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -60,25 +62,32 @@ class Ranks:
 
 
 def merge_long(piece: bytes, ranks: Ranks) -> list[int]:
-    """The ids of one piece."""
-    n, rank = len(piece), ranks.rank
-    size = 1 << max(0, n - 1).bit_length()
-    none = (1 << 63, 0)
-    tree = [none] * (2 * size)
-    for i in range(n - 1):
-        if (r := rank.get(piece[i : i + 2])) is not None:
-            tree[size + i] = (r, i)
-    for node in range(size - 1, 0, -1):
+    """The ids of one piece.
+
+    A pair's rank and place are one number, so the least of a node is the leftmost pair of the least rank. Tree and
+    neighbours are plain arrays, 24 bytes for each byte of the piece.
+    """
+    n, rank, none = len(piece), ranks.rank, int(NONE)
+    raw = np.frombuffer(piece, np.uint8)
+    tree = array("q", [none]) * n
+    for start in range(0, n, TOGETHER):
+        ids = ranks.first[raw[start : start + TOGETHER + 1]]
+        own = ranks.join(ids[:-1], ids[1:])
+        places = np.arange(start, start + len(own), dtype=np.int64)
+        tree.frombytes(np.where(own != NONE, own << PLACE_BITS | places, NONE).tobytes())
+    tree.append(none)  # the last byte begins no pair
+    for node in range(n - 1, 0, -1):
         tree[node] = min(tree[2 * node], tree[2 * node + 1])
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    kind = "i" if n < 1 << 31 else "q"
+    after, before = array(kind, range(1, n + 1)), array(kind, range(-1, n - 1))
 
     def update(i: int) -> None:
         j = after[i]
         r = rank.get(piece[i : after[j]]) if j < n else None
-        put(i, none if r is None else (r, i))
+        put(i, none if r is None else r << PLACE_BITS | i)
 
-    def put(i: int, value: tuple[int, int]) -> None:
-        node = size + i
+    def put(i: int, value: int) -> None:
+        node = n + i
         tree[node] = value
         while node > 1:
             node >>= 1
@@ -87,8 +96,8 @@ def merge_long(piece: bytes, ranks: Ranks) -> list[int]:
                 return
             tree[node] = least
 
-    while (top := tree[1]) != none:
-        i = top[1]
+    while n > 1 and (top := tree[1]) != none:
+        i = top & ((1 << PLACE_BITS) - 1)
         j = after[i]
         after[i] = after[j]
         if after[j] < n:
