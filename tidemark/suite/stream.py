@@ -10,7 +10,7 @@ from ..operators.cdc import CdcSpec, newest
 from ..operators.events import EVENT_SCHEMA
 from ..session import cut, scratch_dir
 from ..sources.tables import KeyedLog, Warehouse
-from ..streaming.jobs import GroupLog, bucket_log, stored_state, stream_current_state, stream_drift
+from ..streaming.jobs import GroupLog, bucket_log, state_log, stored_state, stream_current_state, stream_drift
 from . import roles
 from .base import ORACLES, query, table
 from .drift import DETECT_SQL
@@ -39,6 +39,16 @@ def follow_stored(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def stream_users(spark: SparkSession, sf: str) -> DataFrame:
     work = scratch_dir(spark, "stream-state")
     changes = roles.with_event_flag(follow(spark, sf, "events"))
+    log = state_log(changes, f"{work}/log")
+    stream_current_state(changes, roles.USER_SPEC, log, f"{work}/checkpoint").awaitTermination()
+    return stored_state(spark, log, roles.USER_SPEC).select("user_id", "event_id", "ts", "event_type", "value")
+
+
+@query("stream_bucketed_state", ORACLES["cdc_current_state"])
+def stream_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in a log of key buckets, folded as it grows."""
+    work = scratch_dir(spark, "stream-buckets")
+    changes = roles.with_event_flag(follow(spark, sf, "events"))
     log = bucket_log(changes, f"{work}/log", roles.USER_SPEC, 8)
     stream_current_state(changes, roles.USER_SPEC, log, f"{work}/checkpoint").awaitTermination()
     return stored_state(spark, log, roles.USER_SPEC).select("user_id", "event_id", "ts", "event_type", "value")
