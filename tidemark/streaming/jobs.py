@@ -102,12 +102,12 @@ class GroupLog:
         def on_batch(spark: SparkSession, batch_id: int) -> None:
             batch = log.read_batch(spark, batch_id)
             changed = cut(batch.select(*row.spec.keys).distinct(), "changed-keys")
-            held = cut(_among(log.read(spark, batch_id, log.buckets_of(changed)), changed), "held-versions")
+            held = cut(among(log.read(spark, batch_id, log.buckets_of(changed)), changed), "held-versions")
             before, after = row.build({row.source: held}), row.build({row.source: held.unionByName(batch)})
             sums = self._sums(after)
             sums.write(self._difference(before, after), batch_id)
             touched = cut(sums.read_batch(spark, batch_id).select(*self.keys).distinct(), "touched-groups")
-            now = sums.reduce(_among(sums.read(spark, batch_id + 1, sums.buckets_of(touched)), touched))
+            now = sums.reduce(among(sums.read(spark, batch_id + 1, sums.buckets_of(touched)), touched))
             tables = {self.aggregate.dimension: dimension} if dimension is not None else {}
             number = F.lit(batch_id).cast("bigint")
             rows = self.aggregate.finished(self._plain(now, after), tables)
@@ -193,7 +193,7 @@ def _sum_type(kind: T.DataType) -> str:
     return "decimal(38,12)" if isinstance(kind, T.FractionalType) else "decimal(38,0)"
 
 
-def _among(log: DataFrame, keys: DataFrame) -> DataFrame:
+def among(log: DataFrame, keys: DataFrame) -> DataFrame:
     """The versions of some keys; NULL keys are equal."""
     named = keys.withColumnsRenamed({k: f"_k_{k}" for k in keys.columns})
     same = F.lit(True)

@@ -11,8 +11,9 @@ from ..plans.retail import TESTS
 from ..plans.run import build_all, materialize, run_order, sandbox_run
 from ..session import cut, scratch_dir
 from ..sources.tables import Warehouse
+from ..streaming.checks import RelationshipTest, UniqueTest
 from . import roles
-from .base import query, table
+from .base import ORACLES, query, table
 from .cdc import DAILY_KEYS
 from .roles import SILVER_CUSTOMERS, SILVER_ORDER_ITEMS, SILVER_ORDERS
 
@@ -53,6 +54,40 @@ def dq_relationships(spark: SparkSession, sf: str) -> DataFrame:
     return quality.orphan_counts(silver["silver.orders"], "customer_id", silver["silver.customers"], "customer_id")
 
 
+#: Changes in which a table arrives where its tests are followed.
+CHANGES = 2
+
+
+def _changes(rows: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """A table as changes that add all of its rows; the second one also takes a part away, which a third brings back."""
+    rows = cut(rows, "followed")
+    place = F.pmod(F.xxhash64(*rows.columns), F.lit(CHANGES))
+    none, parts = rows.limit(0), [rows.filter(place == i) for i in range(CHANGES)]
+    back = parts[0].filter(F.pmod(F.xxhash64(F.lit(1), *rows.columns), F.lit(5)) == 0)
+    return [(none, parts[0]), (back, parts[1]), (none, back)]
+
+
+@query("dq_unique_followed", ORACLES["dq_unique"])
+def dq_unique_followed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same report, kept up change by change."""
+    keys = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    test = UniqueTest(scratch_dir(spark, "unique"), keys.schema, 8)
+    for batch, (removed, added) in enumerate(_changes(keys)):
+        test.apply(removed, added, batch)
+    return test.report(spark)
+
+
+@query("dq_relationships_followed", ORACLES["dq_relationships"])
+def dq_relationships_followed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same report, kept up while orders and customers change."""
+    silver = build_all(roles.DRIVER_MODELS, roles.bronze(spark, sf))
+    orders, customers = (silver[f"silver.{t}"].select("customer_id") for t in ("orders", "customers"))
+    test = RelationshipTest(scratch_dir(spark, "relationship"), customers.schema["customer_id"].dataType, 8)
+    for batch, (child, parent) in enumerate(zip(_changes(orders), _changes(customers))):
+        test.apply(child, parent, "customer_id", "customer_id", batch)
+    return test.report(spark)
+
+
 def _unique_sql(model: str, column: str, rows: str) -> str:
     return f"""SELECT '{model}' AS model, '{column}' AS column_name, 'unique' AS test, count(*) AS failures FROM
         (SELECT {column} FROM {rows} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)"""
