@@ -184,5 +184,8 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
 
 
 def accepted(df: DataFrame, model: LanguageModel, least: float = 0.2, text: str = "text") -> DataFrame:
-    """The rows whose text has a language with a cosine of at least `least`, and of the model's limit where that is higher; columns stay as they are."""
+    """The rows whose text has a language with a cosine of at least `least`, and of the model's limit where that is higher; columns stay as they are.
+
+    Null and empty texts, and texts without a letter, go. Repeated rows stay or go together. An empty table gives no row.
+    """
     return keep(df, lambda texts: [model.accepts(t, n, s, least) for t, n, s in zip(texts, *model.predict(texts))], text)

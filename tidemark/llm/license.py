@@ -247,7 +247,10 @@ def candidates(words: list[str], known: list[Template]) -> list[tuple[int, int]]
 
 
 def find(text: str, items: tuple[tuple[str, str], ...]) -> list[tuple[int, int, str, float, int, int]]:
-    """Licenses in a text: first and last character, name, size reduction, words missing, words added; in the order of the text."""
+    """Licenses in a text: first and last character, name, size reduction, words missing, words added; in the order of the text.
+
+    A text without a word has none. A long text costs its list of words, and work only around the cues.
+    """
     words, known = list(_words(text)), templates_of(items)
     near = []
     for low, high in candidates(words, known):

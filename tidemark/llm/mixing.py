@@ -116,7 +116,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """The rows of `docs`, each as often as the mix takes it, with their columns; those it does not take are gone."""
+    """The rows of `docs`, each as often as the mix takes it, with their columns; those it does not take are gone.
+
+    Null and empty texts have size 0: they are taken or left by their hash like others. A null source is a source of its own. Rows that
+    repeat an id and a text go together. An empty table gives no row; columns with clashing names stay as they are.
+    """
     size, hashed, own = unused(docs, "mix_size"), unused(docs, "mix_hash"), unused(docs, "mix_source")
     rows = cut(docs.select("source", hash60("doc_id", "text").alias("hash"), words().alias("size")), "mix-rows")
     aims = plan(rows, weights, share, most).select(F.col("source").alias(own), F.col("copies").alias(size), F.col("below").alias(hashed))

@@ -128,5 +128,8 @@ def score(df: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
 
 
 def accepted(df: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
-    """The rows that score at least THRESHOLD; columns stay as they are."""
+    """The rows that score at least THRESHOLD, whatever their number of repeats; columns stay as they are, also with clashing names.
+
+    Null and empty texts have the score of the curve's offset, so they stay or go together. An empty table gives no row.
+    """
     return keep(df, lambda texts: (model.scores(texts) >= THRESHOLD).tolist(), text)

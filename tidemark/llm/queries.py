@@ -130,7 +130,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_digests(docs: DataFrame) -> DataFrame:
-    """Numbers and digests of the ids of each text, and the digest of what they decode to."""
+    """Numbers and digests of the ids of each text, and the digest of what they decode to.
+
+    Null and empty texts have no ids and the digests of nothing. Repeated rows get equal results, an empty table gives no
+    row, and other columns do not matter.
+    """
     ranks, pattern = rank_file()
     both = bpe.round_trip(docs.select("doc_id", "text"), ranks, pattern, unassigned=bpe.newer_characters())
     count = (F.octet_length("ids") / 4).cast("long")
