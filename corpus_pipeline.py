@@ -19,7 +19,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that score as good; the labels come from the table of that name."""
+    """The documents that score as good; the labels come from the table of that name. Null and empty texts, if any are left, score alike."""
     return quality.accepted(docs, quality.learn(docs, read_table(spark, sf_dir, "labels")))
 
 
@@ -29,12 +29,12 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix takes them: not at all, once or twice."""
+    """The documents as often as the mix takes them: not at all, once or twice. Rows that repeat an id and a text go together; a null source is one of its own."""
     return mixing.mixed(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """For each row the number and digest of its tokens, and the digest of the text they decode to."""
+    """For each row, repeated ones too, the number and digest of its tokens, and the digest of the text they decode to; nothing for null."""
     return token_digests(docs)
 
 

@@ -70,7 +70,7 @@ def walk(starts: DataFrame, edges: DataFrame, database: str) -> DataFrame:
 
     One join per level; each level keeps one row per origin and artifact with its smallest path, which
     is enough for the smallest path overall and keeps diamonds from multiplying. A path never visits
-    a table twice, so cycles end. Returns a row per origin, artifact and level.
+    a table twice, so cycles end. Returns rows per origin and artifact among which are its least depth and its least path.
     """
     steps = edges.select(*ARTIFACT, "source_table")
     frontier = starts.select("origin", F.col("origin").alias("node"), F.col("origin").alias("path")).distinct()

@@ -32,10 +32,14 @@ def local_session(cpus: int | str = "*", app: str = "tidemark", scratch: str | N
 def scratch_dir(spark: SparkSession, label: str = "work") -> str:
     """A fresh path below the folder that every executor can reach.
 
-    The cluster names that folder in `spark.checkpoint.dir`; without it the warehouse folder is used.
+    The cluster names that folder in `spark.checkpoint.dir`; without it the warehouse folder is used, unless that lies
+    on one machine's disk and the executors do not.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    base = base or spark.conf.get("spark.sql.warehouse.dir")
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if base.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
     _used.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
