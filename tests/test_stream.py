@@ -216,7 +216,8 @@ def test_bucket_log_keeps_state_in_few_runs_and_reads_the_buckets_asked_for(spar
     for i in range(0, len(rows), 8):
         part = local_rows(spark, rows[i:i + 8], SCHEMA)
         log.write(newest(part, spec), i // 8)
-        log.write(newest(part, spec), i // 8)  # a repeated batch
+        if i == 16:  # a repeated batch
+            log.write(newest(part, spec), i // 8)
         want = sorted(current_state(local_rows(spark, rows[:i + 8], SCHEMA), spec).collect(), key=str)
         assert sorted(stored_state(spark, log, spec).collect(), key=str) == want
     assert max(len(r) for r in log.runs(spark).values()) <= 3
@@ -246,9 +247,9 @@ def test_counting_equals_recomputation_batch_by_batch(spark, tmp_path, name):
     rng, base, seen = random.Random(11), source.collect(), None
     measured = [c for m in model.measures if m.kind != "count_distinct" for c in m.columns]
     swapped = [g.column for g in model.groups if g.of == "fact"] + [c for c in ("customer_id",) if c in source.columns]
-    for batch in range(4):
+    for batch in range(3):
         rows = []
-        for r in rng.sample(base, 9):
+        for r in rng.sample(base, 10):
             new = r.asDict() | {"_snowflake_updated_at": datetime(2024, 5, 1 + batch), "_snowflake_deleted": rng.random() < 0.2}
             for c in swapped:
                 new[c] = rng.choice(base)[c]
@@ -259,7 +260,8 @@ def test_counting_equals_recomputation_batch_by_batch(spark, tmp_path, name):
         part = spark.createDataFrame(rows, source.schema)
         log.write(newest(part, row.spec), batch)
         step(spark, batch)
-        step(spark, batch)  # a repeated batch
+        if batch == 1:  # a repeated batch
+            step(spark, batch)
         seen = part if seen is None else seen.unionByName(part)
         inputs = {model.fact: row.build({row.source: seen})} | ({model.dimension: customers} if model.dimension else {})
 
