@@ -101,6 +101,76 @@ def test_a_chain_of_150_levels(spark):
     assert {int(r.node): r.depth for r in steps.collect()} == {i: i for i in range(41)}
 
 
+def least_steps(pairs, starts):
+    steps, front = {n: 0 for n in starts}, list(starts)
+    while front:
+        front = sorted({b for a, b in pairs if a in front and b not in steps})
+        steps |= {n: 1 + max(steps.values()) for n in front}
+    return steps
+
+
+def tree(rng, size):
+    return [(f"n{rng.randrange(max(0, i - 4), i)}", f"n{i}") for i in range(1, size)]
+
+
+def grid(side):
+    right = [(f"{x},{y}", f"{x + 1},{y}") for x in range(side - 1) for y in range(side)]
+    return right + [(a[::-1], b[::-1]) for a, b in right]
+
+
+GRAPHS = {
+    "tree": (tree(random.Random(1), 60), ["n0", "n7"]),
+    "grid": (grid(5), ["0,0"]),
+    "cycles": ([("a", "b"), ("b", "c"), ("c", "d"), ("d", "b"), ("x", "y"), ("y", "x"), ("y", "z"), ("d", "e"), ("e", "e"), (None, "q"), ("e", None)], ["a"]),
+    "start in a cycle": ([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("c", "d")], ["b", "b"]),
+    "long way round": ([(f"l{i}", f"l{i + 1}") for i in range(20)] + [("l0", "l18"), ("s", "l5"), ("l20", "t")], ["l0", "s"]),
+    "none": ([], ["a"]),
+}
+
+
+@pytest.mark.parametrize("name, plain", [*[(name, 0) for name in GRAPHS], ("long way round", 2)])
+def test_reach_beyond_the_plain_levels(spark, monkeypatch, name, plain):
+    monkeypatch.setattr(lineage, "PLAIN_LEVELS", plain)
+    pairs, starts = GRAPHS[name]
+    links = local_rows(spark, pairs, "src string, dst string")
+    got = lineage.reach(local_rows(spark, [(s,) for s in starts], "node string"), links).collect()
+    known = [p for p in pairs if None not in p]
+    assert sorted((r.node, r.depth) for r in got if r.node) == sorted(least_steps(known, dict.fromkeys(starts)).items())
+
+
+def test_a_chain_of_5000_hops(spark):
+    hops = 5000
+    links = local_rows(spark, [(f"{i}", f"{i + 1}") for i in range(hops)], "src string, dst string")
+    got = lineage.reach(local_rows(spark, [("0",)], "node string"), links)
+    assert {int(r.node): r.depth for r in got.collect()} == {i: i for i in range(hops + 1)}
+
+
+def test_run_order_beyond_the_plain_levels(spark, monkeypatch):
+    """The longest way, where several ways join, a table is an origin and below another one, and two artifacts write one table."""
+    monkeypatch.setattr(lineage, "PLAIN_LEVELS", 1)
+    rng = random.Random(3)
+    names = [f"S.N{i}" for i in range(12)]
+    pairs = sorted({("BRONZE.T", names[0]), ("BRONZE.T", names[3])} | {(a, b) for i, a in enumerate(names) for b in names[i + 1:] if rng.random() < 0.3})
+    rows = [edge(*p) for p in pairs] + [("twin", "dbt_model", "BRONZE.T", None, "", "f", f"DB.{names[6]}")]
+    origins = local_rows(spark, [("BRONZE.T",), (names[1],)], "origin string")
+    got = lineage.downstream(origins, local_rows(spark, rows, ARTIFACT_SCHEMA), "DB")
+
+    longest = {"BRONZE.T": 0, names[1]: 0}
+    for n in names:
+        ways = [longest[r[2]] + 1 for r in rows if r[6] == f"DB.{n}" and r[2] in longest]
+        if ways:
+            longest[n] = max(ways + [longest.get(n, 0)])
+    want = {}
+    for r in rows:
+        if r[2] in longest:
+            want[r[0], r[6]] = max(want.get((r[0], r[6]), 0), longest[r[2]] + 1)
+    assert {(r.artifact_name, r.output_fqn): r.run_order for r in got.collect()} == want
+    loop = [("BRONZE.T", "S.A"), ("S.A", "S.B"), ("S.B", "S.C"), ("S.C", "S.A")]
+    for more in (loop, [("BRONZE.T", "S.A"), ("S.A", "S.A")], [("BRONZE.T", "S.A"), ("S.A", "BRONZE.T")]):
+        with pytest.raises(ValueError):
+            lineage.downstream(local_rows(spark, [("BRONZE.T",)], "origin string"), edges(spark, more), "DB").collect()
+
+
 def test_reach_with_cycle(spark):
     links = local_rows(spark, [("a", "b"), ("b", "c"), ("c", "a"), ("a", "c"), ("x", "y")], "src string, dst string")
     start = local_rows(spark, [("a",)], "node string")

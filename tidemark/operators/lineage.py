@@ -144,34 +144,51 @@ def with_current_sql(impacted: DataFrame, edges: DataFrame) -> DataFrame:
     return joined.withColumn("artifact_sql", F.coalesce("artifact_sql", F.lit("")))
 
 
+#: Levels that are walked one by one before chains are shortened.
+PLAIN_LEVELS = 8
+
+
 def downstream(tables: DataFrame, edges: DataFrame, database: str) -> DataFrame:
     """Artifacts below any of `tables` (column `origin`), with the largest depth: the order to run them.
 
-    Each level is the set of names reached in so many steps. More levels than there are names mean that
-    artifacts depend on each other and have no order, which is an error.
+    Each level is the set of names reached in so many steps. Graphs of more than PLAIN_LEVELS levels go on by
+    `distances`, whose number of jobs grows with the logarithm of a chain. Artifacts that depend on each other have no
+    order, which is an error.
     """
     steps = edges.select("artifact_name", "output_fqn", "source_table").distinct()
     names = steps.select("output_fqn").distinct().count()
-    front = tables.select(F.col("origin").alias("source_table")).distinct()
-    levels: list[DataFrame] = []
-    while True:
+    start = tables.select(F.col("origin").alias("source_table")).distinct()
+    output = without_database(F.col("output_fqn"), database)
+    front, levels = start, []
+    while len(levels) < PLAIN_LEVELS:
         reached = front.join(steps, "source_table").select("artifact_name", "output_fqn").distinct()
         level = cut(reached.withColumn("run_order", F.lit(len(levels) + 1)), "downstream")
         if level.isEmpty():
+            found = _all_levels(levels, level)
             break
         if len(levels) == names:
             raise ValueError("artifacts depend on each other")
         levels.append(level)
-        front = level.select(without_database(F.col("output_fqn"), database).alias("source_table")).distinct()
-    return _all_levels(levels, level).groupBy("artifact_name", "output_fqn").agg(F.max("run_order").alias("run_order"))
+        front = level.select(output.alias("source_table")).distinct()
+    else:
+        links = steps.select(F.col("source_table").alias("src"), output.alias("dst"))
+        depths = cut(distances(start.select(F.col("source_table").alias("node")), links, longest=True), "downstream")
+        below = depths.select(F.col("node").alias("source_table"), (F.col("depth") + 1).alias("run_order"))
+        found = steps.join(below, "source_table").select("artifact_name", "output_fqn", "run_order")
+    return found.groupBy("artifact_name", "output_fqn").agg(F.max("run_order").alias("run_order"))
 
 
 def reach(starts: DataFrame, edges: DataFrame) -> DataFrame:
     """Nodes reachable over (src, dst) rows with the smallest number of steps; `starts` (column `node`)
-    count as step 0."""
+    count as step 0. What lies deeper than PLAIN_LEVELS is found by `distances`, from the last level on."""
     frontier = cut(starts.select("node").distinct().withColumn("depth", F.lit(0)), "reach")
     seen, depth = frontier, 0
     while not frontier.isEmpty():
+        if depth == PLAIN_LEVELS:
+            # All that earlier levels lead to has been seen, so the way on starts from the last level.
+            onward = edges.join(seen.select(F.col("node").alias("dst")), "dst", "left_anti")
+            far = distances(frontier.select("node"), onward).filter("depth > 0")
+            return cut(seen, "reach").unionByName(far.withColumn("depth", F.col("depth") + depth))
         depth += 1
         reached = (
             edges.join(frontier.select(F.col("node").alias("src")), "src")
@@ -181,11 +198,86 @@ def reach(starts: DataFrame, edges: DataFrame) -> DataFrame:
         )
         frontier = cut(reached.withColumn("depth", F.lit(depth)), "reach")
         seen = seen.unionByName(frontier)
-        if depth % 16 == 0:  # one table instead of many, so that the plan stays short
-            seen = cut(seen, "reach")
     return seen
 
 
+def distances(starts: DataFrame, edges: DataFrame, longest: bool = False) -> DataFrame:
+    """`node` and `depth`, the number of steps of the shortest way (or the longest) from any of `starts` over (src, dst) rows.
+
+    A node with one edge into it can only be reached through the node before. Such nodes point at the one before, and
+    every round doubles how far a pointer reaches, until it meets a start or a node where ways join. One row per node
+    is held, and a chain or the height of a tree costs the logarithm of its length. The ways between the nodes that
+    are left are then followed by level, each edge with the steps it stands for. A graph without such nodes, as a grid,
+    is followed by its levels as before.
+
+    Repeated edges count once; NULL nodes lead nowhere. A cycle has no longest way and is an error then.
+    """
+    starts = cut(starts.select("node").where("node IS NOT NULL").distinct(), "starts")
+    usable = F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.lit(longest) | (F.col("src") != F.col("dst")))
+    links = cut(edges.select("src", "dst").where(usable).distinct(), "links")
+    into = links.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min("src").alias("up"))
+    into = cut(into.join(starts.withColumn("is_start", F.lit(True)), "node", "left"), "into")
+    joint = into.filter((F.col("n") > 1) | F.col("is_start")).select("node")
+    pointers = _jumped(cut(into.filter("n = 1 AND is_start IS NULL").select("node", "up"), "single"))
+
+    # Where ways join, an edge stands for all steps from the start or joint above it. Of pointers that end nowhere, on
+    # cycles without an entry, nothing can be reached.
+    farther = F.max if longest else F.min
+    above = pointers.select(F.col("node").alias("src"), "up", "steps", "ended")
+    ways = cut(
+        links.join(joint.select(F.col("node").alias("dst")), "dst", "left_semi")
+        .join(above, "src", "left")
+        .filter(F.col("ended").isNull() | F.col("ended"))
+        .groupBy(F.coalesce("up", "src").alias("src"), "dst")
+        .agg(farther(F.coalesce("steps", F.lit(0)) + 1).alias("steps")),
+        "ways",
+    )
+    limit = joint.unionByName(starts).distinct().count()
+    best = cut(_followed(starts, ways, longest, limit), "best")
+    inner = pointers.filter("ended").join(best.withColumnRenamed("node", "up"), "up")
+    return best.unionByName(inner.select("node", (F.col("depth") + F.col("steps")).alias("depth")))
+
+
+def _jumped(single: DataFrame) -> DataFrame:
+    """For nodes with one node before them (`node`, `up`): the first above that is none of them (`up`), and the steps to it.
+
+    A round in which no pointer ends leaves only those that go round in cycles; they keep `ended` false.
+    """
+    held = single.select(F.col("node").alias("up"), F.lit(True).alias("inner"))
+    pointers = cut(single.join(held, "up", "left").select("node", "up", F.lit(1).alias("steps"), F.col("inner").isNull().alias("ended")), "pointers")
+    before, open_ = None, pointers.filter("NOT ended").count()
+    while open_ and open_ != before:
+        onward = pointers.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("ended").alias("ends"))
+        moved = pointers.filter("NOT ended").join(onward, "up").select(
+            "node", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps"), F.col("ends").alias("ended")
+        )
+        pointers = cut(pointers.filter("ended").unionByName(moved), "pointers")
+        before, open_ = open_, pointers.filter("NOT ended").count()
+    return pointers
+
+
+def _followed(starts: DataFrame, ways: DataFrame, longest: bool, limit: int) -> DataFrame:
+    """`node` and best `depth` over (src, dst, steps) rows; each round goes on from what the last one has bettered."""
+    best_of = F.max if longest else F.min
+    front = cut(starts.select("node", F.lit(0).alias("depth")), "followed")
+    found, rounds = front, 0
+    while not front.isEmpty():
+        if longest and rounds > limit:
+            raise ValueError("artifacts depend on each other")
+        rounds += 1
+        reached = (
+            ways.join(front.withColumnRenamed("node", "src"), "src")
+            .groupBy(F.col("dst").alias("node")).agg(best_of(F.col("depth") + F.col("steps")).alias("depth"))
+        )
+        held = found.groupBy("node").agg(best_of("depth").alias("held"))
+        better = F.col("depth") > F.col("held") if longest else F.col("depth") < F.col("held")
+        front = cut(reached.join(held, "node", "left").filter(F.col("held").isNull() | better).select("node", "depth"), "followed")
+        found = found.unionByName(front)
+        if rounds % 16 == 0:  # one table instead of many, so that the plan stays short
+            found = cut(found.groupBy("node").agg(best_of("depth").alias("depth")), "followed")
+    return found.groupBy("node").agg(best_of("depth").alias("depth"))
+
+
 def impact_report(events: DataFrame, impacted: DataFrame, specs: DataFrame | None = None) -> DataFrame:
     """What each event means, as rows (event_id, part, place, name, report) with a JSON text each.
 
