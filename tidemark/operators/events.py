@@ -134,20 +134,39 @@ def unresolved_of_branch(branch: str) -> Column:
     return (F.col("branch_name") == branch) & (F.col("pipeline_status") != RESOLVED)
 
 
+def review_verdict() -> Column:
+    """What a review (`merged_at`, `state`) says of its branch: merged, closed, or NULL while it is open."""
+    return F.when(F.col("merged_at").isNotNull(), "merged").when(F.col("state") == "closed", "closed")
+
+
+def first_verdict(verdict: Column) -> Column:
+    """The first verdict by `position` of a group, as a struct of both; NULL if all are NULL."""
+    return F.min(F.when(verdict.isNotNull(), F.struct(F.col("position"), verdict.alias("verdict"))))
+
+
 def review_states(reviews: DataFrame) -> DataFrame:
     """One state per branch: the first of merged or closed in list order, else open.
 
     `reviews` has (branch_name, position, merged_at, state).
     """
-    verdict = F.when(F.col("merged_at").isNotNull(), "merged").when(F.col("state") == "closed", "closed")
-    first = F.min(F.when(verdict.isNotNull(), F.struct(F.col("position"), verdict.alias("verdict"))))
+    first = first_verdict(review_verdict())
     return reviews.groupBy("branch_name").agg(F.coalesce(first["verdict"], F.lit("open")).alias("review_state"))
 
 
+def awaiting_review() -> Column:
+    """Whether a review can still move an event."""
+    return is_true((F.col("pipeline_status") != RESOLVED) & F.col("branch_name").isNotNull())
+
+
 def reconcile_reviews(events: DataFrame, reviews: DataFrame, now: Column) -> DataFrame:
     """Merged: every unresolved event of the branch is resolved. Closed: events in review go back to the queue without
     branch and address."""
-    unresolved = is_true((F.col("pipeline_status") != RESOLVED) & F.col("branch_name").isNotNull())
+    return by_review_state(events, review_states(reviews), "branch_name", now)
+
+
+def by_review_state(events: DataFrame, states: DataFrame, key: str, now: Column) -> DataFrame:
+    """Move events by a `review_state` for each `key`, a column that both have."""
+    unresolved = awaiting_review()
     merged = F.col("review_state") == "merged"
     closed = (F.col("review_state") == "closed") & F.col("pipeline_status").isin(*IN_REVIEW_STATES)
     text = F.lit(None).cast("string")
@@ -160,8 +179,8 @@ def reconcile_reviews(events: DataFrame, reviews: DataFrame, now: Column) -> Dat
     }
     # Only unresolved events with a branch travel to the join. The states are stored, so that the join does not share
     # its shuffle with their grouping and a branch with many events can be split.
-    states = cut(review_states(reviews).filter("review_state <> 'open'"), "reviews")
-    joined = events.filter(unresolved).join(states, "branch_name", "left")
+    states = cut(states.filter("review_state <> 'open'"), "reviews")
+    joined = events.filter(unresolved).join(states, key, "left")
     checked = joined.select(*[moved.get(c, F.col(c)).alias(c) for c in events.columns])
     return events.filter(~unresolved).unionByName(checked)
 

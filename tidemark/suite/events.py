@@ -139,13 +139,7 @@ _REVIEWS = """(SELECT 'schema-change/' || l_orderkey AS branch_name, l_linenumbe
 )
 def review_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines as reviews of the event of their order."""
-    flag = F.col("l_returnflag")
-    reviews = table(spark, sf, "lineitem").select(
-        F.concat(F.lit("schema-change/"), F.col("l_orderkey").cast("string")).alias("branch_name"),
-        F.col("l_linenumber").alias("position"),
-        F.when(flag == "A", F.col("l_shipdate")).alias("merged_at"),
-        F.when(flag == "N", "open").otherwise("closed").alias("state"),
-    )
+    reviews = roles.as_reviews(table(spark, sf, "lineitem"))
     return events.reconcile_reviews(roles.queue(spark, sf), reviews, roles.now()).select(*_LIFE.split(", "))
 
 

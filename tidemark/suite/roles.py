@@ -309,7 +309,10 @@ QUEUE = """(SELECT 'E' || o_orderkey AS event_id, o_orderdate AS detected_at, 'B
 def queue(spark: SparkSession, sf: str, where: Column | None = None) -> DataFrame:
     """Every order (or those a test on the orders selects) as a change event somewhere in its life cycle."""
     orders = table(spark, sf, "orders")
-    orders = orders if where is None else orders.filter(where)
+    return as_queue(orders if where is None else orders.filter(where))
+
+
+def as_queue(orders: DataFrame) -> DataFrame:
     kind, state, price = F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_totalprice")
     number = F.col("o_orderkey").cast("string")
 
@@ -344,6 +347,18 @@ def queue(spark: SparkSession, sf: str, where: Column | None = None) -> DataFram
     )
 
 
+def as_reviews(lines: DataFrame) -> DataFrame:
+    """Order lines as reviews of the event of their order, seen when they were shipped."""
+    flag = F.col("l_returnflag")
+    return lines.select(
+        F.concat(F.lit("schema-change/"), F.col("l_orderkey").cast("string")).alias("branch_name"),
+        F.col("l_linenumber").alias("position"),
+        F.when(flag == "A", F.col("l_shipdate")).alias("merged_at"),
+        F.when(flag == "N", "open").otherwise("closed").alias("state"),
+        F.col("l_shipdate").alias("seen_at"),
+    )
+
+
 # --- lineage --------------------------------------------------------------------------------------
 
 DATABASE = "SHOP"

@@ -11,6 +11,7 @@ from ..operators.events import EVENT_SCHEMA
 from ..session import cut, scratch_dir
 from ..sources.tables import KeyedLog, Warehouse
 from ..streaming.jobs import GroupLog, bucket_log, state_log, stored_state, stream_current_state, stream_drift
+from ..streaming.reviews import review_log, reviewed, stream_reviews
 from . import roles
 from .base import ORACLES, query, table
 from .drift import DETECT_SQL
@@ -87,3 +88,17 @@ def stream_columns(spark: SparkSession, sf: str) -> DataFrame:
     return log.newest(spark).select(
         "table_schema", "table_name", "column_name", "change_type", "old_data_type", "new_data_type"
     )
+
+
+@query("stream_reviews", ORACLES["review_reconcile"])
+def stream_review_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Events and reviews arrive as two streams in any order; no row may be late here, so all that the tables span is waited for."""
+    work = scratch_dir(spark, "stream-reviews")
+    reviews = roles.as_reviews(follow(spark, sf, "lineitem"))
+    log = review_log(f"{work}/log", reviews, 8)
+    dates = table(spark, sf, "orders").select(F.col("o_orderdate").alias("at")).union(table(spark, sf, "lineitem").select("l_shipdate"))
+    span = f"{(dates.agg(F.date_diff(F.max('at'), F.min('at'))).first()[0] or 0) + 1} days"
+    stream_reviews(roles.as_queue(follow(spark, sf, "orders")), reviews, log, f"{work}/checkpoint", span, span).awaitTermination()
+    return reviewed(spark, roles.queue(spark, sf), log, roles.now()).select(
+        "event_id", "status", "pipeline_status", "branch_name", "mr_url", "resolved_at"
+    )
