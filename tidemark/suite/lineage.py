@@ -176,8 +176,11 @@ _ITEM = """'{"artifact_name":"' || e.artifact_name || '","artifact_type":"dbt_mo
     """,
 )
 def impact_json(spark: SparkSession, sf: str) -> DataFrame:
-    events, edges = roles.queue(spark, sf), cut(roles.line_edges(spark, sf), "edges")
-    specs = cut(newtable.new_table_spec(roles.catalog(spark, sf)).filter("table_schema = 'BRONZE'"), "specs")
+    """The newest lines are found once and stored; edges and specs are both made from them."""
+    shown = [*roles.LINE_KEYS, "l_returnflag", "l_linestatus", "l_quantity"]
+    lines = cut(roles.newest_lines(spark, sf).select(*shown), "newest-lines")
+    events, edges = roles.queue(spark, sf), roles.as_line_edges(lines)
+    specs = cut(newtable.new_table_spec(roles.as_catalog(lines)).filter("table_schema = 'BRONZE'"), "specs")
     return lineage.impact_report(events, lineage.impact(events, edges, DATABASE), specs)
 
 

@@ -446,8 +446,12 @@ LINE_EDGES = f"""(SELECT 'silver.t' || l_orderkey || '_' || l_linenumber AS arti
 
 def line_edges(spark: SparkSession, sf: str) -> DataFrame:
     """Every order line as a model that reads its order's table, whole or one column of it."""
+    return as_line_edges(newest_lines(spark, sf))
+
+
+def as_line_edges(lines: DataFrame) -> DataFrame:
     name = F.concat(F.lit("t"), F.concat_ws("_", "l_orderkey", "l_linenumber"))
-    return newest_lines(spark, sf).select(
+    return lines.select(
         F.concat(F.lit("silver."), name).alias("artifact_name"),
         F.lit("dbt_model").alias("artifact_type"),
         F.concat(F.lit("BRONZE.T"), F.col("l_orderkey").cast("string")).alias("source_table"),
