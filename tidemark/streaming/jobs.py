@@ -216,7 +216,6 @@ def stream_drift(seen: DataFrame, registry: Source, earlier: Source | None, log:
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
         seen_columns = cut(latest(batch), "sightings")
         tables = cut(seen_columns.select(*TABLE).distinct(), "sighted-tables")
         now = batch.agg(F.max(seen_at)).scalar()
@@ -233,7 +232,6 @@ def stream_drift(seen: DataFrame, registry: Source, earlier: Source | None, log:
             mine.append(spark, new_events(detect(seen_columns, held, known, schema), now, CHANGE), (name, batch_id), alone=True)
 
         log.warehouse.attempt(spark, look)
-        batch.unpersist()
 
     return (
         seen.writeStream.foreachBatch(on_batch)

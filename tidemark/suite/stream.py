@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,17 +19,18 @@ from .base import ORACLES, query, table
 from .drift import DETECT_SQL
 
 
-#: Files that a table is dealt into before it is followed, one per micro-batch.
-FILES = 3
+#: Micro-batches in which a table is followed.
+BATCHES = 3
 
 
 def follow(spark: SparkSession, sf: str, name: str, *keys: str) -> DataFrame:
     """One table as a stream of several micro-batches: its rows are first dealt into files of their own, by `keys` if
-    all rows of a key belong into one batch."""
+    all rows of a key belong into one batch. A batch has a file for every core, so that no task has a whole batch."""
     rows = table(spark, sf, name)
     path = scratch_dir(spark, f"stream-{name}")
-    rows.repartition(FILES, F.xxhash64(*(keys or rows.columns))).write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    rows.repartition(BATCHES * spark.sparkContext.defaultParallelism, F.xxhash64(*(keys or rows.columns))).write.parquet(path)
+    written = len(spark.read.schema(rows.schema).parquet(path).inputFiles())
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, ceil(written / BATCHES))).parquet(path)
 
 
 def follow_stored(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -78,8 +81,8 @@ def stream_columns(spark: SparkSession, sf: str) -> DataFrame:
     earlier = roles.catalog_events(spark, sf).withColumn("old_data_type", F.lit(None).cast("string"))
     stream_drift(
         seen,
-        roles.registry(spark, sf),
-        earlier,
+        cut(roles.registry(spark, sf), "registry"),
+        cut(earlier, "earlier-events"),
         log,
         f"{work}/checkpoint",
         latest=lambda batch: roles.as_catalog(newest(batch, roles.CATALOG_SPEC)),
