@@ -151,11 +151,11 @@ class BucketLog:
         return json.loads(read_file(spark, self._manifest(max(batches)))) if batches else {"buckets": {}}
 
     def _run(self, df: DataFrame) -> tuple[int, dict[str, int]]:
-        """Write a run; returns its number and the rows of each bucket."""
+        """Write a run; returns its number and the rows of each bucket. Large buckets are shared by several tasks."""
         spark = df.sparkSession
         number = claim(spark, self.path, "run")
         target = f"{self.path}/run={number}"
-        df.select(*self.schema.names).withColumn("bucket", self.bucket()).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
+        df.select(*self.schema.names).withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
         if not folders(spark, target, "bucket"):
             return number, {}
         written = spark.read.schema(T.StructType([T.StructField("bucket", T.IntegerType())])).parquet(target)
