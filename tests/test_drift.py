@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from retail import bronze
 
 from tidemark.operators import drift
+from tidemark.operators import registry as registry_module
 from tidemark.operators.events import EVENT_COLUMNS, EVENT_SCHEMA, new_events, resolved
 from tidemark.operators.newtable import declare_sources, infer_primary_key, new_table_spec, sync_docs
 from tidemark.operators.registry import advance_registry, seed_registry
@@ -212,6 +213,55 @@ def test_advance_equals_one_event_at_a_time(spark, seed):
     assert {tuple(r)[:3]: r.data_type for r in got} == apply_one_by_one(registry, events, columns)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_advance_with_a_hot_table(spark, monkeypatch, seed):
+    """Most events are of one table: its steps are thinned by the hour, with the same result."""
+    rng = random.Random(200 + seed)
+    registry, columns = random_catalog(rng), random_catalog(rng)
+    events = []
+    for i in range(200):
+        hot = rng.random() < 0.8
+        schema, table, column, _ = ("BRONZE", "T1", rng.choice(["A", "B_ID"]), None) if hot else rng.choice(columns + registry)
+        change = rng.choice(["NEW_COLUMN", "NEW_COLUMN", "COLUMN_DROP", "TYPE_CHANGE", "TYPE_CHANGE", "NEW_TABLE"])
+        moment = datetime(2024, 1, 1 + rng.randrange(3), rng.randrange(2), rng.randrange(3))
+        events.append({
+            "event_id": f"e{i:03d}", "detected_at": moment, "table_schema": schema, "table_name": table,
+            "column_name": None if change == "NEW_TABLE" else column, "change_type": change,
+            "new_data_type": rng.choice(["int", "string", "double"]),
+        })
+    e = spark.createDataFrame(
+        events, "event_id string, detected_at timestamp_ntz, table_schema string, table_name string, "
+        "column_name string, change_type string, new_data_type string",
+    )
+    stored_steps, cut = [], registry_module.cut
+    monkeypatch.setattr(registry_module, "HOT_EVENTS", 100)
+    monkeypatch.setattr(registry_module, "cut", lambda df, label="cut": stored_steps.append(label) or cut(df, label))
+    got = advance_registry(
+        local_rows(spark, registry, REGISTRY), e, local_rows(spark, [(*r, 1) for r in columns], COLUMNS)
+    ).collect()
+    assert "steps" in stored_steps
+    assert len(got) == len({tuple(r)[:3] for r in got})
+    assert {tuple(r)[:3]: r.data_type for r in got} == apply_one_by_one(registry, events, columns)
+
+
+def test_steps_of_a_hot_column_are_thinned(spark, monkeypatch):
+    monkeypatch.setattr(registry_module, "HOT_EVENTS", 1000)
+    n = F.col("id")
+    kinds = F.array(F.lit("NEW_COLUMN"), F.lit("TYPE_CHANGE"), F.lit("COLUMN_DROP"))
+    events = spark.range(20_000).select(
+        F.lit("BRONZE").alias("table_schema"), F.when(n % 4 > 0, "HOT").otherwise(F.concat(F.lit("T"), n)).alias("table_name"),
+        F.lit("A").alias("column_name"), F.element_at(kinds, (n % 3 + 1).cast("int")).alias("change_type"),
+        F.lit("int").alias("data_type"),
+        F.struct(
+            F.timestamp_seconds(n * 10).cast("timestamp_ntz").alias("detected_at"), n.cast("string").alias("event_id")
+        ).alias("pos"),
+    )
+    hot = registry_module._hot_tables(events)
+    rows = registry_module._thinned(events, hot).groupBy("table_name").count().collect()
+    counts = {r.table_name: r["count"] for r in rows}
+    assert hot.count() == 1 and counts.pop("HOT") <= 3 * 56 and sum(counts.values()) == 5000
+
+
 def test_unknown_event_changes_nothing(spark):
     none = spark.createDataFrame([], EVENT_SCHEMA)
     registry = baseline(spark)

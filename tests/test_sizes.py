@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 
+from tidemark.operators import registry
 from tidemark.session import cut, release
 from tidemark.streaming import log as logs
 from tidemark.suite import QUERIES, drift, lineage, roles, stream  # noqa: F401
@@ -66,3 +67,18 @@ def test_drift_finds_the_baseline_once(spark, monkeypatch):
     QUERIES["stream_drift"](spark, SF)
     assert {"registry", "earlier-events"} <= set(stored)
     release(spark)
+
+
+def test_baseline_sorts_only_what_was_shuffled(spark, monkeypatch):
+    """A sort that reads a file holds as much as a split of it; one behind a shuffle holds a partition."""
+    inputs = [cut(f(spark, SF)) for f in (roles.registry, roles.catalog_events, roles.catalog)]
+    plans = []
+    monkeypatch.setattr(registry, "cut", lambda df, label="cut": plans.append(df) or cut(df, label))
+    plans.append(registry.advance_registry(*inputs))
+    for df in plans:
+        lines = [(len(x) - len(x.lstrip(" +-:")), x.lstrip(" +-:")) for x in df._jdf.queryExecution().executedPlan().toString().splitlines()]
+        for at, (depth, line) in enumerate(lines):
+            if line.startswith("Sort "):
+                below = next((i for i in range(at + 1, len(lines)) if lines[i][0] <= depth), len(lines))
+                assert any("Exchange" in x for _, x in lines[at + 1:below]), f"sorted before a shuffle: {line}"
+    release(spark)
